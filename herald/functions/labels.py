@@ -18,7 +18,7 @@ def _c(col) -> Column:
 # T21
 def clean_label(col, max_words: int = config.MAX_WORDS) -> Column:
     """Strip, drop characters other than word/space/hyphen, keep the first words."""
-    c = F.regexp_replace(F.trim(F.coalesce(_c(col), F.lit(""))), "(?U)" + P_NON_LABEL, "")
+    c = F.regexp_replace(py_strip(F.coalesce(_c(col), F.lit(""))), "(?U)" + P_NON_LABEL, "")
     words = F.filter(F.split(c, r"(?U)\s+"), lambda w: w != "")
     return F.array_join(F.slice(words, 1, max_words), " ")
 
@@ -32,7 +32,7 @@ def display_name(col, max_chars: int = config.DISPLAY_MAX_CHARS,
 
 # T24
 def name_or_default(col, default: str = "") -> Column:
-    return F.coalesce(F.trim(_c(col)), F.lit(default))
+    return F.coalesce(py_strip(_c(col)), F.lit(default))
 
 
 # W5
@@ -43,7 +43,13 @@ def numbered_list(arr, sep: str = "\n", quote: bool = False) -> Column:
     return F.array_join(items, sep)
 
 
+def py_strip(col) -> Column:
+    """Strip leading/trailing whitespace as Python's ``str.strip()`` does."""
+    from herald.functions.text import PY_SPACE
+    return F.regexp_replace(_c(col), f"^{PY_SPACE}+|{PY_SPACE}+$", "")
+
+
 # F15
 def non_blank(arr) -> Column:
-    """Trimmed, non-empty samples only."""
-    return F.filter(F.transform(_c(arr), lambda s: F.trim(s)), lambda s: s != "")
+    """Stripped, non-empty samples only."""
+    return F.filter(F.transform(_c(arr), lambda s: py_strip(s)), lambda s: s != "")

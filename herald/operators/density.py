@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from herald import config
-from herald.operators.neighbours import TILE_ROWS, frame, knn_distances, tile_pairs
+from herald.operators.neighbours import TILE_ROWS, frame, knn_distances, tile_counts, tile_pairs
 from herald.session import cut_lineage
 
 
@@ -81,6 +81,46 @@ def _prim_forest(ids: np.ndarray, w: np.ndarray):
     return ea, eb, ew
 
 
+def _uf_find(parent, x):
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _components(ids: np.ndarray, ea, eb, ew, eps: float):
+    """Smallest member id of each node's component over forest edges with w <= eps."""
+    pos = {v: i for i, v in enumerate(ids)}
+    parent = list(range(len(ids)))
+    for a, b, w in zip(ea, eb, ew):
+        if w <= eps:
+            ra, rb = _uf_find(parent, pos[a]), _uf_find(parent, pos[b])
+            if ra != rb:
+                parent[max(ra, rb)] = min(ra, rb)
+    best = {}
+    for i in range(len(ids)):
+        r = _uf_find(parent, i)
+        if r not in best or ids[i] < best[r]:
+            best[r] = ids[i]
+    return [best[_uf_find(parent, i)] for i in range(len(ids))]
+
+
+def _tile_forest(both: pd.DataFrame, eps_max: float):
+    ids = both["id"].to_numpy()
+    v = np.stack(both["vec"].to_numpy()).astype(np.float64)
+    core = both["core"].to_numpy(dtype=np.float64, na_value=np.inf)
+    d = np.sqrt(np.clip(2.0 - 2.0 * (v @ v.T), 0.0, None))
+    w = np.maximum(d, np.maximum(core[:, None], core[None, :]))
+    w[w > eps_max] = np.inf
+    np.fill_diagonal(w, np.inf)
+    return ids, _prim_forest(ids, w)
+
+
+def _pair_rows(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+    same = int(lp["ti"].iloc[0]) == int(lp["tj"].iloc[0])
+    return lp if same else pd.concat([lp, rp], ignore_index=True)
+
+
 def reachability_forest(df: DataFrame, cores: DataFrame, eps_max: float,
                         key: str = "originator_id", id_col: str = "template_hash",
                         vec_col: str = "embedding", tile_rows: int = TILE_ROWS) -> DataFrame:
@@ -95,15 +135,7 @@ def reachability_forest(df: DataFrame, cores: DataFrame, eps_max: float,
         if lp.empty or rp.empty:
             return frame(key, None, a=np.array([], dtype=object), b=np.array([], dtype=object),
                          w=np.array([], dtype=np.float64))
-        both = lp if int(lp["ti"].iloc[0]) == int(lp["tj"].iloc[0]) else pd.concat([lp, rp])
-        ids = both["id"].to_numpy()
-        v = np.stack(both["vec"].to_numpy()).astype(np.float64)
-        core = both["core"].to_numpy(dtype=np.float64, na_value=np.inf)
-        d = np.sqrt(np.clip(2.0 - 2.0 * (v @ v.T), 0.0, None))
-        w = np.maximum(d, np.maximum(core[:, None], core[None, :]))
-        w[w > eps_max] = np.inf
-        np.fill_diagonal(w, np.inf)
-        a, b, ww = _prim_forest(ids, w)
+        _, (a, b, ww) = _tile_forest(_pair_rows(lp, rp), eps_max)
         return frame(key, lp[key].iloc[0], a=np.array(a, dtype=object), b=np.array(b, dtype=object),
                      w=np.array(ww, dtype=np.float64))
 
@@ -111,28 +143,75 @@ def reachability_forest(df: DataFrame, cores: DataFrame, eps_max: float,
                .applyInPandas(fn, schema).dropDuplicates([key, "a", "b"])
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "originator_id",
-                         max_rounds: int = 50) -> DataFrame:
-    """``key, id, comp`` = smallest id of the node's component.
+def local_components(df: DataFrame, cores: DataFrame, levels, key: str = "originator_id",
+                     id_col: str = "template_hash", vec_col: str = "embedding",
+                     tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Per tile pair and level, each node's component (smallest member id) in
+    the pair's mutual-reachability graph: ``key, level, a, b`` star edges
+    (node ``a`` -> component ``b``, singletons omitted).
 
-    Min-label propagation plus one pointer jump per round; each round's labels
-    are checkpointed to the shared checkpoint folder, so lineage stays short
-    and a lost executor only repeats the current round.
+    Components of a sender are unions of these local ones; for a sender held
+    in one tile they are already final.
     """
-    e = edges.select(key, "a", "b")
-    e = e.unionByName(e.select(key, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
+    levels = [float(x) for x in levels]
+    eps_max = max(levels)
+    with_core = df.join(cores.select(key, F.col("id").alias(id_col), "core"), [key, id_col])
+    left, right = tile_pairs(with_core, key, id_col, vec_col, tile_rows, extra_cols=("core",))
+    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("level", T.IntegerType()),
+                           T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+
+    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({key: pd.Series([], dtype=object), "level": pd.Series([], dtype=np.int32),
+                              "a": pd.Series([], dtype=object), "b": pd.Series([], dtype=object)})
+        if lp.empty or rp.empty:
+            return empty
+        ids, (ea, eb, ew) = _tile_forest(_pair_rows(lp, rp), eps_max)
+        out = []
+        for li, eps in enumerate(levels):
+            comp = np.array(_components(ids, ea, eb, ew, eps), dtype=object)
+            keep = comp != ids
+            if keep.any():
+                out.append(pd.DataFrame({key: pd.Series([lp[key].iloc[0]] * int(keep.sum()), dtype=object),
+                                         "level": pd.Series([li] * int(keep.sum()), dtype=np.int32),
+                                         "a": pd.Series(ids[keep], dtype=object),
+                                         "b": pd.Series(comp[keep], dtype=object)}))
+        return pd.concat(out, ignore_index=True) if out else empty
+
+    return left.groupBy(key, "ti", "tj").cogroup(right.groupBy(key, "ti", "tj")) \
+               .applyInPandas(fn, schema).dropDuplicates([key, "level", "a", "b"])
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, key="originator_id",
+                         max_rounds: int = 100) -> DataFrame:
+    """``key..., id, comp`` = smallest id of the node's component.
+
+    ``key`` is a column name or a list (e.g. sender and level). Labels start
+    at the smallest neighbour; each round propagates the minimum once and
+    follows labels twice (pointer jumping). Each round's labels are written to
+    the shared checkpoint folder, so lineage stays short and a lost executor
+    only repeats the current round. A round with no change ends the loop.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    e = edges.select(*keys, "a", "b")
+    e = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     e = cut_lineage(e)
-    labels = cut_lineage(nodes.select(key, "id").distinct().withColumn("comp", F.col("id")))
+    first = e.groupBy(*keys, F.col("a").alias("id")).agg(F.min("b").alias("m"))
+    labels = (nodes.select(*keys, "id").distinct().join(first, keys + ["id"], "left")
+                   .select(*keys, "id", F.least("id", F.coalesce("m", "id")).alias("comp")))
+    labels = cut_lineage(labels)
+
+    def jump(df):
+        j = df.select(*keys, F.col("id").alias("comp"), F.col("comp").alias("cc"))
+        return df.join(j, keys + ["comp"], "left").select(
+            *keys, "id", F.least("comp", F.coalesce("cc", "comp")).alias("comp"))
+
     for _ in range(max_rounds):
-        nb = (e.join(labels.select(key, F.col("id").alias("b"), F.col("comp").alias("cb")), [key, "b"])
-               .groupBy(key, "a").agg(F.min("cb").alias("m")))
-        step = (labels.join(nb.withColumnRenamed("a", "id"), [key, "id"], "left")
-                      .select(key, "id", F.least("comp", F.coalesce("m", "comp")).alias("comp")))
-        jump = step.select(key, F.col("id").alias("comp"), F.col("comp").alias("cc"))
-        new = (step.join(jump, [key, "comp"], "left")
-                   .select(key, "id", F.least("comp", F.coalesce("cc", "comp")).alias("comp")))
-        new = cut_lineage(new)
-        changed = new.join(labels.withColumnRenamed("comp", "old"), [key, "id"]) \
+        nb = (e.join(labels.select(*keys, F.col("id").alias("b"), F.col("comp").alias("cb")), keys + ["b"])
+               .groupBy(*keys, "a").agg(F.min("cb").alias("m")))
+        step = (labels.join(nb.withColumnRenamed("a", "id"), keys + ["id"], "left")
+                      .select(*keys, "id", F.least("comp", F.coalesce("m", "comp")).alias("comp")))
+        new = cut_lineage(jump(jump(step)))
+        changed = new.join(labels.withColumnRenamed("comp", "old"), keys + ["id"]) \
                      .filter(F.col("comp") != F.col("old")).limit(1).count()
         labels = new
         if changed == 0:
@@ -140,6 +219,31 @@ def connected_components(nodes: DataFrame, edges: DataFrame, key: str = "origina
     return labels
 
 
+def merge_local_components(pts: DataFrame, star: DataFrame, keys, key: str = "originator_id",
+                           id_col: str = "template_hash", tile_rows: int = TILE_ROWS,
+                           levels: int | None = None) -> DataFrame:
+    """Sender components from the per-tile-pair ones (``keys..., id, comp``).
+
+    A sender held in a single tile has exact local labels; only senders
+    spread over several tiles go through the propagation rounds.
+    """
+    keys = list(keys)
+    nodes = pts.select(key, F.col(id_col).alias("id"))
+    if levels is not None:
+        nodes = nodes.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(levels)])))
+    first = star.groupBy(*keys, F.col("a").alias("id")).agg(F.min("b").alias("m"))
+    local = (nodes.join(first, keys + ["id"], "left")
+                  .select(*keys, "id", F.least("id", F.coalesce("m", "id")).alias("comp")))
+    multi = tile_counts(pts, key, tile_rows).filter(F.col("__nt") > 1).select(key)
+    multi = cut_lineage(multi)
+    if multi.limit(1).count() == 0:
+        return local
+    done = local.join(multi, key, "left_anti")
+    rest = connected_components(nodes.join(multi, key, "left_semi"),
+                                star.join(multi, key, "left_semi"), keys)
+    return done.unionByName(rest)
+
+
 def label_components(comps: DataFrame, min_size, key: str = "originator_id") -> DataFrame:
     """``key, id, cluster_label``: components below ``min_size`` (int or column
     name holding a per-sender value) are -1, others 0.. by smallest member."""
@@ -162,11 +266,10 @@ def density_clusters(df: DataFrame, eps: float, min_cluster_size=config.PROFILE_
 
     ``min_cluster_size`` is an int or the name of a per-sender column of ``df``.
     """
-    cores = core_distances(df, min_samples, eps, key, id_col, vec_col, tile_rows)
-    forest = reachability_forest(df, cores, eps, key, id_col, vec_col, tile_rows)
-    forest = cut_lineage(forest)
-    nodes = df.select(key, F.col(id_col).alias("id"))
-    comps = connected_components(nodes, forest.filter(F.col("w") <= eps), key)
+    pts = cut_lineage(df.select(key, id_col, vec_col))
+    cores = cut_lineage(core_distances(pts, min_samples, eps, key, id_col, vec_col, tile_rows))
+    star = cut_lineage(local_components(pts, cores, [eps], key, id_col, vec_col, tile_rows).drop("level"))
+    comps = merge_local_components(pts, star, [key], key, id_col, tile_rows)
     if isinstance(min_cluster_size, str):
         comps = comps.join(df.select(key, min_cluster_size).distinct(), key)
     lab = label_components(comps, min_cluster_size, key)
@@ -190,20 +293,13 @@ def eom_clusters(df: DataFrame, levels, min_cluster_size=config.PROFILE_MIN_CLUS
     """
     levels = sorted(float(x) for x in levels)
     eps_max = levels[-1]
-    cores = core_distances(df, min_samples, eps_max, key, id_col, vec_col, tile_rows)
-    forest = cut_lineage(reachability_forest(df, cores, eps_max, key, id_col, vec_col, tile_rows))
-    nodes = df.select(key, F.col(id_col).alias("id"))
+    pts = cut_lineage(df.select(key, id_col, vec_col))
+    cores = cut_lineage(core_distances(pts, min_samples, eps_max, key, id_col, vec_col, tile_rows))
+    star = cut_lineage(local_components(pts, cores, levels, key, id_col, vec_col, tile_rows))
     ms = F.col(min_cluster_size) if isinstance(min_cluster_size, str) else F.lit(min_cluster_size)
     mcs = df.select(key, min_cluster_size).distinct() if isinstance(min_cluster_size, str) else None
-    per_level = []
-    for li, eps in enumerate(levels):
-        comps = connected_components(nodes, forest.filter(F.col("w") <= eps), key)
-        comps = comps.withColumn("level", F.lit(li))
-        per_level.append(comps)
-    allc = per_level[0]
-    for c in per_level[1:]:
-        allc = allc.unionByName(c)
-    allc = cut_lineage(allc)
+    allc = cut_lineage(merge_local_components(pts, star, [key, "level"], key, id_col, tile_rows,
+                                              levels=len(levels)))
     if mcs is not None:
         allc = allc.join(mcs, key)
     sizes = allc.groupBy(key, "level", "comp").agg(F.count(F.lit(1)).alias("size"),

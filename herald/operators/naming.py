@@ -93,7 +93,7 @@ def name_from_samples(samples: DataFrame, group_cols, text_col: str = "text_samp
     group_cols = list(group_cols)
     scope = list(scope_cols) if scope_cols is not None else group_cols[:1]
     terms = samples.select(*group_cols, F.explode(
-        F.regexp_extract_all(F.lower(F.trim(F.col(text_col))), F.lit(P_TERM), 0)).alias("term"))
+        F.regexp_extract_all(F.lower(F.col(text_col)), F.lit(P_TERM), 0)).alias("term"))
     tf = terms.groupBy(*group_cols, "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy(*scope, "term").agg(F.count(F.lit(1)).alias("df"))
     ngroups = samples.select(*group_cols).distinct().groupBy(*scope) \

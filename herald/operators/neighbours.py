@@ -21,6 +21,12 @@ from herald.functions.vectors import unit_normalize
 TILE_ROWS = 1024
 
 
+def tile_counts(df: DataFrame, key: str = "originator_id", tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Number of tiles per sender (one row per sender)."""
+    return df.groupBy(key).agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / tile_rows))
+                               .cast("int").alias("__nt"))
+
+
 def tile_pairs(df: DataFrame, key: str = "originator_id", id_col: str = "template_hash",
                vec_col: str = "embedding", tile_rows: int = TILE_ROWS, extra_cols=()):
     """Return ``(left, right)`` DataFrames keyed ``key, ti, tj`` for cogrouping.
@@ -28,9 +34,7 @@ def tile_pairs(df: DataFrame, key: str = "originator_id", id_col: str = "templat
     ``left`` holds the rows of tile ``ti`` and ``right`` those of tile ``tj``
     for every tile pair ``ti <= tj`` of the sender.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    ntiles = counts.select(key, F.greatest(F.lit(1), F.ceil(F.col("__n") / tile_rows))
-                           .cast("int").alias("__nt"))
+    ntiles = tile_counts(df, key, tile_rows)
     rows = (df.join(ntiles, key)
               .select(key, F.col(id_col).alias("id"), unit_normalize(vec_col).alias("vec"),
                       *extra_cols,

@@ -65,9 +65,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` into the shared checkpoint folder (reliable checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
+
+    Unlike ``DataFrame.checkpoint`` the re-read plan carries the real file
+    size as its statistics (a checkpoint keeps the estimate of the plan it
+    replaced, which compounds over iterative rounds), so later joins are
+    planned from measured sizes. The table lives on the shared file system,
+    so a lost executor does not lose it.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/herald-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set = set()
