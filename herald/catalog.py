@@ -410,3 +410,111 @@ QUERIES = {
     # streaming operators, batch form
     "windowed_event_counts": q_windowed_event_counts,
 }
+
+
+# ---------------------------------------------------------------- whole pipeline (rows-only checks)
+_RUNS: dict = {}
+
+
+def doc_messages_with_lang(spark, d) -> DataFrame:
+    return docs(spark, d).select(F.col("source").alias("originator_id"),
+                                 F.col("doc_id").cast("string").alias("message_id"),
+                                 F.col("text").alias("raw_text"),
+                                 (F.col("doc_id") + 1).cast("long").alias("seq"), "lang")
+
+
+def drift_tables(spark, d) -> dict:
+    """E1 on documents: the reference is every sender's non-de/es messages,
+    the new batch all messages (planted drift = the held-out languages).
+    Tables are written once per session to the checkpoint folder and reused."""
+    from herald.plans.drift import drift_run, planted_split
+    from herald.session import cut_lineage
+    key = (id(spark._jsparkSession), d)
+    if key not in _RUNS:
+        ref, new = planted_split(doc_messages_with_lang(spark, d))
+        out = drift_run(ref, new)
+        _RUNS[key] = {k: cut_lineage(v) for k, v in out.items()}
+    return _RUNS[key]
+
+
+def q_normalize_unicode(spark, d):
+    c = TX.collapse_repeats(TX.unicode_nfkc(TX.fold_confusables("text")))
+    return docs(spark, d).select("doc_id", c.alias("text_nfkc"))
+
+
+def q_text_predicates(spark, d):
+    t = TX.collapse_whitespace("text")
+    return docs(spark, d).select(
+        "doc_id", F.length("text").alias("n_chars"), TX.has_email(t).alias("has_email"),
+        TX.phone_changed(t).alias("phone_changed"), TX.url_count(t).alias("url_count"),
+        TX.has_otp_context(F.lower(t)).alias("has_otp_context"))
+
+
+def q_profile_campaigns(spark, d):
+    return drift_tables(spark, d)["campaigns"]
+
+
+def q_profile_examples(spark, d):
+    return drift_tables(spark, d)["examples"]
+
+
+def q_drift_assignments(spark, d):
+    return drift_tables(spark, d)["upserted"].drop("embedding")
+
+
+def q_drift_new_campaigns(spark, d):
+    return drift_tables(spark, d)["new_campaigns"]
+
+
+def q_drift_summary(spark, d):
+    return drift_tables(spark, d)["summary"]
+
+
+def q_eom_profile(spark, d):
+    """V6 on the reference templates' vectors, ladder cos 0.9 / 0.8 / 0.7."""
+    from herald.operators.density import eom_clusters
+    from herald.plans.drift import with_min_cluster_size
+    cl = drift_tables(spark, d)["clustered"].drop("cluster_label", "min_cluster_size")
+    cl = with_min_cluster_size(cl)
+    return eom_clusters(cl, [cos_to_dist(c) for c in (0.9, 0.8, 0.7)], "min_cluster_size", 2) \
+        .select("originator_id", "template_hash", "cluster_label")
+
+
+def q_projection_2d(spark, d):
+    from herald.operators.projection import cluster_centres_2d, fit_projection, project
+    t = drift_tables(spark, d)
+    model = fit_projection(t["clustered"])
+    pts = project(t["assigned"].filter(~AS.is_known()), model)
+    lab = pts.withColumn("cluster_label", F.coalesce("assigned_campaign_label", F.lit(-1)))
+    return cluster_centres_2d(lab).select("originator_id", "cluster_label",
+                                          _r(F.col("cx")).alias("cx"), _r(F.col("cy")).alias("cy"))
+
+
+def q_windowed_coverage(spark, d):
+    """R3 on the assigned new-batch templates; time = first message position in minutes."""
+    from herald.streaming.windows import windowed_coverage
+    a = drift_tables(spark, d)["assigned"].withColumn(
+        "ts", F.timestamp_seconds(F.lit(1704067200) + F.col("seq") * 60))
+    return windowed_coverage(a, "1 day", watermark=None)
+
+
+def q_registered_drift(spark, d):
+    """N7 against the campaigns discovered by the drift run (E3 on real profiles)."""
+    t = drift_tables(spark, d)
+    v = NM.names_view(named_registrations(spark, d), t["campaigns"])
+    return NM.drift_verdicts(v).drop("misfit_names")
+
+
+QUERIES.update({
+    "normalize_unicode": q_normalize_unicode,
+    "text_predicates": q_text_predicates,
+    "profile_campaigns": q_profile_campaigns,
+    "profile_examples": q_profile_examples,
+    "drift_assignments": q_drift_assignments,
+    "drift_new_campaigns": q_drift_new_campaigns,
+    "drift_summary": q_drift_summary,
+    "eom_profile": q_eom_profile,
+    "projection_2d": q_projection_2d,
+    "windowed_coverage": q_windowed_coverage,
+    "registered_drift": q_registered_drift,
+})

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from herald.functions.fixed_values import (CONFUSABLES, GENERIC_TERMS, OTP_CONTEXT_WORDS,
                                           SIGNOFF_WORDS, ZERO_WIDTH)
-from herald.functions.unicode import ascii_fold_hosts, has_nfkc_sensitive, nfkc
+from herald.functions.unicode import ascii_fold_host, has_nfkc_sensitive, nfkc
 
 # translate(): characters of FROM without a partner in TO are deleted, so the
 # zero-width marks go last.
@@ -164,8 +164,7 @@ def _rebuild_urls(text: Column, hosts: Column) -> Column:
 
 
 def _fold_if_needed(hosts: Column) -> Column:
-    needs_fold = F.exists(hosts, lambda h: h.rlike(P_NON_ASCII))
-    return F.coalesce(ascii_fold_hosts(F.when(needs_fold, hosts)), hosts)
+    return F.transform(hosts, lambda h: F.when(h.rlike(P_NON_ASCII), ascii_fold_host(h)).otherwise(h))
 
 
 def mask_urls(col) -> Column:
@@ -173,7 +172,8 @@ def mask_urls(col) -> Column:
 
     Spark has no replace-with-callback, so the text is split around the matches
     and re-assembled with the rewritten matches. Hosts with non-ASCII
-    characters are ASCII-folded by a small Arrow UDF. On DataFrames prefer
+    characters are ASCII-folded in the JVM (exact on NFKC text, which is what
+    the normaliser feeds it). On DataFrames prefer
     :func:`mask_urls_df`, which runs the match extraction only on rows with a URL.
     """
     c = _c(col)
@@ -237,6 +237,35 @@ def _codes_numbers(c: Column) -> Column:
     return collapse_whitespace(mask_numbers(c))
 
 
+# Exact guards for the DataFrame form: a mask can only fire when its required
+# character is present, and a plain search for it is cheaper than the mask's
+# regex. Each guarded step is its own projection, so the guard and the mask
+# read a column instead of re-evaluating the chain.
+P_ANY_DIGIT = r"\p{Nd}"
+_STEPS_BEFORE_URL = (
+    (None, lambda c: collapse_whitespace(collapse_repeats(unicode_nfkc(fold_confusables(c))))),
+    (lambda c: c.contains(","), mask_signoff_name),
+    (None, mask_greeting_name),
+    (lambda c: c.contains(":"), mask_name_before_sent),
+    (lambda c: c.contains("@"), mask_emails),
+    (lambda c: c.rlike(P_ANY_DIGIT), mask_phones),
+)
+_STEPS_AFTER_URL = (
+    (None, F.lower),
+    (lambda c: c.contains(":"), mask_times),
+    (lambda c: c.contains("gate"), mask_gates),
+    (lambda c: c.rlike(P_ANY_DIGIT), lambda c: mask_numbers(mask_codes(c))),
+    (None, collapse_whitespace),
+)
+
+
+def _apply_steps(df: DataFrame, col: str, steps) -> DataFrame:
+    for guard, step in steps:
+        c = F.col(col)
+        df = df.withColumn(col, step(c) if guard is None else F.when(guard(c), step(c)).otherwise(c))
+    return df
+
+
 # T16
 def normalize_text(col) -> Column:
     """The whole normaliser as one Column (use :func:`normalize_messages` on DataFrames)."""
@@ -247,11 +276,12 @@ def normalize_messages(df: DataFrame, text_col: str = "raw_text",
                        out_col: str = "normalized_text") -> DataFrame:
     """T18 without the hash: add ``out_col`` = normalised ``text_col``.
 
-    The text entering the URL step is projected once so the URL test, the
-    match extraction and the split read a computed column instead of
-    re-running the earlier masks.
+    Same result as :func:`normalize_text`, planned as one projection per step
+    (fused by whole-stage codegen) so guards and the URL step read computed
+    columns instead of re-running earlier masks.
     """
     pre, post = "__herald_pre_url", "__herald_post_url"
-    df = df.withColumn(pre, _names_contacts(_unicode_basic(F.col(text_col))))
+    df = _apply_steps(df.withColumn(pre, F.col(text_col)), pre, _STEPS_BEFORE_URL)
     df = mask_urls_df(df, pre, post)
-    return df.withColumn(out_col, _codes_numbers(F.col(post))).drop(pre, post)
+    df = _apply_steps(df, post, _STEPS_AFTER_URL)
+    return df.withColumn(out_col, F.col(post)).drop(pre, post)

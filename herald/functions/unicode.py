@@ -85,7 +85,31 @@ def fold_host(host: str) -> str:
     return unicodedata.normalize("NFKD", h).encode("ascii", "ignore").decode("ascii")
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def ascii_fold_hosts(hosts: pd.Series) -> pd.Series:
-    """ASCII-fold every host of every non-null array."""
-    return hosts.map(lambda arr: None if arr is None else [fold_host(h) for h in arr])
+@functools.lru_cache(maxsize=1)
+def nfkd_ascii_table() -> tuple[str, str]:
+    """``translate`` strings mapping each non-ASCII character whose NFKD form
+    keeps exactly one ASCII character to that character (e.g. accented Latin
+    letters and full-width forms). Derived by rule from the Unicode database.
+    """
+    src, dst = [], []
+    for cp in range(0x80, 0x110000):
+        if 0xD800 <= cp <= 0xDFFF:
+            continue
+        kept = unicodedata.normalize("NFKD", chr(cp)).encode("ascii", "ignore").decode("ascii")
+        if len(kept) == 1:
+            src.append(chr(cp))
+            dst.append(kept)
+    return "".join(src), "".join(dst)
+
+
+def ascii_fold_host(col):
+    """JVM form of :func:`fold_host` for text that already went through NFKC.
+
+    After NFKC every remaining character's NFKD keeps at most one ASCII
+    character (canonical decompositions have one starter), so a translate
+    table plus deleting what is left outside ASCII is exact there.
+    """
+    from herald.functions.text import _FOLD_FROM, _FOLD_TO
+    a, b = nfkd_ascii_table()
+    folded = F.translate(F.translate(col, _FOLD_FROM, _FOLD_TO), a, b)
+    return F.regexp_replace(folded, r"[^\x00-\x7F]", "")

@@ -147,10 +147,13 @@ def discover(assigned: DataFrame, cluster_fn, namer=None, key: str = "originator
 
     Returns ``(upserted, clusters, new_campaign_rows)``.
     """
+    from herald.session import cut_lineage
+
     unknown = unknown_for_discovery(assigned, min_coverage, min_unassigned, key)
-    labelled = cluster_fn(unknown)
+    labelled = cut_lineage(cluster_fn(unknown))
     clusters, members = propose_clusters(labelled, namer, key, "cluster_label", vec_col,
                                          min_members, n_samples, max_words)
+    clusters, members = cut_lineage(clusters), cut_lineage(members)
     upserted = upsert_proposals(assigned, clusters, members, key, "cluster_label", threshold)
     ts = "timestamp" if "timestamp" in assigned.columns else ("date" if "date" in assigned.columns else None)
     nc = new_campaigns(clusters, members, key, "cluster_label", ts, run_ts)

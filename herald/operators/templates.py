@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from herald.functions.hashing import template_hash
 from herald.functions.text import normalize_messages
+from herald.session import spread_small_input
 
 
 # T18
@@ -23,7 +24,7 @@ def normalize_and_hash(messages: DataFrame, text_col: str = "raw_text", seed: in
     """
     df = messages.filter(F.col(text_col).isNotNull()) if drop_null_text else \
         messages.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("nan")))
-    df = normalize_messages(df, text_col=text_col, out_col="normalized_text")
+    df = normalize_messages(spread_small_input(df), text_col=text_col, out_col="normalized_text")
     return df.withColumn("template_hash", template_hash("normalized_text", seed))
 
 

@@ -61,7 +61,7 @@ def reference_profile(ref_messages: DataFrame, p: DriftParams | None = None):
     clustered = cut_lineage(clustered)
     camps, examples = build_profile(clustered, n_nearest=p.n_nearest, weighted=p.weighted,
                                     max_words=p.max_words)
-    return clustered, camps, examples, model
+    return clustered, cut_lineage(camps), cut_lineage(examples), model
 
 
 def assign_new_batch(new_messages: DataFrame, camps: DataFrame, model, p: DriftParams | None = None):
@@ -91,7 +91,6 @@ def drift_run(ref_messages: DataFrame, new_messages: DataFrame, p: DriftParams |
     """All stages; returns a dict of the produced tables."""
     p = p or DriftParams()
     clustered, camps, examples, model = reference_profile(ref_messages, p)
-    camps = cut_lineage(camps)
     assigned = assign_new_batch(new_messages, camps, model, p)
     upserted, clusters, new_camps = discover_new(assigned, p)
     new_camps = cut_lineage(new_camps)

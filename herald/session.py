@@ -109,3 +109,16 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin an input that arrives in fewer partitions than task slots.
+
+    CPU-heavy per-row work (regex normalisation) on a scan of one large row
+    group would otherwise run in a single task. Large inputs already have
+    more splits than slots and pass through without a shuffle.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
