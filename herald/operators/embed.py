@@ -32,12 +32,20 @@ def tfidf_pipeline(text_col: str = "normalized_text", dim: int = DEFAULT_DIM) ->
 def embed_templates(templates: DataFrame, text_col: str = "normalized_text",
                     dim: int = DEFAULT_DIM, model=None):
     """Add ``embedding`` (unit length). Returns ``(df, fitted_model)``; pass
-    ``model`` to embed a new batch in the reference's vector space."""
+    ``model`` to embed a new batch in the reference's vector space.
+
+    The vectors are written once to the shared checkpoint folder: they are
+    the expensive, reused boundary of the pipeline, and every later stage
+    then plans over a small scan instead of the whole normaliser.
+    """
+    from herald.session import cut_lineage
+
+    templates = cut_lineage(templates)
     if model is None:
         model = tfidf_pipeline(text_col, dim).fit(templates)
     out = model.transform(templates)
-    return (out.withColumn("embedding", vector_to_array("__vec", "float32"))
-               .drop("__tok", "__tf", "__tfidf", "__vec"), model)
+    return cut_lineage(out.withColumn("embedding", vector_to_array("__vec", "float32"))
+                       .drop("__tok", "__tf", "__tfidf", "__vec")), model
 
 
 def embed_with_model(templates: DataFrame, make_predict_fn, dim: int,

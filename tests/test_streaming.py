@@ -11,8 +11,7 @@ from herald.operators.templates import build_templates
 from herald.sources.batches import MESSAGE_SCHEMA, load_messages
 from herald.streaming.assign_stream import assign_messages
 from herald.streaming.windows import windowed_template_counts
-from herald.operators.profile import build_profile
-from herald.operators.density import cos_to_dist, density_clusters
+from herald.operators.profile import campaign_table
 
 
 def _stream_dir(spark, df):
@@ -42,15 +41,15 @@ def test_streaming_assignment_equals_batch(spark):
     msgs = load_messages(spark, SF_SMALL)
     tpl = build_templates(msgs)
     vec, model = embed_templates(tpl, dim=128)
-    clustered = density_clusters(vec, cos_to_dist(0.5), 3, 1)
-    camps, _ = build_profile(clustered)
+    camps = campaign_table(vec.withColumn("cluster_label", F.abs(F.hash("template_hash")) % 3)) \
+        .withColumn("campaign_name", F.lit("c"))
     d, path = _stream_dir(spark, msgs)
     stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(path)
-    q = (assign_messages(stream, camps, model, 0.5).select("message_id", "assigned_campaign_row_index", "status")
+    q = (assign_messages(stream, camps, model, 0.2).select("message_id", "assigned_campaign_row_index", "status")
          .writeStream.format("memory").queryName("r2_assign").outputMode("append").start())
     q.processAllAvailable()
     q.stop()
     got = spark.sql("select * from r2_assign").toPandas().sort_values("message_id").reset_index(drop=True)
-    exp = assign_messages(msgs, camps, model, 0.5).select("message_id", "assigned_campaign_row_index", "status") \
+    exp = assign_messages(msgs, camps, model, 0.2).select("message_id", "assigned_campaign_row_index", "status") \
         .toPandas().sort_values("message_id").reset_index(drop=True)
     assert got.equals(exp)
