@@ -10,6 +10,8 @@ shuffle join whose hot senders AQE splits.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,30 +51,49 @@ def assign_to_campaigns(templates: DataFrame, campaigns: DataFrame,
     """
     packed = pack_campaigns(campaigns, key)
     packed = broadcast_if_small(packed, broadcast_rows)
-    v = "__v"
-    t = templates.withColumn(v, unit_normalize(vec_col)).join(packed, key, "left")
-    init = F.struct(F.lit(None).cast("double").alias("score"), F.lit(None).cast("int").alias("neg"),
-                    F.lit(None).cast("int").alias("row_index"),
-                    F.lit(None).cast("int").alias("cluster_label"),
-                    F.lit(None).cast("string").alias("campaign_name"))
-
-    def step(acc, c):
-        cand = F.struct(dot(F.col(v), c["centroid"]).alias("score"), (-c["row_index"]).alias("neg"),
-                        c["row_index"].alias("row_index"), c["cluster_label"].alias("cluster_label"),
-                        c["campaign_name"].alias("campaign_name"))
-        return F.when(acc["score"].isNull(), cand).otherwise(F.greatest(acc, cand))
-
-    best = F.aggregate(F.coalesce(F.col("__camps"), F.array().cast(packed.schema["__camps"].dataType)),
-                       init, step)
+    t = templates.join(packed, key, "left")
     b = "__best"
-    out = t.withColumn(b, best)
+    out = t.withColumn(b, nearest_campaign(F.col(vec_col).cast("array<double>"), F.col("__camps")))
     return (out.withColumn("assigned_campaign_row_index", F.col(f"{b}.row_index"))
                .withColumn("assigned_campaign_score", F.col(f"{b}.score"))
                .withColumn("assigned_campaign_label", F.col(f"{b}.cluster_label"))
                .withColumn("assigned_campaign_name", F.coalesce(F.col(f"{b}.campaign_name"), F.lit("")))
                .withColumn("status", F.when(F.col(f"{b}.score") >= F.lit(sim_threshold), "Known")
                            .otherwise("Unknown"))
-               .drop(b, "__camps", v))
+               .drop(b, "__camps"))
+
+
+from pyspark.sql import types as T  # noqa: E402
+
+_BEST = T.StructType([T.StructField("row_index", T.IntegerType()), T.StructField("score", T.DoubleType()),
+                      T.StructField("cluster_label", T.IntegerType()),
+                      T.StructField("campaign_name", T.StringType())])
+
+
+@F.pandas_udf(_BEST)
+def nearest_campaign(vec: pd.Series, camps: pd.Series) -> pd.DataFrame:
+    """Argmax of cosine over the sender's centroids (Arrow batches, numpy).
+
+    Dense dot products in Spark's higher-order functions run interpreted per
+    element; here each row is one small matrix-vector product. Ties on the
+    score go to the lowest ``row_index``.
+    """
+    ri, sc, lab, name = [], [], [], []
+    for v, cs in zip(vec, camps):
+        if v is None or cs is None or len(cs) == 0:
+            ri.append(None); sc.append(None); lab.append(None); name.append(None)
+            continue
+        x = np.asarray(v, dtype=np.float64)
+        x = x / max(np.sqrt(x @ x), 1e-12)
+        cm = np.stack([np.asarray(c["centroid"], dtype=np.float64) for c in cs])
+        s = cm @ x
+        rows = np.array([c["row_index"] for c in cs])
+        top = np.flatnonzero(s == s.max())
+        k = top[np.argmin(rows[top])]
+        ri.append(int(rows[k])); sc.append(float(s[k]))
+        lab.append(cs[k]["cluster_label"]); name.append(cs[k]["campaign_name"])
+    return pd.DataFrame({"row_index": pd.array(ri, dtype="Int32"), "score": pd.array(sc, dtype="Float64"),
+                         "cluster_label": pd.array(lab, dtype="Int32"), "campaign_name": pd.Series(name, dtype=object)})
 
 
 # F9

@@ -63,7 +63,10 @@ def build_profile(clustered: DataFrame, namer=None, n_nearest: int = config.N_NE
     """
     from herald.operators.naming import name_from_samples
 
-    camps = campaign_table(clustered, key, label_col, vec_col, weighted)
+    from herald.session import cut_lineage
+
+    # written once: the examples, the names and the caller all reuse it
+    camps = cut_lineage(campaign_table(clustered, key, label_col, vec_col, weighted))
     members = member_similarity(clustered, camps, key, label_col, vec_col)
     text = "normalized_text" if "normalized_text" in members.columns else None
     ex = nearest_examples(members, n_nearest, key, label_col)
