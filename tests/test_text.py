@@ -24,7 +24,8 @@ GOLDEN = [
      "thanks, {name}. call {phone} at {TIME} {GATE}"),
     ("Mail john.doe@example.com now", "mail {email} now"),
     ("Visit https://WWW.Exämple.co.uk/path?x=1 now", "visit {url:co.uk} now"),
-    ("see example.com?x=1", "see {url:example.com?x=1}"),
+    ("see http://example.com?x=1", "see {url:example.com?x=1}"),   # query kept in the host
+    ("see example.com?x=1", "see {url:example.com}?x={NUM}"),
     ("ｃｏｄｅ １２３４", "code {OTP}"),                 # NFKC full-width
     ("pаypal", "paypal"),                               # Cyrillic a folded
     ("zero​width", "zerowidth"),                   # zero-width space deleted
