@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from herald import config
-from herald.operators.neighbours import TILE_ROWS, frame, knn_distances, tile_counts, tile_pairs
+from herald.operators.neighbours import (TILE_ROWS, frame, knn_distances, tile_counts, tile_pairs,
+                                         unit_rows)
 from herald.session import cut_lineage
 
 
@@ -107,7 +108,7 @@ def _components(ids: np.ndarray, ea, eb, ew, eps: float):
 
 def _tile_forest(both: pd.DataFrame, eps_max: float):
     ids = both["id"].to_numpy()
-    v = np.stack(both["vec"].to_numpy()).astype(np.float64)
+    v = unit_rows(both["vec"].to_numpy())
     core = both["core"].to_numpy(dtype=np.float64, na_value=np.inf)
     d = np.sqrt(np.clip(2.0 - 2.0 * (v @ v.T), 0.0, None))
     w = np.maximum(d, np.maximum(core[:, None], core[None, :]))

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herald.functions.vectors import unit_normalize
 
 TILE_ROWS = 1024
 
@@ -36,7 +35,7 @@ def tile_pairs(df: DataFrame, key: str = "originator_id", id_col: str = "templat
     """
     ntiles = tile_counts(df, key, tile_rows)
     rows = (df.join(ntiles, key)
-              .select(key, F.col(id_col).alias("id"), unit_normalize(vec_col).alias("vec"),
+              .select(key, F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec"),
                       *extra_cols,
                       F.pmod(F.xxhash64(F.col(id_col)), F.col("__nt")).cast("int").alias("tile"),
                       "__nt"))
@@ -60,10 +59,20 @@ def frame(key: str, key_val, **cols) -> pd.DataFrame:
     return pd.DataFrame(out)
 
 
+def unit_rows(vecs) -> np.ndarray:
+    """Stack vectors and scale each to unit length (norm floored at 1e-12).
+
+    Done here, in the task's numpy block, rather than with Spark's per-element
+    higher-order functions, which run interpreted.
+    """
+    x = np.stack(vecs).astype(np.float64)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
+
+
 def _blocks(lp: pd.DataFrame, rp: pd.DataFrame):
     same = int(lp["ti"].iloc[0]) == int(lp["tj"].iloc[0])
-    lv = np.stack(lp["vec"].to_numpy()).astype(np.float64)
-    rv = np.stack(rp["vec"].to_numpy()).astype(np.float64)
+    lv = unit_rows(lp["vec"].to_numpy())
+    rv = unit_rows(rp["vec"].to_numpy())
     return same, lv, rv, lv @ rv.T
 
 
