@@ -268,7 +268,8 @@ def density_clusters(df: DataFrame, eps: float, min_cluster_size=config.PROFILE_
     ``min_cluster_size`` is an int or the name of a per-sender column of ``df``.
     """
     pts = cut_lineage(df.select(key, id_col, vec_col))
-    cores = cut_lineage(core_distances(pts, min_samples, eps, key, id_col, vec_col, tile_rows))
+    cores = core_distances(pts, min_samples, eps, key, id_col, vec_col, tile_rows)
+    cores = cut_lineage(cores) if min_samples > 1 else cores      # all zero otherwise: nothing to keep
     star = cut_lineage(local_components(pts, cores, [eps], key, id_col, vec_col, tile_rows).drop("level"))
     comps = merge_local_components(pts, star, [key], key, id_col, tile_rows)
     if isinstance(min_cluster_size, str):
