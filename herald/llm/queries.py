@@ -9,16 +9,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from herald.llm.common import documents
 
 
+def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.source_mixing import mix
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken",
+                                                "copies")
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.line_dedup import kept_digest
+    return kept_digest(documents(spark, sf_dir))
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.packing import pack_documents
+    return pack_documents(documents(spark, sf_dir), tokenizer="word_bpe_49k.json", end_id=2,
+                          capacity=4096)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.token_counts import token_counts
     return token_counts(documents(spark, sf_dir), tokenizer="byte_bpe_50k.json", limit=1024)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_source_mixing": op2_source_mixing,
+    "op4_line_dedup": op4_line_dedup,
+    "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
 }
