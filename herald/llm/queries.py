@@ -13,6 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from herald.llm.common import documents
 
 
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.simhash_near_dedup import hex_digits, near_duplicates
+    found = near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
+    return found.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+
+
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.source_mixing import mix
     return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken",
@@ -36,6 +42,7 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
