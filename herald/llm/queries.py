@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from herald.llm.common import documents
+from herald.llm.common import documents, read_table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,10 +41,19 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir), tokenizer="byte_bpe_50k.json", limit=1024)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.toxicity import fit, held_out, score_documents
+    docs, labels = documents(spark, sf_dir), read_table(spark, sf_dir, "labels")
+    model = fit(docs, labels.select("doc_id", "toxic"), ~held_out())
+    scored = score_documents(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
+    "op7_toxicity": op7_toxicity,
 }
