@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from herald.llm.common import documents, read_table
 
@@ -49,6 +50,14 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.quality_rules import BASE, apply_policy, ledger, mask
+    rows = apply_policy(ledger(documents(spark, sf_dir)))
+    failed = F.col("fail_bits").bitwiseAND(F.lit(mask(BASE))) != 0
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       failed.alias("base_failed"), "kept", "fail_bits")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -56,4 +65,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
+    "op8_quality_rules": op8_quality_rules,
 }
