@@ -58,6 +58,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        failed.alias("base_failed"), "kept", "fail_bits")
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.fingerprints import edited_fingerprints, hex_digits
+    found = edited_fingerprints(documents(spark, sf_dir))
+    return found.select("doc_id", "n_chars", "edited_sha256", hex_digits("fp").alias("fingerprint"),
+                        hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
+                        "n_near")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -66,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op10_fingerprints": op10_fingerprints,
 }
