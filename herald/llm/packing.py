@@ -13,6 +13,7 @@ overfull and every token lies in exactly one piece.
 
 from __future__ import annotations
 
+import functools
 import heapq
 import os
 import re
@@ -31,7 +32,7 @@ from herald.llm.token_counts import tokenizer_file
 CAPACITY = 4096
 ITEM_TOKENS = 1024
 BATCH_WINDOWS = 512
-MEMO_WORDS = 300_000
+MEMO_WORDS = 400_000
 ENCODE_BYTES = 1 << 20
 
 PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, salt long"
@@ -40,62 +41,75 @@ PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, salt l
 class WordEncoder:
     """Ids of a text as packed little-endian uint32, one memoised word at a time.
 
-    For a tokenizer whose pre-tokens never cross white space, a text's ids are
-    the ids of its white-space separated words in order. Words are looked up in
-    a bounded memo. Missing words that consist of letters below U+0180 and a tail of
-    ASCII punctuation are encoded together (one pre-token each); all others
-    go to the tokenizer one by one.
+    For a tokenizer that lower-cases and whose pre-tokens never cross white space, a
+    text's ids are the ids of its white-space separated words in order. Texts are
+    first brought closer together where that can't change an id: A-Z are
+    lower-cased (unless the text holds ``<|``, which may open a special token, or
+    combining marks) and a full stop or comma between a letter and white space
+    is set apart. Words are then looked up in a bounded memo. Missing words made of
+    letters below U+0180 are one pre-token each and are encoded many to a call, as is
+    a tail of ASCII punctuation; anything else goes to the tokenizer by itself.
     """
 
+    _STOP = re.compile(rb"[,.](?<=[A-Za-z][,.])(?=[\x20\x09-\x0D])")
     _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ]+)"
                          r"([!\"#$%&()*+,\-./:;=?@\[\]^_{}~]*)")
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(tokenizer_file(tokenizer))
-        self.tok.no_truncation()
-        self.tok.no_padding()
+        from tokenizers import Tokenizer, normalizers
+        path = tokenizer_file(tokenizer)
+        self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        # lower-case letters below U+0180 and ASCII punctuation are normal already
+        self.plain.normalizer = normalizers.Sequence([])
+        for tok in (self.tok, self.plain):
+            tok.no_truncation()
+            tok.no_padding()
         self.memo: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _runs(self, runs: list[str]) -> dict[str, bytes]:
-        """Ids of runs that are one pre-token each, many runs to a call."""
-        out: dict[str, bytes] = {}
-        groups = [runs[i:i + 64] for i in range(0, len(runs), 64)]
-        for group, e in zip(groups, self.tok.encode_batch([" ".join(g) for g in groups],
-                                                          add_special_tokens=False), strict=True):
-            ids, owner = np.array(e.ids, dtype="<u4"), np.array(e.word_ids, dtype=np.int64)
-            ends = np.flatnonzero(np.diff(owner, append=-1)) + 1
-            if len(ends) != len(group):
-                out.update(zip(group, self._encode(group), strict=True))
-                continue
-            start = 0
-            for run, end in zip(group, ends.tolist(), strict=True):
-                out[run] = ids[start:end].tobytes()
-                start = end
-        return out
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Memoise runs that are one pre-token each, many runs to a call."""
+        groups = [runs[i:i + 128] for i in range(0, len(runs), 128)]
+        for group, e in zip(groups, self.plain.encode_batch([" ".join(g) for g in groups],
+                                                            add_special_tokens=False), strict=True):
+            packed, owner = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
+            ends = ((np.flatnonzero(np.diff(owner, append=-1)) + 1) * 4).tolist()
+            if len(ends) == len(group):
+                ids = [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+            else:
+                ids = self._encode(group)
+            self.memo.update(zip([r.encode() for r in group], ids, strict=True))
 
     def learn(self, words: set[bytes]) -> None:
-        simple, other = {}, []
+        runs, made, other = set(), [], []
         for w in words:
-            m = self._SIMPLE.fullmatch(s := w.decode())
-            if m:
-                simple[w] = (m[1].lower(), m[2])
-            else:
-                other.append((w, s))
-        ids = self._runs(list({x for pair in simple.values() for x in pair if x}))
-        ids[""] = b""
-        for w, (core, tail) in simple.items():
-            self.memo[w] = ids[core] + ids[tail]
-        for (w, _), v in zip(other, self._encode([s for _, s in other]), strict=True):
-            self.memo[w] = v
+            m = self._SIMPLE.fullmatch(w.decode())
+            if m is None:
+                other.append(w)
+                continue
+            core, tail = m[1].lower(), m[2]
+            runs.add(core)
+            if tail:
+                runs.add(tail)
+            if tail or core != m[1]:
+                made.append((w, core.encode(), tail.encode()))
+        memo = self.memo
+        self._learn_runs([r for r in runs if r.encode() not in memo])
+        for w, core, tail in made:
+            memo[w] = memo[core] + memo[tail] if tail else memo[core]
+        memo.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
+
+    def words(self, text: bytes) -> list[bytes]:
+        if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
+            text = text.lower()
+        return self._STOP.sub(rb" \g<0>", text).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
+        split = [self.words(t) for t in texts]
         if len(self.memo) > MEMO_WORDS:
             self.memo.clear()
         self.learn(set().union(*split).difference(self.memo))
@@ -103,6 +117,12 @@ class WordEncoder:
         return [b"".join(map(get, words)) for words in split]
 
 
+@functools.lru_cache(maxsize=2)
+def word_encoder(tokenizer: str) -> WordEncoder:
+    """One encoder a worker process, so that its memo serves all tasks the process runs."""
+    return WordEncoder(tokenizer)
+
+
 def cut(n: int, capacity: int, item: int) -> list[tuple[int, int]]:
     """(start, length) of a document's pieces: whole windows, then items of nearly equal size."""
     whole = n // capacity
@@ -174,7 +194,7 @@ def tokenised_pieces(df: DataFrame, id_col: str, text_col: str, tokenizer: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         seen = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts, rows, i = utf8(batch.column(1)), [], 0
