@@ -26,6 +26,13 @@ def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "copies")
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files ``source/lang/doc_id`` of one tree."""
+    from herald.llm.license_scan import license_scan
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return license_scan(documents(spark, sf_dir), "doc_id", path)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.line_dedup import kept_digest
     return kept_digest(documents(spark, sf_dir))
@@ -58,6 +65,16 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        failed.alias("base_failed"), "kept", "fail_bits")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels are learned from rows whose crc32(doc_id) mod 3 is not 1; the rest is held out."""
+    from herald.llm.quality_classifier import classify
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(True))
+    scored = classify(documents(spark, sf_dir), read_table(spark, sf_dir, "pages"),
+                      read_table(spark, sf_dir, "labels").select("doc_id", "quality"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "text_score", "meta_score", "score",
+                         "predicted", (F.col("predicted") == 1).alias("kept"))
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.fingerprints import edited_fingerprints, hex_digits
     found = edited_fingerprints(documents(spark, sf_dir))
@@ -69,10 +86,12 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
+    "op3_license_scan": op3_license_scan,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_fingerprints": op10_fingerprints,
 }
