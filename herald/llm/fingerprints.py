@@ -168,7 +168,8 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     numbered = placed.withColumn("rn", F.row_number().over(down)) \
         .withColumn("next_text", F.lead("text").over(down))
     n, third = F.length("text"), F.floor(F.length("text") / 3).cast("int")
-    with_next = numbered.join(F.broadcast(heads), "bucket", "left") \
+    # a text's length has no bound, so the first texts are joined in place, not broadcast
+    with_next = numbered.join(heads.hint("merge"), "bucket", "left") \
         .withColumn("next_text", F.coalesce("next_text", "head_text"))
     edited = with_next.select(
         "bucket", "rn", F.col(id_col).alias("id"), n.cast("long").alias("n_chars"), "text",

@@ -90,7 +90,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source:
 
     totals = sizes.groupBy(source).agg(
         F.sum("size").alias("source_size"),
-        (F.sum(F.col("propensity") * F.col("size")) / F.sum("size")).alias("mean_propensity"))
+        F.try_divide(F.sum(F.col("propensity") * F.col("size")), F.sum("size")).alias("mean_propensity"))
     targets = scratch.write(source_targets(totals, source, weights, max_copies)
         .withColumn("ratio", F.when(F.col("source_size") > 0,
                                     F.col("target") / F.col("source_size")).otherwise(0.0))

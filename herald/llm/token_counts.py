@@ -3,7 +3,7 @@
 Texts are regrouped into calls of about ``BATCH_BYTES`` bytes, whatever their
 number, so that one call's memory does not depend on how long the texts are.
 A text above ``SPLIT_CHARS`` characters is encoded in parts, cut only where the
-pre-tokenizer cuts anyway: before a single space between two ASCII letters. The
+pre-tokenizer cuts anyway: before a single space between two ASCII letters or digits. The
 count of the parts then equals the count of the whole (for the byte-level
 pattern the space opens the next word's pre-token). Where no such place exists
 the part simply grows.
@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 BATCH_BYTES = 1 << 20
 SPLIT_CHARS = 1 << 16
-_SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+_SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
 
 def tokenizer_file(name: str) -> str:
@@ -32,7 +32,7 @@ def tokenizer_file(name: str) -> str:
 
 
 def split_safely(text: str, limit: int = SPLIT_CHARS) -> list[str]:
-    """Cut before a space between two letters, at the first such place past ``limit``."""
+    """Cut before a space between two letters or digits, at the first such place past ``limit``."""
     if len(text) <= limit:
         return [text]
     parts, start = [], 0
@@ -69,7 +69,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null texts count as empty (0 bytes, 0 tokens); a null id stays null; repeated
     rows each give a row; an empty table gives an empty one; other columns of
     ``df`` are not read. ``splittable`` must be False for a tokenizer whose
-    pre-tokens may cross a space between letters (sentencepiece is never split).
+    pre-tokens may cross a space between letters or digits (sentencepiece is never split).
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
