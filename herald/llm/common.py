@@ -68,6 +68,14 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def few(self, df: DataFrame) -> DataFrame:
+        """Write a slim table (ids, keys, counts) with at most two files a core.
+
+        A shuffle may have many more partitions than such a table needs files;
+        they are read one after another by the writing tasks, none is merged in memory.
+        """
+        return self.write(df.coalesce(2 * self.spark.sparkContext.defaultParallelism))
+
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

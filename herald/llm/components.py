@@ -23,17 +23,18 @@ def component_labels(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """
     spark = links.sparkSession
     scratch = Scratch(spark, "components")
-    ends = links.select(F.col(a).alias("item"), F.col(b).alias("other")) \
-        .filter("item is not null and other is not null")
-    edges = scratch.write(ends.union(ends.select("other", "item")).distinct())
-    labels = scratch.write(edges.groupBy("item").agg(F.min("other").alias("low"))
+    both = F.array(F.struct(F.col(a).alias("item"), F.col(b).alias("other")),
+                   F.struct(F.col(b).alias("item"), F.col(a).alias("other")))
+    edges = scratch.few(links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
+                        .select(F.explode(both).alias("e")).select("e.*").distinct())
+    labels = scratch.few(edges.groupBy("item").agg(F.min("other").alias("low"))
                            .select("item", F.least("item", "low").alias("label")))
     while True:
         near = edges.join(labels.withColumnRenamed("item", "other"), "other") \
             .groupBy("item").agg(F.min("label").alias("near"))
         low = labels.join(near, "item").select("item", "label", F.least("label", "near").alias("low"))
         roots = labels.select(F.col("item").alias("low"), F.col("label").alias("root"))
-        step = scratch.write(low.join(roots, "low", "left").select(
+        step = scratch.few(low.join(roots, "low", "left").select(
             "item", F.col("label").alias("was"), F.least("low", "root").alias("label")))
         changed = step.filter("label < was").limit(1).count()
         scratch.drop(labels)

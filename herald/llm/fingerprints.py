@@ -158,7 +158,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # the first text of every bucket, and the bucket it follows
     top = placed.groupBy("bucket").agg(F.max(id_col).alias("top"))
-    ring = scratch.write(top.withColumn(
+    ring = scratch.few(top.withColumn(
         "after", F.coalesce(F.lag("bucket").over(Window.orderBy("bucket")),
                             F.max("bucket").over(Window.partitionBy()))))
     heads = placed.join(F.broadcast(ring), (placed["bucket"] == ring["bucket"])
@@ -192,11 +192,11 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     linked = done.join(F.broadcast(firsts), "bucket", "left") \
         .withColumn("next_fp", F.coalesce("next_fp", "head_fp"))
 
-    classes = scratch.write(done.groupBy("fp").agg(F.count("*").alias("rows")))
+    classes = scratch.few(done.groupBy("fp").agg(F.count("*").alias("rows")))
     asked = F.col("id") % search_every == 0
     pairs = near_pairs(done.filter(asked).select(F.col("fp").alias("q")).distinct(),
                        classes.select("fp"), radius)
-    near = scratch.write(pairs.join(classes, "fp").groupBy("q").agg((F.sum("rows") - 1).alias("n_near")))
+    near = scratch.few(pairs.join(classes, "fp").groupBy("q").agg((F.sum("rows") - 1).alias("n_near")))
     return linked.join(near, linked["fp"] == near["q"], "left").select(
         F.col("id").alias(id_col), "n_chars", "edited_sha256", "fp", "edited_fp",
         likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),

@@ -159,7 +159,7 @@ def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "t
         .withColumn("key", F.xxhash64("text"))
     weights, unseen = term_weights(spark, rows, "text")
     weights = scratch.write(weights.coalesce(1))
-    matches = scratch.write(line_matches(
+    matches = scratch.few(line_matches(
         rows.select("key", "text"), weights, unseen, threshold))
     own = matches.groupBy("key").agg(
         F.min(F.struct((-F.col("score")).alias("low"), "line", "template")).alias("m"),
@@ -172,7 +172,7 @@ def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "t
         "licence_file", F.coalesce(F.col("license_words") >= file_share * F.col("n_words"), F.lit(False))))
     speaking = found.filter("licence_file").groupBy(F.col("dir").alias("from_dir")).agg(
         F.min(F.struct((-F.col("score")).alias("low"), "own"))["own"].alias("license"))
-    by_dir = scratch.write(inherited(found.select("dir").distinct(), speaking))
+    by_dir = scratch.few(inherited(found.select("dir").distinct(), speaking))
     how = F.when(F.col("own").isNotNull(), "header").when(F.col("dir_license").isNotNull(), "inherited") \
         .otherwise("none")
     return found.join(by_dir, "dir", "left").select(

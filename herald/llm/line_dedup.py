@@ -74,7 +74,7 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
     lines = scratch.write(line_table(docs, id_col, text_col, min_chars))
     candidates = lines.join(repeated_lines(lines, id_col, min_documents), "key") \
         .select("key", id_col, "keeper").distinct()
-    candidates = scratch.write(candidates)
+    candidates = scratch.few(candidates)
     over = candidates.groupBy("key").agg(F.count(id_col).alias("n")) \
         .filter(F.col("n") >= min_documents).select("key")
     losing = candidates.filter(F.col(id_col) < F.col("keeper")).join(over, "key", "left_semi")

@@ -226,7 +226,7 @@ def train(features: DataFrame, labels: DataFrame, learn, label_col: str = "quali
         .filter(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
     scratch = Scratch(features.sparkSession, "cotraining")
-    known = scratch.write(known)
+    known = scratch.few(known)
     rows = features.join(F.broadcast(known), "doc_id") \
         .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(CALIBRATION_SHARE))) \
         .toPandas().sort_values("doc_id")

@@ -27,7 +27,7 @@ from herald.llm.components import component_labels
 
 SHINGLE_WORDS = 3
 RADIUS = 3
-TILE_ROWS = 32768
+TILE_ROWS = 16384
 BLOCK = 1 << 20
 HASHES_AT_ONCE = 1 << 16
 #: From so many classes on, tiles go by the counts of both halves of the word.
@@ -167,9 +167,9 @@ def near_links(classes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_R
                            (whole - high if two_parts else F.lit(0)).cast("int").alias("q"))
     # at most 33 * 33 rows, whatever the input
     sizes = keyed.groupBy("p", "q").agg(F.ceil(F.count("*") / tile_rows).alias("chunks"))
-    tiled = scratch.write(keyed.join(F.broadcast(sizes), ["p", "q"]).select(
+    tiled = scratch.few(keyed.join(F.broadcast(sizes), ["p", "q"]).select(
         "fp", "p", "q", F.concat_ws("/", "p", "q", F.pmod(F.xxhash64("fp"), "chunks")).alias("tile")))
-    pairs = scratch.write(tile_pairs(tiled.select("tile", "p", "q").distinct(), radius, two_parts))
+    pairs = scratch.few(tile_pairs(tiled.select("tile", "p", "q").distinct(), radius, two_parts))
     first = tiled.join(pairs, F.col("tile") == F.col("a")) \
         .select("pair", "fp", (F.col("a") == F.col("b")).alias("alone"), F.lit(0).alias("side"))
     second = tiled.join(pairs.filter("a <> b"), F.col("tile") == F.col("b")) \
@@ -183,7 +183,9 @@ def near_links(classes: DataFrame, radius: int = RADIUS, tile_rows: int = TILE_R
         both = left if alone else np.concatenate([left, right])
         return pa.table({"a": both[rows], "b": both[roots]})
 
-    return first.union(second).groupBy("pair").applyInArrow(run, "a long, b long")
+    # a pair's work is far larger than its bytes: as many tasks as pairs, not as bytes suggest
+    return first.union(second).repartition(max(1, pairs.count()), "pair") \
+        .groupBy("pair").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -199,13 +201,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.write(fingerprints(docs, id_col, text_col, shingle))
-    classes = scratch.write(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
-    links = scratch.write(near_links(classes, radius, tile_rows, two_parts))
+    classes = scratch.few(rows.groupBy("fp").agg(F.min(id_col).alias("least")))
+    links = near_links(classes, radius, tile_rows, two_parts)
     labels = component_labels(links).withColumnRenamed("item", "fp")
     linked = classes.join(labels, "fp")
     lowest = linked.groupBy("label").agg(F.min("least").alias("low"))
-    found = scratch.write(classes.join(linked.join(lowest, "label").select("fp", "low"), "fp", "left")
-                          .select("fp", F.coalesce("low", "least").alias("component_id")))
+    found = scratch.few(classes.join(linked.join(lowest, "label").select("fp", "low"), "fp", "left")
+                        .select("fp", F.coalesce("low", "least").alias("component_id")))
     return rows.join(found, "fp").select(id_col, "fp", "component_id")
 
 

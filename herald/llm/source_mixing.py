@@ -91,7 +91,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source:
     totals = sizes.groupBy(source).agg(
         F.sum("size").alias("source_size"),
         F.try_divide(F.sum(F.col("propensity") * F.col("size")), F.sum("size")).alias("mean_propensity"))
-    targets = scratch.write(source_targets(totals, source, weights, max_copies)
+    targets = scratch.few(source_targets(totals, source, weights, max_copies)
         .withColumn("ratio", F.when(F.col("source_size") > 0,
                                     F.col("target") / F.col("source_size")).otherwise(0.0))
         .withColumn("certain", F.floor("ratio"))
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source:
     opened = drawn.groupBy(source, "bucket").agg(F.sum("size").alias("words"),
                                                  F.first("quota").alias("quota")) \
         .withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    crossing = scratch.write(opened.filter(F.col("before") <= F.col("quota")).groupBy(source).agg(
+    crossing = scratch.few(opened.filter(F.col("before") <= F.col("quota")).groupBy(source).agg(
         F.max("bucket").alias("cut_bucket"), F.max("before").alias("before")))
 
     inside = with_source(drawn, crossing).filter(F.col("bucket") == F.col("cut_bucket"))
@@ -124,7 +124,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source:
     reached = inside.withColumn("reached", F.col("before") + F.sum("size").over(running)) \
         .filter(F.col("reached") <= F.col("quota")) \
         .groupBy(source).agg(F.max("place").alias("cut"), F.max("reached").alias("reached"))
-    cuts = scratch.write(with_source(crossing, reached).select(
+    cuts = scratch.few(with_source(crossing, reached).select(
         source, "cut_bucket", "cut", F.coalesce("reached", "before").alias("reached")))
 
     def below(c: DataFrame) -> Column:
@@ -136,7 +136,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source:
     closing = with_source(drawn, cuts).filter(~below(drawn)) \
         .filter(gap < F.col("quota") - F.col("reached")) \
         .groupBy(source).agg(F.min(F.struct(gap.alias("gap"), "place")).alias("closing"))
-    ends = scratch.write(with_source(cuts, closing).select(
+    ends = scratch.few(with_source(cuts, closing).select(
         source, "cut_bucket", "cut", F.col("closing.place").alias("closing")))
 
     full = with_source(with_source(sizes, targets), ends)

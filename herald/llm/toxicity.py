@@ -241,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     """
     from herald.llm.common import Scratch
     train = training_ids(labels, id_col, label_col, learn)
-    texts = Scratch(docs.sparkSession, "toxicity").write(
+    texts = Scratch(docs.sparkSession, "toxicity").few(
         training_texts(docs, train, id_col, text_col))
     sizes = {r["label"]: r["count"] for r in texts.groupBy("label").count().collect()}
     n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
