@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from herald.llm.common import Scratch, utf8
 
-MAX_LABELLED = 20000
+MAX_LABELLED = 12000
 PSEUDO = 1000
 ROUNDS = 3
 CONFIDENT = 0.95
@@ -229,11 +229,11 @@ def train(features: DataFrame, labels: DataFrame, learn, label_col: str = "quali
     known = scratch.few(known)
     rows = features.join(F.broadcast(known), "doc_id") \
         .withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit("fold")), F.lit(CALIBRATION_SHARE))) \
-        .toPandas().sort_values("doc_id")
-    y = rows["label"].to_numpy(dtype=float)
+        .toArrow().sort_by("doc_id").combine_chunks()
+    y = rows["label"].to_numpy().astype(float)
     if len(set(y)) < 2:
         return CoTrained(prior=float(y.mean()) if len(y) else 0.5)
-    text, meta = np.stack(rows["text_view"]).astype(float), np.stack(rows["meta_view"]).astype(float)
+    text, meta = (matrix(rows[c].combine_chunks()) for c in ("text_view", "meta_view"))
     back = rows["fold"].to_numpy() == 0
     if len(set(y[back])) < 2 or len(set(y[~back])) < 2:
         back = np.zeros(len(y), dtype=bool)
