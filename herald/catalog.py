@@ -8,7 +8,9 @@ out of vector arithmetic are rounded to 6 places so that two engines agree.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from herald.functions import labels as LB
@@ -22,27 +24,32 @@ from herald.operators import profile as PR
 from herald.operators import report as RP
 from herald.operators import thinning as TH
 from herald.operators.centroids import centroids
-from herald.operators.density import cos_to_dist, density_clusters
+from herald.operators.density import cos_to_dist, density_clusters, eom_clusters
 from herald.operators.neighbours import similar_pairs
-from herald.session import ship_package
+from herald.session import cut_lineage, ensure_checkpoint_dir, ship_package
 from herald.sources import batches as SB
 from herald.sources import envelopes as EV
+from herald.sources import sinks as SK
 
 # Parameters of the registered queries (part of each query's definition).
 EXTRACT_ORIGINATOR = "src3"
 EXTRACT_DILUTE = 3
+EXTRACT_BOUND = 500
 THIN_EVERY = 3
 ADAPTIVE_TARGET = 20
 REGISTERED_LANG = "de"
-EMB_ORIGINATOR = "all"
 EMB_SIM_THRESHOLD = 0.2
 EMB_PAIR_MIN_COS = 0.3
 EMB_DENSITY_MIN_COS = 0.3
 EMB_DENSITY_MIN_SAMPLES = 2
 EMB_DENSITY_MIN_SIZE = 3
+EMB_LADDER_COS = (0.5, 0.35, 0.28)
 EMB_NOISE_DISTANCE = 0.85
 RUN_TS = "2024-01-01 00:00:00"
 WINDOW = "1 day"
+WATERMARK = "1 hour"
+#: Tasks that small inputs are dealt to before the normaliser; unset, inputs stay as they are split.
+SPREAD_CONF = "spark.herald.input.tasks"
 
 
 def _r(c, n: int = 6):
@@ -54,6 +61,16 @@ def docs(spark: SparkSession, d: str) -> DataFrame:
     return SB.read_table(spark, d, "documents")
 
 
+def spread(spark: SparkSession) -> int | None:
+    n = spark.conf.get(SPREAD_CONF, None)
+    return int(n) if n else None
+
+
+def scratch_path(spark: SparkSession) -> str:
+    """A new folder name on the cluster's shared file system, for queries that write and read back."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/herald-query-{uuid.uuid4().hex}"
+
+
 def messages(spark: SparkSession, d: str) -> DataFrame:
     return SB.messages_from_documents(docs(spark, d))
 
@@ -73,6 +90,55 @@ def q_extract_originator(spark, d):
     return EV.extract_originator(env, EXTRACT_ORIGINATOR, dilute_factor=EXTRACT_DILUTE)
 
 
+def q_bounded_scan(spark, d):
+    """S2 with a bound that the input reaches; without one nothing is left out."""
+    return EV.bounded_scan(messages(spark, d), EXTRACT_BOUND)
+
+
+def q_envelopes_csv(spark, d):
+    """A dump written as CSV files and scanned again."""
+    path = scratch_path(spark)
+    EV.envelopes_from_documents(docs(spark, d)).select(F.col("value").alias("Value")) \
+        .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return EV.parse_envelopes(EV.read_envelope_csv(spark, path)) \
+        .select("originator_id", "message_id", "raw_text")
+
+
+def q_messages_csv(spark, d):
+    """S3: a message batch written as CSV and read back."""
+    path = scratch_path(spark)
+    messages(spark, d).drop("seq").write.option("header", True).option("escape", '"') \
+        .option("quoteAll", True).csv(path)
+    return SB.read_message_csv(spark, path).select("originator_id", "message_id", "raw_text")
+
+
+def q_registrations_csv(spark, d):
+    """A sheet with further and reordered columns, bound by header."""
+    path = scratch_path(spark)
+    sheet = registrations(spark, d).orderBy("seq").select(
+        F.col("seq").cast("string").alias("row_id"), "customer_experience", "campaign_name",
+        F.lit("note").alias("remarks"), "business_number", "content_type", "description", "call_to_action")
+    sheet.coalesce(1).write.option("header", True).option("escape", '"').csv(path)
+    return SK.read_registrations(spark, path)
+
+
+def q_per_originator(spark, d):
+    """Messages written as one folder per sender, one sender read back."""
+    path = scratch_path(spark)
+    SK.write_per_originator(messages(spark, d), path)
+    return SK.read_originator(spark, path, EXTRACT_ORIGINATOR) \
+        .select("originator_id", "message_id", "raw_text", "seq")
+
+
+def q_null_text_counts(spark, d):
+    """Messages whose text is that of the benchmark item with the document's number, if any."""
+    from herald.operators.templates import null_text_counts
+    b = SB.read_table(spark, d, "benchmark").select(F.col("item_id").alias("doc_id"),
+                                                    F.col("text").alias("raw_text"))
+    return null_text_counts(docs(spark, d).select(F.col("source").alias("originator_id"), "doc_id")
+                            .join(b, "doc_id", "left"))
+
+
 def q_thin_by_match(spark, d):
     return TH.thin_by_match_position(messages(spark, d), THIN_EVERY)
 
@@ -124,6 +190,45 @@ def q_mask_codes(spark, d):
     return docs(spark, d).select("doc_id", TX.mask_codes(TX.mask_gates(TX.mask_times(t))).alias("masked"))
 
 
+def notices(spark, d) -> DataFrame:
+    """Texts made of ``part`` that hold what the name, time, gate and code masks look for."""
+    k = F.col("p_partkey")
+    name = F.initcap("p_name")
+    look_alike = F.translate(name, "aeo", "\u0430\u0435\u043e")
+    return SB.read_table(spark, d, "part").select(
+        "p_partkey", F.concat(
+            F.lit("Alert: "), name, F.lit(" sent you $"), F.col("p_retailprice").cast("string"),
+            F.lit(" at "), (k % 12 + 1).cast("string"), F.lit(":"), F.lpad((k % 60).cast("string"), 2, "0"),
+            F.when(k % 2 == 0, " PM ET").otherwise("am et"), F.lit(", gate C"), (F.col("p_size") % 100).cast("string"),
+            F.lit(". Your security code is "), (k + 1000).cast("string"), F.lit(". Thanks, "), look_alike).alias("text"))
+
+
+def q_fold_notices(spark, d):
+    """T1 on texts with look-alike letters in every row."""
+    return notices(spark, d).select("p_partkey", TX.fold_confusables("text").alias("folded"))
+
+
+def q_mask_notices(spark, d):
+    """T5, T7, T11-T13 one by one on texts in which each finds something."""
+    t = notices(spark, d).withColumn("text", TX.fold_confusables("text")) \
+        .withColumn("low", F.lower("text"))
+    return t.select("p_partkey", TX.mask_signoff_name("text").alias("signed"),
+                    TX.mask_name_before_sent("text").alias("sent"), TX.mask_times("low").alias("timed"),
+                    TX.mask_gates("low").alias("gated"), TX.has_otp_context("low").alias("has_code"),
+                    TX.mask_codes("low").alias("coded"))
+
+
+def q_text_masks(spark, d):
+    """T3, T9, T15, T22 on the raw texts, each by itself."""
+    t = F.col("text")
+    return docs(spark, d).select(
+        "doc_id", F.length(t).cast("long").alias("n_chars"),
+        F.length(TX.collapse_repeats(t)).cast("long").alias("n_after_repeats"),
+        TX.mask_phones(TX.collapse_whitespace(t)).alias("phones_masked"),
+        TX.mask_numbers(TX.collapse_whitespace(t)).alias("numbers_masked"),
+        TX.has_email(t).alias("has_email"))
+
+
 def q_mask_urls(spark, d):
     p = SB.read_table(spark, d, "pages")
     ship_package(spark)
@@ -147,12 +252,12 @@ def q_label_cleanup(spark, d):
 def q_templates(spark, d):
     """Flagship: normalise + hash + dedupe every message of every sender."""
     from herald.operators.templates import build_templates
-    return build_templates(messages(spark, d))
+    return build_templates(messages(spark, d), spread=spread(spark))
 
 
 def q_top_templates(spark, d):
     from herald.operators.templates import build_templates, top_templates
-    return top_templates(build_templates(messages(spark, d)), 5)
+    return top_templates(build_templates(messages(spark, d), spread=spread(spark)), 5)
 
 
 def q_dedupe_exact(spark, d):
@@ -164,119 +269,201 @@ def q_dedupe_exact(spark, d):
 
 # ---------------------------------------------------------------- vectors
 def emb(spark, d) -> DataFrame:
+    """``embeddings`` as clustered templates of several senders, one of them small, with noise rows,
+    weights, times (of the event of the same number) and texts (of the document of the same number)."""
     ship_package(spark)
     e = SB.read_table(spark, d, "embeddings")
-    return e.select(F.lit(EMB_ORIGINATOR).alias("originator_id"),
-                    F.col("vec_id").cast("string").alias("template_hash"), "vec_id", "embedding",
-                    F.col("label").cast("int").alias("cluster_label"),
-                    F.lit(1).cast("long").alias("count_in_window"))
+    k = F.col("vec_id")
+    ts = SB.read_table(spark, d, "events").select(F.col("event_id").alias("vec_id"), F.col("ts").alias("timestamp"))
+    text = SB.read_table(spark, d, "documents").select(F.col("doc_id").alias("vec_id"),
+                                                       F.col("text").alias("normalized_text"))
+    return e.select(F.when(k % 100 == 7, "tiny").otherwise(F.concat(F.lit("e"), (k % 3).cast("string")))
+                     .alias("originator_id"),
+                    k.cast("string").alias("template_hash"), "vec_id", "embedding",
+                    F.when(k % 11 == 0, -1).otherwise(F.col("label")).cast("int").alias("cluster_label"),
+                    (1 + k % 4).cast("long").alias("count_in_window")) \
+        .join(ts, "vec_id", "left").join(text, "vec_id", "left")
+
+
+def emb_vectors(spark, d) -> DataFrame:
+    return emb(spark, d).drop("cluster_label", "timestamp", "normalized_text")
 
 
 def emb_campaigns(spark, d) -> DataFrame:
     c = PR.campaign_table(emb(spark, d))
-    return c.withColumn("campaign_name", F.concat(F.lit("label "), F.col("cluster_label").cast("string")))
+    return cut_lineage(c.withColumn(
+        "campaign_name", F.concat(F.lit("label "), F.col("cluster_label").cast("string"))))
 
 
-def emb_assigned(spark, d) -> DataFrame:
-    return AS.assign_to_campaigns(emb(spark, d).drop("cluster_label"), emb_campaigns(spark, d),
-                                  EMB_SIM_THRESHOLD)
+def emb_assigned(spark, d, camps: DataFrame | None = None) -> DataFrame:
+    camps = emb_campaigns(spark, d) if camps is None else camps
+    return cut_lineage(AS.assign_to_campaigns(emb(spark, d).drop("cluster_label"), camps, EMB_SIM_THRESHOLD))
 
 
 def q_unit_vectors(spark, d):
-    e = emb(spark, d)
+    e = emb_vectors(spark, d)
     return e.select("vec_id", F.posexplode(unit_normalize("embedding")).alias("pos", "x")) \
             .select("vec_id", F.col("pos").cast("long").alias("pos"), _r(F.col("x")).alias("value"))
 
 
 def q_centroids(spark, d):
-    c = centroids(emb(spark, d), ["cluster_label"])
-    return c.select("cluster_label", F.posexplode("centroid").alias("pos", "x")) \
-            .select("cluster_label", F.col("pos").cast("long").alias("pos"), _r(F.col("x")).alias("value"))
+    c = centroids(emb(spark, d), ["originator_id", "cluster_label"])
+    return c.select("originator_id", "cluster_label", F.posexplode("centroid").alias("pos", "x")) \
+            .select("originator_id", "cluster_label", F.col("pos").cast("long").alias("pos"),
+                    _r(F.col("x")).alias("value"))
 
 
 def q_campaign_table(spark, d):
     return emb_campaigns(spark, d).select(
         "originator_id", "row_index", "cluster_label", "prototypes_count", "messages_count",
-        "campaign_name")
+        "window_start", "window_end", "campaign_name")
 
 
 def q_assign(spark, d):
-    a = emb_assigned(spark, d)
-    return a.select("vec_id", "assigned_campaign_row_index",
-                    _r(F.col("assigned_campaign_score")).alias("assigned_campaign_score"),
-                    "assigned_campaign_label", "assigned_campaign_name", "status")
+    return emb_assigned(spark, d).select(
+        "vec_id", "originator_id", "assigned_campaign_row_index",
+        _r(F.col("assigned_campaign_score")).alias("assigned_campaign_score"),
+        "assigned_campaign_label", "assigned_campaign_name", "status")
 
 
 def q_coverage(spark, d):
-    c = DI.coverage_by_originator(emb_assigned(spark, d))
-    ok = DI.eligible_originators(emb_assigned(spark, d)).select("originator_id", F.lit(True).alias("e"))
-    return c.join(ok, "originator_id", "left").select(
+    a = emb_assigned(spark, d)
+    ok = DI.eligible_originators(a).select("originator_id", F.lit(True).alias("e"))
+    return DI.coverage_by_originator(a).join(ok, "originator_id", "left").select(
         "originator_id", "n_total", _r(F.col("coverage")).alias("coverage"), "n_unknown",
         F.coalesce("e", F.lit(False)).alias("eligible"))
 
 
+def q_unknown_for_discovery(spark, d):
+    """rows that pass both gates."""
+    return DI.unknown_for_discovery(emb_assigned(spark, d)).select("vec_id", "originator_id")
+
+
+def q_windowed_coverage(spark, d):
+    """R3 in batch form, by the templates' times."""
+    from herald.streaming.windows import windowed_coverage
+    a = emb_assigned(spark, d).filter(F.col("timestamp").isNotNull())
+    w = windowed_coverage(a, WINDOW, ts_col="timestamp", watermark=None)
+    return w.withColumn("coverage", _r(F.col("coverage")))
+
+
 def q_nearest_examples(spark, d):
-    e = emb(spark, d)
-    camps = PR.campaign_table(e)
-    ex = PR.nearest_examples(PR.member_similarity(e, camps))
-    return ex.select(F.col("row_index").alias("campaign_row_index"), "cluster_label",
+    camps = emb_campaigns(spark, d)
+    ex = PR.nearest_examples(PR.member_similarity(emb(spark, d), camps))
+    return ex.select("originator_id", F.col("row_index").alias("campaign_row_index"), "cluster_label",
                      F.col("rank").cast("int").alias("rank"), "template_hash",
                      _r(F.col("sim_score")).alias("sim_score"))
 
 
 def q_neighbour_pairs(spark, d):
-    p = similar_pairs(emb(spark, d), EMB_PAIR_MIN_COS)
-    return p.select("a", "b", _r(F.col("cos")).alias("cos"))
+    p = similar_pairs(emb_vectors(spark, d), EMB_PAIR_MIN_COS)
+    return p.select("originator_id", "a", "b", _r(F.col("cos")).alias("cos"))
 
 
 def q_density_clusters(spark, d):
-    e = emb(spark, d).drop("cluster_label")
-    c = density_clusters(e, cos_to_dist(EMB_DENSITY_MIN_COS), EMB_DENSITY_MIN_SIZE,
+    c = density_clusters(emb_vectors(spark, d), cos_to_dist(EMB_DENSITY_MIN_COS), EMB_DENSITY_MIN_SIZE,
                          EMB_DENSITY_MIN_SAMPLES)
-    return c.select("template_hash", "cluster_label")
+    return c.select("originator_id", "template_hash", "cluster_label")
 
 
-def emb_discovery(spark, d):
-    a = emb_assigned(spark, d)
-    labels = emb(spark, d).select("template_hash", "cluster_label")
+def q_eom_clusters(spark, d):
+    """V6 over a ladder of three levels."""
+    c = eom_clusters(emb_vectors(spark, d), [cos_to_dist(c) for c in EMB_LADDER_COS], EMB_DENSITY_MIN_SIZE,
+                     EMB_DENSITY_MIN_SAMPLES)
+    return c.select("originator_id", "template_hash", "cluster_label")
 
-    def by_label(unknown):
-        return unknown.join(labels, "template_hash")
 
-    def namer(top):
-        return top.select("originator_id", "cluster_label").distinct().withColumn(
-            "proposed_label", F.concat(F.lit("cluster "), F.col("cluster_label").cast("string")))
+def q_adaptive_parameters(spark, d):
+    """F18 with and without a given min_samples."""
+    e = emb_vectors(spark, d)
+    given = DI.adaptive_parameters(e, min_samples=2).select("originator_id",
+                                                           F.col("min_samples").alias("given_min_samples"))
+    return DI.adaptive_parameters(e, frac=0.05).join(given, "originator_id")
 
-    return DI.discover(a, by_label, namer=namer, run_ts=RUN_TS)
+
+def emb_profile(spark, d):
+    return PR.build_profile(emb(spark, d))
+
+
+def q_profile_campaigns(spark, d):
+    """V7: the labelled templates' campaigns, named from their nearest examples."""
+    camps, _ = emb_profile(spark, d)
+    return camps.select("originator_id", "row_index", "cluster_label", "prototypes_count", "messages_count",
+                        "window_start", "window_end", "campaign_name")
+
+
+def q_profile_examples(spark, d):
+    """W1, J4."""
+    _, ex = emb_profile(spark, d)
+    return ex.select("originator_id", "campaign_row_index", "cluster_label", "rank", "template_hash",
+                     _r(F.col("sim_score")).alias("sim_score"), "count_in_window", "campaign_name",
+                     F.length("text_sample").alias("sample_chars"))
+
+
+def q_footprint(spark, d):
+    """Campaigns and examples saved and loaded."""
+    path = scratch_path(spark)
+    SK.save_campaign_footprint(*emb_profile(spark, d), path)
+    camps = SK.load_table(spark, f"{path}/campaigns")
+    return camps.select("originator_id", "row_index", "cluster_label", "prototypes_count", "campaign_name",
+                        _r(F.aggregate("centroid", F.lit(0.0), lambda a, x: a + x * x)).alias("norm"))
+
+
+def q_campaign_examples(spark, d):
+    """The examples of the first campaign's name of each sender."""
+    camps, ex = emb_profile(spark, d)
+    first = camps.filter("row_index = 0").select("originator_id", "campaign_name")
+    e = NM.examples_for(ex).join(first, ["originator_id", "campaign_name"], "left_semi")
+    return e.select("originator_id", "campaign_row_index", "rank", "template_hash")
+
+
+def emb_discovery(spark, d):
+    """V8 on the Unknown rows, labelled by V5 and named from their samples."""
+    camps = emb_campaigns(spark, d)
+    a = emb_assigned(spark, d, camps)
+
+    def cluster(unknown):
+        return density_clusters(unknown, cos_to_dist(EMB_DENSITY_MIN_COS), EMB_DENSITY_MIN_SIZE,
+                                EMB_DENSITY_MIN_SAMPLES)
+
+    return camps, a, *DI.discover(a, cluster, run_ts=RUN_TS)
 
 
 def q_proposals(spark, d):
-    up, _, _ = emb_discovery(spark, d)
+    _, _, up, _, _ = emb_discovery(spark, d)
     return up.select("vec_id", "status", "proposed_cluster_id", "proposed_campaign_name",
                      _r(F.col("proposed_campaign_score")).alias("proposed_campaign_score"))
 
 
 def q_proposed_clusters(spark, d):
-    _, cl, _ = emb_discovery(spark, d)
-    return cl.select("cluster_label", F.col("cluster_size").cast("long").alias("cluster_size"),
-                     "proposed_label",
-                     F.array_join(F.transform("members", lambda m: m["template_hash"]), ",")
-                      .alias("members"))
+    """Kept clusters."""
+    _, _, _, cl, _ = emb_discovery(spark, d)
+    return cl.select("originator_id", "cluster_label", F.col("cluster_size").cast("long").alias("cluster_size"),
+                     "proposed_label")
+
+
+def q_cluster_members(spark, d):
+    """Members of the kept clusters, with their place among the naming samples."""
+    _, _, up, _, _ = emb_discovery(spark, d)
+    return up.filter(F.col("proposed_cluster_id").isNotNull()).select(
+        "originator_id", "proposed_cluster_id", "template_hash",
+        _r(F.col("proposed_campaign_score")).alias("sim_score"))
 
 
 def q_new_campaigns(spark, d):
-    _, _, nc = emb_discovery(spark, d)
-    return nc.drop("originator_id")
+    _, _, _, _, nc = emb_discovery(spark, d)
+    return nc
 
 
 def q_unknown_labels(spark, d):
-    up, _, _ = emb_discovery(spark, d)
+    _, _, up, _, _ = emb_discovery(spark, d)
     return DI.unknown_labels(up).select("vec_id", "unknown_label")
 
 
 def q_drift_summary_labelled(spark, d):
-    _, _, nc = emb_discovery(spark, d)
-    return RP.drift_summary(emb_campaigns(spark, d), emb_assigned(spark, d), nc).drop("originator_id")
+    """V12 with the report's order as a column."""
+    camps, a, _, _, nc = emb_discovery(spark, d)
+    return RP.with_position(RP.drift_summary(camps, a, nc))
 
 
 def q_centroid_label(spark, d):
@@ -285,7 +472,15 @@ def q_centroid_label(spark, d):
 
 
 def q_label_histogram(spark, d):
-    return RP.label_histogram(emb(spark, d)).drop("originator_id")
+    return RP.label_histogram(emb(spark, d))
+
+
+def q_projection_2d(spark, d):
+    """Centres of the labelled groups on the plane of the largest variance."""
+    from herald.operators.projection import cluster_centres_2d, fit_projection, project
+    e = emb(spark, d)
+    return cluster_centres_2d(project(e, fit_projection(e))).select(
+        "originator_id", "cluster_label", _r(F.col("cx")).alias("cx"), _r(F.col("cy")).alias("cy"))
 
 
 # ---------------------------------------------------------------- naming
@@ -307,11 +502,18 @@ def q_group_names(spark, d):
     return discovered_from_docs(spark, d)
 
 
+def _prompts(spark, d, template: str) -> DataFrame:
+    """N2 on the examples nearest to each campaign's centroid."""
+    _, ex = emb_profile(spark, d)
+    return NM.sample_prompts(ex, ["originator_id", "cluster_label"], template=template)
+
+
 def q_sample_prompts(spark, d):
-    g = doc_groups(spark, d).withColumn("rank", F.row_number().over(
-        Window.partitionBy("originator_id", "lang").orderBy("doc_id")))
-    g = g.filter(F.col("rank") <= 5)
-    return NM.sample_prompts(g, ["originator_id", "lang"])
+    return _prompts(spark, d, NM.SAMPLE_PROMPT)
+
+
+def q_sample_prompts_any_language(spark, d):
+    return _prompts(spark, d, NM.SAMPLE_PROMPT_ANY_LANGUAGE)
 
 
 def q_registration_prompts(spark, d):
@@ -345,8 +547,59 @@ def q_drift_verdicts(spark, d):
                     F.array_join("misfit_names", "\n").alias("misfit_names"))
 
 
+def q_name_similarity(spark, d):
+    """N7's scores."""
+    return NM.name_similarity(_view(spark, d)).select("originator_id", "name", _r(F.col("best")).alias("best"))
+
+
+def judged_before(spark, d) -> DataFrame:
+    """Saved verdicts of the senders whose name ends in 5, written and loaded again."""
+    path = scratch_path(spark)
+    old = registrations(spark, d).select("business_number").distinct().filter("business_number like '%5'") \
+        .withColumn("llm_result", F.lit(NM.FIT_TEXT))
+    SK.save_verdicts(old, path)
+    return SK.load_verdicts(spark, path)
+
+
+def gappy_view(spark, d) -> DataFrame:
+    """The names view with senders that lack discovered names (1, 11) or have blank lists (2, 12)."""
+    v = _view(spark, d, "left").filter(F.col("onboarding_names").isNotNull())
+    names = F.when(F.col("originator_id").rlike("src1?1$"), F.lit(None)) \
+        .when(F.col("originator_id").rlike("src1?2$"), F.array().cast("array<string>")) \
+        .otherwise(F.col("discovered_names"))
+    return v.withColumn("discovered_names", names)
+
+
+def q_pending_verdicts(spark, d):
+    """Verdicts of the senders not judged yet, saved beside the old ones and read back with a status."""
+    from herald.plans.onboarding import judge_pending
+    return judge_pending(gappy_view(spark, d), judged_before(spark, d), scratch_path(spark))
+
+
+def _answer(prompt: str, temperature: float) -> str:
+    """A caller's text function: by the request's length, it fails, finds a misfit or finds none."""
+    if len(prompt) % 4 == 0:
+        raise RuntimeError("no answer")
+    return NM.ANOMALY_TEXT if len(prompt) % 4 == 1 else NM.FIT_TEXT
+
+
+def q_asked_verdicts(spark, d):
+    """Answers of a caller's function."""
+    v = NM.asked_verdicts(gappy_view(spark, d), _answer, judged_before(spark, d))
+    return v.select("business_number", "llm_result", "status", F.col("error").isNotNull().alias("failed"))
+
+
 def q_run_tally(spark, d):
-    return NM.run_tally(_view(spark, d, "left"))
+    """A11 with every outcome."""
+    view, done = gappy_view(spark, d), judged_before(spark, d)
+    return NM.run_tally(view, done, NM.asked_verdicts(view, _answer, done))
+
+
+def q_names_all_senders(spark, d):
+    """Campaign names of every registered sender, exported and read back."""
+    from herald.plans.names import export_names
+    return export_names(messages(spark, d), registrations(spark, d), scratch_path(spark),
+                        target_rows=ADAPTIVE_TARGET, spread=spread(spark))
 
 
 # ---------------------------------------------------------------- streaming (batch form)
@@ -359,82 +612,89 @@ def q_windowed_event_counts(spark, d):
     return windowed_template_counts(src, WINDOW, watermark=None)
 
 
-QUERIES = {
-    # sources / filters
-    "envelope_parse": q_envelope_parse,
-    "extract_originator": q_extract_originator,
-    "thin_by_match": q_thin_by_match,
-    "adaptive_thin": q_adaptive_thin,
-    "dilute_factors": q_dilute_factors,
-    "registrations": q_registrations,
-    "originator_list": q_originator_list,
-    "registered_messages": q_registered_messages,
-    "text_column": q_text_column,
-    # text
-    "fold_confusables": q_fold_confusables,
-    "collapse_whitespace": q_collapse_whitespace,
-    "mask_names_contacts": q_mask_names_contacts,
-    "mask_codes": q_mask_codes,
-    "mask_urls": q_mask_urls,
-    "template_hash": q_template_hash,
-    "label_cleanup": q_label_cleanup,
-    # templates
-    "templates": q_templates,
-    "top_templates": q_top_templates,
-    "dedupe_exact": q_dedupe_exact,
-    # vectors / assignment / discovery / report
-    "unit_vectors": q_unit_vectors,
-    "centroids": q_centroids,
-    "campaign_table": q_campaign_table,
-    "assign": q_assign,
-    "coverage": q_coverage,
-    "nearest_examples": q_nearest_examples,
-    "neighbour_pairs": q_neighbour_pairs,
-    "density_clusters": q_density_clusters,
-    "proposals": q_proposals,
-    "proposed_clusters": q_proposed_clusters,
-    "new_campaigns": q_new_campaigns,
-    "unknown_labels": q_unknown_labels,
-    "drift_summary_labelled": q_drift_summary_labelled,
-    "centroid_label": q_centroid_label,
-    "label_histogram": q_label_histogram,
-    # naming / onboarding
-    "group_names": q_group_names,
-    "sample_prompts": q_sample_prompts,
-    "registration_prompts": q_registration_prompts,
-    "registration_names": q_registration_names,
-    "names_view": q_names_view,
-    "comparison_prompts": q_comparison_prompts,
-    "drift_verdicts": q_drift_verdicts,
-    "run_tally": q_run_tally,
-    # streaming operators, batch form
-    "windowed_event_counts": q_windowed_event_counts,
-}
+def _stream(spark, d, table: str) -> DataFrame:
+    """A given table as a stream of its files (by a pattern, as a table may be one file or a folder)."""
+    return spark.readStream.schema(SB.read_table(spark, d, table).schema).parquet(f"{d}/{table}.parque[t]")
 
 
-# ---------------------------------------------------------------- whole pipeline (rows-only checks)
-_RUNS: dict = {}
+def _written(stream_query, spark, path: str) -> DataFrame:
+    stream_query.awaitTermination()
+    return spark.read.parquet(path)
+
 
+def event_messages(ev: DataFrame) -> DataFrame:
+    return ev.select(F.col("event_type").alias("originator_id"), template_hash("props").alias("template_hash"),
+                     F.col("ts").cast("timestamp").alias("ts"))
 
-def doc_messages_with_lang(spark, d) -> DataFrame:
-    return docs(spark, d).select(F.col("source").alias("originator_id"),
-                                 F.col("doc_id").cast("string").alias("message_id"),
-                                 F.col("text").alias("raw_text"),
-                                 (F.col("doc_id") + 1).cast("long").alias("seq"), "lang")
+
+def q_stream_event_counts(spark, d):
+    """R1 as a stream: windows are appended once the watermark has passed them."""
+    from herald.streaming.windows import append_to, windowed_template_counts
+    ship_package(spark)
+    path = scratch_path(spark)
+    counts = windowed_template_counts(event_messages(_stream(spark, d, "events")), WINDOW, watermark=WATERMARK)
+    return _written(append_to(counts, f"{path}/table", f"{path}/progress"), spark, f"{path}/table")
+
+
+def q_stream_coverage(spark, d):
+    """R3 as a stream over events, an error being an Unknown."""
+    from herald.streaming.windows import append_to, windowed_coverage
+    path = scratch_path(spark)
+    ev = _stream(spark, d, "events").select(
+        F.col("event_type").alias("originator_id"), F.col("ts").cast("timestamp").alias("ts"),
+        F.when(F.col("value") >= 5, "Known").otherwise("Unknown").alias("status"))
+    out = windowed_coverage(ev, WINDOW, watermark=WATERMARK)
+    got = _written(append_to(out, f"{path}/table", f"{path}/progress"), spark, f"{path}/table")
+    return got.withColumn("coverage", _r(F.col("coverage")))
+
+
+def language_campaigns(spark, d):
+    """Templates of all documents with their language as campaign: (campaigns, fitted vector model)."""
+    from herald.operators.embed import embed_templates
+    from herald.operators.templates import build_templates
+    tpl = build_templates(messages(spark, d), spread=spread(spark))
+    vec, model = embed_templates(tpl, dim=256)
+    lang = docs(spark, d).select(F.col("doc_id").cast("string").alias("message_id"), "lang")
+    ranked = lang.select("lang").distinct().withColumn("cluster_label", F.abs(F.hash("lang")) % 1000)
+    labelled = vec.join(lang.join(ranked, "lang"), "message_id")
+    camps = PR.campaign_table(labelled).withColumn("campaign_name", F.lit("language"))
+    return cut_lineage(camps), model
+
+
+def q_stream_assignments(spark, d):
+    """R2: documents as a message stream, assigned micro-batch by micro-batch."""
+    from herald.streaming.assign_stream import write_assignments
+    camps, model = language_campaigns(spark, d)
+    path = scratch_path(spark)
+    stream = SB.messages_from_documents(_stream(spark, d, "documents"))
+    q = write_assignments(stream, camps, model, f"{path}/table", f"{path}/progress", spread=spread(spark))
+    got = _written(q, spark, f"{path}/table")
+    return got.select("originator_id", "message_id", "template_hash", "assigned_campaign_row_index", "status")
+
+
+def q_template_vectors(spark, d):
+    """V1: every template's vector."""
+    from herald.operators.embed import embed_templates
+    from herald.operators.templates import build_templates
+    vec, _ = embed_templates(build_templates(messages(spark, d), spread=spread(spark)), dim=256)
+    return vec.select("originator_id", "template_hash", "embedding")
+
+
+# ---------------------------------------------------------------- whole pipeline (rows-only checks)
+def new_batch(spark, d) -> DataFrame:
+    """All documents and all conversation turns as messages: known and unseen texts of every sender."""
+    conv = SB.read_table(spark, d, "conversations")
+    turns = conv.select(F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("originator_id"),
+                        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+                         .alias("message_id"), F.col("text").alias("raw_text"),
+                        (F.col("conv_id") * 1000 + F.col("turn") + 10_000_000_000).cast("long").alias("seq"))
+    return messages(spark, d).unionByName(turns)
 
 
 def drift_tables(spark, d) -> dict:
-    """E1 on documents: the reference is every sender's non-de/es messages,
-    the new batch all messages (planted drift = the held-out languages).
-    Tables are written once per session to the checkpoint folder and reused."""
-    from herald.plans.drift import drift_run, planted_split
-    from herald.session import cut_lineage
-    key = (id(spark._jsparkSession), d)
-    if key not in _RUNS:
-        ref, new = planted_split(doc_messages_with_lang(spark, d))
-        out = drift_run(ref, new)
-        _RUNS[key] = {k: cut_lineage(v) for k, v in out.items()}
-    return _RUNS[key]
+    """The reference is all documents, the new batch adds all conversation turns."""
+    from herald.plans.drift import DriftParams, drift_run
+    return drift_run(messages(spark, d), new_batch(spark, d), DriftParams(run_ts=RUN_TS, spread=spread(spark)))
 
 
 def q_normalize_unicode(spark, d):
@@ -450,14 +710,6 @@ def q_text_predicates(spark, d):
         TX.has_otp_context(F.lower(t)).alias("has_otp_context"))
 
 
-def q_profile_campaigns(spark, d):
-    return drift_tables(spark, d)["campaigns"]
-
-
-def q_profile_examples(spark, d):
-    return drift_tables(spark, d)["examples"]
-
-
 def q_drift_assignments(spark, d):
     return drift_tables(spark, d)["upserted"].drop("embedding")
 
@@ -470,51 +722,30 @@ def q_drift_summary(spark, d):
     return drift_tables(spark, d)["summary"]
 
 
-def q_eom_profile(spark, d):
-    """V6 on the reference templates' vectors, ladder cos 0.9 / 0.8 / 0.7."""
-    from herald.operators.density import eom_clusters
-    from herald.plans.drift import with_min_cluster_size
-    cl = drift_tables(spark, d)["clustered"].drop("cluster_label", "min_cluster_size")
-    cl = with_min_cluster_size(cl)
-    return eom_clusters(cl, [cos_to_dist(c) for c in (0.9, 0.8, 0.7)], "min_cluster_size", 2) \
-        .select("originator_id", "template_hash", "cluster_label")
+def q_drift_saved(spark, d):
+    """A whole run saved; the proposals read back."""
+    from herald.plans.drift import save_run
+    path = scratch_path(spark)
+    save_run(drift_tables(spark, d), path)
+    return SK.load_table(spark, f"{path}/upserted").drop("embedding")
 
 
-def q_projection_2d(spark, d):
-    from herald.operators.projection import cluster_centres_2d, fit_projection, project
-    t = drift_tables(spark, d)
-    model = fit_projection(t["clustered"])
-    pts = project(t["assigned"].filter(~AS.is_known()), model)
-    lab = pts.withColumn("cluster_label", F.coalesce("assigned_campaign_label", F.lit(-1)))
-    return cluster_centres_2d(lab).select("originator_id", "cluster_label",
-                                          _r(F.col("cx")).alias("cx"), _r(F.col("cy")).alias("cy"))
+def q_eom_profile(spark, d):
+    """V6 with F18 on the vectors of all documents' templates."""
+    from herald.operators.embed import embed_templates
+    from herald.operators.templates import build_templates
+    from herald.plans.drift import DriftParams, cluster
+    p = DriftParams()
+    vec, _ = embed_templates(build_templates(messages(spark, d), spread=spread(spark)), dim=p.dim)
+    return cluster(vec, p, p.profile_min_samples).select("originator_id", "template_hash", "cluster_label")
 
 
-def q_windowed_coverage(spark, d):
-    """R3 on the assigned new-batch templates; time = first message position in minutes."""
-    from herald.streaming.windows import windowed_coverage
-    a = drift_tables(spark, d)["assigned"].withColumn(
-        "ts", F.timestamp_seconds(F.lit(1704067200) + F.col("seq") * 60))
-    return windowed_coverage(a, "1 day", watermark=None)
+def q_registered_drift(spark, d):
+    """N7 against the campaigns of every sender's whole profile (E3 on real profiles)."""
+    from herald.plans.drift import DriftParams, reference_profile
+    _, camps, _, _ = reference_profile(messages(spark, d), DriftParams(spread=spread(spark)))
+    return NM.drift_verdicts(NM.names_view(named_registrations(spark, d), camps)).drop("misfit_names")
 
 
-def q_registered_drift(spark, d):
-    """N7 against the campaigns discovered by the drift run (E3 on real profiles)."""
-    t = drift_tables(spark, d)
-    v = NM.names_view(named_registrations(spark, d), t["campaigns"])
-    return NM.drift_verdicts(v).drop("misfit_names")
-
-
-QUERIES.update({
-    "normalize_unicode": q_normalize_unicode,
-    "text_predicates": q_text_predicates,
-    "profile_campaigns": q_profile_campaigns,
-    "profile_examples": q_profile_examples,
-    "drift_assignments": q_drift_assignments,
-    "drift_new_campaigns": q_drift_new_campaigns,
-    "drift_summary": q_drift_summary,
-    "eom_profile": q_eom_profile,
-    "projection_2d": q_projection_2d,
-    "windowed_coverage": q_windowed_coverage,
-    "registered_drift": q_registered_drift,
-})
+#: Name -> query; every ``q_<name>`` of this module.
+QUERIES = {name[2:]: fn for name, fn in list(globals().items()) if name.startswith("q_")}

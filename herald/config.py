@@ -16,14 +16,12 @@ MAX_WORDS = 5
 CENTROID_SIM_THRESHOLD = 0.6
 N_NEAREST = 5
 # Extraction.
-MAX_ROWS = 1_000_000
 DILUTE_FACTOR = 10
 TARGET_ROWS = 5000
 # Density clustering (profile / discovery).
 PROFILE_MIN_CLUSTER_SIZE = 5
 PROFILE_MIN_SAMPLES = 1
 PROFILE_SELECTION_EPSILON = 0.1
-DISCOVERY_MIN_CLUSTER_SIZE = 5
 DISCOVERY_MIN_SAMPLES = 2
 MIN_CLUSTER_FRAC = 0.01
 MIN_CLUSTER_SIZE_FLOOR = 5

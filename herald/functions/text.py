@@ -1,8 +1,7 @@
 """Message normalisation as Spark Column expressions (JVM regex, no Python per row).
 
-Every step is a ``Column -> Column`` function; :func:`normalize_messages` composes
-them in the fixed order of the template normaliser and materialises the
-intermediate text in its own projection where a step reads its input twice.
+Steps are ``Column -> Column`` functions; :func:`normalize_messages` applies them in
+the fixed order of the template normaliser, each in a projection of its own.
 
 Patterns use Java regex with ``(?U)`` so that ``\\w``, ``\\d``, ``\\s`` and ``\\b``
 follow Unicode, as Python's ``re`` does for ``str`` patterns. The only
@@ -15,8 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from herald.functions.fixed_values import (CONFUSABLES, GENERIC_TERMS, OTP_CONTEXT_WORDS,
-                                          SIGNOFF_WORDS, ZERO_WIDTH)
+from herald.functions.fixed_values import (CONFUSABLES, P_EMAIL, P_GATE, P_GREETING, P_NAME_SENT, P_NUMBER,
+                                          P_OTP, P_OTP_CONTEXT, P_PHONE, P_REPEATS, P_SIGNOFF, P_TIME,
+                                          P_URL, ZERO_WIDTH)
 from herald.functions.unicode import ascii_fold_host, has_nfkc_sensitive, nfkc
 
 # translate(): characters of FROM without a partner in TO are deleted, so the
@@ -25,10 +25,9 @@ _FOLD_FROM = "".join(CONFUSABLES) + "".join(ZERO_WIDTH)
 _FOLD_TO = "".join(CONFUSABLES.values())
 
 
-def _python_space_class() -> str:
+def _python_space_class(without: str = "") -> str:
     """Character class of every code point ``str.isspace()`` accepts."""
-    cps = [c for c in range(0x110000) if chr(c).isspace()]
-    return _ranges_class(cps)
+    return _ranges_class([c for c in range(0x110000) if chr(c).isspace() and chr(c) not in without])
 
 
 def _ranges_class(cps: list[int]) -> str:
@@ -50,27 +49,10 @@ def _ranges_class(cps: list[int]) -> str:
 
 
 PY_SPACE = _python_space_class()
-_ALT_SIGNOFF = "|".join(SIGNOFF_WORDS)
-_ALT_GENERIC = "|".join(GENERIC_TERMS)
-
-P_REPEATS = r"(.)\1{2,}"
-P_SPACES = PY_SPACE + "+"
-P_SIGNOFF = r"(?iU)(\b(?:" + _ALT_SIGNOFF + r")\s*,\s*)([A-Z][A-Za-z'\-.]{1,20})\b"
-# Greeting name at the start; a name that is a generic term is left alone, which
-# the second look-ahead expresses (the name always runs up to the comma).
-P_GREETING = (r"(?iU)^(?!(?:" + _ALT_SIGNOFF + r")\b)(?!(?:" + _ALT_GENERIC + r")\s*,)"
-              r"([A-Z][A-Za-z'\-.]{1,20}(?:\s+[A-Z][A-Za-z'\-.]{0,20}){0,2})\s*,\s+")
-P_NAME_SENT = r"(?iU)(:\s*)([A-Za-z][A-Za-z'\-]*(?:\s+[A-Za-z][A-Za-z'\-]*){0,3})(\s+sent you\b)"
-P_EMAIL = r"(?iU)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b"
-# A digit/separator run of 8+ characters counts as a phone only with 7+ digits;
-# the look-ahead carries the digit count so no callback is needed.
-P_PHONE = r"(?U)\b(?=\+?\d(?:[\-.\s()\x{A0}]*\d){6,}\b)\+?\d[\d\-.\s()\x{A0}]{6,}\d\b"
-P_URL = r"""(?iU)\b((?:https?://|www\.)[^\s<>"]+|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?:/[^\s<>"]*)?)"""
-P_TIME = r"(?iU)\b(\d{1,2}):(\d{2})\s*(am|pm)\s*et\b"
-P_GATE = r"(?iU)\bgate\s*[a-zA-Z]\d{1,3}\b"
-P_OTP_CONTEXT = r"(?iU)\b(?:" + OTP_CONTEXT_WORDS + r")\b[^0-9]{0,20}\b([0-9]{4,8})\b"
-P_OTP = r"(?U)\b([0-9]{4,8})\b"
-P_NUMBER = r"(?U)(?<![{A-Za-z])\b\d+(?:[.,]\d+)?\b(?![}\w])"
+# Every run of white space but a single plain space, which needs no replacing.
+P_SPACES = "(?:" + _python_space_class(without=" ") + PY_SPACE + "*| " + PY_SPACE + "+)"
+# What any URL match holds: cheap to look for, under the same flags as the pattern.
+P_URL_HINT = r"(?iU)://|www\.|[A-Za-z0-9-]\.[A-Za-z]{2}"
 P_NON_ASCII = r"[^\x00-\x7F]"
 
 
@@ -167,29 +149,21 @@ def _fold_if_needed(hosts: Column) -> Column:
     return F.transform(hosts, lambda h: F.when(h.rlike(P_NON_ASCII), ascii_fold_host(h)).otherwise(h))
 
 
-def mask_urls(col) -> Column:
-    """Replace each URL by ``{URL:domain}``.
+def mask_urls_df(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
+    """Replace each URL by ``{URL:domain}``.
 
     Spark has no replace-with-callback, so the text is split around the matches
     and re-assembled with the rewritten matches. Hosts with non-ASCII
     characters are ASCII-folded in the JVM (exact on NFKC text, which is what
-    the normaliser feeds it). On DataFrames prefer
-    :func:`mask_urls_df`, which runs the match extraction only on rows with a URL.
+    the normaliser feeds it). Texts without a hint of a URL pass with one cheap scan.
     """
-    c = _c(col)
-    hosts = F.transform(F.regexp_extract_all(c, F.lit(P_URL), 0), url_host)
-    return F.when(c.rlike(P_URL), _rebuild_urls(c, _fold_if_needed(hosts))).otherwise(c)
-
-
-def mask_urls_df(df: DataFrame, text_col: str, out_col: str) -> DataFrame:
-    """T10 over a DataFrame column; URL-free rows pass with one regex scan."""
     m, h = "__herald_url_hosts", "__herald_url_folded"
     t = F.col(text_col)
-    return (df.withColumn(m, F.when(t.rlike(P_URL),
+    return (df.withColumn(m, F.when(t.rlike(P_URL_HINT),
                                     F.transform(F.regexp_extract_all(t, F.lit(P_URL), 0), url_host)))
               .withColumn(h, _fold_if_needed(F.col(m)))
-              .withColumn(out_col, F.when(F.col(m).isNull(), t)
-                          .otherwise(_rebuild_urls(t, F.col(h))))
+              .withColumn(out_col, F.when(F.coalesce(F.size(m), F.lit(0)) > 0, _rebuild_urls(t, F.col(h)))
+                          .otherwise(t))
               .drop(m, h))
 
 
@@ -223,27 +197,16 @@ def mask_numbers(col) -> Column:
     return F.regexp_replace(_c(col), P_NUMBER, "{NUM}")
 
 
-def _unicode_basic(c: Column) -> Column:
-    return collapse_whitespace(collapse_repeats(unicode_nfkc(fold_confusables(c))))
-
-
-def _names_contacts(c: Column) -> Column:
-    c = mask_greeting_name(mask_signoff_name(c))
-    return mask_phones(mask_emails(mask_name_before_sent(c)))
-
-
-def _codes_numbers(c: Column) -> Column:
-    c = mask_codes(mask_gates(mask_times(F.lower(c))))
-    return collapse_whitespace(mask_numbers(c))
-
-
-# Exact guards for the DataFrame form: a mask can only fire when its required
+# Exact guards: a mask can only fire when its required
 # character is present, and a plain search for it is cheaper than the mask's
 # regex. Each guarded step is its own projection, so the guard and the mask
 # read a column instead of re-evaluating the chain.
 P_ANY_DIGIT = r"\p{Nd}"
 _STEPS_BEFORE_URL = (
-    (None, lambda c: collapse_whitespace(collapse_repeats(unicode_nfkc(fold_confusables(c))))),
+    (None, fold_confusables),
+    (None, unicode_nfkc),
+    (None, collapse_repeats),
+    (None, collapse_whitespace),
     (lambda c: c.contains(","), mask_signoff_name),
     (None, mask_greeting_name),
     (lambda c: c.contains(":"), mask_name_before_sent),
@@ -267,18 +230,12 @@ def _apply_steps(df: DataFrame, col: str, steps) -> DataFrame:
 
 
 # T16
-def normalize_text(col) -> Column:
-    """The whole normaliser as one Column (use :func:`normalize_messages` on DataFrames)."""
-    return _codes_numbers(mask_urls(_names_contacts(_unicode_basic(_c(col)))))
-
-
 def normalize_messages(df: DataFrame, text_col: str = "raw_text",
                        out_col: str = "normalized_text") -> DataFrame:
-    """T18 without the hash: add ``out_col`` = normalised ``text_col``.
+    """Add ``out_col`` = normalised ``text_col``.
 
-    Same result as :func:`normalize_text`, planned as one projection per step
-    (fused by whole-stage codegen) so guards and the URL step read computed
-    columns instead of re-running earlier masks.
+    One projection per step (fused by whole-stage codegen), so that guards and
+    the URL step read computed columns instead of re-running earlier masks.
     """
     pre, post = "__herald_pre_url", "__herald_post_url"
     df = _apply_steps(df.withColumn(pre, F.col(text_col)), pre, _STEPS_BEFORE_URL)

@@ -1,99 +1,43 @@
 """Nearest-campaign assignment.
 
-Campaigns of one sender are packed into one array row per sender; each
-template joins its sender's row and scores every centroid in a projection,
-so assignment needs no aggregate and no shuffle of the template side beyond
-the join. The campaign side is broadcast only when its row count, a proven
-bound on its size, is under ``broadcast_rows``; otherwise the join is a
-shuffle join whose hot senders AQE splits.
+Templates and the campaigns of their sender meet in blocks
+(:mod:`herald.operators.blocks`): one matrix product a block, no campaign array on
+any template row, and no broadcast. Names and labels are joined afterwards by
+the campaign's row index.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from herald import config
-from herald.functions.vectors import unit_normalize
-
-ASSIGN_COLUMNS = ("assigned_campaign_row_index", "assigned_campaign_score",
-                  "assigned_campaign_label", "assigned_campaign_name", "status")
-
-
-def pack_campaigns(campaigns: DataFrame, key: str = "originator_id") -> DataFrame:
-    """One row per sender: ``array<struct<row_index, cluster_label, campaign_name, centroid>>``."""
-    name = F.col("campaign_name") if "campaign_name" in campaigns.columns else F.lit("")
-    return campaigns.groupBy(key).agg(F.collect_list(F.struct(
-        F.col("row_index").cast("int").alias("row_index"),
-        F.col("cluster_label").cast("int").alias("cluster_label"),
-        name.cast("string").alias("campaign_name"),
-        unit_normalize("centroid").alias("centroid"))).alias("__camps"))
-
-
-def broadcast_if_small(small: DataFrame, bound_rows: int | None, rows_hint: int | None = None):
-    """Broadcast ``small`` only when its measured row count is within ``bound_rows``."""
-    if bound_rows is None:
-        return small
-    n = rows_hint if rows_hint is not None else small.count()
-    return F.broadcast(small) if n <= bound_rows else small
+from herald.operators.blocks import nearest_center
 
 
 # V4 = J2 + J3 + F8
 def assign_to_campaigns(templates: DataFrame, campaigns: DataFrame,
                         sim_threshold: float = config.SIM_THRESHOLD,
                         key: str = "originator_id", vec_col: str = "embedding",
-                        broadcast_rows: int | None = 20_000) -> DataFrame:
+                        id_col: str = "template_hash") -> DataFrame:
     """Nearest centroid per template; ties go to the lowest ``row_index``.
 
-    Senders without campaigns get null assignment and status ``Unknown``.
-    """
-    packed = pack_campaigns(campaigns, key)
-    packed = broadcast_if_small(packed, broadcast_rows)
-    t = templates.join(packed, key, "left")
-    b = "__best"
-    out = t.withColumn(b, nearest_campaign(F.col(vec_col).cast("array<double>"), F.col("__camps")))
-    return (out.withColumn("assigned_campaign_row_index", F.col(f"{b}.row_index"))
-               .withColumn("assigned_campaign_score", F.col(f"{b}.score"))
-               .withColumn("assigned_campaign_label", F.col(f"{b}.cluster_label"))
-               .withColumn("assigned_campaign_name", F.coalesce(F.col(f"{b}.campaign_name"), F.lit("")))
-               .withColumn("status", F.when(F.col(f"{b}.score") >= F.lit(sim_threshold), "Known")
-                           .otherwise("Unknown"))
-               .drop(b, "__camps"))
-
-
-from pyspark.sql import types as T  # noqa: E402
-
-_BEST = T.StructType([T.StructField("row_index", T.IntegerType()), T.StructField("score", T.DoubleType()),
-                      T.StructField("cluster_label", T.IntegerType()),
-                      T.StructField("campaign_name", T.StringType())])
-
-
-@F.pandas_udf(_BEST)
-def nearest_campaign(vec: pd.Series, camps: pd.Series) -> pd.DataFrame:
-    """Argmax of cosine over the sender's centroids (Arrow batches, numpy).
-
-    Dense dot products in Spark's higher-order functions run interpreted per
-    element; here each row is one small matrix-vector product. Ties on the
-    score go to the lowest ``row_index``.
+    ``id_col`` must be unique within a sender. Senders without campaigns get null
+    assignment and status ``Unknown``.
     """
-    ri, sc, lab, name = [], [], [], []
-    for v, cs in zip(vec, camps):
-        if v is None or cs is None or len(cs) == 0:
-            ri.append(None); sc.append(None); lab.append(None); name.append(None)
-            continue
-        x = np.asarray(v, dtype=np.float64)
-        x = x / max(np.sqrt(x @ x), 1e-12)
-        cm = np.stack([np.asarray(c["centroid"], dtype=np.float64) for c in cs])
-        s = cm @ x
-        rows = np.array([c["row_index"] for c in cs])
-        top = np.flatnonzero(s == s.max())
-        k = top[np.argmin(rows[top])]
-        ri.append(int(rows[k])); sc.append(float(s[k]))
-        lab.append(cs[k]["cluster_label"]); name.append(cs[k]["campaign_name"])
-    return pd.DataFrame({"row_index": pd.array(ri, dtype="Int32"), "score": pd.array(sc, dtype="Float64"),
-                         "cluster_label": pd.array(lab, dtype="Int32"), "campaign_name": pd.Series(name, dtype=object)})
+    best = nearest_center(templates, campaigns, [key], id_col, vec_col) \
+        .withColumnsRenamed({"row_index": "assigned_campaign_row_index", "score": "assigned_campaign_score"})
+    name = F.col("campaign_name") if "campaign_name" in campaigns.columns else F.lit("")
+    named = campaigns.select(key, F.col("row_index").cast("int").alias("assigned_campaign_row_index"),
+                             F.col("cluster_label").cast("int").alias("assigned_campaign_label"),
+                             name.cast("string").alias("assigned_campaign_name"))
+    found = best.join(named, [key, "assigned_campaign_row_index"])
+    return templates.join(found, [key, id_col], "left").select(
+        *[templates[c] for c in templates.columns], "assigned_campaign_row_index", "assigned_campaign_score",
+        "assigned_campaign_label",
+        F.coalesce("assigned_campaign_name", F.lit("")).alias("assigned_campaign_name"),
+        F.when(F.col("assigned_campaign_score") >= F.lit(sim_threshold), "Known").otherwise("Unknown")
+         .alias("status"))
 
 
 # F9

@@ -1,13 +1,15 @@
 """Per-cluster aggregates (A3, A4, A5).
 
-The centroid is a mean per vector position: ``posexplode`` then ``avg`` grouped
-by (cluster, position), which Spark aggregates map-side, so a huge cluster
-costs one partial row per position per task. Re-assembling the array collects
-at most ``dim`` values per cluster.
+The centroid is Spark ML's vector mean of the normalised members: one vector
+buffer per cluster and task, merged map-side, so a huge cluster costs one row
+per task.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Normalizer
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,10 @@ def centroids(df: DataFrame, keys, vec_col: str = "embedding",
               out: str = "centroid") -> DataFrame:
     """Unit-length mean of the (unit-normalised) member vectors per ``keys``."""
     keys = list(keys)
-    ex = df.select(*keys, F.posexplode(unit_normalize(vec_col)).alias("__pos", "__x"))
-    m = ex.groupBy(*keys, "__pos").agg(F.avg("__x").alias("__x"))
-    arr = m.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("__pos", "__x"))).alias("__s"))
-    return arr.select(*keys, unit_normalize(F.transform("__s", lambda e: e["__x"])).alias(out))
+    vectors = df.select(*keys, array_to_vector(F.col(vec_col).cast("array<double>")).alias("__v"))
+    unit = Normalizer(inputCol="__v", outputCol="__u", p=2.0).transform(vectors)
+    mean = unit.groupBy(*keys).agg(vector_to_array(Summarizer.mean(F.col("__u"))).alias("__m"))
+    return mean.select(*keys, unit_normalize("__m").alias(out))
 
 
 # A4 + A5

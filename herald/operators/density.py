@@ -1,372 +1,341 @@
 """Density clustering of templates inside each sender.
 
-Re-aimed from a single-machine hierarchical density clusterer to DataFrame
-steps (distances d = sqrt(2 - 2 cos) on unit vectors):
+Re-aimed from a single-machine hierarchical density clusterer (distances
+``d = sqrt(2 - 2 cos)`` on unit vectors):
 
 1. core distance = distance to the (min_samples - 1)-th other neighbour
    (the point itself counts, as in the published definition);
 2. mutual reachability w(a, b) = max(core_a, core_b, d(a, b));
-3. every tile pair of a sender emits the minimum spanning forest of its
-   mutual-reachability graph restricted to w <= eps_max; the union of these
-   forests contains the sender's minimum spanning forest, so connectivity at
-   any level <= eps_max is exact while only O(n) edges per tile pair leave
-   the tasks;
-4. connected components of {w <= eps} by min-label propagation with pointer
-   jumping, lineage cut each round with a reliable checkpoint;
-5. components smaller than the sender's ``min_cluster_size`` are noise (-1);
-   the others are numbered 0.. by their smallest member id.
-
-V6 runs step 4-5 on a ladder of eps values and keeps, bottom-up, a cluster
-when its stability is not below the summed stability of its kept children
-(excess-of-mass selection on the ladder).
+3. a cluster is a connected component of {w <= eps}: at one level (V5), or the
+   most stable ones of a ladder of levels (V6, excess of mass);
+4. components below the sender's minimum size are noise (-1), the others are
+   numbered 0.. by level and smallest member.
+
+A sender that fits one tile is finished in that tile's task, labels included. A
+larger one goes through the pivot-pruned tile pairs of :mod:`neighbours`: each
+pair emits its nearest distances, then the components of its own forest at every
+level (at most one edge per row and level), and rounds of joins merge them to
+the sender's components. Both ways give the same labels.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from herald import config
-from herald.operators.neighbours import (TILE_ROWS, frame, knn_distances, tile_counts, tile_pairs,
-                                         unit_rows)
+from herald.operators.blocks import unit_matrix
+from herald.operators.neighbours import TILE_ROWS, Tiling, cos_to_dist, knn_distances, sides, tile
 from herald.session import cut_lineage
 
+__all__ = ["cos_to_dist", "core_distances", "connected_components", "density_clusters", "eom_clusters"]
 
-def cos_to_dist(cos: float) -> float:
-    return float(np.sqrt(max(0.0, 2.0 - 2.0 * cos)))
+#: The level at which components that no level of the ladder merges are taken to be born: no two unit
+#: vectors are further apart.
+BIRTH = 2.0
 
 
-def dist_to_cos(d: float) -> float:
-    return 1.0 - d * d / 2.0
+def core_distances(tiling: Tiling, samples: DataFrame, eps_max: float) -> DataFrame:
+    """``key, id, core`` (null = farther than ``eps_max``); ``samples``: key, min_samples."""
+    key, nodes = tiling.key, tiling.rows.select(tiling.key, "id")
+    k = (samples.agg(F.max("min_samples")).first()[0] or 1) - 1
+    if k < 1:
+        return nodes.withColumn("core", F.lit(0.0))
+    knn = knn_distances(tiling.rows, k, eps_max, key, "id", "vec", tiling=tiling)
+    return nodes.join(samples, key).join(
+        knn.withColumn("min_samples", F.col("nr") + 1), [key, "id", "min_samples"], "left") \
+        .select(key, "id", F.when(F.col("min_samples") <= 1, 0.0).otherwise(F.col("d")).alias("core"))
 
 
-def core_distances(df: DataFrame, min_samples: int, eps_max: float, key: str = "originator_id",
-                   id_col: str = "template_hash", vec_col: str = "embedding",
-                   tile_rows: int = TILE_ROWS) -> DataFrame:
-    """``key, id, core`` (null = farther than ``eps_max``)."""
-    nodes = df.select(key, F.col(id_col).alias("id"))
-    k = min_samples - 1
-    if k <= 0:
-        return nodes.withColumn("core", F.lit(0.0))
-    knn = knn_distances(df, k, eps_max, key, id_col, vec_col, tile_rows)
-    core = knn.select(key, "id", F.when(F.size("dists") >= k, F.element_at("dists", k)).alias("core"))
-    return nodes.join(core, [key, "id"], "left")
-
-
-def _prim_forest(ids: np.ndarray, w: np.ndarray):
-    """Minimum spanning forest of a dense weight matrix (inf = no edge)."""
-    m = len(ids)
-    in_tree = np.zeros(m, dtype=bool)
-    best = np.full(m, np.inf)
-    parent = np.full(m, -1)
-    ea, eb, ew = [], [], []
+def forest(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (a, b, weight) of a minimum spanning forest of a dense matrix, ascending (inf: no edge)."""
+    m = len(w)
+    out_of_tree, best, parent = np.ones(m, dtype=bool), np.full(m, np.inf), np.full(m, -1)
+    edges = []
     for _ in range(m):
-        cand = np.where(in_tree, np.inf, best)
-        u = int(np.argmin(cand))
-        if not np.isfinite(cand[u]):
-            # start a new tree at the first node not yet reached
-            rest = np.nonzero(~in_tree)[0]
-            if rest.size == 0:
-                break
-            u = int(rest[0])
-        elif parent[u] >= 0:
-            ea.append(ids[parent[u]]); eb.append(ids[u]); ew.append(best[u])
-        in_tree[u] = True
-        row = w[u]
-        upd = (~in_tree) & (row < best)
-        best[upd] = row[upd]
-        parent[upd] = u
-    return ea, eb, ew
-
-
-def _uf_find(parent, x):
-    while parent[x] != x:
-        parent[x] = parent[parent[x]]
-        x = parent[x]
-    return x
-
-
-def _components(ids: np.ndarray, ea, eb, ew, eps: float):
-    """Smallest member id of each node's component over forest edges with w <= eps."""
-    pos = {v: i for i, v in enumerate(ids)}
-    parent = list(range(len(ids)))
-    for a, b, w in zip(ea, eb, ew):
-        if w <= eps:
-            ra, rb = _uf_find(parent, pos[a]), _uf_find(parent, pos[b])
-            if ra != rb:
-                parent[max(ra, rb)] = min(ra, rb)
-    best = {}
-    for i in range(len(ids)):
-        r = _uf_find(parent, i)
-        if r not in best or ids[i] < best[r]:
-            best[r] = ids[i]
-    return [best[_uf_find(parent, i)] for i in range(len(ids))]
-
-
-def _tile_forest(both: pd.DataFrame, eps_max: float):
-    ids = both["id"].to_numpy()
-    v = unit_rows(both["vec"].to_numpy())
-    core = both["core"].to_numpy(dtype=np.float64, na_value=np.inf)
-    d = np.sqrt(np.clip(2.0 - 2.0 * (v @ v.T), 0.0, None))
-    w = np.maximum(d, np.maximum(core[:, None], core[None, :]))
-    w[w > eps_max] = np.inf
+        reach = np.where(out_of_tree, best, np.inf)
+        u = int(reach.argmin())
+        if np.isfinite(reach[u]):
+            edges.append((parent[u], u, best[u]))
+        else:
+            u = int(out_of_tree.argmax())
+        out_of_tree[u] = False
+        closer = out_of_tree & (w[u] < best)
+        best[closer], parent[closer] = w[u][closer], u
+    if not edges:
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+    a, b, d = map(np.array, zip(*sorted(edges, key=lambda e: e[2])))
+    return a.astype(int), b.astype(int), d
+
+
+def ladder(w: np.ndarray, levels: list[float]) -> list[np.ndarray]:
+    """Per ascending level, each node's component: its smallest node."""
+    a, b, d = forest(np.where(w <= levels[-1], w, np.inf))
+    root = np.arange(len(w))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out, done = [], 0
+    for level in levels:
+        while done < len(d) and d[done] <= level:
+            x, y = find(a[done]), find(b[done])
+            root[max(x, y)] = min(x, y)
+            done += 1
+        out.append(np.array([find(x) for x in range(len(w))], dtype=int))
+    return out
+
+
+def reachability(x: np.ndarray, y: np.ndarray, core_x: np.ndarray, core_y: np.ndarray) -> np.ndarray:
+    d = np.sqrt(np.clip(2 - 2 * (x @ y.T), 0, None))
+    return np.maximum(d, np.maximum(core_x[:, None], core_y[None, :]))
+
+
+def most_stable(comps: list[np.ndarray], levels: list[float], min_size: int,
+                allow_single_cluster: bool) -> list[tuple[int, int]]:
+    """Excess-of-mass selection: the chosen (level number, component) of one sender.
+
+    A component of at least ``min_size`` members is stable in proportion to its
+    size and to how much lower its density level is than its parent's (in
+    1/eps); one with a single child continues that child. Bottom-up, the better
+    of a component and its children counts; top-down, a component that is no worse is
+    chosen, and nothing below it. The component that holds every row is the
+    root and is chosen only if ``allow_single_cluster``.
+    """
+    lam = [1 / max(e, 1e-12) for e in levels] + [1 / BIRTH]
+    best, nodes = {}, []
+    for li, comp in enumerate(comps):
+        sums, level_best = {}, {}
+        for own, sub, parent in best.values():
+            n, o, s, b = sums.get(parent, (0, 0.0, 0.0, 0.0))
+            sums[parent] = (n + 1, o + own, s + sub, b + max(own, sub))
+        members, sizes = np.unique(comp, return_counts=True)
+        for c, size in zip(members.tolist(), sizes.tolist()):
+            if size < min_size:
+                continue
+            n, child_own, child_sub, child_best = sums.get(c, (0, 0.0, 0.0, 0.0))
+            own = size * (lam[li] - lam[li + 1]) + (child_own if n == 1 else 0.0)
+            sub = child_sub if n == 1 else child_best
+            parent = int(comps[li + 1][c]) if li + 1 < len(comps) else None
+            keep = own >= sub and (allow_single_cluster or size < len(comp))
+            level_best[c] = (own, sub, parent)
+            nodes.append((li, c, parent, keep))
+        best = level_best
+    chosen, covered = [], set()
+    for li, c, parent, keep in sorted(nodes, key=lambda n: -n[0]):
+        if (li + 1, parent) in covered:
+            covered.add((li, c))
+        elif keep:
+            covered.add((li, c))
+            chosen.append((li, c))
+    return sorted(chosen)
+
+
+def block_labels(vectors: np.ndarray, min_size: int, min_samples: int, levels: list[float],
+                 select_stable: bool, allow_single_cluster: bool) -> np.ndarray:
+    """Labels of a sender whose rows, in order of id, fit one block."""
+    n = len(vectors)
+    core = np.zeros(n)
+    if min_samples > 1:
+        d = np.sqrt(np.clip(2 - 2 * (vectors @ vectors.T), 0, None))
+        np.fill_diagonal(d, np.inf)
+        core = np.partition(d, min_samples - 2, axis=1)[:, min_samples - 2] if n >= min_samples else \
+            np.full(n, np.inf)
+    w = reachability(vectors, vectors, core, core)
     np.fill_diagonal(w, np.inf)
-    return ids, _prim_forest(ids, w)
-
-
-def _pair_rows(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-    same = int(lp["ti"].iloc[0]) == int(lp["tj"].iloc[0])
-    return lp if same else pd.concat([lp, rp], ignore_index=True)
-
-
-def reachability_forest(df: DataFrame, cores: DataFrame, eps_max: float,
-                        key: str = "originator_id", id_col: str = "template_hash",
-                        vec_col: str = "embedding", tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Edges ``key, a, b, w`` whose union holds each sender's minimum spanning
-    forest of the mutual-reachability graph with w <= ``eps_max``."""
-    with_core = df.join(cores.select(key, F.col("id").alias(id_col), "core"), [key, id_col])
-    left, right = tile_pairs(with_core, key, id_col, vec_col, tile_rows, extra_cols=("core",))
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("a", T.StringType()),
-                           T.StructField("b", T.StringType()), T.StructField("w", T.DoubleType())])
-
-    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        if lp.empty or rp.empty:
-            return frame(key, None, a=np.array([], dtype=object), b=np.array([], dtype=object),
-                         w=np.array([], dtype=np.float64))
-        _, (a, b, ww) = _tile_forest(_pair_rows(lp, rp), eps_max)
-        return frame(key, lp[key].iloc[0], a=np.array(a, dtype=object), b=np.array(b, dtype=object),
-                     w=np.array(ww, dtype=np.float64))
-
-    return left.groupBy(key, "ti", "tj").cogroup(right.groupBy(key, "ti", "tj")) \
-               .applyInPandas(fn, schema).dropDuplicates([key, "a", "b"])
+    comps = ladder(w, levels)
+    if select_stable:
+        chosen = most_stable(comps, levels, min_size, allow_single_cluster)
+    else:
+        members, sizes = np.unique(comps[0], return_counts=True)
+        chosen = [(0, int(c)) for c, s in zip(members, sizes) if s >= min_size]
+    label = np.full(n, -1, dtype=np.int32)
+    for i, (li, c) in enumerate(chosen):
+        label[comps[li] == c] = i
+    return label
+
+
+def local_components(tiling: Tiling, cores: DataFrame, levels: list[float]) -> DataFrame:
+    """``key, level, a, b``: per tile pair and level, each row's component by its smallest id (rows that
+    are their own component are left out)."""
+    key, types = tiling.key, dict(tiling.rows.dtypes)
+
+    def run(group: pa.Table) -> pa.Table:
+        left, right, alone = sides(group)
+        both = left if alone or not right.num_rows else pa.concat_tables([left, right]).sort_by("id")
+        x = unit_matrix(both["vec"])
+        core = both["core"].fill_null(np.inf).to_numpy()
+        w = reachability(x, x, core, core)
+        np.fill_diagonal(w, np.inf)
+        out = []
+        for li, comp in enumerate(ladder(w, levels)):
+            i = np.flatnonzero(comp != np.arange(len(comp)))
+            out.append(pa.table({key: both[key].take(pa.array(i)),
+                                 "level": pa.array(np.full(len(i), li, dtype=np.int32)),
+                                 "a": both["id"].take(pa.array(i)), "b": both["id"].take(pa.array(comp[i]))}))
+        return pa.concat_tables(out)
 
+    return tiling.groups(cores).applyInArrow(
+        run, f"`{key}` {types[key]}, level int, a {types['id']}, b {types['id']}")
 
-def local_components(df: DataFrame, cores: DataFrame, levels, key: str = "originator_id",
-                     id_col: str = "template_hash", vec_col: str = "embedding",
-                     tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Per tile pair and level, each node's component (smallest member id) in
-    the pair's mutual-reachability graph: ``key, level, a, b`` star edges
-    (node ``a`` -> component ``b``, singletons omitted).
 
-    Components of a sender are unions of these local ones; for a sender held
-    in one tile they are already final.
-    """
-    levels = [float(x) for x in levels]
-    eps_max = max(levels)
-    with_core = df.join(cores.select(key, F.col("id").alias(id_col), "core"), [key, id_col])
-    left, right = tile_pairs(with_core, key, id_col, vec_col, tile_rows, extra_cols=("core",))
-    schema = T.StructType([T.StructField(key, T.StringType()), T.StructField("level", T.IntegerType()),
-                           T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
-
-    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({key: pd.Series([], dtype=object), "level": pd.Series([], dtype=np.int32),
-                              "a": pd.Series([], dtype=object), "b": pd.Series([], dtype=object)})
-        if lp.empty or rp.empty:
-            return empty
-        ids, (ea, eb, ew) = _tile_forest(_pair_rows(lp, rp), eps_max)
-        out = []
-        for li, eps in enumerate(levels):
-            comp = np.array(_components(ids, ea, eb, ew, eps), dtype=object)
-            keep = comp != ids
-            if keep.any():
-                out.append(pd.DataFrame({key: pd.Series([lp[key].iloc[0]] * int(keep.sum()), dtype=object),
-                                         "level": pd.Series([li] * int(keep.sum()), dtype=np.int32),
-                                         "a": pd.Series(ids[keep], dtype=object),
-                                         "b": pd.Series(comp[keep], dtype=object)}))
-        return pd.concat(out, ignore_index=True) if out else empty
-
-    return left.groupBy(key, "ti", "tj").cogroup(right.groupBy(key, "ti", "tj")) \
-               .applyInPandas(fn, schema).dropDuplicates([key, "level", "a", "b"])
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, key="originator_id",
-                         max_rounds: int = 100) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, key="originator_id") -> DataFrame:
     """``key..., id, comp`` = smallest id of the node's component.
 
     ``key`` is a column name or a list (e.g. sender and level). Labels start
     at the smallest neighbour; each round propagates the minimum once and
-    follows labels twice (pointer jumping). Each round's labels are written to
-    the shared checkpoint folder, so lineage stays short and a lost executor
-    only repeats the current round. A round with no change ends the loop.
+    follows labels twice (pointer jumping). Rounds are written to the shared
+    checkpoint folder, the one before is removed, and the loop ends when no
+    label changes.
     """
     keys = [key] if isinstance(key, str) else list(key)
     e = edges.select(*keys, "a", "b")
-    e = e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    e = cut_lineage(e)
+    e = cut_lineage(e.unionByName(e.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     first = e.groupBy(*keys, F.col("a").alias("id")).agg(F.min("b").alias("m"))
-    labels = (nodes.select(*keys, "id").distinct().join(first, keys + ["id"], "left")
-                   .select(*keys, "id", F.least("id", F.coalesce("m", "id")).alias("comp")))
-    labels = cut_lineage(labels)
-
-    def jump(df):
-        j = df.select(*keys, F.col("id").alias("comp"), F.col("comp").alias("cc"))
-        return df.join(j, keys + ["comp"], "left").select(
-            *keys, "id", F.least("comp", F.coalesce("cc", "comp")).alias("comp"))
-
-    for _ in range(max_rounds):
-        nb = (e.join(labels.select(*keys, F.col("id").alias("b"), F.col("comp").alias("cb")), keys + ["b"])
-               .groupBy(*keys, "a").agg(F.min("cb").alias("m")))
-        step = (labels.join(nb.withColumnRenamed("a", "id"), keys + ["id"], "left")
-                      .select(*keys, "id", F.least("comp", F.coalesce("m", "comp")).alias("comp")))
-        new = cut_lineage(jump(jump(step)))
-        changed = new.join(labels.withColumnRenamed("comp", "old"), keys + ["id"]) \
-                     .filter(F.col("comp") != F.col("old")).limit(1).count()
-        labels = new
-        if changed == 0:
-            break
-    return labels
-
-
-def merge_local_components(pts: DataFrame, star: DataFrame, keys, key: str = "originator_id",
-                           id_col: str = "template_hash", tile_rows: int = TILE_ROWS,
-                           levels: int | None = None) -> DataFrame:
-    """Sender components from the per-tile-pair ones (``keys..., id, comp``).
-
-    A sender held in a single tile has exact local labels; only senders
-    spread over several tiles go through the propagation rounds.
-    """
-    keys = list(keys)
-    nodes = pts.select(key, F.col(id_col).alias("id"))
-    if levels is not None:
-        nodes = nodes.withColumn("level", F.explode(F.array(*[F.lit(i) for i in range(levels)])))
-    first = star.groupBy(*keys, F.col("a").alias("id")).agg(F.min("b").alias("m"))
-    local = (nodes.join(first, keys + ["id"], "left")
-                  .select(*keys, "id", F.least("id", F.coalesce("m", "id")).alias("comp")))
-    multi = tile_counts(pts, key, tile_rows).filter(F.col("__nt") > 1).select(key)
-    multi = cut_lineage(multi)
-    if multi.limit(1).count() == 0:
-        return local
-    done = local.join(multi, key, "left_anti")
-    rest = connected_components(nodes.join(multi, key, "left_semi"),
-                                star.join(multi, key, "left_semi"), keys)
-    return done.unionByName(rest)
-
-
-def label_components(comps: DataFrame, min_size, key: str = "originator_id") -> DataFrame:
-    """``key, id, cluster_label``: components below ``min_size`` (int or column
-    name holding a per-sender value) are -1, others 0.. by smallest member."""
-    sizes = comps.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("__size"))
-    c = comps.join(sizes, [key, "comp"])
-    ms = F.col(min_size) if isinstance(min_size, str) else F.lit(min_size)
-    big = c.filter(F.col("__size") >= ms).select(key, "comp").distinct()
-    num = big.withColumn("cluster_label",
-                         (F.dense_rank().over(Window.partitionBy(key).orderBy("comp")) - 1).cast("int"))
-    return c.join(num, [key, "comp"], "left").select(
-        key, "id", F.coalesce("cluster_label", F.lit(-1)).cast("int").alias("cluster_label"))
+    labels = cut_lineage(nodes.select(*keys, "id").distinct().join(first, keys + ["id"], "left")
+                         .select(*keys, "id", F.least("id", F.coalesce("m", "id")).alias("comp")))
+
+    def jump(df: DataFrame) -> DataFrame:
+        at = df.select(*keys, F.col("id").alias("comp"), F.col("comp").alias("cc"))
+        return df.join(at, keys + ["comp"], "left").select(
+            *keys, "id", "was", F.least("comp", F.coalesce("cc", "comp")).alias("comp"))
+
+    while True:
+        near = e.join(labels.select(*keys, F.col("id").alias("b"), F.col("comp").alias("cb")), keys + ["b"]) \
+            .groupBy(*keys, F.col("a").alias("id")).agg(F.min("cb").alias("m"))
+        step = labels.join(near, keys + ["id"], "left").select(
+            *keys, "id", F.col("comp").alias("was"), F.least("comp", F.coalesce("m", "comp")).alias("comp"))
+        labels = cut_lineage(jump(jump(step)), replaces=labels)
+        if not labels.filter(F.col("comp") != F.col("was")).limit(1).count():
+            return labels.drop("was")
+
+
+def _distributed_labels(pts: DataFrame, levels: list[float], key: str, tile_rows: int,
+                        select_stable: bool, allow_single_cluster: bool) -> DataFrame:
+    """``key, id, cluster_label`` (noise left out) of senders of any size; ``pts``: key, id, vec,
+    min_size, min_samples."""
+    tiling = tile(pts, levels[-1], key, "id", "vec", tile_rows)
+    samples = pts.groupBy(key).agg(F.min("min_samples").alias("min_samples"))
+    cores = cut_lineage(core_distances(tiling, samples, levels[-1]))
+    star = local_components(tiling, cores, levels)
+    nodes = pts.select(key, "id", F.explode(F.array(*[F.lit(i) for i in range(len(levels))])).alias("level"))
+    comps = connected_components(nodes, star, [key, "level"])
+    minimum = pts.groupBy(key).agg(F.min("min_size").alias("min_size"), F.count("*").alias("n"))
+    sizes = comps.groupBy(key, "level", "comp").agg(F.count("*").alias("size")).join(minimum, key) \
+        .filter(F.col("size") >= F.col("min_size"))
+    if select_stable:
+        chosen = _stable_components(comps, sizes, levels, key, allow_single_cluster)
+    else:
+        chosen = sizes.select(key, "level", "comp")
+    number = F.dense_rank().over(Window.partitionBy(key).orderBy("level", "comp")) - 1
+    return comps.join(chosen.withColumn("cluster_label", number.cast("int")), [key, "level", "comp"]) \
+        .select(key, "id", "cluster_label")
+
+
+def _stable_components(comps: DataFrame, sizes: DataFrame, levels: list[float], key: str,
+                       allow_single_cluster: bool) -> DataFrame:
+    """:func:`most_stable` over the component tables: ``key, level, comp``."""
+    lam = [1 / max(e, 1e-12) for e in levels] + [1 / BIRTH]
+    gain = F.element_at(F.array(*[F.lit(a - b) for a, b in zip(lam, lam[1:])]), F.col("level") + 1)
+    # the smallest member names a component, so its own component one level up is the parent
+    up = comps.select(key, F.col("id").alias("comp"), (F.col("level") - 1).alias("level"),
+                      F.col("comp").alias("parent"))
+    nodes = cut_lineage(sizes.join(up, [key, "level", "comp"], "left")
+                        .withColumn("gain", F.col("size") * gain))
+    seen, below = [], None
+    for li in range(len(levels)):
+        at = nodes.filter(F.col("level") == li)
+        if below is None:
+            at = at.withColumns({"k": F.lit(0), "child_own": F.lit(0.0), "child_sub": F.lit(0.0),
+                                 "child_best": F.lit(0.0)})
+        else:
+            children = below.groupBy(key, F.col("parent").alias("comp")).agg(
+                F.count("*").alias("k"), F.sum("own").alias("child_own"), F.sum("sub").alias("child_sub"),
+                F.sum(F.greatest("own", "sub")).alias("child_best"))
+            at = at.join(children, [key, "comp"], "left") \
+                .fillna({"k": 0, "child_own": 0.0, "child_sub": 0.0, "child_best": 0.0})
+        one = F.col("k") == 1
+        at = at.withColumn("own", F.col("gain") + F.when(one, F.col("child_own")).otherwise(0.0)) \
+            .withColumn("sub", F.when(one, F.col("child_sub")).otherwise(F.col("child_best")))
+        root = F.lit(False) if allow_single_cluster else F.col("size") == F.col("n")
+        below = cut_lineage(at.withColumn("keep", (F.col("own") >= F.col("sub")) & ~root)
+                            .select(key, "level", "comp", "parent", "own", "sub", "keep"))
+        seen.append(below)
+    chosen = above = None
+    for at in reversed(seen):
+        if above is not None:
+            at = at.join(above, [key, "parent"], "left")
+        else:
+            at = at.withColumn("covered", F.lit(False))
+        at = cut_lineage(at.select(key, "level", "comp", F.coalesce("covered", F.lit(False)).alias("blocked"),
+                                   "keep"))
+        above = at.select(key, F.col("comp").alias("parent"), (F.col("blocked") | F.col("keep")).alias("covered"))
+        picked = at.filter(F.col("keep") & ~F.col("blocked")).select(key, "level", "comp")
+        chosen = picked if chosen is None else chosen.unionByName(picked)
+    return chosen
+
+
+def ladder_levels(lowest: float = config.PROFILE_SELECTION_EPSILON, highest: float = 1.0,
+                  steps: int = 10) -> list[float]:
+    """Evenly spaced eps levels from the selection epsilon up; 1.0 is a cosine of 0.5."""
+    return [lowest + (highest - lowest) * i / (steps - 1) for i in range(steps)]
+
+
+def _cluster(df: DataFrame, min_cluster_size, min_samples, levels, key: str, id_col: str, vec_col: str,
+             tile_rows: int, select_stable: bool, allow_single_cluster: bool) -> DataFrame:
+    levels = sorted(float(x) for x in levels)
+
+    def value(x):
+        return (F.col(x) if isinstance(x, str) else F.lit(x)).cast("int")
+
+    pts = df.select(key, F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"),
+                    value(min_cluster_size).alias("min_size"), value(min_samples).alias("min_samples"))
+    types = dict(pts.dtypes)
+    large = cut_lineage(pts.groupBy(key).count().filter(F.col("count") > tile_rows).select(key))
+
+    def run(group: pa.Table) -> pa.Table:
+        group = group.sort_by("id")
+        label = block_labels(unit_matrix(group["vec"]), group["min_size"][0].as_py(),
+                             group["min_samples"][0].as_py(), levels, select_stable, allow_single_cluster)
+        return pa.table({key: group[key], "id": group["id"], "cluster_label": pa.array(label)})
+
+    labels = pts.join(large, key, "left_anti").groupBy(key).applyInArrow(
+        run, f"`{key}` {types[key]}, id {types['id']}, cluster_label int")
+    if large.limit(1).count():
+        labels = labels.unionByName(_distributed_labels(
+            cut_lineage(pts.join(large, key, "left_semi")), levels, key, tile_rows, select_stable,
+            allow_single_cluster))
+    return df.join(labels.withColumnRenamed("id", id_col), [key, id_col], "left") \
+        .withColumn("cluster_label", F.coalesce("cluster_label", F.lit(-1)))
 
 
 # V5
 def density_clusters(df: DataFrame, eps: float, min_cluster_size=config.PROFILE_MIN_CLUSTER_SIZE,
-                     min_samples: int = config.PROFILE_MIN_SAMPLES, key: str = "originator_id",
+                     min_samples=config.PROFILE_MIN_SAMPLES, key: str = "originator_id",
                      id_col: str = "template_hash", vec_col: str = "embedding",
                      tile_rows: int = TILE_ROWS) -> DataFrame:
     """``df`` + ``cluster_label`` (-1 = noise) at the flat level ``eps``.
 
-    ``min_cluster_size`` is an int or the name of a per-sender column of ``df``.
+    ``min_cluster_size`` and ``min_samples`` are ints or names of per-sender columns
+    of ``df``; ``id_col`` must be unique within a sender.
     """
-    pts = cut_lineage(df.select(key, id_col, vec_col))
-    cores = core_distances(pts, min_samples, eps, key, id_col, vec_col, tile_rows)
-    cores = cut_lineage(cores) if min_samples > 1 else cores      # all zero otherwise: nothing to keep
-    star = cut_lineage(local_components(pts, cores, [eps], key, id_col, vec_col, tile_rows).drop("level"))
-    comps = merge_local_components(pts, star, [key], key, id_col, tile_rows)
-    if isinstance(min_cluster_size, str):
-        comps = comps.join(df.select(key, min_cluster_size).distinct(), key)
-    lab = label_components(comps, min_cluster_size, key)
-    return df.join(lab.withColumnRenamed("id", id_col), [key, id_col], "left") \
-             .withColumn("cluster_label", F.coalesce("cluster_label", F.lit(-1)))
+    return _cluster(df, min_cluster_size, min_samples, [eps], key, id_col, vec_col, tile_rows, False, False)
 
 
 # V6
 def eom_clusters(df: DataFrame, levels, min_cluster_size=config.PROFILE_MIN_CLUSTER_SIZE,
-                 min_samples: int = config.PROFILE_MIN_SAMPLES, key: str = "originator_id",
+                 min_samples=config.PROFILE_MIN_SAMPLES, key: str = "originator_id",
                  id_col: str = "template_hash", vec_col: str = "embedding",
                  tile_rows: int = TILE_ROWS, allow_single_cluster: bool = False) -> DataFrame:
-    """Excess-of-mass selection over the eps ladder ``levels`` (ascending).
-
-    A cluster is a component of size >= ``min_cluster_size`` at some level;
-    its stability is size * (1/eps_level - 1/eps_parent_level), summed over
-    the levels it stays the same set. Bottom-up, a cluster is kept when its
-    stability is not below the summed stability of its kept descendants.
-    The all-in-one component at the top level is never chosen unless
-    ``allow_single_cluster``.
+    """``df`` + ``cluster_label`` by excess-of-mass selection over the eps ladder ``levels``.
+
+    The lowest level is the selection epsilon: no cluster is split below it. See
+    :func:`most_stable`.
     """
-    levels = sorted(float(x) for x in levels)
-    eps_max = levels[-1]
-    pts = cut_lineage(df.select(key, id_col, vec_col))
-    cores = cut_lineage(core_distances(pts, min_samples, eps_max, key, id_col, vec_col, tile_rows))
-    star = cut_lineage(local_components(pts, cores, levels, key, id_col, vec_col, tile_rows))
-    ms = F.col(min_cluster_size) if isinstance(min_cluster_size, str) else F.lit(min_cluster_size)
-    mcs = df.select(key, min_cluster_size).distinct() if isinstance(min_cluster_size, str) else None
-    allc = cut_lineage(merge_local_components(pts, star, [key, "level"], key, id_col, tile_rows,
-                                              levels=len(levels)))
-    if mcs is not None:
-        allc = allc.join(mcs, key)
-    sizes = allc.groupBy(key, "level", "comp").agg(F.count(F.lit(1)).alias("size"),
-                                                   F.first(ms).alias("mcs") if mcs is not None
-                                                   else F.lit(min_cluster_size).alias("mcs"))
-    # parent of (level, comp) = component at level+1 of any member (its smallest id)
-    up = allc.select(key, "id", (F.col("level") - 1).alias("level"), F.col("comp").alias("parent"))
-    link = allc.join(up, [key, "id", "level"]).groupBy(key, "level", "comp") \
-               .agg(F.min("parent").alias("parent"))
-    inv = {i: 1.0 / e for i, e in enumerate(levels)}
-    lam = F.create_map(*[x for i, v in inv.items() for x in (F.lit(i), F.lit(v))])
-    nodes_t = (sizes.join(link, [key, "level", "comp"], "left")
-                    .filter(F.col("size") >= F.col("mcs"))
-                    .withColumn("lam", lam[F.col("level")])
-                    .withColumn("lam_parent", F.coalesce(lam[F.col("level") + 1], F.lit(0.0)))
-                    .withColumn("stab", F.col("size") * (F.col("lam") - F.col("lam_parent"))))
-    nodes_t = cut_lineage(nodes_t)
-    # bottom-up over the ladder. A node with one child is the same cluster
-    # continuing, so its stability accumulates along the chain ("own"); "sub"
-    # is the best the split below can offer. Keep a node when own >= sub.
-    best = None
-    chosen = []
-    for li in range(len(levels)):
-        cur = nodes_t.filter(F.col("level") == li)
-        if best is None:
-            cur = cur.withColumn("n_child", F.lit(0)).withColumn("child_own", F.lit(0.0)) \
-                     .withColumn("child_sub", F.lit(0.0)).withColumn("child_best", F.lit(0.0))
-        else:
-            agg = best.groupBy(key, F.col("parent").alias("comp")).agg(
-                F.count(F.lit(1)).alias("n_child"), F.sum("own").alias("child_own"),
-                F.sum("sub").alias("child_sub"), F.sum("best").alias("child_best"))
-            cur = cur.join(agg, [key, "comp"], "left") \
-                     .fillna({"n_child": 0, "child_own": 0.0, "child_sub": 0.0, "child_best": 0.0})
-        one = F.col("n_child") == 1
-        cur = (cur.withColumn("own", F.col("stab") + F.when(one, F.col("child_own")).otherwise(0.0))
-                  .withColumn("sub", F.when(one, F.col("child_sub")).otherwise(F.col("child_best")))
-                  .withColumn("keep", F.col("own") >= F.col("sub"))
-                  .withColumn("best", F.greatest("own", "sub")))
-        cur = cut_lineage(cur)
-        chosen.append(cur.select(key, "level", "comp", "parent", "keep"))
-        best = cur.select(key, "comp", "parent", "own", "sub", "best")
-    # top-down: a kept node is selected unless an ancestor was selected
-    sel = None
-    for li in reversed(range(len(levels))):
-        cur = chosen[li]
-        if li == len(levels) - 1 and not allow_single_cluster:
-            cur = cur.withColumn("keep", F.lit(False))
-        if sel is None:
-            cur = cur.withColumn("blocked", F.lit(False))
-        else:
-            cur = cur.join(sel.select(key, F.col("comp").alias("parent"),
-                                      F.col("covered").alias("blocked")), [key, "parent"], "left") \
-                     .fillna({"blocked": False})
-        cur = cur.withColumn("selected", F.col("keep") & ~F.col("blocked")) \
-                 .withColumn("covered", F.col("selected") | F.col("blocked"))
-        cur = cut_lineage(cur)
-        sel = cur if sel is None else cur
-        chosen[li] = cur
-    picked = None
-    for li in range(len(levels)):
-        s = chosen[li].filter("selected").select(key, "level", "comp")
-        picked = s if picked is None else picked.unionByName(s)
-    members = allc.join(picked, [key, "level", "comp"]).select(key, "id", "level", "comp")
-    num = (picked.withColumn("cluster_label", (F.dense_rank().over(
-        Window.partitionBy(key).orderBy("level", "comp")) - 1).cast("int")))
-    lab = members.join(num, [key, "level", "comp"]).select(key, F.col("id").alias(id_col), "cluster_label")
-    return df.join(lab, [key, id_col], "left") \
-             .withColumn("cluster_label", F.coalesce("cluster_label", F.lit(-1)))
+    return _cluster(df, min_cluster_size, min_samples, levels, key, id_col, vec_col, tile_rows, True,
+                    allow_single_cluster)

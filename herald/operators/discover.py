@@ -11,12 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from herald import config
-from herald.functions.vectors import dot, unit_normalize
 from herald.operators.assign import is_known
 from herald.operators.centroids import centroids
-from herald.operators.profile import nearest_examples
-
-PROPOSAL_COLUMNS = ("proposed_cluster_id", "proposed_campaign_name", "proposed_campaign_score")
+from herald.operators.profile import member_similarity, nearest_examples
+from herald.session import cut_lineage
 
 
 # A7 + A8
@@ -46,24 +44,29 @@ def unknown_for_discovery(assigned: DataFrame, min_coverage: float = config.MIN_
 
 
 # F18
-def adaptive_min_cluster_size(unknown: DataFrame, key: str = "originator_id",
-                              frac: float = config.MIN_CLUSTER_FRAC,
-                              floor: int = config.MIN_CLUSTER_SIZE_FLOOR) -> DataFrame:
-    """``max(floor, int(frac * n))`` per sender, as a column to join."""
-    return unknown.groupBy(key).agg(
-        F.greatest(F.lit(floor), F.floor(F.count(F.lit(1)) * F.lit(frac)).cast("int"))
-         .alias("min_cluster_size"))
+def adaptive_parameters(templates: DataFrame, key: str = "originator_id",
+                        frac: float = config.MIN_CLUSTER_FRAC, size_floor: int = config.MIN_CLUSTER_SIZE_FLOOR,
+                        samples_floor: int = config.MIN_SAMPLES_FLOOR,
+                        min_samples: int | None = None) -> DataFrame:
+    """Per sender of ``n`` templates: ``min_cluster_size = max(floor, int(frac * n))`` and
+    ``min_samples``, the given one or else ``max(floor, int(sqrt(n)))``."""
+    n = F.count(F.lit(1))
+    samples = F.lit(min_samples) if min_samples is not None else \
+        F.greatest(F.lit(samples_floor), F.floor(F.sqrt(n)).cast("int"))
+    return templates.groupBy(key).agg(
+        F.greatest(F.lit(size_floor), F.floor(n * F.lit(frac)).cast("int")).alias("min_cluster_size"),
+        F.max(samples).alias("min_samples") if min_samples is not None else samples.alias("min_samples"))
 
 
 def propose_clusters(labelled: DataFrame, namer=None, key: str = "originator_id",
                      label_col: str = "cluster_label", vec_col: str = "embedding",
                      min_members: int = config.MIN_CLUSTER_MEMBERS,
                      n_samples: int = config.N_SAMPLES, max_words: int = config.MAX_WORDS):
-    """One record per kept cluster, plus member similarities.
+    """The kept clusters and their members.
 
-    Returns ``(clusters, members)``: clusters carry label, size, centroid,
-    proposed name and members as ``array<struct<template_hash, sim>>`` sorted
-    by similarity; members carry ``sim_score``.
+    Returns ``(clusters, members)``: clusters carry label, size, centroid and
+    proposed name; members, one row each, carry ``sim_score`` and their ``rank`` by
+    similarity within the cluster's samples (null beyond ``n_samples``).
     """
     from herald.operators.naming import name_from_samples
 
@@ -71,22 +74,18 @@ def propose_clusters(labelled: DataFrame, namer=None, key: str = "originator_id"
     keys = [key, label_col]
     sizes = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("cluster_size"))
     kept = sizes.filter(F.col("cluster_size") >= min_members)                      # F11
-    members = valid.join(kept, keys, "left_semi")
-    cents = centroids(members, keys, vec_col)
-    members = members.join(cents, keys).withColumn(
-        "sim_score", dot(unit_normalize(vec_col), F.col("centroid"))).drop("centroid")
+    members = valid.join(kept.select(*keys), keys, "left_semi")
+    cents = cut_lineage(centroids(members, keys, vec_col).withColumn("row_index", F.lit(0)))
+    members = cut_lineage(member_similarity(members, cents, key, label_col, vec_col).drop("row_index"))
     top = nearest_examples(members, n_samples, key, label_col)                      # W2
     text = "normalized_text" if "normalized_text" in top.columns else None
     top = top.withColumn("text_sample", F.col(text) if text else F.lit(""))
     names = (namer or (lambda e: name_from_samples(e, keys, max_words=max_words,
                                                    out="proposed_label")))(top)
-    member_list = members.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("sim_score")).alias("neg_sim"), "template_hash")), ).alias("__m"))
-    member_list = member_list.select(*keys, F.transform("__m", lambda m: F.struct(
-        m["template_hash"].alias("template_hash"), (-m["neg_sim"]).alias("sim"))).alias("members"))
-    clusters = (kept.join(cents, keys).join(names, keys, "left").join(member_list, keys)
+    clusters = (kept.join(cents.drop("row_index"), keys).join(names, keys, "left")
                     .withColumn("proposed_label", F.coalesce("proposed_label", F.lit(""))))
-    return clusters, members
+    ranks = top.select(key, "template_hash", "rank")
+    return cut_lineage(clusters), members.join(ranks, [key, "template_hash"], "left")
 
 
 # J8 + F14
@@ -147,13 +146,10 @@ def discover(assigned: DataFrame, cluster_fn, namer=None, key: str = "originator
 
     Returns ``(upserted, clusters, new_campaign_rows)``.
     """
-    from herald.session import cut_lineage
-
     unknown = unknown_for_discovery(assigned, min_coverage, min_unassigned, key)
     labelled = cut_lineage(cluster_fn(unknown))
     clusters, members = propose_clusters(labelled, namer, key, "cluster_label", vec_col,
                                          min_members, n_samples, max_words)
-    clusters, members = cut_lineage(clusters), cut_lineage(members)
     upserted = upsert_proposals(assigned, clusters, members, key, "cluster_label", threshold)
     ts = "timestamp" if "timestamp" in assigned.columns else ("date" if "date" in assigned.columns else None)
     nc = new_campaigns(clusters, members, key, "cluster_label", ts, run_ts)

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from herald import config
-from herald.functions.vectors import dot, unit_normalize
-from herald.operators.assign import broadcast_if_small
+from herald.operators.blocks import nearest_center
 from herald.operators.centroids import centroids, cluster_counts
 
 
@@ -31,13 +30,11 @@ def campaign_table(clustered: DataFrame, key: str = "originator_id",
 
 def member_similarity(clustered: DataFrame, camps: DataFrame, key: str = "originator_id",
                       label_col: str = "cluster_label", vec_col: str = "embedding",
-                      broadcast_rows: int | None = 20_000) -> DataFrame:
-    """Each member with ``sim_score`` = cosine to its cluster centroid (V3)."""
-    c = camps.select(key, label_col, "row_index", "centroid")
-    c = broadcast_if_small(c, broadcast_rows)
-    return (clustered.join(c, [key, label_col])
-                     .withColumn("sim_score", dot(unit_normalize(vec_col), F.col("centroid")))
-                     .drop("centroid"))
+                      id_col: str = "template_hash") -> DataFrame:
+    """Each member with ``sim_score`` = cosine to its cluster's centroid (V3), in blocks of a cluster."""
+    own = [key, label_col]
+    sims = nearest_center(clustered, camps, own, id_col, vec_col).withColumnRenamed("score", "sim_score")
+    return clustered.join(sims, [*own, id_col])
 
 
 # W1 / W2
@@ -83,9 +80,3 @@ def build_profile(clustered: DataFrame, namer=None, n_nearest: int = config.N_NE
                  .withColumn("campaign_name", F.coalesce("campaign_name", F.lit("")))
     ex = ex.join(camps.select(key, label_col, "campaign_name"), [key, label_col], "left")
     return camps, ex
-
-
-# S12 / A12
-def campaign_names(camps: DataFrame, key: str = "originator_id") -> DataFrame:
-    """Distinct non-null campaign names per sender."""
-    return camps.filter(F.col("campaign_name").isNotNull()).select(key, "campaign_name").distinct()

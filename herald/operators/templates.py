@@ -12,22 +12,31 @@ from pyspark.sql import functions as F
 
 from herald.functions.hashing import template_hash
 from herald.functions.text import normalize_messages
-from herald.session import spread_small_input
 
 
 # T18
 def normalize_and_hash(messages: DataFrame, text_col: str = "raw_text", seed: int = 0,
-                       drop_null_text: bool = True) -> DataFrame:
+                       drop_null_text: bool = True, spread: int | None = None) -> DataFrame:
     """Add ``normalized_text`` and ``template_hash``.
 
-    Null texts are dropped (the count is visible as input minus output rows).
+    Null texts are dropped; :func:`null_text_counts` reports how many. ``spread``
+    deals the rows to that many tasks first, for an input that arrives in fewer
+    splits than there are task slots; a large input needs none.
     """
     df = messages.filter(F.col(text_col).isNotNull()) if drop_null_text else \
         messages.withColumn(text_col, F.coalesce(F.col(text_col), F.lit("nan")))
-    df = normalize_messages(spread_small_input(df), text_col=text_col, out_col="normalized_text")
+    df = df.repartition(spread) if spread else df
+    df = normalize_messages(df, text_col=text_col, out_col="normalized_text")
     return df.withColumn("template_hash", template_hash("normalized_text", seed))
 
 
+def null_text_counts(messages: DataFrame, text_col: str = "raw_text",
+                     key: str = "originator_id") -> DataFrame:
+    """Messages and dropped null texts per sender (T18's report)."""
+    return messages.groupBy(key).agg(F.count(F.lit(1)).alias("n_messages"),
+                                     F.count_if(F.col(text_col).isNull()).alias("n_null_text"))
+
+
 # A1
 def dedupe_by_hash(df: DataFrame, hash_col: str = "template_hash",
                    key_cols=("originator_id",), order_col: str = "seq",
@@ -42,10 +51,10 @@ def dedupe_by_hash(df: DataFrame, hash_col: str = "template_hash",
                       F.col("_first.seq").alias("seq"), "count_in_window")
 
 
-def build_templates(messages: DataFrame, seed: int = 0) -> DataFrame:
+def build_templates(messages: DataFrame, seed: int = 0, spread: int | None = None) -> DataFrame:
     """Message batch -> templates ``originator_id, template_hash, message_id,
     normalized_text, seq, count_in_window``."""
-    return dedupe_by_hash(normalize_and_hash(messages, seed=seed))
+    return dedupe_by_hash(normalize_and_hash(messages, seed=seed, spread=spread))
 
 
 def top_templates(templates: DataFrame, n: int = 10) -> DataFrame:

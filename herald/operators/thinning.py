@@ -11,19 +11,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from herald import config
+from herald.session import cut_lineage
+
 BUCKET_ROWS = 1 << 20
 
 
+def bucket_counts(df: DataFrame, key: str, order: str, bucket_rows: int) -> DataFrame:
+    """``key, __bucket, __n``: rows per sender and range of ``order`` (a small table)."""
+    return df.groupBy(key, F.floor(F.col(order) / bucket_rows).alias("__bucket")) \
+        .agg(F.count(F.lit(1)).alias("__n"))
+
+
 def match_position(df: DataFrame, key: str = "originator_id", order: str = "seq",
-                   out: str = "match_pos", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+                   out: str = "match_pos", bucket_rows: int = BUCKET_ROWS,
+                   counts: DataFrame | None = None) -> DataFrame:
     """1-based position of each row among the rows of its ``key``, by ``order``."""
     b = "__bucket"
-    df = df.withColumn(b, F.floor(F.col(order) / bucket_rows))
-    counts = df.groupBy(key, b).agg(F.count(F.lit(1)).alias("__n"))
+    counts = bucket_counts(df, key, order, bucket_rows) if counts is None else counts
     w = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
     rn = F.row_number().over(Window.partitionBy(key, b).orderBy(order))
-    return (df.withColumn("__rn", rn).join(offsets, [key, b])
+    return (df.withColumn(b, F.floor(F.col(order) / bucket_rows)).withColumn("__rn", rn)
+              .join(offsets, [key, b])
               .withColumn(out, (F.col("__off") + F.col("__rn")).cast("long"))
               .drop(b, "__rn", "__off"))
 
@@ -47,20 +57,30 @@ def matches_per_originator(df: DataFrame, key: str = "originator_id") -> DataFra
 
 
 # F5
-def dilute_factors(df: DataFrame, target_rows: int = 5000,
-                   key: str = "originator_id") -> DataFrame:
-    """``max(1, ceil(count / target_rows))`` per sender with at least one row."""
-    return matches_per_originator(df, key).withColumn(
-        "dilute", F.greatest(F.lit(1), F.ceil(F.col("n_matches") / F.lit(target_rows))).cast("long"))
+def dilution(target_rows: int):
+    return F.greatest(F.lit(1), F.ceil(F.col("n_matches") / F.lit(target_rows))).cast("long")
 
 
-def adaptive_thin(df: DataFrame, target_rows: int = 5000, key: str = "originator_id",
-                  order: str = "seq") -> DataFrame:
-    """thin each sender towards ``target_rows`` by its own factor (one scan,
-    the factor table has one row per sender)."""
-    f = dilute_factors(df, target_rows, key).select(key, "dilute")
-    pos = match_position(df, key, order).join(f, key)
-    return pos.filter(F.col("match_pos") % F.col("dilute") == 0).drop("match_pos", "dilute")
+def dilute_factors(df: DataFrame, target_rows: int = config.TARGET_ROWS,
+                   key: str = "originator_id") -> DataFrame:
+    """``max(1, ceil(count / target_rows))`` per sender with at least one row."""
+    return matches_per_originator(df, key).withColumn("dilute", dilution(target_rows))
+
+
+def adaptive_thin(df: DataFrame, target_rows: int = config.TARGET_ROWS, key: str = "originator_id",
+                  order: str = "seq", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """thin each sender towards ``target_rows`` by its own factor; ``order`` is unique in a sender.
+
+    Bucket counts, written once, give both the offsets and the senders' totals.
+    Only (sender, position) is sorted and numbered; whole rows meet the kept
+    positions in one join. Two scans read two columns, one reads the rows.
+    """
+    counts = cut_lineage(bucket_counts(df, key, order, bucket_rows))
+    total = counts.groupBy(key).agg(F.sum("__n").alias("n_matches"))
+    factor = total.select(key, dilution(target_rows).alias("dilute"))
+    kept = match_position(df.select(key, order), key, order, bucket_rows=bucket_rows, counts=counts) \
+        .join(factor, key).filter(F.col("match_pos") % F.col("dilute") == 0).select(key, order)
+    return df.join(kept, [key, order], "left_semi")
 
 
 # F7

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from herald import catalog as C
 from herald.functions import text as TX
-from herald.functions.fixed_values import GENERIC_TERMS, SIGNOFF_WORDS
+from herald.functions.fixed_values import GENERIC_TERMS, OTP_CONTEXT_WORDS, SIGNOFF_WORDS
 from herald.operators import naming as NM
 from herald.operators.density import cos_to_dist
 
@@ -41,6 +41,11 @@ RE2_EMAIL = r"(?i)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b"
 RE2_TIME = r"(?i)\b(\d{1,2}):(\d{2})\s*(am|pm)\s*et\b"
 RE2_GATE = r"(?i)\bgate\s*[a-zA-Z]\d{1,3}\b"
 RE2_OTP = r"\b([0-9]{4,8})\b"
+RE2_PHONE = r"\b\+?\d[\d\-.\s()\x{A0}]{6,}\d\b"
+# Every character that ends a word stands between the marks 2 and 1 (3 after an opening, 4 before a closing
+# brace, next to which no number counts), so a number can be told from its marks without looking around.
+RE2_NUMBER = r"(^|\x01)([0-9]+(?:\x02[.,]\x01[0-9]+)?)(\x02|$)"
+RE2_OTP_CONTEXT = r"(?i)\b(?:" + OTP_CONTEXT_WORDS + r")\b[^0-9]{0,20}\b([0-9]{4,8})\b"
 RE2_URL = r"""(?i)\b((?:https?://|www\.)[^\s<>"]+|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?:/[^\s<>"]*)?)"""
 
 MSGS = """msgs AS (SELECT source AS originator_id, CAST(doc_id AS VARCHAR) AS message_id,
@@ -55,48 +60,124 @@ REGS = """regs AS (SELECT source AS business_number,
                  min(doc_id) AS seq
           FROM documents GROUP BY source, lang)"""
 
-EMB_U = f"""emb_u AS (
-  SELECT '{C.EMB_ORIGINATOR}' AS originator_id, CAST(vec_id AS VARCHAR) AS template_hash, vec_id,
-         CAST(label AS INTEGER) AS cluster_label,
+EMB_U = """emb_u AS (
+  SELECT CASE WHEN vec_id % 100 = 7 THEN 'tiny' ELSE 'e' || (vec_id % 3) END AS originator_id,
+         CAST(vec_id AS VARCHAR) AS template_hash, vec_id,
+         CASE WHEN vec_id % 11 = 0 THEN -1 ELSE CAST(label AS INTEGER) END AS cluster_label,
+         CAST(1 + vec_id % 4 AS BIGINT) AS w, ev.ts, dc.text AS txt,
          list_transform(embedding::DOUBLE[], lambda x: x / greatest(nrm, 1e-12)) AS v
   FROM (SELECT *, sqrt(list_sum(list_transform(embedding::DOUBLE[], lambda y: y * y))) AS nrm
-        FROM embeddings))"""
+        FROM embeddings) e
+  LEFT JOIN events ev ON ev.event_id = e.vec_id LEFT JOIN documents dc ON dc.doc_id = e.vec_id),
+emb_l AS (SELECT * FROM emb_u WHERE cluster_label <> -1)"""
+
+OL = "originator_id, cluster_label"
 
 
 def centroid_ctes(src: str, name: str) -> str:
-    """CTEs ``{name}`` (cluster_label, c) of unit centroids over ``src`` (cluster_label, v)."""
-    return f"""{name}_ex AS (SELECT cluster_label, unnest(range(len(v))) AS pos, unnest(v) AS x FROM {src}),
-{name}_m AS (SELECT cluster_label, pos, avg(x) AS x FROM {name}_ex GROUP BY ALL),
-{name}_n AS (SELECT cluster_label, sqrt(sum(x * x)) AS n FROM {name}_m GROUP BY ALL),
-{name} AS (SELECT m.cluster_label, list(m.x / greatest(n.n, 1e-12) ORDER BY m.pos) AS c
-           FROM {name}_m m JOIN {name}_n n USING (cluster_label) GROUP BY m.cluster_label)"""
-
-
-CAMPS = f"""{centroid_ctes('emb_u', 'cent')},
-cnt AS (SELECT cluster_label, count(*) AS prototypes_count, count(*) AS messages_count
-        FROM emb_u GROUP BY 1),
-camps AS (SELECT cent.cluster_label, CAST(dense_rank() OVER (ORDER BY cent.cluster_label) - 1 AS INTEGER) AS row_index,
-                 'label ' || cent.cluster_label AS campaign_name, c, prototypes_count, messages_count
-          FROM cent JOIN cnt USING (cluster_label))"""
-
-ASSIGN = f"""sc AS (SELECT u.vec_id, u.template_hash, k.row_index, k.cluster_label, k.campaign_name,
-                list_dot_product(u.v, k.c) AS score FROM emb_u u CROSS JOIN camps k),
+    """CTEs ``{name}`` (originator_id, cluster_label, c) of unit centroids over ``src`` (.., v)."""
+    return f"""{name}_ex AS (SELECT {OL}, unnest(range(len(v))) AS pos, unnest(v) AS x FROM {src}),
+{name}_m AS (SELECT {OL}, pos, avg(x) AS x FROM {name}_ex GROUP BY ALL),
+{name}_n AS (SELECT {OL}, sqrt(sum(x * x)) AS n FROM {name}_m GROUP BY ALL),
+{name} AS (SELECT {OL}, list(m.x / greatest(n.n, 1e-12) ORDER BY m.pos) AS c
+           FROM {name}_m m JOIN {name}_n n USING ({OL}) GROUP BY {OL})"""
+
+
+CAMPS = f"""{centroid_ctes('emb_l', 'cent')},
+cnt AS (SELECT {OL}, count(*) AS prototypes_count, CAST(sum(w) AS BIGINT) AS messages_count,
+               min(ts) AS window_start, max(ts) AS window_end FROM emb_l GROUP BY ALL),
+camps AS (SELECT {OL}, CAST(dense_rank() OVER (PARTITION BY originator_id ORDER BY cluster_label) - 1 AS INTEGER)
+                 AS row_index, 'label ' || cluster_label AS campaign_name, c, prototypes_count, messages_count,
+                 window_start, window_end
+          FROM cent JOIN cnt USING ({OL}))"""
+
+EXAMPLES = f"""mem0 AS (SELECT u.template_hash, u.originator_id, u.cluster_label, k.row_index, u.w, u.txt,
+                list_dot_product(u.v, k.c) AS sim FROM emb_l u JOIN camps k USING ({OL})),
+ex AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY {OL} ORDER BY sim DESC, template_hash) AS INTEGER)
+                             AS rk FROM mem0) WHERE rk <= 5)"""
+
+ASSIGN = f"""sc AS (SELECT u.vec_id, k.row_index, k.cluster_label, k.campaign_name,
+                list_dot_product(u.v, k.c) AS score FROM emb_u u JOIN camps k USING (originator_id)),
 best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, row_index) AS rn
                         FROM sc) WHERE rn = 1),
-asg AS (SELECT b.vec_id, b.template_hash, b.row_index, b.cluster_label AS assigned_label, b.campaign_name,
-               b.score, CASE WHEN b.score >= {C.EMB_SIM_THRESHOLD} THEN 'Known' ELSE 'Unknown' END AS status,
-               u.cluster_label
-        FROM best b JOIN emb_u u USING (vec_id))"""
-
-DISCOVERY = f"""gate AS (SELECT count(*) FILTER (WHERE lower(status) <> 'known') AS nu,
-                 avg(CASE WHEN lower(status) = 'known' THEN 1.0 ELSE 0.0 END) AS cov FROM asg),
-unk AS (SELECT asg.* FROM asg, gate WHERE lower(status) <> 'known' AND cov < 0.999 AND nu >= 5),
-sz AS (SELECT cluster_label, count(*) AS cluster_size FROM unk GROUP BY 1 HAVING count(*) >= 3),
-mem AS (SELECT unk.vec_id, unk.template_hash, unk.cluster_label, u.v FROM unk JOIN sz USING (cluster_label)
-        JOIN emb_u u USING (vec_id)),
+asg AS (SELECT u.vec_id, u.template_hash, u.originator_id, u.w, u.ts, u.txt, u.v, b.row_index,
+               b.cluster_label AS assigned_label, coalesce(b.campaign_name, '') AS campaign_name, b.score,
+               CASE WHEN b.score >= {C.EMB_SIM_THRESHOLD} THEN 'Known' ELSE 'Unknown' END AS status
+        FROM emb_u u LEFT JOIN best b USING (vec_id))"""
+
+EPS = f"CAST('{cos_to_dist(C.EMB_DENSITY_MIN_COS)!r}' AS DOUBLE)"
+
+
+def reach_ctes(src: str, p: str) -> str:
+    """CTE ``{p}w`` (originator_id, a, b, w): mutual reachability (min_samples 2) within each sender."""
+    return f"""{p}pr AS (SELECT x.originator_id, x.template_hash AS a, y.template_hash AS b,
+        sqrt(greatest(2.0 - 2.0 * list_dot_product(x.v, y.v), 0.0)) AS d
+        FROM {src} x JOIN {src} y ON x.originator_id = y.originator_id AND x.template_hash <> y.template_hash),
+{p}core AS (SELECT originator_id, a, min(d) AS core FROM {p}pr GROUP BY ALL),
+{p}w AS (SELECT r.originator_id, r.a, r.b, greatest(r.d, ca.core, cb.core) AS w
+         FROM {p}pr r JOIN {p}core ca ON ca.a = r.a AND ca.originator_id = r.originator_id
+         JOIN {p}core cb ON cb.a = r.b AND cb.originator_id = r.originator_id)"""
+
+
+def component_ctes(src: str, p: str, eps: str, out: str) -> str:
+    """Recursive CTE and ``{out}`` (originator_id, id, comp) at one level."""
+    return f"""{out}_r(originator_id, id, comp) AS (SELECT originator_id, template_hash, template_hash FROM {src}
+        UNION SELECT r.originator_id, e.b, r.comp FROM {out}_r r JOIN {p}w e
+              ON e.originator_id = r.originator_id AND e.a = r.id AND e.w <= {eps}),
+{out} AS (SELECT originator_id, id, min(comp) AS comp FROM {out}_r GROUP BY originator_id, id)"""
+
+
+def label_ctes(comp: str, out: str, size: int) -> str:
+    """CTE ``{out}`` (originator_id, id, cluster_label), noise left out."""
+    return f"""{out}_k AS (SELECT originator_id, comp, CAST(dense_rank() OVER (PARTITION BY originator_id ORDER BY comp) - 1
+        AS INTEGER) AS cluster_label FROM (SELECT originator_id, comp FROM {comp} GROUP BY ALL HAVING count(*) >= {size})),
+{out} AS (SELECT c.originator_id, c.id, k.cluster_label FROM {comp} c JOIN {out}_k k USING (originator_id, comp))"""
+
+
+def stable_ctes(p: str, levels: list[float], size: int) -> str:
+    """Excess-of-mass choice over component CTEs ``{p}l0`` ..: CTE ``{p}chosen`` (originator_id, lv, comp)."""
+    lam = [1 / e for e in levels] + [0.5]
+    out = [f"{p}n AS (SELECT originator_id, count(*) AS n FROM {p}l0 GROUP BY ALL)"]
+    for i in range(len(levels)):
+        up = f"(SELECT originator_id, id AS comp, comp AS parent FROM {p}l{i + 1})" if i + 1 < len(levels) else \
+            "(SELECT '' AS originator_id, '' AS comp, '' AS parent WHERE false)"
+        kids = f"""(SELECT originator_id, parent AS comp, count(*) AS k, sum(own) AS o, sum(sub) AS s,
+                    sum(greatest(own, sub)) AS b FROM {p}t{i - 1} GROUP BY ALL)""" if i else \
+            "(SELECT '' AS originator_id, '' AS comp, 0 AS k, 0.0 AS o, 0.0 AS s, 0.0 AS b WHERE false)"
+        out.append(f"""{p}t{i} AS (SELECT z.originator_id, z.comp, u.parent,
+          z.size * ({lam[i]!r}::DOUBLE - {lam[i + 1]!r}::DOUBLE) + CASE WHEN c.k = 1 THEN c.o ELSE 0 END AS own,
+          coalesce(CASE WHEN c.k = 1 THEN c.s ELSE c.b END, 0) AS sub, z.size < n.n AS inner_node
+        FROM (SELECT originator_id, comp, count(*) AS size FROM {p}l{i} GROUP BY ALL HAVING count(*) >= {size}) z
+        JOIN {p}n n USING (originator_id) LEFT JOIN {up} u USING (originator_id, comp)
+        LEFT JOIN {kids} c USING (originator_id, comp))""")
+    for i in reversed(range(len(levels))):
+        above = f"LEFT JOIN {p}s{i + 1} a ON a.originator_id = t.originator_id AND a.comp = t.parent" \
+            if i + 1 < len(levels) else ""
+        blocked = "coalesce(a.covered, false)" if above else "false"
+        out.append(f"""{p}s{i} AS (SELECT t.originator_id, t.comp, NOT {blocked} AND t.own >= t.sub AND t.inner_node AS picked,
+          {blocked} OR (t.own >= t.sub AND t.inner_node) AS covered FROM {p}t{i} t {above})""")
+    picks = " UNION ALL ".join(f"SELECT originator_id, {i} AS lv, comp FROM {p}s{i} WHERE picked"
+                               for i in range(len(levels)))
+    out.append(f"{p}chosen AS ({picks})")
+    return ",\n".join(out)
+
+
+DISCOVERY = f"""gate AS (SELECT originator_id, count(*) FILTER (WHERE lower(status) <> 'known') AS nu,
+                 avg(CASE WHEN lower(status) = 'known' THEN 1.0 ELSE 0.0 END) AS cov FROM asg GROUP BY 1),
+unk AS (SELECT asg.* FROM asg JOIN gate USING (originator_id)
+        WHERE lower(status) <> 'known' AND cov < 0.999 AND nu >= 5),
+{reach_ctes('unk', 'u_')},
+{component_ctes('unk', 'u_', EPS, 'u_c')},
+{label_ctes('u_c', 'u_lab', C.EMB_DENSITY_MIN_SIZE)},
+lab_rows AS (SELECT unk.*, u_lab.cluster_label FROM unk JOIN u_lab
+             ON u_lab.originator_id = unk.originator_id AND u_lab.id = unk.template_hash),
+sz AS (SELECT {OL}, count(*) AS cluster_size FROM lab_rows GROUP BY ALL HAVING count(*) >= 3),
+mem AS (SELECT lab_rows.* FROM lab_rows JOIN sz USING ({OL})),
 {centroid_ctes('mem', 'cent2')},
-ms AS (SELECT m.vec_id, m.template_hash, m.cluster_label, list_dot_product(m.v, c2.c) AS sim
-       FROM mem m JOIN cent2 c2 USING (cluster_label))"""
+ms AS (SELECT m.vec_id, m.template_hash, m.originator_id, m.cluster_label, m.ts, m.txt, list_dot_product(m.v, c2.c) AS sim
+       FROM mem m JOIN cent2 c2 USING ({OL})),
+smp AS (SELECT {OL}, txt AS text_sample FROM (SELECT *, row_number() OVER (
+          PARTITION BY {OL} ORDER BY sim DESC, template_hash) AS rk FROM ms) WHERE rk <= 5)"""
 
 
 def url_placeholder(m: str) -> str:
@@ -134,8 +215,16 @@ def tfidf_names(samples: str, group: str, scope: str, text: str, out: str, max_w
 def _sql() -> dict:
     q = {}
     q["envelope_parse"] = f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs"
-    q["extract_originator"] = (f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE seq <= 1000000 "
-                               f"AND originator_id = '{C.EXTRACT_ORIGINATOR}' AND seq % {C.EXTRACT_DILUTE} = 0")
+    q["extract_originator"] = (f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE "
+                               f"originator_id = '{C.EXTRACT_ORIGINATOR}' AND seq % {C.EXTRACT_DILUTE} = 0")
+    q["bounded_scan"] = f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE seq <= {C.EXTRACT_BOUND}"
+    q["envelopes_csv"] = q["messages_csv"] = (
+        "SELECT source AS originator_id, CAST(doc_id AS VARCHAR) AS message_id, text AS raw_text FROM documents")
+    q["registrations_csv"] = (f"WITH {REGS} SELECT * REPLACE (row_number() OVER (ORDER BY seq) AS seq) FROM regs")
+    q["per_originator"] = f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE originator_id = '{C.EXTRACT_ORIGINATOR}'"
+    q["null_text_counts"] = """SELECT source AS originator_id, count(*) AS n_messages,
+       count(*) FILTER (WHERE b.text IS NULL) AS n_null_text
+FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id GROUP BY 1"""
     q["thin_by_match"] = (f"WITH {MSGS}, m AS (SELECT *, row_number() OVER (PARTITION BY originator_id "
                           f"ORDER BY seq) AS rn FROM msgs) SELECT {MSG_COLS} FROM m WHERE rn % {C.THIN_EVERY} = 0")
     q["adaptive_thin"] = (f"WITH {MSGS}, c AS (SELECT originator_id, count(*) AS n FROM msgs GROUP BY 1), "
@@ -166,6 +255,20 @@ SELECT doc_id, regexp_replace(t, {lit(RE2_EMAIL)}, '{{EMAIL}}', 'g') AS masked F
     q["mask_codes"] = f"""WITH c AS (SELECT doc_id, lower({collapse('text')}) AS t FROM documents)
 SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(t, {lit(RE2_TIME)}, '{{TIME}}', 'g'),
        {lit(RE2_GATE)}, '{{GATE}}', 'g'), {lit(RE2_OTP)}, '{{OTP}}', 'g') AS masked FROM c"""
+    notice = """notice AS (SELECT p_partkey, p_partkey AS k, array_to_string(list_transform(string_split(p_name, ' '),
+        lambda s: upper(s[1]) || lower(s[2:])), ' ') AS name, p_retailprice, p_size FROM part),
+    t AS (SELECT p_partkey, 'Alert: ' || name || ' sent you $' || CAST(p_retailprice AS VARCHAR) || ' at ' || (k % 12 + 1) ||
+        ':' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') || CASE WHEN k % 2 = 0 THEN ' PM ET' ELSE 'am et' END || ', gate C' ||
+        (p_size % 100) || '. Your security code is ' || (k + 1000) || '. Thanks, ' AS head, name FROM notice)"""
+    q["fold_notices"] = f"WITH {notice} SELECT p_partkey, head || name AS folded FROM t"
+    q["mask_notices"] = f"""WITH {notice},
+x AS (SELECT p_partkey, head || name AS text, lower(head || name) AS low FROM t)
+SELECT p_partkey, regexp_replace(text, {lit(RE2_SIGNOFF)}, '\\1{{NAME}}', 'g') AS signed,
+       regexp_replace(text, {lit(RE2_SENT)}, '\\1{{NAME}}\\3', 'g') AS sent,
+       regexp_replace(low, {lit(RE2_TIME)}, '{{TIME}}', 'g') AS timed,
+       regexp_replace(low, {lit(RE2_GATE)}, '{{GATE}}', 'g') AS gated,
+       regexp_matches(low, {lit(RE2_OTP_CONTEXT)}) AS has_code,
+       regexp_replace(low, {lit(RE2_OTP)}, '{{OTP}}', 'g') AS coded FROM x"""
     q["mask_urls"] = f"""WITH p AS (SELECT page_id, url AS u, {collapse('html')} AS h FROM pages),
 x AS (SELECT page_id, u, h, string_split_regex(u, {lit(RE2_URL)}) AS pu, regexp_extract_all(u, {lit(RE2_URL)}) AS mu,
              string_split_regex(h, {lit(RE2_URL)}) AS ph, regexp_extract_all(h, {lit(RE2_URL)}) AS mh FROM p)
@@ -184,91 +287,124 @@ SELECT originator_id, template_hash, arg_min(message_id, seq) AS message_id, min
     # vectors
     q["unit_vectors"] = (f"WITH {EMB_U} SELECT vec_id, unnest(range(len(v))) AS pos, "
                          f"round(unnest(v), 6) AS value FROM emb_u")
-    q["centroids"] = (f"WITH {EMB_U}, {centroid_ctes('emb_u', 'cent')} SELECT cluster_label, "
+    q["centroids"] = (f"WITH {EMB_U}, {centroid_ctes('emb_u', 'cent')} SELECT {OL}, "
                       f"unnest(range(len(c))) AS pos, round(unnest(c), 6) AS value FROM cent")
-    q["campaign_table"] = (f"WITH {EMB_U}, {CAMPS} SELECT '{C.EMB_ORIGINATOR}' AS originator_id, row_index, "
-                           f"cluster_label, prototypes_count, messages_count, campaign_name FROM camps")
-    q["assign"] = (f"WITH {EMB_U}, {CAMPS}, {ASSIGN} SELECT vec_id, row_index AS assigned_campaign_row_index, "
-                   f"round(score, 6) AS assigned_campaign_score, assigned_label AS assigned_campaign_label, "
-                   f"campaign_name AS assigned_campaign_name, status FROM asg")
+    q["campaign_table"] = (f"WITH {EMB_U}, {CAMPS} SELECT originator_id, row_index, cluster_label, prototypes_count, "
+                           f"messages_count, window_start, window_end, campaign_name FROM camps")
+    q["assign"] = (f"WITH {EMB_U}, {CAMPS}, {ASSIGN} SELECT vec_id, originator_id, row_index AS "
+                   f"assigned_campaign_row_index, round(score, 6) AS assigned_campaign_score, "
+                   f"assigned_label AS assigned_campaign_label, campaign_name AS assigned_campaign_name, status FROM asg")
     q["coverage"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN},
-cv AS (SELECT '{C.EMB_ORIGINATOR}' AS originator_id, count(*) AS n_total,
+cv AS (SELECT originator_id, count(*) AS n_total,
               coalesce(avg(CASE WHEN lower(status) = 'known' THEN 1.0 ELSE 0.0 END), 0.0) AS cov,
-              count(*) FILTER (WHERE lower(status) <> 'known') AS n_unknown FROM asg)
+              count(*) FILTER (WHERE lower(status) <> 'known') AS n_unknown FROM asg GROUP BY 1)
 SELECT originator_id, n_total, round(cov, 6) AS coverage, n_unknown,
        (cov < 0.999 AND n_unknown >= 5) AS eligible FROM cv"""
-    q["nearest_examples"] = f"""WITH {EMB_U}, {CAMPS},
-mem AS (SELECT u.template_hash, u.cluster_label, k.row_index, list_dot_product(u.v, k.c) AS sim
-        FROM emb_u u JOIN camps k USING (cluster_label)),
-r AS (SELECT *, row_number() OVER (PARTITION BY cluster_label ORDER BY sim DESC, template_hash) AS rk FROM mem)
-SELECT row_index AS campaign_row_index, cluster_label, CAST(rk AS INTEGER) AS rank, template_hash,
-       round(sim, 6) AS sim_score FROM r WHERE rk <= 5"""
+    q["windowed_coverage"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN}
+SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL '1 day' AS window_end, originator_id,
+       count(*) AS n_total, round(avg(CASE WHEN status = 'Known' THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+       count(*) FILTER (WHERE status <> 'Known') AS n_unknown
+FROM asg WHERE ts IS NOT NULL GROUP BY ALL"""
+    q["nearest_examples"] = f"""WITH {EMB_U}, {CAMPS}, {EXAMPLES}
+SELECT originator_id, row_index AS campaign_row_index, cluster_label, rk AS rank, template_hash,
+       round(sim, 6) AS sim_score FROM ex"""
+    named = f"""WITH {EMB_U}, {CAMPS}, {EXAMPLES},
+{tfidf_names('ex', OL, 'originator_id', 'txt', 'campaign_name', p='e_')}"""
+    q["profile_campaigns"] = f"""{named}
+SELECT k.originator_id, row_index, k.cluster_label, prototypes_count, messages_count, window_start, window_end,
+       n.campaign_name FROM camps k JOIN e_named n USING ({OL})"""
+    q["profile_examples"] = f"""{named}
+SELECT ex.originator_id, row_index AS campaign_row_index, ex.cluster_label, rk AS rank, template_hash,
+       round(sim, 6) AS sim_score, w AS count_in_window, n.campaign_name, CAST(length(txt) AS INTEGER) AS sample_chars
+FROM ex JOIN e_named n USING ({OL})"""
+    q["footprint"] = f"""{named}
+SELECT k.originator_id, row_index, k.cluster_label, prototypes_count, n.campaign_name, 1.0::DOUBLE AS norm
+FROM camps k JOIN e_named n USING ({OL})"""
+    q["campaign_examples"] = f"""{named},
+first_name AS (SELECT k.originator_id, n.campaign_name FROM camps k JOIN e_named n USING ({OL}) WHERE row_index = 0)
+SELECT ex.originator_id, row_index AS campaign_row_index, rk AS rank, template_hash
+FROM ex JOIN e_named n USING ({OL}) SEMI JOIN first_name f
+  ON f.originator_id = ex.originator_id AND f.campaign_name = n.campaign_name WHERE txt IS NOT NULL"""
     q["neighbour_pairs"] = f"""WITH {EMB_U}
-SELECT a.template_hash AS a, b.template_hash AS b, round(list_dot_product(a.v, b.v), 6) AS cos
-FROM emb_u a JOIN emb_u b ON a.template_hash < b.template_hash
+SELECT a.originator_id, a.template_hash AS a, b.template_hash AS b, round(list_dot_product(a.v, b.v), 6) AS cos
+FROM emb_u a JOIN emb_u b ON a.originator_id = b.originator_id AND a.template_hash < b.template_hash
 WHERE list_dot_product(a.v, b.v) >= {C.EMB_PAIR_MIN_COS}"""
-    eps = f"CAST('{cos_to_dist(C.EMB_DENSITY_MIN_COS)!r}' AS DOUBLE)"
-    q["density_clusters"] = f"""WITH RECURSIVE {EMB_U},
-pr AS (SELECT a.template_hash AS a, b.template_hash AS b,
-              sqrt(greatest(2.0 - 2.0 * list_dot_product(a.v, b.v), 0.0)) AS d
-       FROM emb_u a JOIN emb_u b ON a.template_hash <> b.template_hash),
-core AS (SELECT a, min(d) AS core FROM pr GROUP BY a),
-e AS (SELECT pr.a, pr.b FROM pr JOIN core ca ON ca.a = pr.a JOIN core cb ON cb.a = pr.b
-      WHERE greatest(pr.d, ca.core, cb.core) <= {eps}),
-r(id, comp) AS (SELECT template_hash, template_hash FROM emb_u
-                UNION SELECT e.b, r.comp FROM r JOIN e ON r.id = e.a),
-cc AS (SELECT id, min(comp) AS comp FROM r GROUP BY id),
-szc AS (SELECT comp, count(*) AS n FROM cc GROUP BY comp),
-lab AS (SELECT comp, CAST(dense_rank() OVER (ORDER BY comp) - 1 AS INTEGER) AS cluster_label
-        FROM szc WHERE n >= {C.EMB_DENSITY_MIN_SIZE})
-SELECT cc.id AS template_hash, coalesce(lab.cluster_label, -1) AS cluster_label
-FROM cc LEFT JOIN lab USING (comp)"""
-    disc = f"WITH {EMB_U}, {CAMPS}, {ASSIGN}, {DISCOVERY}"
-    q["proposals"] = f"""{disc}
+    q["density_clusters"] = f"""WITH RECURSIVE {EMB_U}, {reach_ctes('emb_u', 'd_')},
+{component_ctes('emb_u', 'd_', EPS, 'd_c')}, {label_ctes('d_c', 'd_lab', C.EMB_DENSITY_MIN_SIZE)}
+SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
+FROM emb_u u LEFT JOIN d_lab l ON l.originator_id = u.originator_id AND l.id = u.template_hash"""
+    levels = sorted(cos_to_dist(c) for c in C.EMB_LADDER_COS)
+    comps = ",\n".join(component_ctes("emb_u", "m_", f"CAST('{e!r}' AS DOUBLE)", f"m_l{i}")
+                       for i, e in enumerate(levels))
+    members = " UNION ALL ".join(f"SELECT l.originator_id, l.id, {i} AS lv, l.comp FROM m_l{i} l"
+                                 for i in range(len(levels)))
+    q["eom_clusters"] = f"""WITH RECURSIVE {EMB_U}, {reach_ctes('emb_u', 'm_')},
+{comps}, {stable_ctes('m_', levels, C.EMB_DENSITY_MIN_SIZE)},
+m_num AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY originator_id ORDER BY lv, comp) - 1 AS INTEGER)
+          AS cluster_label FROM m_chosen),
+m_lab AS (SELECT x.originator_id, x.id, m_num.cluster_label FROM ({members}) x
+          JOIN m_num USING (originator_id, lv, comp))
+SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
+FROM emb_u u LEFT JOIN m_lab l ON l.originator_id = u.originator_id AND l.id = u.template_hash"""
+    q["adaptive_parameters"] = f"""WITH {EMB_U}
+SELECT originator_id, CAST(greatest(5, floor(count(*) * 0.05)) AS INTEGER) AS min_cluster_size,
+       CAST(greatest(3, floor(sqrt(count(*)))) AS INTEGER) AS min_samples, 2 AS given_min_samples
+FROM emb_u GROUP BY 1"""
+    disc = f"WITH RECURSIVE {EMB_U}, {CAMPS}, {ASSIGN}, {DISCOVERY}"
+    dname = f"{disc},\n{tfidf_names('smp', OL, 'originator_id', 'text_sample', 'proposed_label', p='s_')}"
+    q["unknown_for_discovery"] = f"{disc} SELECT vec_id, originator_id FROM unk"
+    q["proposals"] = f"""{dname}
 SELECT a.vec_id, a.status, CAST(ms.cluster_label AS INTEGER) AS proposed_cluster_id,
-       CASE WHEN ms.cluster_label IS NULL THEN NULL WHEN ms.sim >= 0.6 THEN 'cluster ' || ms.cluster_label
+       CASE WHEN ms.cluster_label IS NULL THEN NULL WHEN ms.sim >= 0.6 THEN n.proposed_label
             ELSE '' END AS proposed_campaign_name,
        round(ms.sim, 6) AS proposed_campaign_score
-FROM asg a LEFT JOIN ms USING (vec_id)"""
-    q["proposed_clusters"] = f"""{disc}
-SELECT sz.cluster_label, CAST(sz.cluster_size AS BIGINT) AS cluster_size, 'cluster ' || sz.cluster_label AS proposed_label,
-       string_agg(ms.template_hash, ',' ORDER BY ms.sim DESC, ms.template_hash) AS members
-FROM sz JOIN ms USING (cluster_label) GROUP BY sz.cluster_label, sz.cluster_size"""
-    q["new_campaigns"] = f"""{disc}
-SELECT CAST(row_number() OVER (ORDER BY cluster_label) - 1 AS INTEGER) AS row_index,
-       CAST(cluster_label AS INTEGER) AS cluster_label, CAST(cluster_size AS BIGINT) AS proto_count,
-       CAST(cluster_size AS BIGINT) AS msg_count, TIMESTAMP '{C.RUN_TS}' AS date_range_start,
-       TIMESTAMP '{C.RUN_TS}' AS date_range_end, 'cluster ' || cluster_label AS campaign_name,
-       'Unknown' AS status FROM sz"""
+FROM asg a LEFT JOIN ms USING (vec_id) LEFT JOIN s_named n
+  ON n.originator_id = ms.originator_id AND n.cluster_label = ms.cluster_label"""
+    q["proposed_clusters"] = f"""{dname}
+SELECT sz.originator_id, sz.cluster_label, CAST(cluster_size AS BIGINT) AS cluster_size, n.proposed_label
+FROM sz JOIN s_named n USING ({OL})"""
+    q["cluster_members"] = f"""{disc}
+SELECT originator_id, cluster_label AS proposed_cluster_id, template_hash, round(sim, 6) AS sim_score FROM ms"""
+    q["new_campaigns"] = f"""{dname},
+dt AS (SELECT {OL}, min(ts) AS s, max(ts) AS e FROM ms GROUP BY ALL)
+SELECT sz.originator_id, CAST(row_number() OVER (PARTITION BY sz.originator_id ORDER BY sz.cluster_label) - 1 AS INTEGER)
+         AS row_index,
+       CAST(sz.cluster_label AS INTEGER) AS cluster_label, CAST(cluster_size AS BIGINT) AS proto_count,
+       CAST(cluster_size AS BIGINT) AS msg_count, coalesce(s, TIMESTAMP '{C.RUN_TS}') AS date_range_start,
+       coalesce(e, TIMESTAMP '{C.RUN_TS}') AS date_range_end, n.proposed_label AS campaign_name,
+       'Unknown' AS status FROM sz JOIN s_named n USING ({OL}) JOIN dt USING ({OL})"""
     q["unknown_labels"] = f"""{disc}
 SELECT a.vec_id, coalesce(ms.cluster_label, -1) AS unknown_label
 FROM asg a LEFT JOIN ms USING (vec_id) WHERE lower(a.status) <> 'known'"""
-    q["drift_summary_labelled"] = f"""{disc},
-nn AS (SELECT row_index, count(*) AS n_new FROM asg WHERE status = 'Known' AND row_index IS NOT NULL GROUP BY 1)
-SELECT campaign_name AS Ref_Campaign_name, CAST(prototypes_count AS BIGINT) AS "Count",
-       campaign_name AS New_Cluster_name, CAST(coalesce(n_new, 0) AS BIGINT) AS New_number_assigned
-FROM camps LEFT JOIN nn USING (row_index)
-UNION ALL
-SELECT 'NA', CAST(NULL AS BIGINT), 'cluster ' || cluster_label, CAST(cluster_size AS BIGINT) FROM sz"""
+    q["drift_summary_labelled"] = f"""{dname},
+nn AS (SELECT originator_id, row_index, sum(w) AS n_new FROM asg WHERE status = 'Known' AND row_index IS NOT NULL
+       GROUP BY ALL),
+rep AS (SELECT originator_id, campaign_name AS Ref_Campaign_name, CAST(prototypes_count AS BIGINT) AS "Count",
+               campaign_name AS New_Cluster_name, CAST(coalesce(n_new, 0) AS BIGINT) AS New_number_assigned
+        FROM camps LEFT JOIN nn USING (originator_id, row_index)
+        UNION ALL
+        SELECT sz.originator_id, 'NA', CAST(NULL AS BIGINT), n.proposed_label, CAST(cluster_size AS BIGINT)
+        FROM sz JOIN s_named n USING ({OL}))
+SELECT *, CAST(row_number() OVER (PARTITION BY originator_id ORDER BY Ref_Campaign_name = 'NA', New_Cluster_name,
+       "Count" DESC NULLS LAST, New_number_assigned DESC) AS INTEGER) AS position FROM rep"""
     q["centroid_label"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN}
 SELECT vec_id, CASE WHEN 1.0 - score > {C.EMB_NOISE_DISTANCE} THEN -1 ELSE coalesce(assigned_label, -1) END AS plot_label
 FROM asg"""
-    q["label_histogram"] = "SELECT CAST(label AS INTEGER) AS cluster_label, count(*) AS n FROM embeddings GROUP BY 1"
+    q["label_histogram"] = f"WITH {EMB_U} SELECT originator_id, cluster_label, count(*) AS n FROM emb_u GROUP BY ALL"
     # naming
     q["group_names"] = f"""WITH s AS (SELECT source AS originator_id, lang, text AS text_sample FROM documents),
 {tfidf_names('s', 'originator_id, lang', 'originator_id', 'text_sample', 'campaign_name')}
 SELECT * FROM named"""
-    head, tail = NM.SAMPLE_PROMPT.split("{examples}")
-    tail = tail.replace("{max_words}", "5")
-    q["sample_prompts"] = f"""WITH s AS (SELECT source AS originator_id, lang, doc_id, text,
-        row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS rk FROM documents),
-top AS (SELECT * FROM s WHERE rk <= 5),
-nb AS (SELECT originator_id, lang, rk, {pystrip('text')} AS t FROM top WHERE {pystrip('text')} <> ''),
-num AS (SELECT *, row_number() OVER (PARTITION BY originator_id, lang ORDER BY rk) AS i FROM nb),
-pr AS (SELECT originator_id, lang, {lit(head)} || string_agg(CAST(i AS VARCHAR) || '. ' || t, chr(10) || chr(10) ORDER BY i)
+    for name, template in (("sample_prompts", NM.SAMPLE_PROMPT),
+                           ("sample_prompts_any_language", NM.SAMPLE_PROMPT_ANY_LANGUAGE)):
+        head, tail = template.split("{examples}")
+        tail = tail.replace("{max_words}", "5")
+        q[name] = f"""WITH {EMB_U}, {CAMPS}, {EXAMPLES},
+nb AS (SELECT {OL}, rk, {pystrip('txt')} AS t FROM ex WHERE {pystrip('txt')} <> ''),
+num AS (SELECT *, row_number() OVER (PARTITION BY {OL} ORDER BY rk) AS i FROM nb),
+pr AS (SELECT {OL}, {lit(head)} || string_agg(CAST(i AS VARCHAR) || '. ' || t, chr(10) || chr(10) ORDER BY i)
               || {lit(tail)} AS prompt FROM num GROUP BY ALL)
-SELECT g.originator_id, g.lang, pr.prompt FROM (SELECT DISTINCT originator_id, lang FROM s) g
-LEFT JOIN pr USING (originator_id, lang)"""
+SELECT g.originator_id, g.cluster_label, pr.prompt FROM (SELECT DISTINCT {OL} FROM ex) g LEFT JOIN pr USING ({OL})"""
     rh, rt = NM.REGISTRATION_PROMPT.split("{record}")
     rt = rt.replace("{max_words}", "5")
     from herald.sources.batches import REGISTRATION_COLUMNS
@@ -289,39 +425,97 @@ da AS (SELECT originator_id, string_agg(DISTINCT campaign_name, chr(10) ORDER BY
        FROM d_named WHERE campaign_name IS NOT NULL GROUP BY 1)"""
     q["names_view"] = f"WITH {view} SELECT * FROM ra JOIN da USING (originator_id)"
     fg = f"""fg AS (SELECT business_number AS originator_id,
-        'First group:' || chr(10) || string_agg(CAST(i AS VARCHAR) || '. "' || onboarding_name || '"', chr(10) ORDER BY i) AS fg
+        'Registered:' || chr(10) || string_agg(CAST(i AS VARCHAR) || '. "' || onboarding_name || '"', chr(10) ORDER BY i) AS fg
         FROM (SELECT *, row_number() OVER (PARTITION BY business_number ORDER BY seq) AS i FROM regn
               WHERE onboarding_name IS NOT NULL) GROUP BY 1),
 dl AS (SELECT DISTINCT originator_id, campaign_name FROM d_named WHERE campaign_name IS NOT NULL),
-sg AS (SELECT originator_id, 'Second group:' || chr(10) || string_agg(CAST(j AS VARCHAR) || '. ' || campaign_name, chr(10) ORDER BY j) AS sg
+sg AS (SELECT originator_id, 'Found:' || chr(10) || string_agg(CAST(j AS VARCHAR) || '. ' || campaign_name, chr(10) ORDER BY j) AS sg
         FROM (SELECT *, row_number() OVER (PARTITION BY originator_id ORDER BY campaign_name) AS j FROM dl) GROUP BY 1)"""
     q["comparison_prompts"] = (f"WITH {view}, {fg} SELECT originator_id, {lit(NM.COMPARE_INSTRUCTIONS)} || chr(10) || fg "
                                f"|| chr(10) || chr(10) || sg || chr(10) AS prompt FROM ra JOIN da USING (originator_id) "
                                f"JOIN fg USING (originator_id) JOIN sg USING (originator_id)")
-    words = "list_distinct(regexp_extract_all(lower({x}), '\\p{{L}}+|\\p{{N}}+'))"
-    wr = words.format(x="r.onboarding_name")
-    wd = words.format(x="d.campaign_name")
-    q["drift_verdicts"] = f"""WITH {view}, {fg},
-pairs AS (SELECT d.originator_id, d.campaign_name AS dname, {wd} AS dw, {wr} AS rw
-          FROM dl d JOIN regn r ON r.business_number = d.originator_id WHERE r.onboarding_name IS NOT NULL),
-sc AS (SELECT originator_id, dname, max(CASE WHEN len(dw) = 0 OR len(rw) = 0 THEN 0.0
-                   ELSE len(list_intersect(dw, rw)) / sqrt(len(dw) * len(rw)) END) AS best FROM pairs GROUP BY ALL),
-mis AS (SELECT originator_id, string_agg(dname, chr(10) ORDER BY dname) FILTER (WHERE best < 0.2) AS misfit_names,
-               string_agg('- ' || dname || ': shares no theme with the registered names', chr(10) ORDER BY dname)
-                 FILTER (WHERE best < 0.2) AS lines
-        FROM sc GROUP BY 1)
+    similar = f"""tn AS (SELECT originator_id, 'found' AS side, campaign_name AS name FROM dl UNION
+       SELECT business_number, 'told', onboarding_name FROM regn WHERE onboarding_name IS NOT NULL),
+tt AS (SELECT *, unnest(list_distinct(regexp_extract_all(lower(name), '\\p{{L}}+|\\p{{N}}+'))) AS term FROM tn),
+td AS (SELECT DISTINCT name, term FROM tt),
+ti AS (SELECT term, 1 + ln((1 + (SELECT count(DISTINCT name) FROM td)) / (1 + count(*))::DOUBLE) AS w FROM td GROUP BY 1),
+tw AS (SELECT tt.*, w, sqrt(sum(w * w) OVER (PARTITION BY originator_id, side, name)) AS norm FROM tt JOIN ti USING (term)),
+tc AS (SELECT a.originator_id, a.name, b.name AS other, sum(a.w / a.norm * (b.w / b.norm)) AS cos
+       FROM tw a JOIN tw b ON a.originator_id = b.originator_id AND a.term = b.term AND a.side = 'found' AND b.side = 'told'
+       GROUP BY ALL),
+sim AS (SELECT tn.originator_id, tn.name, coalesce(max(cos), 0.0) AS best FROM tn LEFT JOIN tc
+        ON tc.originator_id = tn.originator_id AND tc.name = tn.name WHERE side = 'found' GROUP BY ALL)"""
+    q["name_similarity"] = f"WITH {view}, {fg}, {similar} SELECT originator_id, name, round(best, 6) AS best FROM sim"
+    verdict = f"""mis AS (SELECT originator_id, string_agg(name, chr(10) ORDER BY name) FILTER (WHERE best < 0.2) AS misfit_names,
+               string_agg('- ' || name || ': unlike any registered title', chr(10) ORDER BY name)
+                 FILTER (WHERE best < 0.2) AS lines FROM sim GROUP BY 1),
+vd AS (SELECT originator_id AS business_number, CASE WHEN lines IS NULL THEN {lit(NM.FIT_TEXT)}
+              ELSE {lit(NM.ANOMALY_TEXT)} || chr(10) || lines END AS llm_result,
+              CASE WHEN lines IS NULL THEN 'ok' ELSE 'anomaly' END AS status, coalesce(misfit_names, '') AS misfit_names
+       FROM mis)"""
+    q["drift_verdicts"] = f"""WITH {view}, {fg}, {similar}, {verdict}
+SELECT business_number, llm_result, status, CASE WHEN lower(llm_result) LIKE '%anomal%' THEN 'anomaly' ELSE 'ok' END
+       AS text_status, misfit_names FROM vd"""
+    gappy = """gap AS (SELECT ra.originator_id, CASE WHEN regexp_matches(ra.originator_id, 'src1?1$') THEN 'missing'
+       WHEN regexp_matches(ra.originator_id, 'src1?2$') THEN 'empty' WHEN da.discovered_names IS NULL THEN 'missing'
+       ELSE 'full' END AS kind FROM ra LEFT JOIN da USING (originator_id)),
+old AS (SELECT DISTINCT business_number FROM regn WHERE business_number LIKE '%5'),
+todo AS (SELECT originator_id FROM gap WHERE kind = 'full' AND originator_id NOT IN (SELECT business_number FROM old))"""
+    # only pending senders' names count for the weights of words
+    pend = similar.replace("FROM dl UNION", "FROM dl WHERE originator_id IN (SELECT originator_id FROM todo) UNION") \
+        .replace("WHERE onboarding_name IS NOT NULL)", "WHERE onboarding_name IS NOT NULL AND business_number IN "
+                 "(SELECT originator_id FROM todo))")
+    q["pending_verdicts"] = f"""WITH {view}, {fg}, {gappy}, {pend}, {verdict},
+every AS (SELECT business_number, llm_result FROM vd UNION ALL SELECT business_number, {lit(NM.FIT_TEXT)} FROM old)
+SELECT business_number, llm_result, CASE WHEN lower(llm_result) LIKE '%anomal%' THEN 'anomaly' ELSE 'ok' END AS status
+FROM every"""
+    asked = f"""ask AS (SELECT originator_id, size % 4 = 0 AS failed, size % 4 = 1 AS odd
+       FROM (SELECT originator_id, length({lit(NM.COMPARE_INSTRUCTIONS)}) + length(fg) + length(sg) + 4 AS size
+             FROM todo JOIN fg USING (originator_id) JOIN sg USING (originator_id)))"""
+    q["asked_verdicts"] = f"""WITH {view}, {fg}, {gappy}, {asked}
 SELECT originator_id AS business_number,
-       CASE WHEN lines IS NULL THEN {lit(NM.FIT_TEXT)} ELSE {lit(NM.ANOMALY_TEXT)} || chr(10) || lines END AS llm_result,
-       CASE WHEN lines IS NULL THEN 'ok' ELSE 'anomaly' END AS status,
-       CASE WHEN lower(CASE WHEN lines IS NULL THEN {lit(NM.FIT_TEXT)} ELSE {lit(NM.ANOMALY_TEXT)} END) LIKE '%anomal%'
-            THEN 'anomaly' ELSE 'ok' END AS text_status,
-       coalesce(misfit_names, '') AS misfit_names
-FROM mis JOIN ra USING (originator_id)"""
-    q["run_tally"] = (f"WITH {view} SELECT CASE WHEN da.discovered_names IS NULL THEN 'missing' ELSE 'prepared' END "
-                      f"AS outcome, count(*) AS n FROM ra LEFT JOIN da USING (originator_id) GROUP BY 1")
+       CASE WHEN failed THEN '' WHEN odd THEN {lit(NM.ANOMALY_TEXT)} ELSE {lit(NM.FIT_TEXT)} END AS llm_result,
+       CASE WHEN failed THEN NULL WHEN odd THEN 'anomaly' ELSE 'ok' END AS status, failed FROM ask"""
+    q["run_tally"] = f"""WITH {view}, {fg}, {gappy}, {asked}
+SELECT CASE WHEN gap.originator_id IN (SELECT business_number FROM old) THEN 'cached' WHEN kind = 'missing' THEN 'missing'
+       WHEN kind = 'empty' THEN 'empty' WHEN ask.failed THEN 'errors' ELSE 'prepared' END AS outcome, count(*) AS n
+FROM gap LEFT JOIN ask USING (originator_id) GROUP BY 1"""
     q["windowed_event_counts"] = ("SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL '1 day' "
                                   "AS window_end, event_type AS originator_id, left(sha256('0:' || props), 16) "
                                   "AS template_hash, count(*) AS count_in_window FROM events GROUP BY ALL")
+    ct = collapse("text")
+    phones = f"regexp_extract_all(t, {lit(RE2_PHONE)})"
+    digits = "len(regexp_extract_all(p, '[0-9]')) >= 7"
+    q["text_masks"] = f"""WITH c AS (SELECT doc_id, text, {ct} AS t FROM documents),
+ch AS (SELECT doc_id, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i FROM documents),
+st AS (SELECT *, c IS DISTINCT FROM lag(c) OVER (PARTITION BY doc_id ORDER BY i) AS opens FROM ch),
+rn AS (SELECT *, sum(opens::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM st),
+ln AS (SELECT doc_id, run, any_value(c) AS c, count(*) AS n FROM rn GROUP BY ALL),
+rp AS (SELECT doc_id, CAST(sum(CASE WHEN c IN (chr(10), chr(13)) THEN n ELSE least(n, 2) END) AS INTEGER) AS n_after_repeats
+       FROM ln GROUP BY 1),
+ph AS (SELECT doc_id, text, t, {phones} AS ps, string_split_regex(t, {lit(RE2_PHONE)}) AS pieces FROM c)
+SELECT doc_id, length(text) AS n_chars, n_after_repeats,
+       pieces[1] || array_to_string(list_transform(range(1, len(ps) + 1), lambda i:
+         (CASE WHEN len(regexp_extract_all(ps[i], '[0-9]')) >= 7 THEN '{{PHONE}}' ELSE ps[i] END) || pieces[i + 1]), '')
+         AS phones_masked,
+       regexp_replace(regexp_replace(replace(replace(regexp_replace(t, '([^\\p{{L}}\\p{{N}}_{{}}])', chr(2) || '\\1' || chr(1), 'g'),
+           '{{', chr(2) || '{{' || chr(3)), '}}', chr(4) || '}}' || chr(1)),
+         {lit(RE2_NUMBER)}, '\\1{{NUM}}\\3', 'g'), '[\\x01-\\x04]', '', 'g') AS numbers_masked,
+       regexp_matches(text, {lit(RE2_EMAIL)}) AS has_email
+FROM ph JOIN rp USING (doc_id)"""
+    q["text_predicates"] = f"""WITH c AS (SELECT doc_id, text, {ct} AS t FROM documents)
+SELECT doc_id, CAST(length(text) AS INTEGER) AS n_chars, regexp_matches(t, {lit(RE2_EMAIL)}) AS has_email,
+       len(list_filter({phones}, lambda p: {digits})) > 0 AS phone_changed,
+       CAST(len(regexp_extract_all(t, {lit(RE2_URL)})) AS INTEGER) AS url_count,
+       regexp_matches(lower(t), {lit(RE2_OTP_CONTEXT)}) AS has_otp_context FROM c"""
+    # streams: a window is out once the largest time less the delay has passed its end
+    q["stream_event_counts"] = q["windowed_event_counts"].replace(
+        "GROUP BY ALL", "WHERE date_trunc('day', ts) + INTERVAL '1 day' <= (SELECT max(ts) - INTERVAL '1 hour' FROM events) "
+        "GROUP BY ALL")
+    q["stream_coverage"] = """SELECT date_trunc('day', ts) AS window_start, date_trunc('day', ts) + INTERVAL '1 day' AS window_end,
+       event_type AS originator_id, count(*) AS n_total, round(avg(CASE WHEN value >= 5 THEN 1.0 ELSE 0.0 END), 6) AS coverage,
+       count(*) FILTER (WHERE NOT value >= 5) AS n_unknown FROM events
+WHERE date_trunc('day', ts) + INTERVAL '1 day' <= (SELECT max(ts) - INTERVAL '1 hour' FROM events) GROUP BY ALL"""
     return q
 
 

@@ -2,35 +2,38 @@
 
 reference messages -> templates -> vectors -> density profile (campaigns,
 examples, names) -> new batch templates -> assignment -> discovery in the
-Unknowns -> new campaigns -> summary. The lineage is cut (reliable checkpoint)
-after the vectors and after clustering, the two expensive, reused steps.
+Unknowns -> new campaigns -> summary. Results are written where they are the
+input of several later steps: templates, vectors, labels, assignments.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from herald import config
 from herald.operators.assign import assign_to_campaigns
-from herald.operators.density import cos_to_dist, density_clusters
-from herald.operators.discover import adaptive_min_cluster_size, discover
+from herald.operators.density import eom_clusters, ladder_levels
+from herald.operators.discover import adaptive_parameters, discover
 from herald.operators.embed import DEFAULT_DIM, embed_templates
 from herald.operators.profile import build_profile
 from herald.operators.report import drift_summary
 from herald.operators.templates import build_templates
 from herald.session import cut_lineage
+from herald.sources.batches import require_columns
+
+MESSAGE_COLUMNS = ("originator_id", "message_id", "raw_text", "seq")
 
 
 @dataclass
 class DriftParams:
     dim: int = DEFAULT_DIM
-    profile_min_cos: float = 0.7          # flat density level (eps = sqrt(2 - 2 cos))
-    profile_min_samples: int = config.PROFILE_MIN_SAMPLES
-    discovery_min_cos: float = 0.7
-    discovery_min_samples: int = config.DISCOVERY_MIN_SAMPLES
+    selection_epsilon: float = config.PROFILE_SELECTION_EPSILON
+    top_level: float = 1.0                # loosest level of the ladder, a distance
+    ladder_steps: int = 10
+    profile_min_samples: int | None = config.PROFILE_MIN_SAMPLES
+    discovery_min_samples: int | None = config.DISCOVERY_MIN_SAMPLES
     sim_threshold: float = config.SIM_THRESHOLD
     min_coverage: float = config.MIN_COVERAGE
     min_unassigned: int = config.MIN_UNASSIGNED
@@ -41,24 +44,26 @@ class DriftParams:
     centroid_threshold: float = config.CENTROID_SIM_THRESHOLD
     weighted: bool = True
     seed: int = 0
-    run_ts: str | None = "2024-01-01 00:00:00"
-    extra: dict = field(default_factory=dict)
+    run_ts: str | None = None             # None: the time of the run
+    spread: int | None = None             # tasks for inputs of few splits
+
+    def levels(self) -> list[float]:
+        return ladder_levels(self.selection_epsilon, self.top_level, self.ladder_steps)
 
 
-def with_min_cluster_size(templates: DataFrame, key: str = "originator_id") -> DataFrame:
-    """F18 per sender: ``max(5, int(0.01 * n_templates))``."""
-    return templates.join(adaptive_min_cluster_size(templates, key), key)
+def cluster(vectors: DataFrame, p: DriftParams, min_samples: int | None) -> DataFrame:
+    """V6 with F18: ``vectors`` + ``cluster_label``; null ``min_samples`` takes the adaptive rule."""
+    sized = vectors.join(adaptive_parameters(vectors, min_samples=min_samples), "originator_id")
+    return eom_clusters(sized, p.levels(), "min_cluster_size", "min_samples")
 
 
 def reference_profile(ref_messages: DataFrame, p: DriftParams | None = None):
     """Stage 1: ``(templates_with_vectors_and_labels, campaigns, examples, model)``."""
     p = p or DriftParams()
-    tpl = build_templates(ref_messages, seed=p.seed)
+    require_columns(reference=(ref_messages, MESSAGE_COLUMNS))                       # S6 / S7
+    tpl = build_templates(ref_messages, seed=p.seed, spread=p.spread)
     vec, model = embed_templates(tpl, dim=p.dim)
-    vec = cut_lineage(with_min_cluster_size(vec))
-    clustered = density_clusters(vec, cos_to_dist(p.profile_min_cos), "min_cluster_size",
-                                 p.profile_min_samples)
-    clustered = cut_lineage(clustered)
+    clustered = cut_lineage(cluster(vec, p, p.profile_min_samples))
     camps, examples = build_profile(clustered, n_nearest=p.n_nearest, weighted=p.weighted,
                                     max_words=p.max_words)
     return clustered, cut_lineage(camps), cut_lineage(examples), model
@@ -67,7 +72,9 @@ def reference_profile(ref_messages: DataFrame, p: DriftParams | None = None):
 def assign_new_batch(new_messages: DataFrame, camps: DataFrame, model, p: DriftParams | None = None):
     """Stage 2a: new templates embedded in the reference space and assigned."""
     p = p or DriftParams()
-    tpl = build_templates(new_messages, seed=p.seed)
+    require_columns(batch=(new_messages, MESSAGE_COLUMNS),
+                    campaigns=(camps, ("originator_id", "row_index", "cluster_label", "centroid")))
+    tpl = build_templates(new_messages, seed=p.seed, spread=p.spread)
     vec, _ = embed_templates(tpl, dim=p.dim, model=model)
     return cut_lineage(assign_to_campaigns(vec, camps, p.sim_threshold))
 
@@ -75,16 +82,10 @@ def assign_new_batch(new_messages: DataFrame, camps: DataFrame, model, p: DriftP
 def discover_new(assigned: DataFrame, p: DriftParams | None = None):
     """Stage 2b/2c: ``(upserted, proposed_clusters, new_campaigns)``."""
     p = p or DriftParams()
-
-    def cluster_fn(unknown):
-        u = with_min_cluster_size(unknown)
-        return density_clusters(u, cos_to_dist(p.discovery_min_cos), "min_cluster_size",
-                                p.discovery_min_samples)
-
-    return discover(assigned, cluster_fn, min_coverage=p.min_coverage,
-                    min_unassigned=p.min_unassigned, min_members=p.min_members,
-                    n_samples=p.n_samples, max_words=p.max_words,
-                    threshold=p.centroid_threshold, run_ts=p.run_ts)
+    return discover(assigned, lambda unknown: cluster(unknown, p, p.discovery_min_samples),
+                    min_coverage=p.min_coverage, min_unassigned=p.min_unassigned, min_members=p.min_members,
+                    n_samples=p.n_samples, max_words=p.max_words, threshold=p.centroid_threshold,
+                    run_ts=p.run_ts)
 
 
 def drift_run(ref_messages: DataFrame, new_messages: DataFrame, p: DriftParams | None = None):
@@ -93,17 +94,15 @@ def drift_run(ref_messages: DataFrame, new_messages: DataFrame, p: DriftParams |
     clustered, camps, examples, model = reference_profile(ref_messages, p)
     assigned = assign_new_batch(new_messages, camps, model, p)
     upserted, clusters, new_camps = discover_new(assigned, p)
-    new_camps = cut_lineage(new_camps)
     summary = drift_summary(camps, assigned, new_camps, weighted=p.weighted)
     return {"clustered": clustered, "campaigns": camps, "examples": examples,
             "assigned": assigned, "upserted": upserted, "proposed": clusters,
             "new_campaigns": new_camps, "summary": summary}
 
 
-def planted_split(messages_with_lang: DataFrame, new_langs=("de", "es")):
-    """Reference = messages in the other languages; new batch = all messages.
-
-    The held-out languages are the planted new campaigns of each sender.
-    """
-    ref = messages_with_lang.filter(~F.col("lang").isin(*new_langs))
-    return ref.drop("lang"), messages_with_lang.drop("lang")
+def save_run(tables: dict, path: str) -> None:
+    """Every table of a run as Parquet under ``path``."""
+    from herald.sources.sinks import save_campaign_footprint, save_table
+    save_campaign_footprint(tables["campaigns"], tables["examples"], f"{path}/footprint")
+    for name in ("clustered", "assigned", "upserted", "new_campaigns", "summary"):
+        save_table(tables[name], f"{path}/{name}")

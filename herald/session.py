@@ -15,6 +15,8 @@ def build_session(master: str | None = None, app: str = "herald",
 
     On a cluster pass ``master=None`` and let spark-submit decide; the settings
     here only switch on adaptive execution, skew handling and Arrow batches.
+    Memory and the number of shuffle partitions are left to spark-submit unless
+    the caller names them.
     """
     b = SparkSession.builder.appName(app)
     if master:
@@ -27,8 +29,7 @@ def build_session(master: str | None = None, app: str = "herald",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "2048",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": os.environ.get("HERALD_DRIVER_MEMORY", "16g"),
-        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -64,14 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "checkpoint folder on a cluster")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, replaces: DataFrame | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table under the shared checkpoint folder and read it back.
 
     Unlike ``DataFrame.checkpoint`` the re-read plan carries the real file
     size as its statistics (a checkpoint keeps the estimate of the plan it
     replaced, which compounds over iterative rounds), so later joins are
     planned from measured sizes. The table lives on the shared file system,
-    so a lost executor does not lose it.
+    so a lost executor does not lose it. ``replaces`` names an earlier cut that
+    nothing reads any more (the last round of an iteration); its files are
+    removed once the new ones are written.
     """
     import uuid
 
@@ -79,7 +82,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/herald-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._herald_path = path
+    if replaces is not None:
+        drop_cut(replaces)
+    return out
+
+
+def drop_cut(df: DataFrame) -> None:
+    """Remove the files of a table written by :func:`cut_lineage`."""
+    spark, path = df.sparkSession, df._herald_path
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
 _SHIPPED: set = set()
@@ -109,16 +123,3 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
     sc.addPyFile(zpath)
     _SHIPPED.add(key)
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin an input that arrives in fewer partitions than task slots.
-
-    CPU-heavy per-row work (regex normalisation) on a scan of one large row
-    group would otherwise run in a single task. Large inputs already have
-    more splits than slots and pass through without a shuffle.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

@@ -12,6 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from herald import config
+from herald.functions.fixed_values import ENVELOPE_FIELDS
+from herald.functions.labels import py_strip
+from herald.operators.thinning import thin_by_input_position
+from herald.session import cut_lineage
+
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("sourceAddress", T.StringType()),
     T.StructField("requestID", T.StringType()),
@@ -22,7 +28,11 @@ ENVELOPE_SCHEMA = T.StructType([
 
 # S1
 def read_envelope_csv(spark: SparkSession, path: str, value_col: str = "Value") -> DataFrame:
-    """Scan a dump (header row, UTF-8, quoted multi-line fields) with its input position."""
+    """Scan a dump (header row, UTF-8, quoted multi-line fields) with its input position.
+
+    A file with multi-line fields cannot be split, so each file is one task: a large
+    dump should come as many files (``path`` may be a folder or a pattern).
+    """
     raw = (spark.read.option("header", True).option("multiLine", True)
            .option("escape", '"').option("encoding", "UTF-8").csv(path))
     return with_input_position(raw.select(F.col(value_col).alias("value")))
@@ -31,12 +41,13 @@ def read_envelope_csv(spark: SparkSession, path: str, value_col: str = "Value")
 def with_input_position(df: DataFrame, col: str = "seq") -> DataFrame:
     """Add a 1-based position in scan order without an RDD round trip.
 
-    Per-partition row counts (one row per partition, so bounded by the
-    partition count) give each partition its offset; the position is the
-    offset plus the row's index inside its partition.
+    Rows are written once with their partition and index, so that counts and
+    positions see the same layout. Per-partition row counts (one row per
+    partition, which bounds the broadcast) give each partition its offset; the
+    position is the offset plus the row's index inside its partition.
     """
-    tagged = df.withColumn("__pid", F.spark_partition_id()) \
-               .withColumn("__mid", F.monotonically_increasing_id())
+    tagged = cut_lineage(df.withColumn("__pid", F.spark_partition_id())
+                           .withColumn("__mid", F.monotonically_increasing_id()))
     counts = tagged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"),
                                          F.min("__mid").alias("__first"))
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -54,22 +65,15 @@ def clean_envelope(col) -> Column:
     empty JSON string ``""`` in an unquoted value survives.
     """
     c = F.col(col) if isinstance(col, str) else col
-    s = F.regexp_replace(c, r"^[\s\x{1C}-\x{1F}]+|[\s\x{1C}-\x{1F}]+$", "")
+    s = py_strip(c)
     quoted = (F.length(s) >= 2) & s.startswith('"') & s.endswith('"')
     s = F.when(quoted, F.replace(s.substr(F.lit(2), F.length(s) - 2), F.lit('""'), F.lit('"'))) \
          .otherwise(s)
     return F.translate(s, "\r\n\t", "   ")
 
 
-_FALLBACK = {
-    "sourceAddress": r'"sourceAddress"\s*:\s*"([^"]*)"',
-    "requestID": r'"requestID"\s*:\s*"([^"]*)"',
-    "shortMessage": r'"shortMessage"\s*:\s*"([^"]*)"',
-}
-
-
 def _fallback(s: Column, field: str) -> Column:
-    pat = _FALLBACK[field]
+    pat = ENVELOPE_FIELDS[field]
     return F.when(s.rlike(pat), F.regexp_extract(s, pat, 1))
 
 
@@ -102,11 +106,14 @@ def envelopes_from_documents(docs: DataFrame) -> DataFrame:
 
 
 # S2 + F1 + F3
-def extract_originator(parsed: DataFrame, originator: str, max_rows: int = 1_000_000,
-                       dilute_factor: int = 10) -> DataFrame:
-    """Messages of one sender at input positions divisible by ``dilute_factor``,
-    reading at most ``max_rows`` input rows (a position filter, so it prunes)."""
-    return (parsed.filter((F.col("seq") <= max_rows)
-                          & (F.col("originator_id") == F.lit(originator))
-                          & (F.col("seq") % dilute_factor == 0))
-                  .select("originator_id", "message_id", "raw_text", "seq"))
+def bounded_scan(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The first ``max_rows`` input positions; all of them unless the caller sets a bound."""
+    return df if max_rows is None else df.filter(F.col("seq") <= max_rows)
+
+
+def extract_originator(parsed: DataFrame, originator: str, max_rows: int | None = None,
+                       dilute_factor: int = config.DILUTE_FACTOR) -> DataFrame:
+    """Messages of one sender at input positions divisible by ``dilute_factor``."""
+    mine = bounded_scan(parsed, max_rows).filter(F.col("originator_id") == F.lit(originator))
+    return thin_by_input_position(mine, dilute_factor).select("originator_id", "message_id",
+                                                              "raw_text", "seq")

@@ -1,7 +1,7 @@
 """R2: streaming assignment of incoming messages to known campaigns.
 
-Stateless per message: normalise + hash, embed with the fitted reference
-model, then a stream-static join to the packed campaigns. Counting per
+Every micro-batch is deduplicated to templates before it is embedded and assigned by the
+same blocked product as a batch; messages then take their template's result. Counting per
 template over time is R1's (stateful, watermarked) job.
 """
 
@@ -10,28 +10,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from herald import config
-from herald.functions.hashing import template_hash
-from herald.functions.text import normalize_messages
 from herald.operators.assign import assign_to_campaigns
+from herald.operators.embed import embed_templates
+from herald.operators.templates import dedupe_by_hash, normalize_and_hash
+from herald.session import cut_lineage, drop_cut
 
 
 def assign_messages(messages: DataFrame, campaigns: DataFrame, model,
-                    sim_threshold: float = config.SIM_THRESHOLD, seed: int = 0) -> DataFrame:
-    """Per-message assignment; works on a streaming or a batch DataFrame."""
-    df = normalize_messages(messages.filter(messages.raw_text.isNotNull()))
-    df = df.withColumn("template_hash", template_hash("normalized_text", seed))
-    vec = model.transform(df).withColumnRenamed("__vec", "__v")
-    from pyspark.ml.functions import vector_to_array
-    vec = vec.withColumn("embedding", vector_to_array("__v", "float32")) \
-             .drop("__tok", "__tf", "__tfidf", "__v")
-    # the campaign side is static and small per sender; no size probe on a stream
-    return assign_to_campaigns(vec, campaigns, sim_threshold, broadcast_rows=None)
-
-
-def write_assignments(stream: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
-    """Append each micro-batch's assignments to a Parquet table (idempotent per
-    batch id through the query checkpoint)."""
-    w = (stream.writeStream.format("parquet").option("path", path)
-               .option("checkpointLocation", checkpoint).outputMode("append"))
-    w = w.trigger(availableNow=True) if trigger_once else w
-    return w.start()
+                    sim_threshold: float = config.SIM_THRESHOLD, seed: int = 0,
+                    spread: int | None = None) -> DataFrame:
+    """``messages`` (a batch) with their template's assignment."""
+    hashed = cut_lineage(normalize_and_hash(messages, seed=seed, spread=spread))
+    vec, _ = embed_templates(dedupe_by_hash(hashed), model=model)
+    keys = ["originator_id", "template_hash"]
+    found = assign_to_campaigns(vec, campaigns, sim_threshold).select(
+        *keys, "assigned_campaign_row_index", "assigned_campaign_score", "assigned_campaign_label",
+        "assigned_campaign_name", "status")
+    return hashed.join(found, keys)
+
+
+def write_assignments(stream: DataFrame, campaigns: DataFrame, model, path: str, checkpoint: str,
+                      sim_threshold: float = config.SIM_THRESHOLD, trigger_once: bool = True,
+                      spread: int | None = None):
+    """Append each micro-batch's assignments to a Parquet table, one folder a batch.
+
+    A batch that is run again after a failure overwrites its own folder, so no message appears twice.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        once = cut_lineage(batch)
+        assign_messages(once, campaigns, model, sim_threshold, spread=spread) \
+            .write.mode("overwrite").parquet(f"{path}/batch={number}")
+        drop_cut(once)
+
+    w = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if trigger_once else w).start()

@@ -38,3 +38,10 @@ def windowed_coverage(assigned: DataFrame, window: str = "1 day", ts_col: str =
         F.count_if(~k).alias("n_unknown")).select(
         F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
         "n_total", "coverage", "n_unknown")
+
+
+def append_to(df: DataFrame, path: str, checkpoint: str, trigger_once: bool = True):
+    """Write a watermarked stream's finished windows to a Parquet table."""
+    w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
+        .outputMode("append")
+    return (w.trigger(availableNow=True) if trigger_once else w).start()

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,6 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from herald.session import build_session
-    s = build_session("local[4]", app="herald-tests", shuffle_partitions=8)
-    if not s.sparkContext.getCheckpointDir():
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="herald-test-ckpt-"))
+    s = build_session("local[4]", app="herald-tests", shuffle_partitions=8, extra={"spark.driver.memory": "8g"})
     yield s
     s.stop()

@@ -83,6 +83,6 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
 if __name__ == "__main__":
     from herald.session import build_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8, extra={"spark.driver.memory": "12g"})
     res = compare(spark, sf, sys.argv[2:] or None)
     print("passed", sum(res.values()), "of", len(res))

@@ -56,7 +56,9 @@ def test_similar_pairs_on_embeddings(spark):
 
 def test_knn_distances(spark):
     df = planted(spark)
-    got = {(r.originator_id, r.id): r.dists for r in knn_distances(df, 2, 10.0, tile_rows=5).collect()}
+    got = {}
+    for r in knn_distances(df, 2, 10.0, tile_rows=5).orderBy("nr").collect():
+        got.setdefault((r.originator_id, r.id), []).append(r.d)
     pdf = df.toPandas()
     for o, g in pdf.groupby("originator_id"):
         x = np.stack(g.embedding.to_numpy())
@@ -64,7 +66,7 @@ def test_knn_distances(spark):
         d = np.sqrt(np.clip(2 - 2 * (x @ x.T), 0, None))
         np.fill_diagonal(d, np.inf)
         for i, h in enumerate(g.template_hash):
-            assert np.allclose(sorted(d[i])[:2], got[(o, h)], atol=1e-9)
+            assert np.allclose(sorted(d[i])[:2], got[(o, h)], atol=1e-6)
 
 
 @pytest.mark.parametrize("tile_rows", [1024, 5])
@@ -101,3 +103,74 @@ def test_eom_prefers_stable_children(spark):
     la = out[out.template_hash.str.startswith("a")].cluster_label.unique()
     lb = out[out.template_hash.str.startswith("b")].cluster_label.unique()
     assert len(la) == 1 and len(lb) == 1 and la[0] != lb[0] and la[0] >= 0 and lb[0] >= 0
+
+
+def three_groups(seed=2, cos=0.75, size=10, dim=40):
+    """Three separate groups whose members have about the given cosine to each other."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for g in range(3):
+        centre = np.zeros(dim)
+        centre[g] = np.sqrt(cos)
+        for i in range(size):
+            own = np.zeros(dim)
+            own[3 + g * size + i] = np.sqrt(1 - cos)
+            rows.append(("s", f"g{g}_{i:02d}", [float(x) for x in centre + own + 1e-4 * rng.normal(size=dim)]))
+    return rows
+
+
+@pytest.mark.parametrize("tile_rows", [1024, 8])
+def test_eom_keeps_several_top_level_components(spark, tile_rows):
+    df = spark.createDataFrame(three_groups(), "originator_id string, template_hash string, embedding array<double>")
+    out = eom_clusters(df, [cos_to_dist(c) for c in (0.9, 0.8, 0.7)], 5, 1, tile_rows=tile_rows).toPandas()
+    sizes = out.groupby("cluster_label").size()
+    assert sorted(sizes.index) == [0, 1, 2] and (sizes == 10).all()
+    for g in range(3):
+        assert out[out.template_hash.str.startswith(f"g{g}_")].cluster_label.nunique() == 1
+
+
+def test_eom_root_is_no_cluster_unless_allowed(spark):
+    rows = [r for r in three_groups() if r[1].startswith("g0")]
+    df = spark.createDataFrame(rows, "originator_id string, template_hash string, embedding array<double>")
+    levels = [cos_to_dist(c) for c in (0.9, 0.7)]
+    assert {r.cluster_label for r in eom_clusters(df, levels, 5, 1).collect()} == {-1}
+    assert {r.cluster_label for r in eom_clusters(df, levels, 5, 1, allow_single_cluster=True).collect()} == {0}
+
+
+@pytest.mark.parametrize("seed", [1, 4, 9])
+def test_tiled_and_single_task_labels_agree(spark, seed):
+    df = planted(spark, seed=seed, spread=0.2, sizes=(14, 11, 9, 7), noise=9)
+    levels = [cos_to_dist(c) for c in (0.9, 0.75, 0.6, 0.4)]
+    for samples in (1, 3):
+        one, many = (eom_clusters(df, levels, 4, samples, tile_rows=t).toPandas()
+                     .sort_values(["originator_id", "template_hash"]).reset_index(drop=True) for t in (1024, 7))
+        assert one[["originator_id", "template_hash", "cluster_label"]].equals(
+            many[["originator_id", "template_hash", "cluster_label"]])
+
+
+def test_per_sender_parameters(spark):
+    df = planted(spark).withColumn("size", F.when(F.col("originator_id") == "s1", 10).otherwise(3)) \
+        .withColumn("samples", F.when(F.col("originator_id") == "s1", 2).otherwise(1))
+    out = density_clusters(df, cos_to_dist(0.9), "size", "samples").toPandas()
+    assert out[out.originator_id == "s1"].cluster_label.nunique() == 2
+    assert (out[out.originator_id == "s2"].cluster_label == 0).all()
+
+
+def test_pivots_skip_cell_pairs(spark):
+    from herald.operators.neighbours import tile
+    df = planted(spark, seed=3, sizes=(120, 100, 80, 60), noise=0, spread=0.02)
+    tiling = tile(df, cos_to_dist(0.95), tile_rows=20)
+    tiles = tiling.rows.filter("originator_id = 's1'").select("tile").distinct().count()
+    pairs = tiling.pairs.filter("originator_id = 's1'").count()
+    assert tiles > 15 and pairs < 0.5 * tiles * (tiles + 1) / 2
+    got = {(r.originator_id, r.a, r.b) for r in similar_pairs(df, 0.95, tiling=tiling).collect()}
+    assert got == brute_pairs(df.toPandas(), 0.95)
+
+
+def test_components_run_to_the_end_of_long_chains(spark):
+    from herald.operators.density import connected_components
+    n = 300
+    nodes = spark.createDataFrame([("s", f"{i:04d}") for i in range(n)], "originator_id string, id string")
+    edges = spark.createDataFrame([("s", f"{i:04d}", f"{i + 1:04d}") for i in range(n - 1)],
+                                  "originator_id string, a string, b string")
+    assert {r.comp for r in connected_components(nodes, edges).collect()} == {"0000"}

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from herald.operators import naming as NM
@@ -103,14 +104,13 @@ def test_drift_verdict_planted(spark):
                                    ("o1", "football weekend")], "originator_id string, campaign_name string")
     v = NM.drift_verdicts(NM.names_view(reg, camps)).first()
     assert v.status == "anomaly" and v.misfit_names == ["football weekend"]
-    assert v.llm_result.startswith("Anomaly detected.")
+    assert v.llm_result.startswith(NM.ANOMALY_TEXT)
     done = spark.createDataFrame([("o1", "x")], "business_number string, llm_result string")
     assert NM.drift_verdicts(NM.names_view(reg, camps), done=done).count() == 0
 
 
 def test_status_from_text(spark):
-    df = spark.createDataFrame([("All clustered names fit the onboarding name.",), ("Anomaly detected.\n- x",),
-                                ("No anomalies",)], "llm_result string")
+    df = spark.createDataFrame([(NM.FIT_TEXT,), (NM.ANOMALY_TEXT + "\n- x",), ("No anomalies",)], "llm_result string")
     assert [r.s for r in df.select(NM.status_from_text().alias("s")).collect()] == ["ok", "anomaly", "anomaly"]
 
 
@@ -118,4 +118,41 @@ def test_prompts(spark):
     ex = spark.createDataFrame([("o", 0, 2, "second"), ("o", 0, 1, "first"), ("o", 0, 3, "  ")],
                                "originator_id string, cluster_label int, rank int, text_sample string")
     p = NM.sample_prompts(ex, ["originator_id", "cluster_label"]).first().prompt
-    assert "Examples:\n1. first\n\n2. second\n\nTask:" in p and "at most 5 words" in p
+    assert "1. first\n\n2. second\n\n" in p and "3." not in p and "up to 5 words" in p
+    own = NM.sample_prompts(ex, ["originator_id", "cluster_label"], template="<{examples}|{max_words}>").first().prompt
+    assert own == "<1. first\n\n2. second|5>"
+
+
+def test_adaptive_parameters(spark):
+    from herald.operators.discover import adaptive_parameters
+    df = spark.createDataFrame([("a", i) for i in range(900)] + [("b", 1)], "originator_id string, n int")
+    got = {r.originator_id: (r.min_cluster_size, r.min_samples) for r in adaptive_parameters(df).collect()}
+    assert got == {"a": (9, 30), "b": (5, 3)}
+    got = {r.originator_id: r.min_samples for r in adaptive_parameters(df, min_samples=1).collect()}
+    assert got == {"a": 1, "b": 1}
+
+
+def test_pending_are_judged_once_and_failures_stay(spark, tmp_path):
+    from herald.plans.onboarding import judge_pending
+    view = spark.createDataFrame(
+        [("o1", ["bank codes"], ["bank codes"]), ("o2", ["school"], ["football"]), ("o3", ["x"], []),
+         ("o4", ["y"], None), ("o5", ["z"], ["z"])],
+        "originator_id string, onboarding_names array<string>, discovered_names array<string>")
+    done = spark.createDataFrame([("o5", "kept")], "business_number string, llm_result string")
+
+    def fn(prompt, temperature):
+        if "football" in prompt:
+            raise RuntimeError("down")
+        return NM.FIT_TEXT
+
+    got = {r.business_number: r.llm_result for r in judge_pending(view, done, str(tmp_path / "v"), fn).collect()}
+    assert got == {"o1": NM.FIT_TEXT, "o5": "kept"}
+    asked = NM.asked_verdicts(view, fn, done)
+    tally = {r.outcome: r.n for r in NM.run_tally(view, done, asked).collect()}
+    assert tally == {"cached": 1, "missing": 1, "empty": 1, "errors": 1, "prepared": 1}
+
+
+def test_inputs_are_checked(spark):
+    from herald.plans.drift import reference_profile
+    with pytest.raises(ValueError, match="raw_text"):
+        reference_profile(spark.createDataFrame([("a", 1)], "originator_id string, seq long"))

@@ -1,8 +1,6 @@
 """Envelope parsing, input positions and thinning against plain-Python versions."""
 
-import json
-
-import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -11,39 +9,47 @@ from herald.sources import batches as SB
 from herald.sources import envelopes as EV
 
 
-def py_parse(raw):
-    """Reading of the envelope rules: clean, JSON, else per-field regex."""
-    import re
-    s = raw.strip()
-    quoted = len(s) >= 2 and s[0] == '"' and s[-1] == '"'
-    if quoted:
-        s = s[1:-1].replace('""', '"')
-    s = s.replace("\r", " ").replace("\n", " ").replace("\t", " ")
-    try:
-        o = json.loads(s)
-        return o.get("sourceAddress"), o.get("requestID"), o.get("shortMessage")
-    except json.JSONDecodeError:
-        f = {k: re.search(r'"%s"\s*:\s*"([^"]*)"' % k, s) for k in ("sourceAddress", "requestID", "shortMessage")}
-        msg = f["shortMessage"].group(1).replace('\\"', '"') if f["shortMessage"] else None
-        return (f["sourceAddress"].group(1) if f["sourceAddress"] else None,
-                f["requestID"].group(1) if f["requestID"] else None, msg)
-
-
-def test_envelopes_roundtrip_and_fallback(spark):
-    good = json.dumps({"sourceAddress": "24273", "requestID": "r1", "shortMessage": 'hi "there"\nline'})
-    rows = [
-        '"' + good.replace('"', '""') + '"',                          # quoted CSV field
-        good,                                                          # unquoted
-        '{"sourceAddress": "777", "requestID": "r3", "shortMessage": "broken \\"x\\" y", }',  # bad JSON
-        '{"sourceAddress":"1","shortMessage":""}',                      # empty string, unquoted
-        '  {"sourceAddress": 42, "requestID": "r5", "shortMessage": "num"}  ',
-    ]
-    df = spark.createDataFrame([(r, i) for i, r in enumerate(rows)], "value string, seq long")
+ENVELOPES = [
+    # quoted field with doubled quotes, a line end inside the message
+    ('"{""sourceAddress"": ""24273"", ""requestID"": ""r1"", ""shortMessage"": ""hi \\""there\\""\\nline""}"',
+     ("24273", "r1", 'hi "there"\nline')),
+    ('{"sourceAddress": "24273", "requestID": "r2", "shortMessage": "plain"}', ("24273", "r2", "plain")),
+    # no valid JSON: fields by pattern, the message ends at its first quote
+    ('{"sourceAddress": "777", "requestID": "r3", "shortMessage": "broken y", }', ("777", "r3", "broken y")),
+    ('{"sourceAddress": "777", "shortMessage": "cut \\"x" y", }', ("777", None, "cut \\")),
+    # an empty string in an unquoted value
+    ('{"sourceAddress":"1","shortMessage":""}', ("1", None, "")),
+    # a number, and white space of several kinds around the value
+    ('  {"sourceAddress": 42, "requestID": "r5", "shortMessage": "num"}\u00a0\u2003', ("42", "r5", "num")),
+    ("nothing like it", (None, None, None)),
+]
+
+
+def test_envelopes_golden(spark):
+    df = spark.createDataFrame([(r, i) for i, (r, _) in enumerate(ENVELOPES)], "value string, seq long")
     got = {r.seq: (r.originator_id, r.message_id, r.raw_text) for r in EV.parse_envelopes(df).collect()}
-    for i, r in enumerate(rows):
-        exp = py_parse(r)
-        exp = tuple(None if v is None else str(v) for v in exp)
-        assert got[i] == exp, (i, got[i], exp)
+    for i, (raw, want) in enumerate(ENVELOPES):
+        assert got[i] == want, raw
+
+
+def test_no_bound_unless_asked(spark):
+    df = spark.createDataFrame([("a", str(i), "t", i) for i in range(1, 21)],
+                               "originator_id string, message_id string, raw_text string, seq long")
+    assert EV.extract_originator(df, "a", dilute_factor=5).count() == 4
+    assert EV.extract_originator(df, "a", max_rows=10, dilute_factor=5).count() == 2
+
+
+def test_registrations_are_bound_by_header(spark, tmp_path):
+    from herald.sources.sinks import read_registrations
+    (tmp_path / "sheet.csv").write_text(
+        "row_id,campaign_name,business_number,extra,description,content_type,call_to_action,customer_experience\n"
+        '1,Camp One,55501,x,"two\nlines, ""quoted""",text,reply,fine\n2,Camp Two,55502,,d2,,,\n')
+    got = read_registrations(spark, str(tmp_path / "sheet.csv")).orderBy("seq").collect()
+    assert [(r.business_number, r.campaign_name, r.seq) for r in got] == [("55501", "Camp One", 1), ("55502", "Camp Two", 2)]
+    assert got[0].description == 'two\nlines, "quoted"'
+    (tmp_path / "short.csv").write_text("business_number,description\n1,2\n")
+    with pytest.raises(ValueError, match="campaign_name"):
+        read_registrations(spark, str(tmp_path / "short.csv"))
 
 
 def test_documents_envelopes(spark):
@@ -89,20 +95,15 @@ def test_text_column_resolution(spark):
     b = spark.createDataFrame([(1, "x", "y")], "n int, other string, body string")
     assert SB.resolve_text_column(a) == "text"
     assert SB.resolve_text_column(b) == "other"
-    try:
+    with pytest.raises(ValueError):
         SB.resolve_text_column(spark.createDataFrame([(1,)], "n int"))
-        raise AssertionError("expected an error")
-    except ValueError:
-        pass
 
 
 def test_required_columns_lists_all(spark):
     a = spark.createDataFrame([(1,)], "n int")
-    try:
+    with pytest.raises(ValueError) as e:
         SB.require_columns(batch=(a, ["raw_text", "message_id"]), campaigns=(None, []))
-        raise AssertionError("expected an error")
-    except ValueError as e:
-        assert "batch.raw_text" in str(e) and "batch.message_id" in str(e) and "campaigns" in str(e)
+    assert "batch.raw_text" in str(e.value) and "batch.message_id" in str(e.value) and "campaigns" in str(e.value)
 
 
 def test_originator_list_filter(spark):

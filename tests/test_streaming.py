@@ -37,19 +37,46 @@ def test_windowed_counts_stream_equals_batch(spark):
     assert got.sort_values(key).reset_index(drop=True).equals(exp.sort_values(key).reset_index(drop=True))
 
 
-def test_streaming_assignment_equals_batch(spark):
+def test_late_rows_are_dropped_and_open_windows_wait(spark, tmp_path):
+    """Append mode: a window comes out once the watermark passes its end; rows behind the watermark are late."""
+    from herald.streaming.windows import append_to, windowed_coverage, windowed_template_counts
+    schema = "originator_id string, template_hash string, status string, ts timestamp"
+    batches = [[("a", "h", "Known", "2024-01-01 10:00:00"), ("a", "h", "Unknown", "2024-01-01 12:00:00")],
+               [("a", "h", "Known", "2024-01-02 09:00:00")],
+               # day 1 is over for the watermark (2024-01-02 08:00): this row is late
+               [("a", "h", "Known", "2024-01-01 23:00:00"), ("a", "g", "Known", "2024-01-03 05:00:00")]]
+    for name, agg in (("r1", windowed_template_counts), ("r3", windowed_coverage)):
+        source = tmp_path / f"in_{name}"
+        source.mkdir()
+        stream = agg(spark.readStream.schema(schema).parquet(str(source)), "1 day", watermark="1 hour")
+        for i, rows in enumerate(batches):
+            df = spark.createDataFrame(rows, "originator_id string, template_hash string, status string, t string") \
+                .selectExpr("originator_id", "template_hash", "status", "cast(t as timestamp) as ts")
+            df.coalesce(1).write.mode("append").parquet(str(source))
+            append_to(stream, str(tmp_path / f"out_{name}"), str(tmp_path / f"ck_{name}")).awaitTermination()
+        got = sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / f"out_{name}")).drop("window_end").collect())
+        days = [str(r[0])[:10] for r in got]
+        assert days == ["2024-01-01", "2024-01-02"]
+        if name == "r1":
+            assert got[0][-1] == 2  # the late row isn't counted
+        else:
+            assert got[0][2:] == (2, 0.5, 1)
+
+
+def test_streaming_assignment_equals_batch(spark, tmp_path):
+    from herald.streaming.assign_stream import write_assignments
     msgs = load_messages(spark, SF_SMALL)
     tpl = build_templates(msgs)
     vec, model = embed_templates(tpl, dim=128)
     camps = campaign_table(vec.withColumn("cluster_label", F.abs(F.hash("template_hash")) % 3)) \
         .withColumn("campaign_name", F.lit("c"))
     d, path = _stream_dir(spark, msgs)
-    stream = spark.readStream.schema(MESSAGE_SCHEMA).parquet(path)
-    q = (assign_messages(stream, camps, model, 0.2).select("message_id", "assigned_campaign_row_index", "status")
-         .writeStream.format("memory").queryName("r2_assign").outputMode("append").start())
-    q.processAllAvailable()
-    q.stop()
-    got = spark.sql("select * from r2_assign").toPandas().sort_values("message_id").reset_index(drop=True)
-    exp = assign_messages(msgs, camps, model, 0.2).select("message_id", "assigned_campaign_row_index", "status") \
-        .toPandas().sort_values("message_id").reset_index(drop=True)
+    cols = ["message_id", "assigned_campaign_row_index", "status"]
+    stream = spark.readStream.schema(MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+    for _ in range(2):  # started again with nothing new, it adds nothing
+        write_assignments(stream, camps, model, str(tmp_path / "out"), str(tmp_path / "ck"), 0.2).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.select("batch").distinct().count() == 3
+    got = out.select(*cols).toPandas().sort_values("message_id").reset_index(drop=True)
+    exp = assign_messages(msgs, camps, model, 0.2).select(*cols).toPandas().sort_values("message_id").reset_index(drop=True)
     assert got.equals(exp)
