@@ -71,34 +71,36 @@ class WordEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn_runs(self, runs: list[str]) -> None:
+    def _learn_runs(self, runs: list[bytes]) -> None:
         """Memoise runs that are one pre-token each, many runs to a call."""
         groups = [runs[i:i + 128] for i in range(0, len(runs), 128)]
-        for group, e in zip(groups, self.plain.encode_batch([" ".join(g) for g in groups],
+        for group, e in zip(groups, self.plain.encode_batch([b" ".join(g).decode() for g in groups],
                                                             add_special_tokens=False), strict=True):
             packed, owner = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
             ends = ((np.flatnonzero(np.diff(owner, append=-1)) + 1) * 4).tolist()
             if len(ends) == len(group):
                 ids = [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
             else:
-                ids = self._encode(group)
-            self.memo.update(zip([r.encode() for r in group], ids, strict=True))
+                ids = self._encode([r.decode() for r in group])
+            self.memo.update(zip(group, ids, strict=True))
 
     def learn(self, words: set[bytes]) -> None:
-        runs, made, other = set(), [], []
+        memo, runs, made, other = self.memo, [], [], []
         for w in words:
+            if w.isalpha() and w.islower():  # ASCII letters
+                runs.append(w)
+                continue
             m = self._SIMPLE.fullmatch(w.decode())
             if m is None:
                 other.append(w)
                 continue
-            core, tail = m[1].lower(), m[2]
-            runs.add(core)
-            if tail:
-                runs.add(tail)
-            if tail or core != m[1]:
-                made.append((w, core.encode(), tail.encode()))
-        memo = self.memo
-        self._learn_runs([r for r in runs if r.encode() not in memo])
+            core, tail = m[1].lower().encode(), m[2].encode()
+            if core == w:
+                runs.append(w)
+            else:
+                made.append((w, core, tail))
+        parts = {x for _, *pair in made for x in pair if x}.difference(memo, runs)
+        self._learn_runs(runs + list(parts))
         for w, core, tail in made:
             memo[w] = memo[core] + memo[tail] if tail else memo[core]
         memo.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
@@ -176,8 +178,13 @@ def differencing(lengths: np.ndarray, k: int) -> np.ndarray:
 
 
 def pack_batch(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """Window of each item, no window above ``capacity``; the window count rises until that holds."""
-    k = max(1, -(-int(lengths.sum()) // capacity))
+    """Window of each item, no window above ``capacity``; the window count rises until that holds.
+
+    The first count leaves each window 1/256 of slack, about the spread that differencing
+    reaches; with less, the first attempt would be in vain nearly always.
+    """
+    total = int(lengths.sum())
+    k = 1 if total <= capacity else -(-total // (capacity - capacity // 256))
     while True:
         window = differencing(lengths, k)
         most = int(np.bincount(window, weights=lengths, minlength=k).max()) if len(lengths) else 0
