@@ -27,7 +27,7 @@ LANES = 0x1_0000_0001
 RADIUS = 3
 BLOCKS = 5
 ROWS_PER_BUCKET = 4096
-MAX_BUCKETS = 4096
+MAX_CUTS = 64
 
 
 def terms(text: Column) -> Column:
@@ -113,25 +113,32 @@ def near_pairs(queries: DataFrame, rows: DataFrame, radius: int = RADIUS, blocks
 
 
 def in_buckets(docs: DataFrame, id_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """``docs`` plus ``bucket``: ranges of about equally many rows in descending id, 0 first.
+    """``docs`` plus ``bucket``: ranges of about ``rows_per_bucket`` rows in descending id, 0 first.
 
-    The bounds are id quantiles, at most ``MAX_BUCKETS`` numbers. Null ids come last.
+    At most ``MAX_CUTS`` id quantiles make the first cut, and each of these ranges is divided
+    evenly by id into as many buckets as its rows ask for; only the cuts and the ranges'
+    ends reach the driver. Ids are numbers. Equal ids share a bucket; null ids come last.
     """
     n = docs.count()
-    buckets = min(MAX_BUCKETS, max(1, n // rows_per_bucket))
-    cuts = docs.agg(F.percentile_approx(id_col, [i / buckets for i in range(1, buckets)],
-                                        20 * buckets)).first()[0] if buckets > 1 else []
+    cuts = docs.agg(F.percentile_approx(id_col, [i / MAX_CUTS for i in range(1, MAX_CUTS)], 20 * MAX_CUTS)) \
+        .first()[0] if n > rows_per_bucket else []
     cuts = sorted(set(cuts or []))
 
-    # binary search among the sorted cuts
-    def search(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(len(cuts) - lo)
-        mid = (lo + hi) // 2
-        return F.when(F.col(id_col) <= cuts[mid], search(lo, mid)).otherwise(search(mid + 1, hi))
+    above = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
+    ranged = docs.withColumn("range", F.size(F.filter(above, lambda c: c >= F.col(id_col))))
+    ends = {r["range"]: r for r in ranged.filter(F.col(id_col).isNotNull()).groupBy("range").agg(
+        F.min(id_col).cast("double").alias("low"), F.max(id_col).cast("double").alias("high"),
+        F.ceil(F.count("*") / rows_per_bucket).alias("parts")).collect()}
+    low, high, parts = (F.array(*[F.lit(float(ends[r][c]) if r in ends else 1.0) for r in range(len(cuts) + 1)])
+                        for c in ("low", "high", "parts"))
 
-    return docs.withColumn("bucket", F.when(F.col(id_col).isNull(), F.lit(len(cuts) + 1))
-                           .otherwise(search(0, len(cuts))))
+    def of(values: Column) -> Column:
+        return F.get(values, F.col("range"))
+
+    inside = F.floor((of(high) - F.col(id_col)) / (of(high) - of(low) + 1) * of(parts))
+    bucket = F.col("range") * F.lit(1 << 40) + inside
+    return ranged.withColumn("bucket", F.when(F.col(id_col).isNull(), F.lit(1 << 62)).otherwise(bucket)) \
+        .drop("range")
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -149,26 +156,23 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Texts are shuffled once, into ranges of ids; edited texts, votes and neighbours
     all come from that layout. The one row of each range whose next document
-    lies in another range gets it from the (at most ``MAX_BUCKETS``) first rows.
+    lies in another range gets it from the ranges' first rows.
     """
     scratch = Scratch(docs.sparkSession, "fingerprints")
     plain = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     placed = in_buckets(plain, id_col)
     down = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), "text")
 
-    # the first text of every bucket, and the bucket it follows
-    top = placed.groupBy("bucket").agg(F.max(id_col).alias("top"))
-    ring = scratch.few(top.withColumn(
+    # the buckets' order, as a ring: one slim row per bucket
+    ring = scratch.few(placed.select("bucket").distinct().withColumn(
         "after", F.coalesce(F.lag("bucket").over(Window.orderBy("bucket")),
                             F.max("bucket").over(Window.partitionBy()))))
-    heads = placed.join(F.broadcast(ring), (placed["bucket"] == ring["bucket"])
-                        & placed[id_col].eqNullSafe(ring["top"])) \
-        .groupBy(ring["after"].alias("bucket")).agg(F.min("text").alias("head_text"))
-
-    numbered = placed.withColumn("rn", F.row_number().over(down)) \
-        .withColumn("next_text", F.lead("text").over(down))
+    numbered = placed.withColumn("rn", F.row_number().over(down))
+    # a bucket's last text is followed by the first text of the next bucket
+    heads = numbered.filter("rn = 1").join(ring, "bucket") \
+        .select(F.col("after").alias("bucket"), F.col("text").alias("head_text"))
+    numbered = numbered.withColumn("next_text", F.lead("text").over(down))
     n, third = F.length("text"), F.floor(F.length("text") / 3).cast("int")
-    # a text's length has no bound, so the first texts are joined in place, not broadcast
     with_next = numbered.join(heads.hint("merge"), "bucket", "left") \
         .withColumn("next_text", F.coalesce("next_text", "head_text"))
     edited = with_next.select(
@@ -189,7 +193,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     firsts = done.filter("rn = 1").select("bucket", F.col("fp").alias("head_fp")) \
         .join(ring, "bucket").select(F.col("after").alias("bucket"), "head_fp")
-    linked = done.join(F.broadcast(firsts), "bucket", "left") \
+    linked = done.join(firsts, "bucket", "left") \
         .withColumn("next_fp", F.coalesce("next_fp", "head_fp"))
 
     classes = scratch.few(done.groupBy("fp").agg(F.count("*").alias("rows")))
