@@ -21,14 +21,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     from herald.llm.toxicity import fit, held_out, score_documents
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = fit(docs, labels, ~held_out())
-    return score_documents(docs, model).filter("predicted = 0").select(*docs.columns)
+    scored = score_documents(docs, model, score="__toxicity", predicted="__toxic")
+    return scored.filter("__toxic = 0").select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with its text rebuilt from the kept lines and ``n_chars`` counted anew."""
     from herald.llm.line_dedup import dedup_lines
     ship_package(spark)
-    return dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    kept = dedup_lines(docs, counts=("__lines", "__dropped"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

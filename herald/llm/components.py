@@ -28,9 +28,9 @@ def component_labels(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = scratch.few(links.filter(F.col(a).isNotNull() & F.col(b).isNotNull())
                         .select(F.explode(both).alias("e")).select("e.*").distinct())
     labels = scratch.few(edges.groupBy("item").agg(F.min("other").alias("low"))
-                           .select("item", F.least("item", "low").alias("label")))
+                         .select("item", F.col("item").alias("was"), F.least("item", "low").alias("label")))
     while True:
-        near = edges.join(labels.withColumnRenamed("item", "other"), "other") \
+        near = edges.join(labels.select(F.col("item").alias("other"), "label"), "other") \
             .groupBy("item").agg(F.min("label").alias("near"))
         low = labels.join(near, "item").select("item", "label", F.least("label", "near").alias("low"))
         roots = labels.select(F.col("item").alias("low"), F.col("label").alias("root"))
@@ -40,5 +40,4 @@ def component_labels(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         scratch.drop(labels)
         if not changed:
             return step.select("item", "label")
-        labels = step.select("item", "label")
-        labels._scratch_path = step._scratch_path
+        labels = step

@@ -16,6 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from herald.llm.common import Scratch, utf8
 
@@ -82,8 +83,9 @@ def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
-    """``docs`` with ``text_col`` rebuilt from the kept lines, plus ``n_lines`` and ``n_dropped``.
+                min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS,
+                counts: tuple[str, str] = ("n_lines", "n_dropped")) -> DataFrame:
+    """``docs`` with ``text_col`` rebuilt from the kept lines, plus the number of lines and of dropped ones.
 
     A line's key is the line stripped of ASCII white space, with A-Z lower-cased.
     Keys of at least ``min_chars`` code points that occur under at least
@@ -92,14 +94,14 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     empty text. Rows that share an id count as one document and lose the same
     lines. A row with a null id is no document: it isn't counted and keeps its
     lines. An empty table gives an empty one. Other columns pass through; columns
-    named ``n_lines`` or ``n_dropped`` are replaced.
+    named like the two of ``counts`` are replaced.
     """
-    docs = docs.drop("n_lines", "n_dropped")
+    docs = docs.drop(*counts)
     drops = dropped_keys(docs, id_col, text_col, min_chars, min_documents)
     keys = "__dropped_keys"
     joined = docs.join(drops.select(F.col(id_col), F.col("keys").alias(keys)), id_col, "left") \
         .select(*docs.columns, keys)
-    schema = docs.schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in counts]])
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

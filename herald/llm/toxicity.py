@@ -278,17 +278,18 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text",
-                    threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
+                    threshold: float = THRESHOLD, score: str = "score",
+                    predicted: str = "predicted") -> DataFrame:
+    """``docs`` plus columns ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
     Null and empty texts score like a text without hits. Repeated rows score alike,
     an empty table gives an empty one, and other columns pass through untouched;
-    columns named ``score`` or ``predicted`` are replaced.
+    columns of the two names are replaced.
     """
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(score, predicted)
     at = docs.columns.index(text_col)
-    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType()),
-                           T.StructField("predicted", T.IntegerType())])
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType()),
+                           T.StructField(predicted, T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)

@@ -5,7 +5,8 @@ from __future__ import annotations
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 #: Names that operators use for columns of their own.
-CLASHES = ("size", "fp", "key", "label", "line", "score", "rank", "bucket", "copies", "predicted")
+CLASHES = ("size", "fp", "key", "label", "line", "score", "rank", "bucket", "copies", "predicted",
+           "n_lines", "n_dropped", "place", "row", "tile", "term", "words", "__nr_")
 
 
 def prose(n: int, seed: int = 0) -> str:

@@ -55,6 +55,9 @@ def test_repeated_rows_are_one_document(spark):
 def test_other_columns_pass_and_empty_table(spark):
     df = edge_docs(spark)
     out = dedup_lines(df)
-    assert out.columns == [*df.columns, "n_lines", "n_dropped"] and out.count() == df.count()
+    others = [c for c in df.columns if c not in ("n_lines", "n_dropped")]
+    assert out.columns == [*others, "n_lines", "n_dropped"] and out.count() == df.count()
     assert dedup_lines(out).columns == out.columns
+    kept = dedup_lines(df, counts=("a", "b"))
+    assert kept.columns == [*df.columns, "a", "b"] and {r.n_lines for r in kept.collect()} == {"?"}
     assert kept_digest(no_docs(spark)).count() == 0
