@@ -56,16 +56,17 @@ def _r(c, n: int = 6):
     return F.round(c, n)
 
 
-def docs(spark: SparkSession, d: str) -> DataFrame:
-    ship_package(spark)
-    return SB.read_table(spark, d, "documents")
-
-
 def spread(spark: SparkSession) -> int | None:
     n = spark.conf.get(SPREAD_CONF, None)
     return int(n) if n else None
 
 
+def docs(spark: SparkSession, d: str) -> DataFrame:
+    ship_package(spark)
+    df, n = SB.read_table(spark, d, "documents"), spread(spark)
+    return df.repartition(n) if n else df
+
+
 def scratch_path(spark: SparkSession) -> str:
     """A new folder name on the cluster's shared file system, for queries that write and read back."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/herald-query-{uuid.uuid4().hex}"
@@ -252,12 +253,12 @@ def q_label_cleanup(spark, d):
 def q_templates(spark, d):
     """Flagship: normalise + hash + dedupe every message of every sender."""
     from herald.operators.templates import build_templates
-    return build_templates(messages(spark, d), spread=spread(spark))
+    return build_templates(messages(spark, d))
 
 
 def q_top_templates(spark, d):
     from herald.operators.templates import build_templates, top_templates
-    return top_templates(build_templates(messages(spark, d), spread=spread(spark)), 5)
+    return top_templates(build_templates(messages(spark, d)), 5)
 
 
 def q_dedupe_exact(spark, d):
@@ -599,7 +600,7 @@ def q_names_all_senders(spark, d):
     """Campaign names of every registered sender, exported and read back."""
     from herald.plans.names import export_names
     return export_names(messages(spark, d), registrations(spark, d), scratch_path(spark),
-                        target_rows=ADAPTIVE_TARGET, spread=spread(spark))
+                        target_rows=ADAPTIVE_TARGET)
 
 
 # ---------------------------------------------------------------- streaming (batch form)
@@ -652,7 +653,7 @@ def language_campaigns(spark, d):
     """Templates of all documents with their language as campaign: (campaigns, fitted vector model)."""
     from herald.operators.embed import embed_templates
     from herald.operators.templates import build_templates
-    tpl = build_templates(messages(spark, d), spread=spread(spark))
+    tpl = build_templates(messages(spark, d))
     vec, model = embed_templates(tpl, dim=256)
     lang = docs(spark, d).select(F.col("doc_id").cast("string").alias("message_id"), "lang")
     ranked = lang.select("lang").distinct().withColumn("cluster_label", F.abs(F.hash("lang")) % 1000)
@@ -676,7 +677,7 @@ def q_template_vectors(spark, d):
     """V1: every template's vector."""
     from herald.operators.embed import embed_templates
     from herald.operators.templates import build_templates
-    vec, _ = embed_templates(build_templates(messages(spark, d), spread=spread(spark)), dim=256)
+    vec, _ = embed_templates(build_templates(messages(spark, d)), dim=256)
     return vec.select("originator_id", "template_hash", "embedding")
 
 
@@ -694,7 +695,7 @@ def new_batch(spark, d) -> DataFrame:
 def drift_tables(spark, d) -> dict:
     """The reference is all documents, the new batch adds all conversation turns."""
     from herald.plans.drift import DriftParams, drift_run
-    return drift_run(messages(spark, d), new_batch(spark, d), DriftParams(run_ts=RUN_TS, spread=spread(spark)))
+    return drift_run(messages(spark, d), new_batch(spark, d), DriftParams(run_ts=RUN_TS))
 
 
 def q_normalize_unicode(spark, d):
@@ -736,14 +737,14 @@ def q_eom_profile(spark, d):
     from herald.operators.templates import build_templates
     from herald.plans.drift import DriftParams, cluster
     p = DriftParams()
-    vec, _ = embed_templates(build_templates(messages(spark, d), spread=spread(spark)), dim=p.dim)
+    vec, _ = embed_templates(build_templates(messages(spark, d)), dim=p.dim)
     return cluster(vec, p, p.profile_min_samples).select("originator_id", "template_hash", "cluster_label")
 
 
 def q_registered_drift(spark, d):
     """N7 against the campaigns of every sender's whole profile (E3 on real profiles)."""
     from herald.plans.drift import DriftParams, reference_profile
-    _, camps, _, _ = reference_profile(messages(spark, d), DriftParams(spread=spread(spark)))
+    _, camps, _, _ = reference_profile(messages(spark, d), DriftParams())
     return NM.drift_verdicts(NM.names_view(named_registrations(spark, d), camps)).drop("misfit_names")
 
 
