@@ -50,10 +50,13 @@ def embed_templates(templates: DataFrame, text_col: str = "normalized_text",
 
 def embed_with_model(templates: DataFrame, make_predict_fn, dim: int,
                      text_col: str = "normalized_text", batch_size: int = 64) -> DataFrame:
-    """Vectors from a caller-supplied model (loaded once per Python worker)."""
+    """Vectors from a caller-supplied model (loaded once per Python worker).
+
+    ``make_predict_fn()`` returns a function from an array of texts to an array (rows, ``dim``).
+    """
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql import types as T
 
     udf = predict_batch_udf(make_predict_fn, return_type=T.ArrayType(T.FloatType()),
-                            batch_size=batch_size, input_tensor_shapes=[[-1]])
+                            batch_size=batch_size)
     return templates.withColumn("embedding", udf(F.col(text_col)))
