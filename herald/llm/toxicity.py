@@ -58,21 +58,29 @@ _MAP = {ord(k): v for k, v in LOOKALIKES.items()} | _INVISIBLE
 _FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "\\u00ad\\u200b-\\u200d\\u2060\\ufeff"
                       "\\u2100-\\u214f\\u2460-\\u24ff\\uff00-\\uffef\\U0001d400-\\U0001d7ff]")
 _SIGNS = "".join(map(re.escape, SUBSTITUTES))
-_INSIDE = re.compile(rf"(?:(?<=[^\W\d_])|(?<![^\s(\"'])(?=[^\s]*[^\W\d_]))[{_SIGNS}]{{1,3}}(?=[^\W\d_])")
+_LAST = _SIGNS.replace("!", "")
+#: Signs between letters, before the first letter of a word, or (but for marks) after its last one.
+_INSIDE = re.compile(rf"(?:(?<=[^\W\d_])|(?<![^\s(\"'])(?=[^\s]*[^\W\d_]))[{_SIGNS}]{{1,3}}(?=[^\W\d_])"
+                     rf"|(?<=[^\W\d_])[{_LAST}]{{1,2}}(?=[\s.,;:!?)]|$)")
 _RUN = re.compile(r"[^\W\d_]+")
 _TO_LETTER = str.maketrans(SUBSTITUTES)
 
 
+def _latin(word: re.Match) -> str:
+    mapped = word[0].translate(_MAP)
+    return mapped if max(mapped) < "\u0250" else word[0]
+
+
 def fold(text: str) -> str:
     """Lower case, look-alikes to Latin letters, invisible characters out, digits in words to letters.
 
-    Look-alikes are mapped only in words that also hold Latin letters, so that text in
+    Look-alikes are mapped only in words that become wholly Latin by it, so that text in
     another script stays as it is.
     """
     text = text.lower()
     if not text.isascii() and _FOREIGN.search(text):
         text = unicodedata.normalize("NFKC", text).lower().translate(_INVISIBLE)
-        text = re.sub(r"\w+", lambda m: m[0].translate(_MAP) if re.search("[a-z]", m[0]) else m[0], text)
+        text = re.sub(r"\w+", _latin, text)
     return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), text)
 
 

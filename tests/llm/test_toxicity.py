@@ -26,6 +26,7 @@ def toxic_table(spark, n=400):
 def test_folding():
     assert T.fold("1D10T, ｉｄｉｏｔ iдiot idi​ot іdiot $tupid m0r0n") == \
         "idiot, idiot iдiot idiot idiot stupid moron"
+    assert T.fold("w0rthle$$, l0$er5! tr@sh іԁіοт (3vil) item5") == "worthless, losers! trash idiot (evil) items"
     assert T.fold("Привет мир 2024, cost $5 and 100%") == "привет мир 2024, cost $5 and 100%"
 
 
