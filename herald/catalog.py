@@ -683,17 +683,18 @@ def q_template_vectors(spark, d):
 
 # ---------------------------------------------------------------- whole pipeline (rows-only checks)
 def new_batch(spark, d) -> DataFrame:
-    """All documents and all conversation turns as messages: known and unseen texts of every sender."""
+    """All conversation turns as messages: texts both like and unlike those of their senders."""
     conv = SB.read_table(spark, d, "conversations")
-    turns = conv.select(F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("originator_id"),
-                        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-                         .alias("message_id"), F.col("text").alias("raw_text"),
-                        (F.col("conv_id") * 1000 + F.col("turn") + 10_000_000_000).cast("long").alias("seq"))
-    return messages(spark, d).unionByName(turns)
+    n = spread(spark)
+    return (conv.repartition(n) if n else conv).select(
+        F.concat(F.lit("src"), (F.col("conv_id") % 20).cast("string")).alias("originator_id"),
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("message_id"),
+        F.col("text").alias("raw_text"),
+        (F.col("conv_id") * 1000 + F.col("turn") + 1).cast("long").alias("seq"))
 
 
 def drift_tables(spark, d) -> dict:
-    """The reference is all documents, the new batch adds all conversation turns."""
+    """The reference is all documents, the new batch all conversation turns."""
     from herald.plans.drift import DriftParams, drift_run
     return drift_run(messages(spark, d), new_batch(spark, d), DriftParams(run_ts=RUN_TS))
 
