@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from herald import config
 from herald.operators.blocks import nearest_center
 from herald.operators.centroids import centroids, cluster_counts
+from herald.session import cut_lineage
 
 
 # F10 + W3
@@ -60,22 +61,20 @@ def build_profile(clustered: DataFrame, namer=None, n_nearest: int = config.N_NE
     """
     from herald.operators.naming import name_from_samples
 
-    from herald.session import cut_lineage
-
-    # written once: the examples, the names and the caller all reuse it
+    # written once each: campaigns, examples and names are all read several times
     camps = cut_lineage(campaign_table(clustered, key, label_col, vec_col, weighted))
     members = member_similarity(clustered, camps, key, label_col, vec_col)
     text = "normalized_text" if "normalized_text" in members.columns else None
     ex = nearest_examples(members, n_nearest, key, label_col)
-    ex = ex.select(
+    ex = cut_lineage(ex.select(
         key, F.col("row_index").alias("campaign_row_index"), label_col, F.col("rank").cast("int"),
         (F.col("message_id") if "message_id" in ex.columns else F.lit("")).alias("message_id"),
         "template_hash",
         (F.col(text) if text else F.lit("")).alias("text_sample"),
         "sim_score",
         (F.col("count_in_window").cast("long") if "count_in_window" in ex.columns
-         else F.lit(1).cast("long")).alias("count_in_window"))
-    names = (namer or (lambda e: name_from_samples(e, [key, label_col], max_words=max_words)))(ex)
+         else F.lit(1).cast("long")).alias("count_in_window")))
+    names = cut_lineage((namer or (lambda e: name_from_samples(e, [key, label_col], max_words=max_words)))(ex))
     camps = camps.join(names, [key, label_col], "left") \
                  .withColumn("campaign_name", F.coalesce("campaign_name", F.lit("")))
     ex = ex.join(camps.select(key, label_col, "campaign_name"), [key, label_col], "left")
