@@ -579,7 +579,7 @@ def q_pending_verdicts(spark, d):
 
 def _answer(prompt: str, temperature: float) -> str:
     """A caller's text function: by the request's length, it fails, finds a misfit or finds none."""
-    if len(prompt) % 4 == 0:
+    if len(prompt) % 4 == 3:
         raise RuntimeError("no answer")
     return NM.ANOMALY_TEXT if len(prompt) % 4 == 1 else NM.FIT_TEXT
 

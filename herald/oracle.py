@@ -469,7 +469,7 @@ todo AS (SELECT originator_id FROM gap WHERE kind = 'full' AND originator_id NOT
 every AS (SELECT business_number, llm_result FROM vd UNION ALL SELECT business_number, {lit(NM.FIT_TEXT)} FROM old)
 SELECT business_number, llm_result, CASE WHEN lower(llm_result) LIKE '%anomal%' THEN 'anomaly' ELSE 'ok' END AS status
 FROM every"""
-    asked = f"""ask AS (SELECT originator_id, size % 4 = 0 AS failed, size % 4 = 1 AS odd
+    asked = f"""ask AS (SELECT originator_id, size % 4 = 3 AS failed, size % 4 = 1 AS odd
        FROM (SELECT originator_id, length({lit(NM.COMPARE_INSTRUCTIONS)}) + length(fg) + length(sg) + 4 AS size
              FROM todo JOIN fg USING (originator_id) JOIN sg USING (originator_id)))"""
     q["asked_verdicts"] = f"""WITH {view}, {fg}, {gappy}, {asked}
