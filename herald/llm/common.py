@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from herald.session import ensure_checkpoint_dir, ship_package
 #: The six ASCII white-space characters that separate words everywhere in this package.
 SPACE_CLASS = r"\x20\x09-\x0D"
 WORD_PATTERN = rf"[^{SPACE_CLASS}]+"
+SLICE_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +35,18 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.to_pylist()]
 
 
+def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Incoming Arrow batches (64 MB by default) in slices of about ``limit`` bytes.
+
+    What a task holds besides its batch (Python texts, results) is bounded by a slice,
+    or by a single text if that is longer.
+    """
+    for batch in batches:
+        rows = max(1, batch.num_rows * limit // max(1, batch.nbytes))
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 class Scratch:
     """Tables written under the cluster's shared checkpoint folder.
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herald.llm.common import Scratch, utf8
+from herald.llm.common import Scratch, slices, utf8
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -44,7 +44,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             at, keys = [], []
             for i, text in enumerate(utf8(batch.column(1))):
                 found = {k for k in line_keys(text, min_chars) if k is not None}
@@ -105,7 +105,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             kept_texts, n_lines, n_dropped = [], [], []
             gone = batch.column(batch.num_columns - 1).to_pylist()
             for text, drop in zip(utf8(batch.column(at)), gone, strict=True):

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herald.llm.common import Scratch, utf8
+from herald.llm.common import Scratch, slices, utf8
 from herald.llm.token_counts import tokenizer_file
 
 CAPACITY = 4096
@@ -203,7 +203,7 @@ def tokenised_pieces(df: DataFrame, id_col: str, text_col: str, tokenizer: str,
         from pyspark import TaskContext
         encoder = word_encoder(tokenizer)
         seen = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             texts, rows, i = utf8(batch.column(1)), [], 0
             while i < len(texts):
                 held, j = 0, i

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from herald.llm.common import Scratch, utf8
+from herald.llm.common import Scratch, slices, utf8
 
 MAX_LABELLED = 12000
 PSEUDO = 1000
@@ -101,7 +101,7 @@ def page_metadata(pages: DataFrame) -> DataFrame:
     The number in a page's path is the document's id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [page_features(u or "", h or "").tolist()
                     for u, h in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
@@ -118,7 +118,7 @@ def views(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """(doc_id, text_view, meta_view) for every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         floats = pa.list_(pa.float32())
-        for batch in batches:
+        for batch in slices(batches):
             texts = utf8(batch.column(1))
             meta = [np.concatenate([one_hot(lang, LANGS), one_hot(source, SOURCES),
                                     np.array(layout_features(t), dtype=np.float32)]).tolist()

@@ -18,6 +18,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from herald.llm.common import slices
+
 BATCH_BYTES = 1 << 20
 SPLIT_CHARS = 1 << 16
 _SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
@@ -75,7 +77,7 @@ def token_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, json_file = load_counter(tokenizer)
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sizes, totals = [], [0] * len(texts)
             call, owners, held = [], [], 0

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from herald.llm.common import utf8
+from herald.llm.common import Scratch, slices, utf8
 
 MAX_TOXIC = 6000
 MAX_CLEAN = 12000
@@ -170,7 +170,7 @@ def training_texts(docs: DataFrame, train: DataFrame, id_col: str, text_col: str
     """(label, words-folded text), one text per sketch, so that copies count once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = [fold(t.decode()) for t in utf8(batch.column(1))]
             runs = [_RUN.findall(t) for t in texts]
             yield pa.RecordBatch.from_arrays(
@@ -192,7 +192,7 @@ def stem_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, clean = Counter(), Counter()
-        for batch in batches:
+        for batch in slices(batches):
             for label, folded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 stems = {w[:n] for w in set(_RUN.findall(folded)) for n in range(MIN_STEM, MAX_STEM + 1)}
                 (toxic if label else clean).update(stems)
@@ -247,7 +247,6 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     Without labelled toxic and clean texts the seed words and default coefficients remain.
     What reaches the driver is bounded by ``MAX_TERMS``, ``MAX_TOXIC`` and ``MAX_CLEAN``.
     """
-    from herald.llm.common import Scratch
     train = training_ids(labels, id_col, label_col, learn)
     texts = Scratch(docs.sparkSession, "toxicity").few(
         training_texts(docs, train, id_col, text_col))
@@ -264,7 +263,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for label, folded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x, y = matcher.features(folded, without_one=label == 1)
@@ -301,7 +300,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
-        for batch in batches:
+        for batch in slices(batches):
             scores = [matcher.score(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 batch.columns + [pa.array(scores, pa.float64()),
