@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm.common import Scratch, documents, read_table
+from herald.llm.common import Scratch, documents, fewer, read_table
 from herald.session import ship_package
 
 
@@ -30,28 +30,28 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     from herald.llm.line_dedup import dedup_lines
     ship_package(spark)
     kept = dedup_lines(docs, counts=("__lines", "__dropped"))
-    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return fewer(kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns), 4)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the smallest doc_id."""
     from herald.llm.simhash_near_dedup import one_of_each
     ship_package(spark)
-    return one_of_each(docs, shingle=3, radius=3)
+    return fewer(one_of_each(docs, shingle=3, radius=3), 4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A row for each copy that the mix takes of a document."""
     from herald.llm.source_mixing import mixed_documents
     ship_package(spark)
-    return mixed_documents(docs)
+    return fewer(mixed_documents(docs), 4)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in their sequences."""
     from herald.llm.packing import pack_documents
     ship_package(spark)
-    return pack_documents(docs)
+    return fewer(pack_documents(docs))
 
 
 STAGES = [

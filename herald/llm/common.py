@@ -47,6 +47,18 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Itera
             yield batch.slice(start, rows)
 
 
+def fewer(df: DataFrame, share: int = 8) -> DataFrame:
+    """``df`` in a ``share``-th of the session's shuffle partitions, but two a core at least.
+
+    For results of a few columns, which need far fewer files than the shuffle before them
+    has partitions. A task reads its partitions one after another, so none is merged in
+    memory; a table in fewer partitions already stays as it is.
+    """
+    spark = df.sparkSession
+    return df.coalesce(max(2 * spark.sparkContext.defaultParallelism,
+                           int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
+
+
 class Scratch:
     """Tables written under the cluster's shared checkpoint folder.
 
@@ -69,12 +81,8 @@ class Scratch:
         return out
 
     def few(self, df: DataFrame) -> DataFrame:
-        """Write a slim table (ids, keys, counts) with at most two files a core.
-
-        A shuffle may have many more partitions than such a table needs files;
-        they are read one after another by the writing tasks, none is merged in memory.
-        """
-        return self.write(df.coalesce(2 * self.spark.sparkContext.defaultParallelism))
+        """Write a slim table (ids, keys, counts) as few files, see :func:`fewer`."""
+        return self.write(fewer(df))
 
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)

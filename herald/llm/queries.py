@@ -11,37 +11,37 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm.common import documents, read_table
+from herald.llm.common import documents, fewer, read_table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.simhash_near_dedup import hex_digits, near_duplicates
     found = near_duplicates(documents(spark, sf_dir), shingle=3, radius=3)
-    return found.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id")
+    return fewer(found.select("doc_id", hex_digits("fp").alias("fingerprint"), "component_id"))
 
 
 def op2_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.source_mixing import mix
-    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken",
-                                                "copies")
+    return fewer(mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken",
+                                                      "copies"))
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as files ``source/lang/doc_id`` of one tree."""
     from herald.llm.license_scan import license_scan
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
-    return license_scan(documents(spark, sf_dir), "doc_id", path)
+    return fewer(license_scan(documents(spark, sf_dir), "doc_id", path))
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.line_dedup import kept_digest
-    return kept_digest(documents(spark, sf_dir))
+    return fewer(kept_digest(documents(spark, sf_dir)))
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.packing import pack_documents
-    return pack_documents(documents(spark, sf_dir), tokenizer="word_bpe_49k.json", end_id=2,
-                          capacity=4096)
+    return fewer(pack_documents(documents(spark, sf_dir), tokenizer="word_bpe_49k.json", end_id=2,
+                                capacity=4096))
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,9 +78,9 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.fingerprints import edited_fingerprints, hex_digits
     found = edited_fingerprints(documents(spark, sf_dir))
-    return found.select("doc_id", "n_chars", "edited_sha256", hex_digits("fp").alias("fingerprint"),
-                        hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited", "near_next",
-                        "n_near")
+    return fewer(found.select("doc_id", "n_chars", "edited_sha256", hex_digits("fp").alias("fingerprint"),
+                              hex_digits("edited_fp").alias("edited_fingerprint"), "near_edited",
+                              "near_next", "n_near"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
