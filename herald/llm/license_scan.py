@@ -3,8 +3,9 @@
 Every line of every text is a possible license header. Lines that hold a telling
 word of a template become sparse TF-IDF vectors, with document frequencies counted
 over all texts, and meet the templates by their terms; the best cosine from
-``THRESHOLD`` on names the file's license. A file most of whose words lie in such lines is a
-licence file and speaks for its directory. A file without a license of its own
+``THRESHOLD`` on names the file's license. Every text also meets the whole licence texts as
+one vector; a cosine from ``FILE_THRESHOLD`` on names the license before any line does. Such a file,
+or one most of whose words lie in license lines, is a licence file and speaks for its directory. A file without a license of its own
 inherits that of its nearest ancestor directory, found by joining paths. DataFrame
 functions only.
 """
@@ -19,8 +20,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from herald.llm.common import Scratch
+from herald.llm.license_texts import full_texts
 
 THRESHOLD = 0.6
+#: Whole texts of different license families reach 0.75 with each other, documents of other kinds 0.3.
+FILE_THRESHOLD = 0.8
+#: Below this idf a word is taken to be in every text (only for choosing candidates).
+COMMON_IDF = 2.0
+HEAVIEST = 40
 FILE_SHARE = 0.25
 TOKEN = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 
@@ -70,6 +77,15 @@ def vocabulary() -> list[str]:
     return sorted({term for _, term, _ in template_terms()})
 
 
+def full_terms() -> dict[str, Counter]:
+    """Term counts of the whole licence texts by license."""
+    return {name: Counter(re.findall(TOKEN, text.lower())) for name, text in full_texts().items()}
+
+
+def full_vocabulary() -> list[str]:
+    return sorted(set(vocabulary()).union(*full_terms().values()))
+
+
 def telling() -> str:
     """A pattern that any line similar enough must match: a template word that is no stop word.
 
@@ -83,21 +99,73 @@ def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
 
 
+def among(words: str, known: list[str]) -> str:
+    """SQL: the ``words`` (an array) that are known; one literal list, as a call for each word is slow to build."""
+    return f"filter({words}, t -> t in ({', '.join(repr(w) for w in known)}))"
+
+
 def term_weights(spark: SparkSession, texts: DataFrame, text_col: str) -> tuple[DataFrame, float]:
-    """(term, idf) of the vocabulary, a fixed number of rows; and the idf of a word seen nowhere.
+    """(term, idf) of both vocabularies, a fixed number of rows; and the idf of a word seen nowhere.
 
     ``idf = 1 + ln((1 + N) / (1 + df))``, over all texts.
     """
-    words = vocabulary()
+    words = full_vocabulary()
     counted = texts.agg(F.count("*").alias("n")).first()["n"]
-    vocab = F.array(*[F.lit(w) for w in words])
-    found = texts.select(F.explode(F.array_intersect(tokens(F.col(text_col)), vocab)).alias("term")) \
+    found = texts.select(F.array_distinct(tokens(F.col(text_col))).alias("words")) \
+        .select(F.explode(F.expr(among("words", words))).alias("term")) \
         .groupBy("term").agg(F.count("*").alias("df"))
     weights = spark.createDataFrame([(w,) for w in words], "term string").join(found, "term", "left") \
         .select("term", (1 + F.log((1 + F.lit(counted)) / (1 + F.coalesce("df", F.lit(0))))).alias("idf"))
     return weights, 1 + math.log(1 + counted)
 
 
+def may_be_full(words: str, idf: dict[str, float], threshold: float) -> Column:
+    """False only for texts whose distinct ``words`` (SQL) rule out ``threshold`` with every whole licence text.
+
+    A cosine is at most the norm of the template's part that the text shares, over the template's. All but the
+    ``HEAVIEST`` words are granted to every text; of these, at least so many must occur as the heaviest
+    need to reach the threshold.
+    """
+    needs = []
+    for counts in full_terms().values():
+        share = {t: (n * idf[t]) ** 2 for t, n in counts.items()}
+        heavy = sorted((t for t in share if idf[t] >= COMMON_IDF), key=lambda t: -share[t])[:HEAVIEST]
+        total = sum(share.values())
+        lacking = threshold ** 2 * total * (1 - 1e-9) - (total - sum(share[t] for t in heavy))
+        least = 0
+        while lacking > 0 and least < len(heavy):
+            lacking -= share[heavy[least]]
+            least += 1
+        needs.append((heavy, least))
+    if any(least == 0 for _, least in needs):
+        return F.lit(True)
+    known = sorted(set().union(*(heavy for heavy, _ in needs)))
+    enough = " or ".join(f"size({among('h', heavy)}) >= {least}" for heavy, least in needs)
+    return F.expr(f"transform(array({among(words, known)}), h -> {enough})[0]")
+
+
+def full_matches(files: DataFrame, weights: DataFrame, unseen: float, threshold: float) -> DataFrame:
+    """(key, license, score): the nearest whole licence text of ``files`` (key, toks), one vector a file."""
+    spark = files.sparkSession
+    terms = files.dropDuplicates(["key"]).select("key", F.explode("toks").alias("term")) \
+        .groupBy("key", "term").agg(F.count("*").alias("tf"))
+    weighted = terms.join(F.broadcast(weights), "term", "left") \
+        .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    norms = weighted.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    templates = spark.createDataFrame([(name, t, n) for name, c in full_terms().items() for t, n in c.items()],
+                                      "license string, term string, n int") \
+        .join(F.broadcast(weights), "term").select("license", "term", (F.col("n") * F.col("idf")).alias("tw"))
+    template_norms = templates.groupBy("license").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
+    # bounded by the fixed list of licence texts
+    dots = weighted.join(F.broadcast(templates), "term").groupBy("key", "license") \
+        .agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    return dots.join(norms, "key").join(F.broadcast(template_norms), "license") \
+        .withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)) \
+        .filter(F.col("score") >= threshold) \
+        .groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("low"), "license")).alias("m")) \
+        .select("key", F.col("m.license").alias("full_license"), (-F.col("m.low")).alias("full_score"))
+
+
 def line_matches(texts: DataFrame, weights: DataFrame, unseen: float, threshold: float) -> DataFrame:
     """(key, line, template, score, words): lines of ``texts`` (key, text) and their best template."""
     spark = texts.sparkSession
@@ -142,14 +210,16 @@ def inherited(dirs: DataFrame, speaking: DataFrame) -> DataFrame:
 
 
 def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "text",
-                 threshold: float = THRESHOLD, file_share: float = FILE_SHARE) -> DataFrame:
+                 threshold: float = THRESHOLD, file_share: float = FILE_SHARE,
+                 file_threshold: float = FILE_THRESHOLD) -> DataFrame:
     """Per row: id, ``path``, ``license``, ``how`` (header, inherited, none), ``score``, ``line``,
     ``from_dir``, ``licence_file``.
 
     ``score`` and ``line`` (from 0) belong to the best matching line of the whole text: the highest
-    cosine, then the first line. Null and empty texts match nothing but inherit; a null path
-    lies in the root directory. Several licence files of a directory: the highest score, then the smallest
-    license name speaks. Rows with equal texts have equal matches; repeated rows each
+    cosine, then the first line. Where the whole text is a licence text, ``score`` is the cosine of the whole
+    and ``line`` is null. Null and empty texts match nothing but inherit; a null path
+    lies in the root directory. Several licence files of a directory: whole licence texts first, then the
+    highest score, then the smallest license name speaks. Rows with equal texts have equal matches; repeated rows each
     have a row; an empty table gives an empty one. Other columns are not read.
     """
     spark = files.sparkSession
@@ -160,18 +230,28 @@ def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "t
     weights, unseen = term_weights(spark, rows, "text")
     weights = scratch.write(weights.coalesce(1))
     matches = scratch.few(line_matches(
-        rows.select("key", "text"), weights, unseen, threshold))
+        rows.select("key", "text"), weights.filter(F.col("term").isin(vocabulary())), unseen, threshold))
     own = matches.groupBy("key").agg(
         F.min(F.struct((-F.col("score")).alias("low"), "line", "template")).alias("m"),
         F.sum("words").alias("license_words")) \
         .select("key", "license_words", F.split("m.template", "#")[0].alias("own"),
                 (-F.col("m.low")).alias("score"), F.col("m.line").alias("line"))
-    slim = rows.select(id_col, "path", "key", F.size(tokens(F.col("text"))).alias("n_words"),
-                       F.regexp_replace("path", "/?[^/]*$", "").alias("dir"))
-    found = scratch.write(slim.join(own, "key", "left").withColumn(
-        "licence_file", F.coalesce(F.col("license_words") >= file_share * F.col("n_words"), F.lit(False))))
+    idf = {r["term"]: r["idf"] for r in weights.collect()}  # the fixed vocabulary
+    slim = scratch.write(rows.select(id_col, "path", "key", tokens(F.col("text")).alias("toks")).select(
+        id_col, "path", "key", F.size("toks").alias("n_words"),
+        F.regexp_replace("path", "/?[^/]*$", "").alias("dir"),
+        F.when(may_be_full("array_distinct(toks)", idf, file_threshold), F.col("toks")).alias("toks")))
+    whole = scratch.few(full_matches(slim.filter(F.col("toks").isNotNull()).select("key", "toks"), weights, unseen,
+                                     file_threshold))
+    full = F.col("full_license").isNotNull()
+    found = scratch.write(slim.drop("toks").join(own, "key", "left").join(whole, "key", "left").select(
+        id_col, "path", "key", "dir", F.coalesce("full_license", "own").alias("own"),
+        F.coalesce("full_score", "score").alias("score"), F.when(~full, F.col("line")).alias("line"),
+        (~full).alias("in_lines"),
+        (full | F.coalesce(F.col("license_words") >= file_share * F.col("n_words"), F.lit(False)))
+        .alias("licence_file")))
     speaking = found.filter("licence_file").groupBy(F.col("dir").alias("from_dir")).agg(
-        F.min(F.struct((-F.col("score")).alias("low"), "own"))["own"].alias("license"))
+        F.min(F.struct("in_lines", (-F.col("score")).alias("low"), "own"))["own"].alias("license"))
     by_dir = scratch.few(inherited(found.select("dir").distinct(), speaking))
     how = F.when(F.col("own").isNotNull(), "header").when(F.col("dir_license").isNotNull(), "inherited") \
         .otherwise("none")

@@ -2,6 +2,7 @@ from helpers import edge_docs, no_docs, prose
 from pyspark.sql import functions as F
 
 from herald.llm import license_scan as L
+from herald.llm.license_texts import full_texts
 
 
 def scan(spark, rows, **options):
@@ -61,3 +62,34 @@ def test_plan_has_no_python(spark):
     path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
     plan = L.license_scan(edge_docs(spark), "doc_id", path)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_whole_licence_texts_speak_for_their_directories(spark):
+    """Each with a copyright line of its own; wrapped as its file has it, and as one line."""
+    texts = full_texts()
+    rows = [(i, f"{n}/LICENSE", f"Copyright (c) 2019 {prose(5, i)}\n\n{t}") for i, (n, t) in enumerate(texts.items())]
+    rows += [(i + 100, f"{n}/src/x.py", prose(30, i)) for i, n in enumerate(texts)]
+    rows += [(i + 200, f"flat/{n}/COPYING", " ".join(t.split())) for i, (n, t) in enumerate(texts.items())]
+    rows += [(i + 300, f"p{i}/x", prose(90, i)) for i in range(60)]
+    got = scan(spark, rows)
+    for i, n in enumerate(texts):
+        assert (got[i].license, got[i].licence_file, got[i].line) == (n, True, None)
+        assert got[i].score > 0.9
+        assert (got[i + 100].license, got[i + 100].how, got[i + 100].from_dir) == (n, "inherited", n)
+        assert (got[i + 200].license, got[i + 200].licence_file) == (n, True)
+    assert {"MIT", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "GPL-2.0", "GPL-3.0", "AGPL-3.0"} <= set(texts)
+
+
+def test_candidates_lose_no_whole_text(spark):
+    """The distinct words that admit a text rule out no cosine from the threshold on, also in a cut text."""
+    texts = full_texts()
+    cut = [(n, " ".join(t.split()[:len(t.split()) * k // 10])) for n, t in texts.items() for k in range(3, 11)]
+    other = [(1000 + i, prose(300, i) + " the software is provided as is") for i in range(50)]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cut)] + other, "key long, text string")
+    docs = df.select("text").union(spark.createDataFrame([(prose(60, i),) for i in range(3000)], "text string"))
+    weights, unseen = L.term_weights(spark, docs, "text")
+    idf = {r.term: r.idf for r in weights.collect()}
+    toks = df.select("key", L.tokens(F.col("text")).alias("toks"))
+    admitted = {r.key for r in toks.filter(L.may_be_full("array_distinct(toks)", idf, 0.8)).collect()}
+    matched = {r.key for r in L.full_matches(toks, weights, unseen, 0.8).collect()}
+    assert len(matched) >= 2 * len(texts) and matched <= admitted <= set(range(len(cut)))
