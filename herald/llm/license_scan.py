@@ -3,7 +3,9 @@
 Every line of every text is a possible license header. Lines that hold a telling
 word of a template become sparse TF-IDF vectors, with document frequencies counted
 over all texts, and meet the templates by their terms; the best cosine from
-``THRESHOLD`` on names the file's license. Every text also meets the whole licence texts as
+``THRESHOLD`` on names the file's license. Windows of a template's length, aligned at a telling word of the
+text's token stream, do the same within longer lines and across line ends, and SPDX identifiers name
+theirs. A match must hold the names and versions of its template. Every text also meets the whole licence texts as
 one vector; a cosine from ``FILE_THRESHOLD`` on names the license before any line does. Such a file,
 or one most of whose words lie in license lines, is a licence file and speaks for its directory. A file without a license of its own
 inherits that of its nearest ancestor directory, found by joining paths. DataFrame
@@ -73,6 +75,96 @@ def template_terms() -> list[tuple[str, str, int]]:
             for term, n in sorted(Counter(re.findall(TOKEN, t.lower())).items())]
 
 
+def _notices() -> dict[str, tuple[str, ...]]:
+    found = {
+        "Apache-2.0": ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License",
+                       "Licensed under Apache 2.0", "Licensed under Apache-2.0", "Apache-2.0 License"),
+        "MIT": ("MIT License", "MIT licensed", "Licensed under MIT", "under the MIT License"),
+        "ISC": ("ISC License", "Licensed under ISC",
+                "Permission to use, copy, modify, and/or distribute this software for any purpose with or without "
+                "fee is hereby granted"),
+        "BSD-2-Clause": ("2-Clause BSD License", "BSD 2-Clause License", "Simplified BSD License",
+                         "Licensed under BSD-2-Clause"),
+        "BSD-3-Clause": ("3-Clause BSD License", "BSD 3-Clause License", "New BSD License", "Modified BSD License",
+                         "Licensed under BSD-3-Clause"),
+        "0BSD": ("Zero-Clause BSD License", "Licensed under 0BSD"),
+        "CC0-1.0": ("CC0 1.0 Universal", "Licensed under CC0", "Licensed under CC0 1.0", "CC0 License",
+                    "Creative Commons CC0"),
+        "Unlicense": ("Released under the Unlicense",),
+        "MPL-1.1": ("Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "Licensed under MPL 1.1"),
+        "MPL-2.0": ("Mozilla Public License, v. 2.0", "Mozilla Public License, Version 2.0",
+                    "Mozilla Public License 2.0", "Licensed under MPL 2.0", "Licensed under MPL-2.0"),
+        "EPL-1.0": ("Eclipse Public License v1.0", "Eclipse Public License 1.0"),
+        "EPL-2.0": ("Eclipse Public License v2.0", "Eclipse Public License 2.0"),
+        "BSL-1.0": ("Boost Software License, Version 1.0", "Boost Software License 1.0"),
+        "Artistic-2.0": ("Artistic License 2.0", "Artistic License, Version 2.0"),
+        "Zlib": ("zlib License", "Licensed under zlib"),
+        "OFL-1.1": ("SIL Open Font License, Version 1.1", "SIL Open Font License 1.1"),
+    }
+    for code, title, versions in (("GPL", "General", "1.0 2.0 3.0"), ("LGPL", "Lesser General", "2.1 3.0"),
+                                  ("LGPL", "Library General", "2.0"), ("AGPL", "Affero General", "1.0 3.0")):
+        gnu = f"GNU {title} Public License"
+        for name in versions.split():
+            for v in dict.fromkeys((name.removesuffix(".0"), name)):
+                published = f"{gnu} as published by the Free Software Foundation"
+                found[f"{code}-{name}"] = found.get(f"{code}-{name}", ()) + (
+                    f"{gnu}, version {v}", f"{gnu} v{v}", f"{gnu} {v}", f"Version {v} of the {gnu}",
+                    f"{published}, either version {v} of the License, or any later version",
+                    f"{published}, version {v} of the License",
+                    f"under the {code}v{v}", f"{code}v{v} license", f"under the {code}-{v}",
+                    f"under the {code} {v}", f"under the {code} v{v}", f"under the {code} version {v}")
+    for code in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        title = "-".join({"BY": "Attribution", "SA": "ShareAlike", "NC": "NonCommercial", "ND": "NoDerivatives"}[x]
+                         for x in code.split("-"))
+        titles = (title, title.replace("NoDerivatives", "NoDerivs")) if "ND" in code else (title,)
+        for v in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            found[f"CC-{code}-{v}"] = (f"CC {code} {v}", f"CC-{code} {v}", f"CC-{code}-{v}",
+                                       *(f"Creative Commons {t} {v}" for t in titles),
+                                       *(f"Creative Commons {t} {v} {'International' if v == '4.0' else 'Unported'} "
+                                         "License" for t in titles))
+    return found
+
+
+# Further notices, met by windows only. VAGUE ones name a text that nothing else names.
+NOTICES = _notices()
+VAGUE: dict[str, tuple[str, ...]] = {
+    "GPL-1.0-or-later": ("GNU General Public License",),
+    "LGPL-2.0-or-later": ("GNU Lesser General Public License", "GNU Library General Public License"),
+    "AGPL-1.0-or-later": ("GNU Affero General Public License",),
+    "LicenseRef-all-rights-reserved": TEMPLATES["LicenseRef-all-rights-reserved"],
+}
+# Words without which a text does not name the template's license; and words at which windows are
+# aligned where those are too common.
+NAMES = frozenset("0bsd affero apache artistic boost bsd by cc cc0 creative eclipse gnu isc lesser library mit "
+                  "modified mozilla mpl new sharealike sil simplified universal unencumbered unlicense "
+                  "zero-clause zlib".split())
+VERBS = frozenset("license licensed redistribution permission reserved".split())
+COMMON_NAMES = frozenset("by library mit modified new universal".split())
+SPDX = r"(?i)SPDX-License-Identifier:[\s(]*([A-Z0-9](?:[A-Z0-9.-]*[A-Z0-9+])?" \
+       r"(?:[\s()]+(?:OR|AND|WITH)[\s()]+[A-Z0-9](?:[A-Z0-9.-]*[A-Z0-9+])?)*)"
+
+
+def names_it(term: str) -> bool:
+    return term in NAMES or bool(re.search(r"[0-9]", term)) or term.startswith(("by-", "attribution", "cc-"))
+
+
+def window_templates() -> list[tuple]:
+    """(template, license, vague, anchor, before, length, must, [(term, n)]) of all notices."""
+    rows = []
+    for vague, source in ((False, TEMPLATES), (False, NOTICES), (True, VAGUE)):
+        for name, texts in source.items():
+            if not vague and name in VAGUE:
+                continue
+            for text in texts:
+                words = re.findall(TOKEN, text.lower())
+                must = sorted({w for w in words if names_it(w) or w in VERBS})
+                anchor = next(w for w in sorted(must, key=lambda w: (
+                    w in COMMON_NAMES or bool(re.fullmatch(r"v?[0-9.]+", w)), w in VERBS, words.index(w))))
+                rows.append((f"{name}#{len(rows)}", name, vague, anchor, words.index(anchor), len(words), must,
+                             sorted(Counter(words).items())))
+    return rows
+
+
 def vocabulary() -> list[str]:
     return sorted({term for _, term, _ in template_terms()})
 
@@ -83,7 +175,7 @@ def full_terms() -> dict[str, Counter]:
 
 
 def full_vocabulary() -> list[str]:
-    return sorted(set(vocabulary()).union(*full_terms().values()))
+    return sorted({t for row in window_templates() for t, _ in row[-1]}.union(vocabulary(), *full_terms().values()))
 
 
 def telling() -> str:
@@ -178,20 +270,79 @@ def line_matches(texts: DataFrame, weights: DataFrame, unseen: float, threshold:
         .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
     norms = weighted.groupBy("key", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"),
                                                 F.sum("tf").alias("words"))
-    templates = spark.createDataFrame(template_terms(), "template string, term string, n int") \
+    templates = spark.createDataFrame([(*row, int(names_it(row[1]))) for row in template_terms()],
+                                      "template string, term string, n int, named int") \
         .join(F.broadcast(weights), "term") \
-        .select("template", "term", (F.col("n") * F.col("idf")).alias("tw"))
-    template_norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
+        .select("template", "term", (F.col("n") * F.col("idf")).alias("tw"), "named")
+    template_norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"),
+                                                       F.sum("named").alias("names"))
     # bounded by the fixed list of templates
     dots = weighted.join(F.broadcast(templates), "term").groupBy("key", "line", "template") \
-        .agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+        .agg(F.sum(F.col("w") * F.col("tw")).alias("dot"), F.sum("named").alias("named"))
     scored = dots.join(norms, ["key", "line"]).join(F.broadcast(template_norms), "template") \
         .withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)) \
-        .filter(F.col("score") >= threshold)
+        .filter((F.col("score") >= threshold) & (F.col("named") == F.col("names")))
     best = F.row_number().over(Window.partitionBy("key", "line").orderBy(F.desc("score"), "template"))
     return scored.withColumn("nr", best).filter("nr = 1").select("key", "line", "template", "score", "words")
 
 
+def window_matches(texts: DataFrame, weights: DataFrame, unseen: float, threshold: float) -> DataFrame:
+    """(key, line, license, vague, score): notices in the token streams of ``texts`` (key, text).
+
+    At each anchor word, each of its templates meets the window that lies around the word as the template
+    does around its own, over line ends. ``line`` is that of the window's first word.
+    """
+    spark = texts.sparkSession
+    rows = window_templates()
+    anchors = sorted({row[3] for row in rows})
+    reach = max(row[5] for row in rows)
+    pattern = rf"(?<![a-z0-9])(?:{'|'.join(re.escape(a) for a in anchors)})(?![a-z0-9])"
+    layout = spark.createDataFrame([row[:-1] for row in rows], "template string, license string, vague boolean, "
+                                   "anchor string, before int, length int, must array<string>")
+    templates = spark.createDataFrame([(row[0], t, n) for row in rows for t, n in row[-1]],
+                                      "template string, term string, n int") \
+        .join(F.broadcast(weights), "term").select("template", "term", (F.col("n") * F.col("idf")).alias("tw"))
+    norms = templates.groupBy("template").agg(F.sqrt(F.sum(F.col("tw") * F.col("tw"))).alias("tnorm"))
+    stream = texts.filter(F.lower("text").rlike(pattern)).select("key", F.flatten(F.transform(
+        F.split("text", "\n"), lambda body, i: F.transform(
+            tokens(body), lambda t: F.struct(t.alias("term"), i.alias("line"))))).alias("toks")) \
+        .withColumn("words", F.col("toks.term"))
+    around = stream.select("key", F.explode(F.expr(
+        f"transform(filter(sequence(0, size(words) - 1), i -> words[i] in ({', '.join(map(repr, anchors))})), "
+        f"i -> struct(i as at, words[i] as anchor, least(i, {reach}) as left, "
+        f"slice(toks, greatest(0, i - {reach}) + 1, {2 * reach}) as near))")).alias("a")).select("key", "a.*")
+    # bounded by the templates of an anchor; copies of a text count once
+    windows = around.join(F.broadcast(layout), "anchor") \
+        .withColumn("body", F.expr("slice(near, greatest(left - before, 0) + 1, "
+                                   "length - greatest(before - left, 0))")) \
+        .filter(F.size(F.array_except("must", F.col("body.term"))) == 0) \
+        .groupBy("key", "at", "template").agg(F.min(F.struct("license", "vague", "body")).alias("m")) \
+        .select("key", "at", "template", "m.*")
+    weighted = windows.select("key", "at", "template", "license", "vague", F.col("body")[0]["line"].alias("line"),
+                              F.explode("body.term").alias("term")) \
+        .groupBy("key", "at", "template", "license", "vague", "line", "term").agg(F.count("*").alias("tf")) \
+        .join(F.broadcast(weights), "term", "left").join(F.broadcast(templates), ["template", "term"], "left") \
+        .withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    return weighted.groupBy("key", "at", "template", "license", "vague", "line").agg(
+        F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.sum(F.col("w") * F.col("tw")).alias("dot")) \
+        .join(F.broadcast(norms), "template") \
+        .withColumn("score", F.round(F.col("dot") / (F.col("norm") * F.col("tnorm")), 6)) \
+        .filter(F.col("score") >= threshold).select("key", "line", "license", "vague", "score")
+
+
+def spdx_matches(texts: DataFrame) -> DataFrame:
+    """(key, line, license, vague, score): SPDX expressions as they stand, known identifiers in their own case."""
+    known = sorted({*TEMPLATES, *NOTICES, *full_texts()})
+    found = texts.filter(F.lower("text").contains("spdx-license-identifier")) \
+        .select("key", F.posexplode(F.split("text", "\n")).alias("line", "body")) \
+        .select("key", "line", F.regexp_replace(F.regexp_extract("body", SPDX, 1), r"[\s()]+", " ").alias("said")) \
+        .filter("said <> ''").distinct()
+    names = texts.sparkSession.createDataFrame([(k.lower(), k) for k in known], "low string, known string")
+    return found.join(F.broadcast(names), F.lower("said") == F.col("low"), "left").select(
+        "key", "line", F.coalesce("known", "said").alias("license"), F.lit(False).alias("vague"),
+        F.lit(1.0).alias("score"))
+
+
 def ancestors(path: Column) -> Column:
     """The directories above a path, nearest first, the root as an empty string last."""
     parts = F.split(path, "/")
@@ -215,7 +366,7 @@ def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "t
     """Per row: id, ``path``, ``license``, ``how`` (header, inherited, none), ``score``, ``line``,
     ``from_dir``, ``licence_file``.
 
-    ``score`` and ``line`` (from 0) belong to the best matching line of the whole text: the highest
+    ``score`` and ``line`` (from 0) belong to the best matching line or window of the whole text: the highest
     cosine, then the first line. Where the whole text is a licence text, ``score`` is the cosine of the whole
     and ``line`` is null. Null and empty texts match nothing but inherit; a null path
     lies in the root directory. Several licence files of a directory: whole licence texts first, then the
@@ -231,10 +382,15 @@ def license_scan(files: DataFrame, id_col: str, path: Column, text_col: str = "t
     weights = scratch.write(weights.coalesce(1))
     matches = scratch.few(line_matches(
         rows.select("key", "text"), weights.filter(F.col("term").isin(vocabulary())), unseen, threshold))
-    own = matches.groupBy("key").agg(
-        F.min(F.struct((-F.col("score")).alias("low"), "line", "template")).alias("m"),
+    texts = rows.select("key", "text")
+    notices = matches.select("key", "line", F.split("template", "#")[0].alias("license"),
+                             F.lit(False).alias("vague"), "score", "words") \
+        .unionByName(window_matches(texts, weights, unseen, threshold).unionByName(spdx_matches(texts))
+                     .withColumn("words", F.lit(None).cast("long")))
+    own = notices.groupBy("key").agg(
+        F.min(F.struct("vague", (-F.col("score")).alias("low"), "line", "license")).alias("m"),
         F.sum("words").alias("license_words")) \
-        .select("key", "license_words", F.split("m.template", "#")[0].alias("own"),
+        .select("key", "license_words", F.col("m.license").alias("own"),
                 (-F.col("m.low")).alias("score"), F.col("m.line").alias("line"))
     idf = {r["term"]: r["idf"] for r in weights.collect()}  # the fixed vocabulary
     slim = scratch.write(rows.select(id_col, "path", "key", tokens(F.col("text")).alias("toks")).select(

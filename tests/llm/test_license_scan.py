@@ -86,10 +86,38 @@ def test_candidates_lose_no_whole_text(spark):
     cut = [(n, " ".join(t.split()[:len(t.split()) * k // 10])) for n, t in texts.items() for k in range(3, 11)]
     other = [(1000 + i, prose(300, i) + " the software is provided as is") for i in range(50)]
     df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(cut)] + other, "key long, text string")
-    docs = df.select("text").union(spark.createDataFrame([(prose(60, i),) for i in range(3000)], "text string"))
+    docs = df.select("text").union(spark.createDataFrame(
+        [(prose(60, i) + " the software is provided as is to you and of a in or any this for by",)
+         for i in range(3000)], "text string"))
     weights, unseen = L.term_weights(spark, docs, "text")
     idf = {r.term: r.idf for r in weights.collect()}
     toks = df.select("key", L.tokens(F.col("text")).alias("toks"))
     admitted = {r.key for r in toks.filter(L.may_be_full("array_distinct(toks)", idf, 0.8)).collect()}
     matched = {r.key for r in L.full_matches(toks, weights, unseen, 0.8).collect()}
     assert len(matched) >= 2 * len(texts) and matched <= admitted <= set(range(len(cut)))
+
+
+def test_notices_inside_paragraphs_and_over_line_ends(spark):
+    gnu = ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU {}"
+           "General Public License as\n# published by the Free Software Foundation; either version {}\n# of the "
+           "License, or (at your option) any later version.\n")
+    cases = [
+        ("MIT", "Released under the MIT License."), ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+        ("GPL-2.0", "distributed under the GNU General Public License, version 2"), ("GPL-2.0", gnu.format("", 2)),
+        ("GPL-3.0", gnu.format("", 3)), ("LGPL-2.1", gnu.format("Lesser ", 2.1)), ("AGPL-3.0", gnu.format("Affero ", 3)),
+        ("GPL-1.0-or-later", "It is covered by the GNU General Public License."),
+        ("CC-BY-ND-4.0", "This work is licensed under CC BY-ND 4.0."),
+        ("CC-BY-3.0", "under a Creative Commons Attribution 3.0 Unported License"),
+        ("CC0-1.0", "Licensed under CC0 1.0 Universal"), ("BSD-2-Clause", "see the BSD 2-Clause License"),
+        ("ISC", "and is licensed under the ISC License"), ("LicenseRef-all-rights-reserved", "All rights reserved."),
+        ("Apache-2.0", "All rights reserved. Licensed under the Apache License, Version 2.0"),
+        ("MIT", "SPDX-License-Identifier: mit"), ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+        ("GPL-2.0-only", "SPDX-License-Identifier: GPL-2.0-only"),
+        ("MIT OR Apache-2.0", "/* SPDX-License-Identifier: (MIT OR Apache-2.0) */"),
+        (None, "It is released under the license of its owner, mit allen Rechten."), (None, "the MIT campus")]
+    rows = [(i, f"{i}/x", f"{prose(12, i)} {t} {prose(12, i + 1)}") for i, (_, t) in enumerate(cases)]
+    rows += [(i + 100, f"a{i}/x", t) for i, (_, t) in enumerate(cases)]
+    rows += [(i + 200, f"p{i}/x", prose(90, i)) for i in range(60)]
+    got = scan(spark, rows)
+    assert [got[i].license for i in range(len(cases))] == [n for n, _ in cases]
+    assert [got[i + 100].license for i in range(len(cases))] == [n for n, _ in cases]
