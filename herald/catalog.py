@@ -599,8 +599,7 @@ def q_run_tally(spark, d):
 def q_names_all_senders(spark, d):
     """Campaign names of every registered sender, exported and read back."""
     from herald.plans.names import export_names
-    return export_names(messages(spark, d), registrations(spark, d), scratch_path(spark),
-                        target_rows=ADAPTIVE_TARGET)
+    return export_names(messages(spark, d), registrations(spark, d), scratch_path(spark))
 
 
 # ---------------------------------------------------------------- streaming (batch form)
