@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.operators.density import cos_to_dist, density_clusters, eom_clusters
 from herald.operators.neighbours import knn_distances, similar_pairs
 

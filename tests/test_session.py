@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT
+from paths import ROOT
 
 CODE = """
 import sys

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.operators import thinning as TH
 from herald.sources import batches as SB
 from herald.sources import envelopes as EV

@@ -5,7 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.operators.embed import embed_templates
 from herald.operators.templates import build_templates
 from herald.sources.batches import MESSAGE_SCHEMA, load_messages

@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.functions.vectors import dot, norm, unit_normalize
 from herald.operators.assign import assign_to_campaigns
 from herald.operators.centroids import centroids

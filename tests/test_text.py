@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import scanners
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.functions import labels as LB
 from herald.functions import text as TX
 from herald.functions.hashing import template_hash

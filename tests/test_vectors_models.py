@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from herald.operators.embed import embed_templates, embed_with_model
 from herald.operators.projection import cluster_centres_2d, fit_projection, project
 
