@@ -59,6 +59,15 @@ def fewer(df: DataFrame, share: int = 8) -> DataFrame:
                            int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
 
 
+def rebalanced(df: DataFrame) -> DataFrame:
+    """Slim rows dealt anew into partitions of the advisory size, however many there were before.
+
+    For results of scans that have far more partitions than their result needs files. The
+    stage before keeps all its tasks; adaptive execution merges or splits the rest by bytes.
+    """
+    return df.hint("rebalance")
+
+
 class Scratch:
     """Tables written under the cluster's shared checkpoint folder.
 

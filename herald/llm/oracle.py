@@ -59,7 +59,7 @@ FROM m GROUP BY doc_id
 """
 
 _BITS = " + ".join(f"CASE WHEN {rule} THEN {1 << bit} ELSE 0 END" for bit, rule in enumerate(RULES.values()))
-QUALITY_RULES = rf"""
+_LEDGER = rf"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS ws,
                   list_filter(string_split(coalesce(text, ''), chr(10)),
                               lambda s: regexp_matches(s, '[^\x20\x09-\x0D]')) AS ls FROM documents),
@@ -77,13 +77,24 @@ m AS (SELECT w.doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''
              length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS n_letters,
              length(regexp_replace(t, '[^!]+', '', 'g')) AS n_exclamations
       FROM w LEFT JOIN c USING (doc_id)),
-b AS (SELECT *, ({_BITS})::BIGINT AS fail_bits FROM m)
+b AS (SELECT *, ({_BITS})::BIGINT AS fail_bits FROM m)"""
+QUALITY_RULES = rf"""{_LEDGER}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (fail_bits & {mask(POLICIES['base'])}) <> 0 AS base_failed, (fail_bits & {mask(POLICIES['v2'])}) = 0 AS kept,
        fail_bits
 FROM b
 """
 
+_CASES = ", ".join(f"('{policy}', '{rule}', {mask(rules)}, {mask([rule])})"
+                   for policy, rules in POLICIES.items() for rule in rules)
+QUALITY_ABLATION = rf"""{_LEDGER},
+c2(policy, rule, pm, rm) AS (VALUES {_CASES})
+SELECT policy, rule, count(*) FILTER (WHERE fail_bits & pm <> 0) AS dropped,
+       count(*) FILTER (WHERE fail_bits & rm <> 0) AS failing,
+       count(*) FILTER (WHERE fail_bits & pm = rm) AS dropped_by_it_alone
+FROM b, c2 GROUP BY policy, rule
+"""
+
 _TEMPLATES = ", ".join(f"('{template}', '{term}', {n})" for template, term, n in template_terms())
 _STOPS = ", ".join(f"'{w}'" for w in sorted(STOP_WORDS))
 LICENSE_SCAN = rf"""
@@ -131,4 +142,5 @@ ORACLE: dict[str, str] = {
     "op3_license_scan": LICENSE_SCAN,
     "op4_line_dedup": LINE_DEDUP,
     "op8_quality_rules": QUALITY_RULES,
+    "quality_rule_ablation": QUALITY_ABLATION,
 }

@@ -8,7 +8,8 @@ text again.
 
 All measurements are taken inside the row. Repeated three-word windows are found by
 sorting the document's own window hashes, each packed into one long with its
-position, so nothing is exploded or shuffled.
+position, and comparing the words where hashes agree, so no text is exploded or
+shuffled.
 """
 
 from __future__ import annotations
@@ -54,23 +55,34 @@ def _windows(words: Column, n: Column) -> Column:
     return F.when(n >= WINDOW, each).otherwise(F.array().cast("array<bigint>"))
 
 
-def _covered(hashes: Column, shift: Column) -> Column:
-    """How many words lie in a window whose hash occurs twice or more.
+def _covered(words: Column, hashes: Column, shift: Column) -> Column:
+    """How many words lie in a window that occurs twice or more.
 
-    Each hash gives up its low ``shift`` bits to the window's position; after
-    sorting, equal windows are neighbours in order of position.
+    Each hash gives up its low ``shift`` bits to the window's position, so that one
+    sorted array of longs brings equal windows together. It only names candidates: those
+    are sorted once more by their words themselves and then by position, and only
+    neighbours with the same words count.
     """
     def high(x):
         return F.call_function("shiftright", x, shift)
 
+    def beside(sorted_, same):
+        return F.filter(sorted_, lambda x, j: F.coalesce(same(x, F.get(sorted_, j + 1)), F.lit(False))
+                        | F.coalesce(same(x, F.get(sorted_, j - 1)), F.lit(False)))
+
     packed = F.sort_array(F.transform(hashes, lambda h, i: F.call_function("shiftleft", high(h), shift)
                                       .bitwiseOR(i.cast("long"))))
+    low = F.call_function("shiftleft", F.lit(1).cast("long"), shift) - 1
+
+    def windows(sorted_):
+        near = beside(sorted_, lambda x, y: high(x) == high(y))
+        return F.sort_array(F.transform(near, lambda x: F.struct(
+            *[F.get(words, (x.bitwiseAND(low) + k).cast("int")).alias(f"w{k}") for k in range(WINDOW)],
+            x.bitwiseAND(low).alias("at"))))
 
     def starts(sorted_):
-        twice = F.filter(sorted_, lambda x, j: F.coalesce(high(x) == high(F.get(sorted_, j + 1)), F.lit(False))
-                         | F.coalesce(high(x) == high(F.get(sorted_, j - 1)), F.lit(False)))
-        low = F.call_function("shiftleft", F.lit(1).cast("long"), shift) - 1
-        return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(low)))
+        equal = beside(sorted_, lambda x, y: (x["w0"] == y["w0"]) & (x["w1"] == y["w1"]) & (x["w2"] == y["w2"]))
+        return F.sort_array(F.transform(equal, lambda x: x["at"]))
 
     def union(at):
         gaps = F.transform(at, lambda x, j: F.least(F.lit(WINDOW).cast("long"),
@@ -79,7 +91,9 @@ def _covered(hashes: Column, shift: Column) -> Column:
         return F.aggregate(gaps, F.lit(0).cast("long"), lambda a, x: a + x)
 
     # transform over a one-element array binds a value that is used more than once
-    bound = F.transform(F.array(packed), lambda p: F.transform(F.array(starts(p)), union)[0])[0]
+    bound = packed
+    for step in (windows, starts, union):
+        bound = F.transform(F.array(bound), step)[0]
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(bound)
 
 
@@ -88,9 +102,8 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
     A null text has no words. Windows, lines and words are compared exactly as
     written. Repeated rows each have a row, a null id stays null, an empty table gives
-    an empty one, other columns are not read. Two different windows of one text
-    count as equal only if their 64-bit hashes agree but for as many low bits as
-    the text's word count has.
+    an empty one, other columns are not read. Windows are equal if their words are, in
+    texts of any length.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     has_word = rf"{WORD_PATTERN}"
@@ -109,7 +122,7 @@ def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         count("[^#*$%&|<>]+").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        _covered(F.col("hashes"), F.col("shift")).alias("n_repeat_words"),
+        _covered(F.col("words"), F.col("hashes"), F.col("shift")).alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_text_lines"),
         count("[^A-Z]+").alias("n_capitals"), count("[^A-Za-z]+").alias("n_letters"),
         count("[^!]+").alias("n_exclamations"))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm.common import documents, fewer, read_table
+from herald.llm.common import documents, fewer, read_table, rebalanced
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +61,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from herald.llm.quality_rules import BASE, apply_policy, ledger, mask
     rows = apply_policy(ledger(documents(spark, sf_dir)))
     failed = F.col("fail_bits").bitwiseAND(F.lit(mask(BASE))) != 0
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       failed.alias("base_failed"), "kept", "fail_bits")
+    return rebalanced(rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                                  "n_repeat_words", failed.alias("base_failed"), "kept", "fail_bits"))
+
+
+def quality_rule_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy of op8's ledger drops, and what it alone drops."""
+    from herald.llm.quality_rules import ablation, ledger
+    return ablation(ledger(documents(spark, sf_dir)))
 
 
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_toxicity": op7_toxicity,
     "op8_quality_rules": op8_quality_rules,
+    "quality_rule_ablation": quality_rule_ablation,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_fingerprints": op10_fingerprints,
 }

@@ -64,3 +64,25 @@ def test_awkward_columns_and_empty_table(spark):
 def test_plan_has_no_python(spark):
     plan = Q.apply_policy(Q.ledger(edge_docs(spark)))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_windows_whose_short_hashes_clash_are_told_apart(spark):
+    """Nearly all bits go to the position here, so most windows share their hash."""
+    from pyspark.sql import functions as F
+    texts = [prose(300, 3) + " a b c " + prose(50, 2) + " a b c", "p q r s t u v w x", prose(90, 1) * 2]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    words = F.regexp_extract_all("text", F.lit(Q.WORD_PATTERN), F.lit(0))
+    for bits in (62, 64):
+        hashes = F.transform(Q._windows(words, F.size(words)),
+                             lambda h: h if bits == 64 else F.pmod(h, F.lit(3)) * (1 << 61))
+        shift = F.lit(62) if bits == 62 else F.lit(20)
+        # equal windows keep equal hashes; different ones clash
+        got = df.select("doc_id", Q._covered(words, hashes, shift).alias("n")).collect()
+        assert {r.doc_id: r.n for r in got} == {i: brute(t)[4] for i, t in enumerate(texts)}
+
+
+def test_a_text_of_two_million_words(spark):
+    long_text = " ".join(f"w{i}" for i in range(2_100_000)) + " w5 w6 w7"
+    df = spark.createDataFrame([(1, long_text)], "doc_id long, text string")
+    row = Q.ledger(df).collect()[0]
+    assert (row.n_words, row.n_repeat_words) == (2_100_003, 6)

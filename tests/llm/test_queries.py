@@ -7,12 +7,13 @@ SF = "/root/testdata/sf0.001"
 def test_one_query_per_operator_and_the_pipeline():
     import __spark_entry__ as E
     names = list(E.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(x.startswith(f"op{n}_") for x in names) == 1
     assert "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op2_source_mixing", "op3_license_scan", "op4_line_dedup", "op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op2_source_mixing", "op3_license_scan", "op4_line_dedup", "op8_quality_rules",
+                                  "quality_rule_ablation"])
 def test_oracle(spark, name):
     import __spark_entry__ as E
     got = E.queries()[name](spark, SF).toPandas()
