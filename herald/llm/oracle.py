@@ -137,10 +137,28 @@ SELECT doc_id, path, coalesce(own, m.license) AS license,
 FROM f LEFT JOIN ih USING (dir)
 """
 
+HARD_NEGATIVES = """
+WITH v AS (SELECT vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+             list_dot_product(a.q, r.q)::BIGINT AS score
+      FROM v a, v r WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same AND id <> anchor_id
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.*, id AS negative_id, score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INT AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+       AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": SOURCE_MIXING,
     "op3_license_scan": LICENSE_SCAN,
     "op4_line_dedup": LINE_DEDUP,
     "op8_quality_rules": QUALITY_RULES,
     "quality_rule_ablation": QUALITY_ABLATION,
+    "op11_hard_negatives": HARD_NEGATIVES,
 }

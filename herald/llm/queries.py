@@ -89,6 +89,14 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
                               "near_next", "n_near"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows whose vec_id is divisible by 100; every seventh label is turned wrong first."""
+    from herald.llm.hard_negatives import hard_negatives
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    rows = read_table(spark, sf_dir, "embeddings").withColumn("label", wrong)
+    return hard_negatives(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -101,4 +109,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_rule_ablation": quality_rule_ablation,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_fingerprints": op10_fingerprints,
+    "op11_hard_negatives": op11_hard_negatives,
 }
