@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from herald.session import ensure_checkpoint_dir, ship_package
 
@@ -96,3 +97,21 @@ class Scratch:
     def drop(self, df: DataFrame) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def split_join(rows: DataFrame, lookup: DataFrame, key: str, scratch: Scratch, share: int = 1000) -> DataFrame:
+    """``rows`` left-joined with ``lookup`` (one row per ``key``), however many rows hold one key.
+
+    Keys that hold more than a ``share``-th of all rows number fewer than ``share``: they and
+    what they look up are broadcast. All others are joined by shuffling, where no key can
+    fill a task. Rows with a null key match nothing and are not shuffled.
+    """
+    added = [f for f in lookup.schema.fields if f.name != key]
+    keyed = rows.filter(F.col(key).isNotNull())
+    counts = keyed.groupBy(key).agg(F.count("*").alias("__n"))
+    total = counts.agg(F.sum("__n")).first()[0] or 0
+    hot = scratch.write(rebalanced(counts.filter(F.col("__n") * share > total).select(key).join(lookup, key, "left")))
+    cold = keyed.join(F.broadcast(hot.select(key)), key, "left_anti").join(lookup, key, "left")
+    nothing = rows.filter(F.col(key).isNull()).withColumns({f.name: F.lit(None).cast(f.dataType) for f in added})
+    out = [*rows.columns, *[f.name for f in added]]
+    return keyed.join(F.broadcast(hot), key).select(out).unionByName(cold.select(out)).unionByName(nothing.select(out))

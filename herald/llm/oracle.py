@@ -154,6 +154,16 @@ n AS (SELECT p.*, id AS negative_id, score AS negative_score,
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
 
+WARC = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": SOURCE_MIXING,
     "op3_license_scan": LICENSE_SCAN,
@@ -161,4 +171,5 @@ ORACLE: dict[str, str] = {
     "op8_quality_rules": QUALITY_RULES,
     "quality_rule_ablation": QUALITY_ABLATION,
     "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_warc": WARC,
 }

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from herald.llm.common import documents, fewer, read_table, rebalanced
+from herald.llm.common import Scratch, documents, fewer, read_table, rebalanced
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +97,12 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, F.col("id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256)
 
 
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from herald.llm.warc import archived_pages
+    archive = Scratch(spark, "warc").root
+    return rebalanced(archived_pages(read_table(spark, sf_dir, "pages"), f"{archive}/archives", least_bytes=100))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -110,4 +116,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_classifier": op9_quality_classifier,
     "op10_fingerprints": op10_fingerprints,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
 }
