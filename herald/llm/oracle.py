@@ -164,6 +164,35 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM f
 """
 
+# CRC-32 bit by bit: DuckDB has no function for it
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+  lambda ch: list_transform(range(8), lambda k: (ascii(ch) >> k) & 1))),
+  lambda c, b: xor(c >> 1, CASE WHEN xor(c, b) & 1 = 1 THEN 3988292384 ELSE 0 END)), 4294967295)"""
+PREFIX_TRIE = rf"""
+WITH t AS (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS key,
+                  len({WORDS})::BIGINT AS words FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS pos FROM t),
+c AS (SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM o),
+r AS (SELECT c.conv_id, 0 AS part, pos, key, words FROM c JOIN o ON o.conv_id = c.base AND pos <= h
+      UNION ALL SELECT c.conv_id, 1, pos, key, words FROM c JOIN o ON o.conv_id = c.conv_id AND pos > h),
+s AS (SELECT conv_id, row_number() OVER w AS depth, words, list(key) OVER (w ROWS UNBOUNDED PRECEDING) AS path
+      FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos)),
+p AS (SELECT conv_id, depth::BIGINT AS depth, words, sha256(array_to_string(path, ',')) AS node,
+             CASE WHEN depth = 1 THEN 'root' ELSE sha256(array_to_string(path[:depth - 1], ',')) END AS parent FROM s
+      UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM c),
+n AS (SELECT node, min(parent) AS parent, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             min(words) AS words FROM p GROUP BY node),
+k AS (SELECT parent, count(*) AS n_children FROM n GROUP BY parent),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.parent = n.node),
+a AS (SELECT p.node, sum((m.n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n_convs - 1) * m.words)::BIGINT AS saved_tokens
+      FROM m JOIN p ON p.conv_id = m.conv_id AND p.depth <= m.depth GROUP BY p.node),
+e AS (SELECT node, sha256(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id)) AS ends_sha256
+      FROM (SELECT conv_id, arg_max(node, depth) AS node FROM p GROUP BY conv_id) GROUP BY node)
+SELECT m.conv_id, m.depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM m LEFT JOIN m u ON u.node = m.parent JOIN a ON a.node = m.node LEFT JOIN e ON e.node = m.node
+"""
+
 ORACLE: dict[str, str] = {
     "op2_source_mixing": SOURCE_MIXING,
     "op3_license_scan": LICENSE_SCAN,
@@ -172,4 +201,5 @@ ORACLE: dict[str, str] = {
     "quality_rule_ablation": QUALITY_ABLATION,
     "op11_hard_negatives": HARD_NEGATIVES,
     "op12_warc": WARC,
+    "op13_prefix_trie": PREFIX_TRIE,
 }

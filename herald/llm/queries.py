@@ -1,4 +1,4 @@
-"""The ten operators as registered queries over their whole tables.
+"""The thirteen operators as registered queries over their whole tables.
 
 Each query calls its operator with production parameters and derives the digest
 columns of its contract from the operator's output.
@@ -103,6 +103,13 @@ def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rebalanced(archived_pages(read_table(spark, sf_dir, "pages"), f"{archive}/archives", least_bytes=100))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversation c starts with the first crc32(c) % 4 turns of conversation c - c % 20."""
+    from herald.llm.prefix_trie import conversation_trie
+    return rebalanced(conversation_trie(read_table(spark, sf_dir, "conversations"), F.col("conv") - F.col("conv") % 20,
+                                        F.crc32(F.col("conv").cast("string")) % 4, most=3))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_source_mixing": op2_source_mixing,
@@ -117,4 +124,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprints": op10_fingerprints,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_warc": op12_warc,
+    "op13_prefix_trie": op13_prefix_trie,
 }

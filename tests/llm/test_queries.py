@@ -13,7 +13,8 @@ def test_one_query_per_operator_and_the_pipeline():
 
 
 @pytest.mark.parametrize("name", ["op2_source_mixing", "op3_license_scan", "op4_line_dedup", "op8_quality_rules",
-                                  "quality_rule_ablation", "op11_hard_negatives", "op12_warc"])
+                                  "quality_rule_ablation", "op11_hard_negatives", "op12_warc",
+                                  "op13_prefix_trie"])
 def test_oracle(spark, name):
     import __spark_entry__ as E
     got = E.queries()[name](spark, SF).toPandas()
