@@ -135,14 +135,17 @@ def _pieces(spark: SparkSession, path: str) -> DataFrame:
     """``value, file, nr``: the text between two cuts, numbered in the order of the file.
 
     Read through a session of its own that leaves files whole: where a split ends close to
-    line breaks, the reader loses separators that begin with line breaks.
+    line breaks, the reader loses separators that begin with line breaks. Where one of its
+    buffers ends there it misses a cut; such texts are cut here once more.
     """
     whole = spark.newSession()
     for setting in ("maxPartitionBytes", "openCostInBytes"):
         whole.conf.set(f"spark.sql.files.{setting}", str(1 << 50))
     raw = whole.read.option("lineSep", CUT).text(path)
-    return raw.select("value", F.col("_metadata.file_path").alias("file"),
-                      F.monotonically_increasing_id().alias("nr"))
+    missed = F.when(F.contains("value", F.lit(CUT)), F.split("value", CUT.replace(".", r"\."))) \
+        .otherwise(F.array("value"))
+    return raw.select(F.explode(missed).alias("value"), F.col("_metadata.file_path").alias("file")) \
+        .withColumn("nr", F.monotonically_increasing_id())
 
 
 def _field(head: Column, name: str) -> Column:

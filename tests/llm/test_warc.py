@@ -117,6 +117,18 @@ def test_long_payloads_of_line_breaks_and_cuts(spark, tmp_path):
         assert sorted((r.payload_bytes, r.payload_digest) for r in got) == sorted(x[1:3] for x in brute(rows))
 
 
+def test_no_record_is_missed_where_a_read_buffer_ends(spark, tmp_path):
+    """Records end with line breaks of their own before the cut, at every place of a buffer's end."""
+    rows = [(i, f"http://a/{'x' * (i % 11)}", "z" * (i % 7) + "\r\n" * (i % 3)) for i in range(40_000)]
+    for kind in ("gzip", "none"):
+        W.write_warc(spark.createDataFrame(rows, SCHEMA).coalesce(1), str(tmp_path / kind), compression=kind)
+        pieces = W._pieces(spark, str(tmp_path / kind))
+        assert pieces.count() == 120_000
+        got = W.read_warc(spark, str(tmp_path / kind))
+        assert {r.record_type: r["count"] for r in got.filter("whole").groupBy("record_type").count().collect()} \
+            == dict.fromkeys(("request", "response", "metadata"), 40_000)
+
+
 def foreign(kind, name, *more, block="", end="\r\n\r\n"):
     head = [f"warc-type:{kind}", f"WARC-Record-ID: <{name}>", *more, f"content-length:  {len(block.encode())}"]
     return "WARC/1.0\r\n" + "\r\n".join(head) + "\r\n\r\n" + block + end
