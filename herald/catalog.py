@@ -25,6 +25,7 @@ from herald.operators import report as RP
 from herald.operators import thinning as TH
 from herald.operators.centroids import centroids
 from herald.operators.density import cos_to_dist, density_clusters, eom_clusters
+from herald.operators.hierarchy import exact_clusters
 from herald.operators.neighbours import similar_pairs
 from herald.session import cut_lineage, ensure_checkpoint_dir, ship_package
 from herald.sources import batches as SB
@@ -44,6 +45,7 @@ EMB_DENSITY_MIN_COS = 0.3
 EMB_DENSITY_MIN_SAMPLES = 2
 EMB_DENSITY_MIN_SIZE = 3
 EMB_LADDER_COS = (0.5, 0.35, 0.28)
+EMB_EXACT_MIN_COS = 0.45
 EMB_NOISE_DISTANCE = 0.85
 RUN_TS = "2024-01-01 00:00:00"
 WINDOW = "1 day"
@@ -374,6 +376,13 @@ def q_eom_clusters(spark, d):
     return c.select("originator_id", "template_hash", "cluster_label")
 
 
+def q_eom_exact(spark, d):
+    """V6 over the exact hierarchy; clusters that end below the selection epsilon give way."""
+    c = exact_clusters(emb_vectors(spark, d), EMB_DENSITY_MIN_SIZE, EMB_DENSITY_MIN_SAMPLES,
+                       round(cos_to_dist(EMB_EXACT_MIN_COS), 6))
+    return c.select("originator_id", "template_hash", "cluster_label")
+
+
 def q_adaptive_parameters(spark, d):
     """F18 with and without a given min_samples."""
     e = emb_vectors(spark, d)
@@ -738,7 +747,7 @@ def q_eom_profile(spark, d):
     from herald.plans.drift import DriftParams, cluster
     p = DriftParams()
     vec, _ = embed_templates(build_templates(messages(spark, d)), dim=p.dim)
-    return cluster(vec, p, p.profile_min_samples).select("originator_id", "template_hash", "cluster_label")
+    return cluster(vec, p.profile_min_samples, p.selection_epsilon).select("originator_id", "template_hash", "cluster_label")
 
 
 def q_registered_drift(spark, d):

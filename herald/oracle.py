@@ -119,6 +119,83 @@ def reach_ctes(src: str, p: str) -> str:
          JOIN {p}core cb ON cb.a = r.b AND cb.originator_id = r.originator_id)"""
 
 
+def hierarchy_ctes(src: str, p: str, size: int, epsilon: str) -> str:
+    """CTE ``{p}lab`` (originator_id, id, cluster_label): exact excess of mass over ``{p}w`` of :func:`reach_ctes`.
+
+    Prim's order of a sender's rows with the weights at which they join: a component at a
+    level is a run of rows that join at no more than it, so all components are intervals.
+    """
+    return f"""{p}ix AS (SELECT originator_id, template_hash AS id,
+        row_number() OVER (PARTITION BY originator_id ORDER BY template_hash) AS i FROM {src}),
+{p}row AS (SELECT x.originator_id, x.i, list(coalesce(CAST(round(w * 1000000) AS BIGINT), 0) ORDER BY y.i) AS ws
+    FROM {p}ix x JOIN {p}ix y ON x.originator_id = y.originator_id LEFT JOIN {p}w e
+      ON e.originator_id = x.originator_id AND e.a = x.id AND e.b = y.id GROUP BY ALL),
+{p}mat AS (SELECT originator_id, count(*) AS n, list(ws ORDER BY i) AS m FROM {p}row GROUP BY 1),
+{p}prim(originator_id, pos, cur, joins, near) AS (
+    SELECT originator_id, 1::BIGINT, 1::BIGINT, 4000000::BIGINT, list_concat([-1::BIGINT], m[1][2:]) FROM {p}mat
+    UNION ALL
+    SELECT q.originator_id, q.pos + 1, nx.j, q.near[nx.j],
+           list_transform(q.near, lambda x, k: CASE WHEN k = nx.j OR x < 0 THEN -1 ELSE least(x, t.m[nx.j][k]) END)
+    FROM {p}prim q JOIN {p}mat t ON t.originator_id = q.originator_id AND q.pos < t.n,
+         LATERAL (SELECT list_position(q.near, list_min(list_filter(q.near, lambda x: x >= 0)))::BIGINT AS j) nx),
+{p}lev AS (SELECT DISTINCT originator_id, joins AS lv FROM {p}prim WHERE pos > 1),
+{p}run AS (SELECT q.originator_id, l.lv, q.pos, sum((q.joins > l.lv)::INT) OVER (
+             PARTITION BY q.originator_id, l.lv ORDER BY q.pos) AS g
+           FROM {p}prim q JOIN {p}lev l ON l.originator_id = q.originator_id),
+{p}iv AS (SELECT originator_id, lv, min(pos) AS lo, max(pos) AS hi FROM {p}run GROUP BY originator_id, lv, g),
+{p}nd AS (SELECT originator_id, lo, hi, min(lv) AS lv, hi - lo + 1 AS size FROM {p}iv
+          WHERE hi - lo + 1 >= {size} GROUP BY originator_id, lo, hi),
+{p}up AS (SELECT c.*, arg_min({{'lo': a.lo, 'hi': a.hi}}, a.size) AS up FROM {p}nd c LEFT JOIN {p}nd a
+          ON a.originator_id = c.originator_id AND a.lo <= c.lo AND a.hi >= c.hi AND a.size > c.size GROUP BY ALL),
+{p}nb AS (SELECT u.*, (SELECT count(*) FROM {p}up k WHERE k.originator_id = u.originator_id
+                       AND k.up.lo = u.lo AND k.up.hi = u.hi) AS nb FROM {p}up u),
+{p}ch(originator_id, clo, chi, clv, lo, hi, size, up, total) AS (
+    SELECT originator_id, lo, hi, lv, lo, hi, size, up, size * 1e6::DOUBLE / greatest(lv, 1) FROM {p}nb WHERE nb <> 1
+    UNION ALL
+    SELECT c.originator_id, clo, chi, clv, n.lo, n.hi, n.size, n.up,
+           total + (n.size - c.size) * 1e6::DOUBLE / greatest(n.lv, 1)
+    FROM {p}ch c JOIN {p}nb n ON n.originator_id = c.originator_id AND n.lo = c.up.lo AND n.hi = c.up.hi AND n.nb = 1),
+{p}tp AS (SELECT * FROM {p}ch QUALIFY row_number() OVER (PARTITION BY originator_id, clo, chi ORDER BY size DESC) = 1),
+{p}cl AS (SELECT t.originator_id, clo, chi, n.lo AS plo, n.hi AS phi, n.lv AS ends,
+                 total - coalesce(t.size * 1e6::DOUBLE / greatest(n.lv, 1), 0) AS own,
+                 row_number() OVER (PARTITION BY t.originator_id ORDER BY clv, clo) AS nr
+          FROM {p}tp t LEFT JOIN {p}nb n ON n.originator_id = t.originator_id AND n.lo = t.up.lo AND n.hi = t.up.hi),
+{p}pa AS (SELECT c.*, q.nr AS parent, q.ends IS NULL AND q.nr IS NOT NULL AS below_root FROM {p}cl c LEFT JOIN {p}cl q
+          ON q.originator_id = c.originator_id AND q.clo = c.plo AND q.chi = c.phi),
+{p}kd AS (SELECT c.*, coalesce((SELECT list(k.nr) FROM {p}pa k WHERE k.originator_id = c.originator_id
+                                AND k.parent = c.nr), []) AS kids FROM {p}pa c),
+{p}ev(originator_id, i, vals) AS (SELECT DISTINCT originator_id, 0::BIGINT, []::DOUBLE[] FROM {p}kd
+    UNION ALL
+    SELECT e.originator_id, i + 1, list_append(vals, greatest(own,
+        coalesce(list_sum(list_transform(kids, lambda k: vals[k])), 0))) FROM {p}ev e
+    JOIN {p}kd c ON c.originator_id = e.originator_id AND c.nr = i + 1),
+{p}al AS (SELECT originator_id, arg_max(vals, i) AS vals FROM {p}ev GROUP BY 1),
+{p}kp AS (SELECT c.*, ends IS NOT NULL AND own >= coalesce(list_sum(list_transform(kids, lambda k: vals[k])), 0) AS keep
+          FROM {p}kd c JOIN {p}al USING (originator_id)),
+{p}dn(originator_id, nr, pick) AS (SELECT originator_id, nr, CASE WHEN keep THEN nr END FROM {p}kp WHERE parent IS NULL
+    UNION ALL SELECT k.originator_id, k.nr, coalesce(d.pick, CASE WHEN k.keep THEN k.nr END) FROM {p}dn d
+    JOIN {p}kp k ON k.originator_id = d.originator_id AND k.parent = d.nr),
+{p}st(originator_id, nr) AS (SELECT DISTINCT originator_id, pick FROM {p}dn WHERE pick IS NOT NULL
+    UNION ALL SELECT s.originator_id, k.parent FROM {p}st s JOIN {p}kp k ON k.originator_id = s.originator_id
+      AND k.nr = s.nr WHERE k.parent IS NOT NULL AND k.ends < {epsilon} AND NOT k.below_root),
+{p}fi AS (SELECT DISTINCT s.originator_id, s.nr FROM {p}st s JOIN {p}kp k ON k.originator_id = s.originator_id AND k.nr = s.nr
+          WHERE k.parent IS NULL OR k.ends >= {epsilon} OR k.below_root),
+{p}fl(originator_id, nr, pick) AS (SELECT k.originator_id, k.nr, f.nr FROM {p}kp k LEFT JOIN {p}fi f
+        ON f.originator_id = k.originator_id AND f.nr = k.nr WHERE parent IS NULL
+    UNION ALL SELECT k.originator_id, k.nr, coalesce(d.pick, f.nr) FROM {p}fl d JOIN {p}kp k
+        ON k.originator_id = d.originator_id AND k.parent = d.nr
+        LEFT JOIN {p}fi f ON f.originator_id = k.originator_id AND f.nr = k.nr),
+{p}first AS (SELECT q.originator_id, x.id, arg_min({{'clo': c.clo, 'chi': c.chi}}, c.size) AS own FROM {p}prim q
+    JOIN {p}ix x ON x.originator_id = q.originator_id AND x.i = q.cur
+    JOIN {p}ch c ON c.originator_id = q.originator_id AND q.pos BETWEEN c.lo AND c.hi GROUP BY ALL),
+{p}got AS (SELECT f.originator_id, f.id, l.pick FROM {p}first f JOIN {p}kp k ON k.originator_id = f.originator_id
+    AND k.clo = f.own.clo AND k.chi = f.own.chi JOIN {p}fl l ON l.originator_id = k.originator_id AND l.nr = k.nr
+    WHERE l.pick IS NOT NULL),
+{p}num AS (SELECT originator_id, pick, CAST(dense_rank() OVER (PARTITION BY originator_id ORDER BY min(id)) - 1 AS INTEGER)
+           AS cluster_label FROM {p}got GROUP BY originator_id, pick),
+{p}lab AS (SELECT g.originator_id, g.id, cluster_label FROM {p}got g JOIN {p}num n USING (originator_id, pick))"""
+
+
 def component_ctes(src: str, p: str, eps: str, out: str) -> str:
     """Recursive CTE and ``{out}`` (originator_id, id, comp) at one level."""
     return f"""{out}_r(originator_id, id, comp) AS (SELECT originator_id, template_hash, template_hash FROM {src}
@@ -346,6 +423,11 @@ m_lab AS (SELECT x.originator_id, x.id, m_num.cluster_label FROM ({members}) x
           JOIN m_num USING (originator_id, lv, comp))
 SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
 FROM emb_u u LEFT JOIN m_lab l ON l.originator_id = u.originator_id AND l.id = u.template_hash"""
+    exact = int(round(cos_to_dist(C.EMB_EXACT_MIN_COS) * 1e6))
+    q["eom_exact"] = f"""WITH RECURSIVE {EMB_U}, {reach_ctes('emb_u', 'h_')},
+{hierarchy_ctes('emb_u', 'h_', C.EMB_DENSITY_MIN_SIZE, exact)}
+SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
+FROM emb_u u LEFT JOIN h_lab l ON l.originator_id = u.originator_id AND l.id = u.template_hash"""
     q["adaptive_parameters"] = f"""WITH {EMB_U}
 SELECT originator_id, CAST(greatest(5, floor(count(*) * 0.05)) AS INTEGER) AS min_cluster_size,
        CAST(greatest(3, floor(sqrt(count(*)))) AS INTEGER) AS min_samples, 2 AS given_min_samples

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame
 
 from herald import config
 from herald.operators.assign import assign_to_campaigns
-from herald.operators.density import eom_clusters, ladder_levels
 from herald.operators.discover import adaptive_parameters, discover
 from herald.operators.embed import DEFAULT_DIM, embed_templates
+from herald.operators.hierarchy import exact_clusters
 from herald.operators.profile import build_profile
 from herald.operators.report import drift_summary
 from herald.operators.templates import build_templates
@@ -30,8 +30,7 @@ MESSAGE_COLUMNS = ("originator_id", "message_id", "raw_text", "seq")
 class DriftParams:
     dim: int = DEFAULT_DIM
     selection_epsilon: float = config.PROFILE_SELECTION_EPSILON
-    top_level: float = 1.0                # loosest level of the ladder, a distance
-    ladder_steps: int = 10
+    discovery_epsilon: float = 0.0
     profile_min_samples: int | None = config.PROFILE_MIN_SAMPLES
     discovery_min_samples: int | None = config.DISCOVERY_MIN_SAMPLES
     sim_threshold: float = config.SIM_THRESHOLD
@@ -47,14 +46,11 @@ class DriftParams:
     run_ts: str | None = None             # None: the time of the run
     spread: int | None = None             # tasks for inputs of few splits
 
-    def levels(self) -> list[float]:
-        return ladder_levels(self.selection_epsilon, self.top_level, self.ladder_steps)
 
-
-def cluster(vectors: DataFrame, p: DriftParams, min_samples: int | None) -> DataFrame:
+def cluster(vectors: DataFrame, min_samples: int | None, epsilon: float) -> DataFrame:
     """V6 with F18: ``vectors`` + ``cluster_label``; null ``min_samples`` takes the adaptive rule."""
     sized = vectors.join(adaptive_parameters(vectors, min_samples=min_samples), "originator_id")
-    return eom_clusters(sized, p.levels(), "min_cluster_size", "min_samples")
+    return exact_clusters(sized, "min_cluster_size", "min_samples", epsilon)
 
 
 def reference_profile(ref_messages: DataFrame, p: DriftParams | None = None):
@@ -63,7 +59,7 @@ def reference_profile(ref_messages: DataFrame, p: DriftParams | None = None):
     require_columns(reference=(ref_messages, MESSAGE_COLUMNS))                       # S6 / S7
     tpl = build_templates(ref_messages, seed=p.seed, spread=p.spread)
     vec, model = embed_templates(tpl, dim=p.dim)
-    clustered = cut_lineage(cluster(vec, p, p.profile_min_samples))
+    clustered = cut_lineage(cluster(vec, p.profile_min_samples, p.selection_epsilon))
     camps, examples = build_profile(clustered, n_nearest=p.n_nearest, weighted=p.weighted,
                                     max_words=p.max_words)
     return clustered, camps, examples, model
@@ -82,7 +78,7 @@ def assign_new_batch(new_messages: DataFrame, camps: DataFrame, model, p: DriftP
 def discover_new(assigned: DataFrame, p: DriftParams | None = None):
     """Stage 2b/2c: ``(upserted, proposed_clusters, new_campaigns)``."""
     p = p or DriftParams()
-    return discover(assigned, lambda unknown: cluster(unknown, p, p.discovery_min_samples),
+    return discover(assigned, lambda unknown: cluster(unknown, p.discovery_min_samples, p.discovery_epsilon),
                     min_coverage=p.min_coverage, min_unassigned=p.min_unassigned, min_members=p.min_members,
                     n_samples=p.n_samples, max_words=p.max_words, threshold=p.centroid_threshold,
                     run_ts=p.run_ts)
