@@ -46,6 +46,7 @@ EMB_DENSITY_MIN_SAMPLES = 2
 EMB_DENSITY_MIN_SIZE = 3
 EMB_LADDER_COS = (0.5, 0.35, 0.28)
 EMB_EXACT_MIN_COS = 0.45
+SEMANTIC_DIM = 16
 EMB_NOISE_DISTANCE = 0.85
 RUN_TS = "2024-01-01 00:00:00"
 WINDOW = "1 day"
@@ -107,6 +108,20 @@ def q_envelopes_csv(spark, d):
         .select("originator_id", "message_id", "raw_text")
 
 
+def q_envelope_forms(spark, d):
+    """T19, T20 with and without outer quotes, doubled and not."""
+    return EV.parse_envelopes(EV.envelope_forms(docs(spark, d))) \
+        .select("originator_id", "message_id", "raw_text", "seq")
+
+
+def q_dump_positions(spark, d):
+    """Input positions over files whose texts hold line ends and quotes, each read in splits."""
+    path = scratch_path(spark)
+    messages(spark, d).select("message_id", "raw_text", "seq").repartitionByRange("seq").sortWithinPartitions("seq") \
+        .drop("seq").write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path)
+    return SB.read_message_csv(spark, path).select("message_id", "raw_text", "seq")
+
+
 def q_messages_csv(spark, d):
     """S3: a message batch written as CSV and read back."""
     path = scratch_path(spark)
@@ -750,6 +765,29 @@ def q_eom_profile(spark, d):
     return cluster(vec, p.profile_min_samples, p.selection_epsilon).select("originator_id", "template_hash", "cluster_label")
 
 
+def semantic_model(spark, d):
+    from herald.operators.semantic import fit_semantic
+    from herald.operators.templates import build_templates
+    templates = cut_lineage(build_templates(messages(spark, d)))
+    return templates, fit_semantic(templates, SEMANTIC_DIM)
+
+
+def q_semantic_vectors(spark, d):
+    """V1 by a truncated SVD, on the templates of all senders."""
+    from herald.operators.semantic import embed_semantic
+    return embed_semantic(*semantic_model(spark, d)).select("originator_id", "template_hash", "embedding")
+
+
+def q_semantic_basis(spark, d):
+    """Inner products of the singular vectors over all terms: they are orthonormal."""
+    _, model = semantic_model(spark, d)
+    x = model.terms.select("vec", F.posexplode("vec").alias("i", "x"))
+    products = x.select("i", "x", F.posexplode("vec").alias("j", "y")).groupBy("i", "j") \
+        .agg(F.sum(F.col("x") * F.col("y")).alias("s"))
+    return products.select(F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"),
+                           (_r(F.col("s")) + 0.0).alias("inner_product"))
+
+
 def q_registered_drift(spark, d):
     """N7 against the campaigns of every sender's whole profile (E3 on real profiles)."""
     from herald.plans.drift import DriftParams, reference_profile

@@ -292,6 +292,9 @@ def tfidf_names(samples: str, group: str, scope: str, text: str, out: str, max_w
 def _sql() -> dict:
     q = {}
     q["envelope_parse"] = f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs"
+    q["envelope_forms"] = q["envelope_parse"]
+    q["dump_positions"] = (f"WITH {MSGS} SELECT message_id, nullif(raw_text, '') AS raw_text, "
+                           f"row_number() OVER (ORDER BY seq) AS seq FROM msgs")
     q["extract_originator"] = (f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE "
                                f"originator_id = '{C.EXTRACT_ORIGINATOR}' AND seq % {C.EXTRACT_DILUTE} = 0")
     q["bounded_scan"] = f"WITH {MSGS} SELECT {MSG_COLS} FROM msgs WHERE seq <= {C.EXTRACT_BOUND}"
@@ -428,6 +431,8 @@ FROM emb_u u LEFT JOIN m_lab l ON l.originator_id = u.originator_id AND l.id = u
 {hierarchy_ctes('emb_u', 'h_', C.EMB_DENSITY_MIN_SIZE, exact)}
 SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
 FROM emb_u u LEFT JOIN h_lab l ON l.originator_id = u.originator_id AND l.id = u.template_hash"""
+    q["semantic_basis"] = f"""SELECT i, j, CASE WHEN i = j THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS inner_product
+FROM range({C.SEMANTIC_DIM}) a(i), range({C.SEMANTIC_DIM}) b(j)"""
     q["adaptive_parameters"] = f"""WITH {EMB_U}
 SELECT originator_id, CAST(greatest(5, floor(count(*) * 0.05)) AS INTEGER) AS min_cluster_size,
        CAST(greatest(3, floor(sqrt(count(*)))) AS INTEGER) AS min_samples, 2 AS given_min_samples

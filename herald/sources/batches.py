@@ -43,9 +43,8 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 # S3
 def read_message_csv(spark: SparkSession, path: str) -> DataFrame:
     """A message batch from CSV (header row): the text by S4, ids where there are any, input position."""
-    from herald.sources.envelopes import with_input_position
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    return as_message_batch(with_input_position(df.drop("seq"), "seq"), "seq")
+    from herald.sources.split_csv import read_split_csv
+    return as_message_batch(read_split_csv(spark, path), "seq")
 
 
 # S4

@@ -17,6 +17,7 @@ from herald.functions.fixed_values import ENVELOPE_FIELDS
 from herald.functions.labels import py_strip
 from herald.operators.thinning import thin_by_input_position
 from herald.session import cut_lineage
+from herald.sources.split_csv import read_split_csv
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("sourceAddress", T.StringType()),
@@ -28,14 +29,11 @@ ENVELOPE_SCHEMA = T.StructType([
 
 # S1
 def read_envelope_csv(spark: SparkSession, path: str, value_col: str = "Value") -> DataFrame:
-    """Scan a dump (header row, UTF-8, quoted multi-line fields) with its input position.
+    """Scan a dump (header row, UTF-8, quoted multi-line fields) with its input position ``seq``.
 
-    A file with multi-line fields cannot be split, so each file is one task: a large
-    dump should come as many files (``path`` may be a folder or a pattern).
+    A large file is read by several tasks, see :mod:`herald.sources.split_csv`.
     """
-    raw = (spark.read.option("header", True).option("multiLine", True)
-           .option("escape", '"').option("encoding", "UTF-8").csv(path))
-    return with_input_position(raw.select(F.col(value_col).alias("value")))
+    return read_split_csv(spark, path).select(F.col(value_col).alias("value"), "seq")
 
 
 def with_input_position(df: DataFrame, col: str = "seq") -> DataFrame:
@@ -79,21 +77,39 @@ def _fallback(s: Column, field: str) -> Column:
 
 # T20
 def parse_envelopes(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """``value`` -> ``originator_id, message_id, raw_text`` (+ every other column)."""
-    s = "__env"
-    p = "__parsed"
-    out = (df.withColumn(s, clean_envelope(value_col))
-             .withColumn(p, F.from_json(F.col(s), ENVELOPE_SCHEMA,
-                                        {"mode": "PERMISSIVE",
-                                         "columnNameOfCorruptRecord": "_corrupt"})))
-    bad = F.col(f"{p}._corrupt").isNotNull() | F.col(p).isNull()
-    msg_fb = F.replace(_fallback(F.col(s), "shortMessage"), F.lit('\\"'), F.lit('"'))
-    return (out.withColumn("originator_id", F.when(bad, _fallback(F.col(s), "sourceAddress"))
-                           .otherwise(F.col(f"{p}.sourceAddress")))
-               .withColumn("message_id", F.when(bad, _fallback(F.col(s), "requestID"))
-                           .otherwise(F.col(f"{p}.requestID")))
-               .withColumn("raw_text", F.when(bad, msg_fb).otherwise(F.col(f"{p}.shortMessage")))
-               .drop(s, p, value_col))
+    """``value`` -> ``originator_id, message_id, raw_text`` (+ every other column).
+
+    A text that is no JSON as it stands is un-doubled, whether it had outer quotes or not; one
+    that still is none is searched for its fields.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
+
+    def bad(parsed: str) -> Column:
+        return F.col(f"{parsed}._corrupt").isNotNull() | F.col(parsed).isNull()
+
+    single = F.replace(F.col("__env"), F.lit('""'), F.lit('"'))
+    out = df.withColumn("__env", clean_envelope(value_col)) \
+        .withColumn("__parsed", F.from_json("__env", ENVELOPE_SCHEMA, options)) \
+        .withColumn("__env", F.when(bad("__parsed"), single).otherwise(F.col("__env"))) \
+        .withColumn("__parsed", F.when(bad("__parsed"), F.from_json("__env", ENVELOPE_SCHEMA, options))
+                    .otherwise(F.col("__parsed")))
+    env, broken = F.col("__env"), bad("__parsed")
+    message = F.replace(_fallback(env, "shortMessage"), F.lit('\\"'), F.lit('"'))
+    return (out.withColumn("originator_id", F.when(broken, _fallback(env, "sourceAddress"))
+                           .otherwise(F.col("__parsed.sourceAddress")))
+               .withColumn("message_id", F.when(broken, _fallback(env, "requestID"))
+                           .otherwise(F.col("__parsed.requestID")))
+               .withColumn("raw_text", F.when(broken, message).otherwise(F.col("__parsed.shortMessage")))
+               .drop("__env", "__parsed", value_col))
+
+
+def envelope_forms(docs: DataFrame) -> DataFrame:
+    """Documents as dump fields in three forms, by doc_id: quoted and doubled, plain JSON, doubled without outer quotes."""
+    quoted = envelopes_from_documents(docs)
+    inner = F.expr("substr(value, 2, length(value) - 2)")
+    form = F.pmod(F.col("seq") - 1, F.lit(3))
+    return quoted.withColumn("value", F.when(form == 0, F.col("value"))
+                             .when(form == 1, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(inner))
 
 
 def envelopes_from_documents(docs: DataFrame) -> DataFrame:

@@ -109,3 +109,14 @@ def test_required_columns_lists_all(spark):
 def test_originator_list_filter(spark):
     reg = spark.createDataFrame([("24273",), ("12",), (None,), ("99999",), ("24273",)], "business_number string")
     assert [r.originator_id for r in TH.originator_list_filtered(reg).collect()] == ["24273", "99999"]
+
+
+def test_envelopes_with_and_without_outer_quotes(spark):
+    rows = [('"{""sourceAddress"":""s1"",""requestID"":""1"",""shortMessage"":""a""}"', ("s1", "1", "a")),
+            ('{""sourceAddress"":""s1"",""requestID"":""2"",""shortMessage"":""b \\""q\\"" c""}', ("s1", "2", 'b "q" c')),
+            ('{"sourceAddress":"s2","requestID":"3","shortMessage":""}', ("s2", "3", "")),
+            ('{""sourceAddress"":""s2"",""requestID"":""4"",""shortMessage"":""cut', ("s2", "4", None)),
+            ('{""sourceAddress"":""s3"",""requestID"":""5"",""shortMessage"":""no end""', ("s3", "5", "no end"))]
+    df = spark.createDataFrame([(v,) for v, _ in rows], "value string")
+    got = EV.parse_envelopes(df).collect()
+    assert [tuple(r) for r in got] == [w for _, w in rows]
