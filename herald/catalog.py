@@ -696,6 +696,41 @@ def q_stream_assignments(spark, d):
     return got.select("originator_id", "message_id", "template_hash", "assigned_campaign_row_index", "status")
 
 
+def vector_stream(spark, d, path: str) -> str:
+    """R2 on vectors, stopped half-way and started again: even vectors come in both halves, odd ones in one.
+
+    Returns the ledger's path; the assignments are under ``path``/table.
+    """
+    from herald.streaming.assign_stream import write_assignments
+    camps = emb_campaigns(spark, d)
+    copies = F.when(F.col("vec_id") % 2 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    rows = cut_lineage(emb(spark, d).select("originator_id", "template_hash", "vec_id", "embedding", F.explode(copies).alias("copy"))
+                       .withColumn("seq", F.col("vec_id") * 2 + F.col("copy")))
+    half = F.pmod(F.floor(F.col("vec_id") / 2) + F.col("copy"), F.lit(2))
+    for part in (0, 1):
+        rows.filter(half == part).repartition(2, "vec_id").write.mode("append").parquet(f"{path}/in")
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/in")
+        write_assignments(stream, camps, None, f"{path}/table", f"{path}/progress", EMB_SIM_THRESHOLD, prepare=lambda b: b,
+                          embed=lambda t: t, carry=("embedding",)).awaitTermination()
+    return f"{path}/table-templates"
+
+
+def q_stream_vector_assignments(spark, d):
+    """R2 with its ledger, every message of the interrupted stream."""
+    path = scratch_path(spark)
+    vector_stream(spark, d, path)
+    got = spark.read.parquet(f"{path}/table")
+    return got.select("vec_id", "copy", "originator_id", "assigned_campaign_row_index",
+                      _r(F.col("assigned_campaign_score")).alias("assigned_campaign_score"), "assigned_campaign_name", "status")
+
+
+def q_stream_template_totals(spark, d):
+    """Counts per template over the interrupted stream, from the ledger."""
+    from herald.streaming.assign_stream import template_totals
+    return template_totals(spark, vector_stream(spark, d, scratch_path(spark))) \
+        .select("originator_id", "template_hash", "messages", "status")
+
+
 def q_template_vectors(spark, d):
     """V1: every template's vector."""
     from herald.operators.embed import embed_templates

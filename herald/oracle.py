@@ -374,6 +374,12 @@ SELECT originator_id, template_hash, arg_min(message_id, seq) AS message_id, min
     q["assign"] = (f"WITH {EMB_U}, {CAMPS}, {ASSIGN} SELECT vec_id, originator_id, row_index AS "
                    f"assigned_campaign_row_index, round(score, 6) AS assigned_campaign_score, "
                    f"assigned_label AS assigned_campaign_label, campaign_name AS assigned_campaign_name, status FROM asg")
+    q["stream_vector_assignments"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN}
+SELECT vec_id, "copy"::INT AS "copy", originator_id, row_index AS assigned_campaign_row_index,
+       round(score, 6) AS assigned_campaign_score, campaign_name AS assigned_campaign_name, status
+FROM asg, (VALUES (0), (1)) c("copy") WHERE "copy" = 0 OR vec_id % 2 = 0"""
+    q["stream_template_totals"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN}
+SELECT originator_id, template_hash, CASE WHEN vec_id % 2 = 0 THEN 2 ELSE 1 END::BIGINT AS messages, status FROM asg"""
     q["coverage"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN},
 cv AS (SELECT originator_id, count(*) AS n_total,
               coalesce(avg(CASE WHEN lower(status) = 'known' THEN 1.0 ELSE 0.0 END), 0.0) AS cov,

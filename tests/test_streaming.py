@@ -80,3 +80,53 @@ def test_streaming_assignment_equals_batch(spark, tmp_path):
     got = out.select(*cols).toPandas().sort_values("message_id").reset_index(drop=True)
     exp = assign_messages(msgs, camps, model, 0.2).select(*cols).toPandas().sort_values("message_id").reset_index(drop=True)
     assert got.equals(exp)
+
+
+def test_a_template_is_embedded_once_per_stream(spark, tmp_path):
+    """Over two runs of the stream, repeated templates take their assignment from the ledger."""
+    from herald.streaming.assign_stream import template_totals, write_assignments
+    camps = spark.createDataFrame([("s", 0, 0, [1.0, 0.0], "x"), ("s", 1, 1, [0.0, 1.0], "y")],
+                                  "originator_id string, row_index int, cluster_label int, centroid array<double>, campaign_name string")
+    schema = "originator_id string, template_hash string, embedding array<float>, seq long"
+    batches = [[("s", "a", [1.0, 0.1], 1), ("s", "a", [1.0, 0.1], 2), ("s", "b", [0.1, 1.0], 3)],
+               [("s", "b", [0.1, 1.0], 4), ("s", "c", [1.0, 0.2], 5)], [("s", "a", [1.0, 0.1], 6), ("s", "c", [1.0, 0.2], 7)],
+               [("s", "a", [1.0, 0.1], 8), ("s", "b", [0.1, 1.0], 9)]]
+    for keep, want in ((None, ["a", "b", "c"]), (1, ["a", "a", "b", "b", "c"])):
+        where, embedded = tmp_path / str(keep), []
+
+        def embed(templates):
+            embedded.extend(r.template_hash for r in templates.collect())
+            return templates
+
+        for rows in batches:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(where / "in"))
+            stream = spark.readStream.schema(schema).parquet(str(where / "in"))
+            write_assignments(stream, camps, None, str(where / "out"), str(where / "ck"), 0.5, keep_batches=keep,
+                              prepare=lambda b: b, embed=embed, carry=("embedding",)).awaitTermination()
+        assert sorted(embedded) == want
+        out = {r.seq: r.assigned_campaign_name for r in spark.read.parquet(str(where / "out")).collect()}
+        assert out == {1: "x", 2: "x", 3: "y", 4: "y", 5: "x", 6: "x", 7: "x", 8: "x", 9: "y"}
+        totals = {r.template_hash: (r.messages, r.batches) for r in template_totals(spark, str(where / "out-templates")).collect()}
+        assert totals == {"a": (4, 3), "b": (3, 3), "c": (2, 2)}
+
+
+def test_a_batch_run_again_overwrites_itself(spark, tmp_path):
+    """The checkpoint loses the last commit: its micro-batch comes again, and nothing is doubled."""
+    import os
+    from herald.streaming.assign_stream import template_totals, write_assignments
+    camps = spark.createDataFrame([("s", 0, 0, [1.0, 0.0], "x")],
+                                  "originator_id string, row_index int, cluster_label int, centroid array<double>, campaign_name string")
+    schema = "originator_id string, template_hash string, embedding array<float>, seq long"
+    args = dict(prepare=lambda b: b, embed=lambda t: t, carry=("embedding",))
+    for i in range(3):
+        if i < 2:
+            spark.createDataFrame([("s", "a", [1.0, 0.0], i), ("s", f"t{i}", [1.0, 1.0], 10 + i)], schema).coalesce(1) \
+                .write.mode("append").parquet(str(tmp_path / "in"))
+        else:
+            for name in ("1", ".1.crc"):
+                os.remove(tmp_path / "ck" / "commits" / name)
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        write_assignments(stream, camps, None, str(tmp_path / "out"), str(tmp_path / "ck"), 0.5, **args).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    assert {r.template_hash: r.messages for r in template_totals(spark, str(tmp_path / "out-templates")).collect()} \
+        == {"a": 2, "t0": 1, "t1": 1}
