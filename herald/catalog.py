@@ -480,6 +480,40 @@ def q_new_campaigns(spark, d):
     return nc
 
 
+def q_saved_proposals(spark, d):
+    """Assignments and proposals saved, read back and joined."""
+    _, assigned, up, _, _ = emb_discovery(spark, d)
+    path = scratch_path(spark)
+    SK.save_table(assigned, f"{path}/assigned")
+    SK.save_table(up, f"{path}/upserted")
+    proposals = SK.load_table(spark, f"{path}/upserted").select(
+        "originator_id", "template_hash", "proposed_cluster_id", "proposed_campaign_name",
+        _r(F.col("proposed_campaign_score")).alias("proposed_campaign_score"))
+    return SK.load_table(spark, f"{path}/assigned").select("originator_id", "template_hash", "vec_id", "status") \
+        .join(proposals, ["originator_id", "template_hash"]).drop("originator_id", "template_hash")
+
+
+def q_saved_new_campaigns(spark, d):
+    """New campaigns saved over an older run's and read back."""
+    _, _, _, _, nc = emb_discovery(spark, d)
+    path = f"{scratch_path(spark)}/new_campaigns"
+    SK.save_table(nc.withColumn("campaign_name", F.lit("old")), path)
+    SK.save_table(nc, path)
+    return SK.load_table(spark, path)
+
+
+def q_merged_profile(spark, d):
+    """The states of three batches merged one by one, against the profile of all rows."""
+    from herald.operators.profile_state import profile_state, state_campaigns, update_profile
+    path, rows = scratch_path(spark), emb(spark, d)
+    for i in range(3):
+        state = update_profile(spark, path, profile_state(rows.filter(F.col("vec_id") % 5 % 3 == i)), i)
+    return state_campaigns(state).select(
+        "originator_id", "cluster_label", "row_index", "prototypes_count", "messages_count", "window_start", "window_end",
+        F.posexplode("centroid").alias("pos", "x")) \
+        .withColumns({"pos": F.col("pos").cast("long"), "value": _r(F.col("x"))}).drop("x")
+
+
 def q_unknown_labels(spark, d):
     _, _, up, _, _ = emb_discovery(spark, d)
     return DI.unknown_labels(up).select("vec_id", "unknown_label")
@@ -614,6 +648,14 @@ def q_asked_verdicts(spark, d):
     return v.select("business_number", "llm_result", "status", F.col("error").isNotNull().alias("failed"))
 
 
+def q_resumed_answers(spark, d):
+    """N6 with a ledger: a first run over the senders of one kind, then one over all."""
+    path, view, done = scratch_path(spark), cut_lineage(gappy_view(spark, d)), judged_before(spark, d)
+    NM.asked_verdicts(view.filter("originator_id like '%1'"), _answer, done, ledger=path)
+    v = NM.asked_verdicts(view, _answer, done, ledger=path)
+    return v.select("business_number", "llm_result", "status", F.col("error").isNotNull().alias("failed"))
+
+
 def q_run_tally(spark, d):
     """A11 with every outcome."""
     view, done = gappy_view(spark, d), judged_before(spark, d)

@@ -128,16 +128,19 @@ def registration_names(reg: DataFrame, max_words: int = config.MAX_WORDS,
 # N6
 def call_text_function(prompts: DataFrame, fn, temperature: float = 0.0,
                        max_words: int | None = config.MAX_WORDS,
-                       prompt_col: str = "prompt") -> DataFrame:
+                       prompt_col: str = "prompt", distinct: bool = True) -> DataFrame:
     """Run ``fn(prompt=..., temperature=...)`` once per distinct prompt.
 
+    Without ``distinct`` the prompts are taken as they come, in the tasks they are in.
+
     ``fn`` returns a string or a dict with ``text``; a failure gives ``""`` and
     an error record. Output: ``prompt, raw_text, label, error``; join it back
     on ``prompt``.
     """
     import pandas as pd
 
-    distinct = prompts.select(prompt_col).filter(F.col(prompt_col).isNotNull()).distinct()
+    asked = prompts.select(prompt_col).filter(F.col(prompt_col).isNotNull())
+    asked = asked.distinct() if distinct else asked
     schema = T.StructType([T.StructField(prompt_col, T.StringType()),
                            T.StructField("raw_text", T.StringType()),
                            T.StructField("error", T.StringType())])
@@ -155,7 +158,7 @@ def call_text_function(prompts: DataFrame, fn, temperature: float = 0.0,
                     errors.append(f"call_failed: {e}")
             yield pd.DataFrame({prompt_col: pdf[prompt_col], "raw_text": texts, "error": errors})
 
-    out = distinct.mapInPandas(run, schema)
+    out = asked.mapInPandas(run, schema)
     if max_words is not None:
         out = out.withColumn("label", clean_label("raw_text", max_words))
     return out
@@ -266,13 +269,15 @@ def drift_verdicts(view: DataFrame, fit_threshold: float = 0.2,
 
 
 def asked_verdicts(view: DataFrame, fn, done: DataFrame | None = None,
-                   instructions: str = COMPARE_INSTRUCTIONS) -> DataFrame:
+                   instructions: str = COMPARE_INSTRUCTIONS, ledger: str | None = None) -> DataFrame:
     """N6 in place of N7: the caller's text function answers each pending sender's comparison prompt.
 
     ``business_number, llm_result, status, error``; an answer that failed has an error and no status.
+    With ``ledger``, a path, answers are kept there and no prompt that has one is asked again.
     """
+    from herald.operators.answers import ask
     todo = comparison_prompts(pending(view, done), instructions)
-    answers = call_text_function(todo, fn, max_words=None)
+    answers = ask(todo, fn, ledger, max_words=None) if ledger else call_text_function(todo, fn, max_words=None)
     return todo.join(answers, "prompt").select(
         F.col("originator_id").alias("business_number"), F.col("raw_text").alias("llm_result"),
         F.when(F.col("error").isNull(), status_from_text("raw_text")).alias("status"), "error")

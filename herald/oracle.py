@@ -466,6 +466,10 @@ SELECT sz.originator_id, CAST(row_number() OVER (PARTITION BY sz.originator_id O
        CAST(cluster_size AS BIGINT) AS msg_count, coalesce(s, TIMESTAMP '{C.RUN_TS}') AS date_range_start,
        coalesce(e, TIMESTAMP '{C.RUN_TS}') AS date_range_end, n.proposed_label AS campaign_name,
        'Unknown' AS status FROM sz JOIN s_named n USING ({OL}) JOIN dt USING ({OL})"""
+    q["saved_proposals"], q["saved_new_campaigns"] = q["proposals"], q["new_campaigns"]
+    q["merged_profile"] = (f"WITH {EMB_U}, {CAMPS} SELECT originator_id, cluster_label, row_index, prototypes_count, "
+                           "messages_count, window_start, window_end, unnest(range(len(c))) AS pos, "
+                           "round(unnest(c), 6) AS value FROM camps")
     q["unknown_labels"] = f"""{disc}
 SELECT a.vec_id, coalesce(ms.cluster_label, -1) AS unknown_label
 FROM asg a LEFT JOIN ms USING (vec_id) WHERE lower(a.status) <> 'known'"""
@@ -569,6 +573,7 @@ FROM every"""
 SELECT originator_id AS business_number,
        CASE WHEN failed THEN '' WHEN odd THEN {lit(NM.ANOMALY_TEXT)} ELSE {lit(NM.FIT_TEXT)} END AS llm_result,
        CASE WHEN failed THEN NULL WHEN odd THEN 'anomaly' ELSE 'ok' END AS status, failed FROM ask"""
+    q["resumed_answers"] = q["asked_verdicts"]
     q["run_tally"] = f"""WITH {view}, {fg}, {gappy}, {asked}
 SELECT CASE WHEN gap.originator_id IN (SELECT business_number FROM old) THEN 'cached' WHEN kind = 'missing' THEN 'missing'
        WHEN kind = 'empty' THEN 'empty' WHEN ask.failed THEN 'errors' ELSE 'prepared' END AS outcome, count(*) AS n
