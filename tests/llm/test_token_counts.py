@@ -26,14 +26,18 @@ def test_special_strings_and_small_batches(spark, monkeypatch):
     assert [got[i] for i in range(len(texts))] == library_counts(texts)
 
 
-def test_long_texts_split_where_the_count_stays():
+def test_parts_add_up_to_the_whole(monkeypatch):
     texts = [prose(4000, 3), "x" * 5000, ("word  " * 900) + ("a b" * 900), "line\n" * 1000 + prose(500, 1),
-             "it's we'll " * 700, "<|endoftext|> a b " * 300]
-    for text in texts:
-        parts = T.split_safely(text, 100)
-        assert "".join(parts) == text
-        assert sum(library_counts(parts)) == library_counts([text])[0]
-    assert len(T.split_safely(texts[0], 100)) > 50 and T.split_safely(texts[1], 100) == [texts[1]]
+             "it's we'll " * 700, "<|endoftext|> a b " * 300, " <|endoftext|> <|endoftext|>", "é è ☃ 漢 字 1 2 \u0301 x",
+             "a\u00a0 b \u00a0c \x85 d \x1c e \u200b f", "! ? ... 's 'll x 's", "", " ", "  a", "a  ", "\n a \n b"]
+    want = library_counts(texts)
+    count = T.load_counter("byte_bpe_50k.json", True)
+    assert count(texts) == want and count(texts[::-1]) == want[::-1]
+    assert len(T.SAFE.split(texts[0])) > 3000 and T.SAFE.split(texts[2])[0] == "word  word  word"[:4] + "  word" * 899 + "  a"
+    monkeypatch.setattr(T, "MEMO_PARTS", 3)
+    monkeypatch.setattr(T, "MEMO_CHARS", 2)
+    monkeypatch.setattr(T, "BATCH_BYTES", 10)
+    assert [count([t])[0] for t in texts] == want
 
 
 def test_sentencepiece_model(spark):
