@@ -32,7 +32,7 @@ from herald.llm.token_counts import tokenizer_file
 CAPACITY = 4096
 ITEM_TOKENS = 1024
 BATCH_WINDOWS = 512
-MEMO_WORDS = 400_000
+MEMO_WORDS = 1_000_000
 ENCODE_BYTES = 1 << 20
 
 PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, salt long"
