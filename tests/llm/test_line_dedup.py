@@ -1,6 +1,7 @@
 import hashlib
 from collections import defaultdict
 
+import pytest
 from helpers import edge_docs, edge_rows, no_docs
 
 from herald.llm.line_dedup import dedup_lines, kept_digest
@@ -46,6 +47,19 @@ def test_shared_lines_match_brute_force(spark):
     assert found(kept_digest(df)) == want
 
 
+@pytest.mark.parametrize("share", [0, 12, 40, 10 ** 6])
+def test_common_and_other_lines_take_both_ways(spark, monkeypatch, share):
+    """No line, some lines, or all of them count as hot."""
+    from herald.llm import line_dedup
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", share)
+    often = ["a line that stands in nearly every document", "another line that is found here and there"]
+    rows = [(i, "\n".join([often[0]] * (i % 8 > 0) + [often[1]] * (i % 5 == 0)
+                          + [f"a line of a small group of documents {i // 2}", f"rare but repeated line {i // 4}"]))
+            for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(kept_digest(df)) == brute(rows)
+
+
 def test_repeated_rows_are_one_document(spark):
     line = "a line that stands in just two documents"
     df = spark.createDataFrame([(1, line), (1, line), (2, line)], "doc_id long, text string")
