@@ -22,6 +22,7 @@ from herald.llm.common import Scratch, slices, utf8
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
+HOT_SHARE = 1000
 _STRIP = b"\x20\x09\x0a\x0b\x0c\x0d"
 _LOWER = bytes.maketrans(string.ascii_uppercase.encode(), string.ascii_lowercase.encode())
 #: Bytes 0x80..0xBF continue a code point.
@@ -70,15 +71,25 @@ def repeated_lines(lines: DataFrame, id_col: str, min_documents: int) -> DataFra
 
 def dropped_keys(docs: DataFrame, id_col: str, text_col: str, min_chars: int,
                  min_documents: int) -> DataFrame:
-    """(id, keys): for each id that loses lines, the sorted keys it loses."""
+    """(id, keys): for each id that loses lines, the sorted keys it loses.
+
+    Keys that hold more than one in ``HOT_SHARE`` rows number fewer than that: they are
+    broadcast, so that no line, however common, meets its rows in one task.
+    """
     scratch = Scratch(docs.sparkSession, "lines")
     lines = scratch.write(line_table(docs, id_col, text_col, min_chars))
-    candidates = lines.join(repeated_lines(lines, id_col, min_documents), "key") \
-        .select("key", id_col, "keeper").distinct()
-    candidates = scratch.few(candidates)
-    over = candidates.groupBy("key").agg(F.count(id_col).alias("n")) \
-        .filter(F.col("n") >= min_documents).select("key")
-    losing = candidates.filter(F.col(id_col) < F.col("keeper")).join(over, "key", "left_semi")
+    repeated = scratch.few(repeated_lines(lines, id_col, min_documents))
+    is_hot = F.col("n") * HOT_SHARE > lines.count()
+    hot, cold = repeated.filter(is_hot).select("key", "keeper"), repeated.filter(~is_hot).select("key", "keeper")
+    common = lines.join(F.broadcast(hot), "key").withColumn("hot", F.lit(True))
+    others = lines.join(F.broadcast(hot.select("key")), "key", "left_anti").join(cold, "key") \
+        .withColumn("hot", F.lit(False))
+    candidates = scratch.few(common.unionByName(others).select("key", id_col, "keeper", "hot").distinct())
+    over = scratch.few(candidates.groupBy("key", "hot").agg(F.count(id_col).alias("n"))
+                       .filter(F.col("n") >= min_documents).select("key", "hot"))
+    losing = candidates.filter(F.col(id_col) < F.col("keeper"))
+    losing = losing.filter("hot").join(F.broadcast(over.filter("hot").select("key")), "key", "left_semi") \
+        .unionByName(losing.filter("not hot").join(over.filter("not hot").select("key"), "key", "left_semi"))
     return losing.groupBy(id_col).agg(F.sort_array(F.collect_list("key")).alias("keys"))
 
 
