@@ -9,6 +9,7 @@ out of vector arithmetic are rounded to 6 places so that two engines agree.
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +27,9 @@ from herald.operators import thinning as TH
 from herald.operators.centroids import centroids
 from herald.operators.density import cos_to_dist, density_clusters, eom_clusters
 from herald.operators.hierarchy import exact_clusters
+from herald.operators.near_index import measured_recall, near_pairs_by_signs
 from herald.operators.neighbours import similar_pairs
+from herald.operators.pruned import nearest_center_pruned
 from herald.session import cut_lineage, ensure_checkpoint_dir, ship_package
 from herald.sources import batches as SB
 from herald.sources import envelopes as EV
@@ -41,6 +44,8 @@ ADAPTIVE_TARGET = 20
 REGISTERED_LANG = "de"
 EMB_SIM_THRESHOLD = 0.2
 EMB_PAIR_MIN_COS = 0.3
+EMB_INDEX_TILE = 32
+EMB_CELL_CENTERS = 8
 EMB_DENSITY_MIN_COS = 0.3
 EMB_DENSITY_MIN_SAMPLES = 2
 EMB_DENSITY_MIN_SIZE = 3
@@ -344,6 +349,22 @@ def q_assign(spark, d):
         "assigned_campaign_label", "assigned_campaign_name", "status")
 
 
+def fine_campaigns(spark, d) -> DataFrame:
+    """A campaign per label and weight: forty to a sender."""
+    label = F.when(F.col("cluster_label") == -1, -1).otherwise(F.col("cluster_label") * 10 + F.col("count_in_window"))
+    return cut_lineage(PR.campaign_table(emb(spark, d).withColumn("cluster_label", label.cast("int"))))
+
+
+def q_assign_pruned(spark, d):
+    """J2 by the inverted file of centroids, in cells of some four centroids."""
+    nearest = partial(nearest_center_pruned, center_rows=EMB_CELL_CENTERS, prune_from=EMB_CELL_CENTERS)
+    a = AS.assign_to_campaigns(emb(spark, d).drop("cluster_label"), fine_campaigns(spark, d), EMB_SIM_THRESHOLD,
+                               nearest=nearest)
+    return a.select("vec_id", "originator_id", "assigned_campaign_row_index",
+                    _r(F.col("assigned_campaign_score")).alias("assigned_campaign_score"),
+                    "assigned_campaign_label", "status")
+
+
 def q_coverage(spark, d):
     a = emb_assigned(spark, d)
     ok = DI.eligible_originators(a).select("originator_id", F.lit(True).alias("e"))
@@ -378,6 +399,14 @@ def q_neighbour_pairs(spark, d):
     return p.select("originator_id", "a", "b", _r(F.col("cos")).alias("cos"))
 
 
+def q_neighbour_recall(spark, d):
+    """J9 by random projections against the exact search: pairs found, and whether recall reaches 0.9."""
+    e = emb_vectors(spark, d)
+    found = near_pairs_by_signs(e, EMB_PAIR_MIN_COS, tile_rows=EMB_INDEX_TILE)
+    r = measured_recall(found, similar_pairs(e, EMB_PAIR_MIN_COS))
+    return r.select("originator_id", "n_exact", "n_wrong", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 def q_density_clusters(spark, d):
     c = density_clusters(emb_vectors(spark, d), cos_to_dist(EMB_DENSITY_MIN_COS), EMB_DENSITY_MIN_SIZE,
                          EMB_DENSITY_MIN_SAMPLES)

@@ -19,13 +19,14 @@ from herald.operators.blocks import nearest_center
 def assign_to_campaigns(templates: DataFrame, campaigns: DataFrame,
                         sim_threshold: float = config.SIM_THRESHOLD,
                         key: str = "originator_id", vec_col: str = "embedding",
-                        id_col: str = "template_hash") -> DataFrame:
+                        id_col: str = "template_hash", nearest=nearest_center) -> DataFrame:
     """Nearest centroid per template; ties go to the lowest ``row_index``.
 
-    ``id_col`` must be unique within a sender. Senders without campaigns get null
+    ``nearest`` is the search: plain blocks, or :func:`herald.operators.pruned.nearest_center_pruned`
+    for senders with very many campaigns. ``id_col`` must be unique within a sender. Senders without campaigns get null
     assignment and status ``Unknown``.
     """
-    best = nearest_center(templates, campaigns, [key], id_col, vec_col) \
+    best = nearest(templates, campaigns, [key], id_col, vec_col) \
         .withColumnsRenamed({"row_index": "assigned_campaign_row_index", "score": "assigned_campaign_score"})
     name = F.col("campaign_name") if "campaign_name" in campaigns.columns else F.lit("")
     named = campaigns.select(key, F.col("row_index").cast("int").alias("assigned_campaign_row_index"),

@@ -374,6 +374,19 @@ SELECT originator_id, template_hash, arg_min(message_id, seq) AS message_id, min
     q["assign"] = (f"WITH {EMB_U}, {CAMPS}, {ASSIGN} SELECT vec_id, originator_id, row_index AS "
                    f"assigned_campaign_row_index, round(score, 6) AS assigned_campaign_score, "
                    f"assigned_label AS assigned_campaign_label, campaign_name AS assigned_campaign_name, status FROM asg")
+    q["assign_pruned"] = f"""WITH {EMB_U},
+emb_f AS (SELECT * REPLACE (CAST(cluster_label * 10 + w AS INTEGER) AS cluster_label) FROM emb_l),
+{centroid_ctes('emb_f', 'fine')},
+fc AS (SELECT *, CAST(dense_rank() OVER (PARTITION BY originator_id ORDER BY cluster_label) - 1 AS INTEGER) AS row_index
+       FROM fine),
+fs AS (SELECT u.vec_id, k.row_index, k.cluster_label, list_dot_product(u.v, k.c) AS score
+       FROM emb_u u JOIN fc k USING (originator_id)),
+fb AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 12) DESC, row_index) AS rn
+                      FROM fs) WHERE rn = 1)
+SELECT u.vec_id, u.originator_id, b.row_index AS assigned_campaign_row_index,
+       round(b.score, 6) AS assigned_campaign_score, b.cluster_label AS assigned_campaign_label,
+       CASE WHEN b.score >= {C.EMB_SIM_THRESHOLD} THEN 'Known' ELSE 'Unknown' END AS status
+FROM emb_u u LEFT JOIN fb b USING (vec_id)"""
     q["stream_vector_assignments"] = f"""WITH {EMB_U}, {CAMPS}, {ASSIGN}
 SELECT vec_id, "copy"::INT AS "copy", originator_id, row_index AS assigned_campaign_row_index,
        round(score, 6) AS assigned_campaign_score, campaign_name AS assigned_campaign_name, status
@@ -415,6 +428,10 @@ FROM ex JOIN e_named n USING ({OL}) SEMI JOIN first_name f
 SELECT a.originator_id, a.template_hash AS a, b.template_hash AS b, round(list_dot_product(a.v, b.v), 6) AS cos
 FROM emb_u a JOIN emb_u b ON a.originator_id = b.originator_id AND a.template_hash < b.template_hash
 WHERE list_dot_product(a.v, b.v) >= {C.EMB_PAIR_MIN_COS}"""
+    q["neighbour_recall"] = f"""WITH {EMB_U}
+SELECT a.originator_id, count(*) AS n_exact, 0::BIGINT AS n_wrong, true AS recall_reached
+FROM emb_u a JOIN emb_u b ON a.originator_id = b.originator_id AND a.template_hash < b.template_hash
+WHERE list_dot_product(a.v, b.v) >= {C.EMB_PAIR_MIN_COS} GROUP BY 1"""
     q["density_clusters"] = f"""WITH RECURSIVE {EMB_U}, {reach_ctes('emb_u', 'd_')},
 {component_ctes('emb_u', 'd_', EPS, 'd_c')}, {label_ctes('d_c', 'd_lab', C.EMB_DENSITY_MIN_SIZE)}
 SELECT u.originator_id, u.template_hash, coalesce(l.cluster_label, -1) AS cluster_label
