@@ -1,8 +1,10 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
 *Folding* lower-cases, maps look-alike letters of other scripts and widths to
-Latin ones, removes invisible characters and reads digits and signs inside
-words as letters (``1d10t``, ``$tupid``). *Lexicon*: word stems whose document
+Latin ones, removes accents and invisible characters, joins letters that signs or
+spaces hold apart (``s.t.u.p.i.d``) and reads digits and signs inside
+words as letters (``1d10t``, ``$tupid``). A sign of several readings (``1`` as i or l)
+is matched in all of them: such words and the terms are compared by classes of letters. *Lexicon*: word stems whose document
 frequency among toxic training texts stands out against clean ones, weighted by
 their log odds, beside a few seed words. *Exceptions*: phrases in which a hit
 does not count; given ones, and those seen around hits in clean texts only.
@@ -11,7 +13,8 @@ word, fitted on the training texts with every toxic text's own count left out
 of the weights.
 
 Training reads a bounded number of labelled texts (``MAX_TOXIC``, ``MAX_CLEAN``);
-scoring reads every whole text in one pass without a shuffle.
+scoring reads every whole text in one pass without a shuffle. Ties among terms at one
+word go to the longest; of terms that one disguised word may mean, to the heaviest.
 """
 
 from __future__ import annotations
@@ -35,7 +38,6 @@ from herald.llm.common import Scratch, slices, utf8
 
 MAX_TOXIC = 6000
 MAX_CLEAN = 12000
-MAX_TERMS = 4000
 MIN_STEM, MAX_STEM = 4, 12
 MIN_SUPPORT, MIN_SUPPORT_SHARE = 3, 0.004
 MIN_WEIGHT = 2.5
@@ -50,38 +52,71 @@ SEED_EXCEPTIONS = ("pond scum", "soap scum", "sore loser", "pathetic fallacy", "
 # Cyrillic and Greek small letters and the Latin letters they resemble.
 LOOKALIKES = dict(zip("авгеікмнорсѕтухһјԁԛԝαβεηικνορτυχω",
                       "abreikmhopcstyxhjdqwabenikvoptuxw", strict=True))
-# Digits and signs read as letters inside a word.
-SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
+# Digits and signs read as letters inside a word; "ı" and "ɢ" stand for the classes below.
+SUBSTITUTES = {"0": "o", "1": "ı", "3": "e", "4": "a", "5": "s", "6": "ɢ", "7": "t", "8": "b", "9": "ɢ",
+               "@": "a", "$": "s", "!": "ı", "|": "ı", "+": "t"}
+# The class letters, their first reading and all of them.
+CLASSES = {"ı": "il", "ɢ": "gbpq"}
 
 _INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 _MAP = {ord(k): v for k, v in LOOKALIKES.items()} | _INVISIBLE
+#: Latin letters with marks to the letter alone; marks that follow their letter go.
+_MARKS = {c: base for c in range(0xC0, 0x250) if (base := unicodedata.normalize("NFD", chr(c))[0].lower()).isascii()
+          and base.isalpha()} | dict.fromkeys(range(0x300, 0x370))
 _FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "\\u00ad\\u200b-\\u200d\\u2060\\ufeff"
                       "\\u2100-\\u214f\\u2460-\\u24ff\\uff00-\\uffef\\U0001d400-\\U0001d7ff]")
 _SIGNS = "".join(map(re.escape, SUBSTITUTES))
-_LAST = _SIGNS.replace("!", "")
+_FIRST = _SIGNS.replace(re.escape("+"), "")
+_LAST = "".join(re.escape(c) for c in SUBSTITUTES if c not in "!|+")
 #: Signs between letters, before the first letter of a word, or (but for marks) after its last one.
-_INSIDE = re.compile(rf"(?:(?<=[^\W\d_])|(?<![^\s(\"'])(?=[^\s]*[^\W\d_]))[{_SIGNS}]{{1,3}}(?=[^\W\d_])"
+_INSIDE = re.compile(rf"(?<=[^\W\d_])[{_SIGNS}]{{1,3}}(?=[^\W\d_])"
+                     rf"|(?<![^\s(\"'])(?=[^\s]*[^\W\d_])[{_FIRST}]{{1,3}}(?=[^\W\d_])"
                      rf"|(?<=[^\W\d_])[{_LAST}]{{1,2}}(?=[\s.,;:!?)]|$)")
+_PIECE = r"(?:[^\W_]|[@$!|+]){1,2}"
+#: Three pieces or more of one or two letters with one sign between them; four single letters or more with spaces.
+_APART = re.compile(rf"(?<!\w){_PIECE}([.*~_\-])(?:{_PIECE}\1)+{_PIECE}(?!\w)"
+                    r"|(?<![^\s(\"'])[^\W\d_](?: [^\W\d_]){3,}(?![^\s.,;:!?)\"'])")
 _RUN = re.compile(r"[^\W\d_]+")
+_CLASS_LETTER = re.compile("[" + "".join(CLASSES) + "]")
 _TO_LETTER = str.maketrans(SUBSTITUTES)
+_PLAIN = str.maketrans({k: v[0] for k, v in CLASSES.items()})
+_TO_CLASS = str.maketrans({c: k for k, v in CLASSES.items() for c in v})
 
 
 def _latin(word: re.Match) -> str:
     mapped = word[0].translate(_MAP)
-    return mapped if max(mapped) < "\u0250" else word[0]
+    return mapped if max(mapped) < "ɐ" else word[0]
 
 
-def fold(text: str) -> str:
-    """Lower case, look-alikes to Latin letters, invisible characters out, digits in words to letters.
+def _together(found: re.Match) -> str:
+    pieces = found[0].split(found[1] or " ")
+    letters = sum(c.isalpha() for c in found[0])
+    return "".join(pieces) if letters >= MIN_STEM and 2 * sum(len(p) == 1 for p in pieces) >= len(pieces) else found[0]
+
+
+def fold_marked(text: str) -> str:
+    """Lower case, look-alikes to Latin letters, marks and invisible characters out, letters held apart
+    joined, digits in words to letters or class letters.
 
     Look-alikes are mapped only in words that become wholly Latin by it, so that text in
     another script stays as it is.
     """
     text = text.lower()
-    if not text.isascii() and _FOREIGN.search(text):
-        text = unicodedata.normalize("NFKC", text).lower().translate(_INVISIBLE)
-        text = re.sub(r"\w+", _latin, text)
-    return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), text)
+    if not text.isascii():
+        if _FOREIGN.search(text):
+            text = unicodedata.normalize("NFKC", text).lower().translate(_INVISIBLE)
+            text = re.sub(r"\w+", _latin, text)
+        text = text.translate(_MARKS)
+    return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), _APART.sub(_together, text))
+
+
+def plain(marked: str) -> str:
+    """The first reading of every class letter; positions stay."""
+    return marked if marked.isascii() else marked.translate(_PLAIN)
+
+
+def fold(text: str) -> str:
+    return plain(fold_marked(text))
 
 
 @dataclass
@@ -109,37 +144,62 @@ def log_odds(toxic: int, n_toxic: int, clean: int, n_clean: int) -> float:
 
 
 class Matcher:
-    """Aho-Corasick automaton of a model's terms; the longest term counts at each word."""
+    """Aho-Corasick automata of a model's terms; the longest term counts at each word.
+
+    The second automaton holds the terms by classes of letters; it reads only words with a class letter.
+    """
 
     def __init__(self, model: ToxicityModel):
         self.model = model
-        self.automaton = ahocorasick.Automaton()
-        for term in model.weights:
+        self.automaton, self.by_class = ahocorasick.Automaton(), ahocorasick.Automaton()
+        for term in sorted(model.weights, key=lambda t: (model.weights[t], t)):  # the heaviest of a class stays
             self.automaton.add_word(term, term)
+            self.by_class.add_word(term.translate(_TO_CLASS), term)
         self.automaton.make_automaton()
+        self.by_class.make_automaton()
 
-    def hits(self, folded: str) -> list[tuple[str, int]]:
-        """(term, start of its word); only at word starts, outside exception phrases."""
+    def hits(self, marked: str) -> list[tuple[str, int]]:
+        """(term, start of its word) in a folded text; only at word starts, outside exception phrases."""
         best: dict[int, str] = {}
-        for end, term in self.automaton.iter(folded):
-            start = end - len(term) + 1
-            if start and (before := folded[start - 1]).isalpha() and before != "_":
-                continue
+        folded = plain(marked)
+
+        def take(start: int, term: str) -> None:
             if len(term) > len(best.get(start, "")):
                 best[start] = term
+
+        for end, term in self.automaton.iter(folded):
+            start = end - len(term) + 1
+            if not (start and folded[start - 1].isalpha()):
+                take(start, term)
+        if folded is not marked and _CLASS_LETTER.search(marked):
+            for word in _RUN.finditer(marked):
+                if _CLASS_LETTER.search(word[0]):
+                    self.disguised(word, take)
         if not best or not self.model.exceptions:
             return [(t, s) for s, t in best.items()]
         return [(t, s) for s, t in best.items()
                 if not any(p in self.model.exceptions for p in phrases(folded, s))]
 
-    def features(self, folded: str, without_one: bool = False) -> tuple[float, float]:
-        total = sum(self.model.weight(t, without_one) for t, _ in self.hits(folded))
-        words = max(1, len(folded.split()))
+    def disguised(self, word: re.Match, take) -> None:
+        """Terms at the start of a word with class letters, or after a first sign that is no letter of it."""
+        starts: dict[int, str] = {}
+        for end, term in self.by_class.iter(word[0].translate(_TO_CLASS)):
+            start = end - len(term) + 1
+            if start < 2 and len(term) > len(starts.get(start, "")):
+                starts[start] = term
+        if 0 in starts:
+            take(word.start(), starts[0])
+        elif 1 in starts and word[0][0] in CLASSES:
+            take(word.start() + 1, starts[1])
+
+    def features(self, marked: str, without_one: bool = False) -> tuple[float, float]:
+        total = sum(self.model.weight(t, without_one) for t, _ in self.hits(marked))
+        words = max(1, len(marked.split()))
         return math.log1p(max(0.0, total)), math.log1p(max(0.0, 100 * total / words))
 
     def score(self, text: str) -> float:
         a, b, c = self.model.coefficients
-        x, y = self.features(fold(text))
+        x, y = self.features(fold_marked(text))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x + c * y))))
 
 
@@ -171,8 +231,8 @@ def training_texts(docs: DataFrame, train: DataFrame, id_col: str, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            texts = [fold(t.decode()) for t in utf8(batch.column(1))]
-            runs = [_RUN.findall(t) for t in texts]
+            texts = [fold_marked(t.decode()) for t in utf8(batch.column(1))]
+            runs = [_RUN.findall(plain(t)) for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts)] +
                 [pa.array([(sketch(r, s) if r else 0) >> 1 for r in runs], pa.int64()) for s in (1, 2)],
@@ -194,7 +254,7 @@ def stem_counts(texts: DataFrame) -> DataFrame:
         toxic, clean = Counter(), Counter()
         for batch in slices(batches):
             for label, folded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                stems = {w[:n] for w in set(_RUN.findall(folded)) for n in range(MIN_STEM, MAX_STEM + 1)}
+                stems = {w[:n] for w in set(_RUN.findall(plain(folded))) for n in range(MIN_STEM, MAX_STEM + 1)}
                 (toxic if label else clean).update(stems)
         stems = list(toxic)  # a stem of clean texts only cannot become a term
         rest = [s for s in clean if s not in toxic]
@@ -211,18 +271,39 @@ def stem_counts(texts: DataFrame) -> DataFrame:
         .groupBy("stem").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def choose_terms(rows: list, n_toxic: int, n_clean: int) -> ToxicityModel:
-    """Stems that stand out; a longer stem only if it is clearly purer than its shorter ones."""
-    weights, toxic, clean = {}, {}, {}
+def purer(rows: list[dict], n_toxic: int, n_clean: int) -> dict[str, tuple[float, int, int]]:
+    """Stems that stand out, with weight and counts; a longer stem only if it is clearly purer than
+    its shorter ones. Stems that share their first ``MIN_STEM`` letters must come together."""
+    kept: dict[str, tuple[float, int, int]] = {}
     for r in sorted(rows, key=lambda r: (len(r["stem"]), r["stem"])):
         w = log_odds(r["toxic"], n_toxic, r["clean"], n_clean)
-        shorter = max((weights.get(r["stem"][:n], 0.0) for n in range(MIN_STEM, len(r["stem"]))),
+        shorter = max((kept[r["stem"][:n]][0] for n in range(MIN_STEM, len(r["stem"])) if r["stem"][:n] in kept),
                       default=0.0)
         if w >= MIN_WEIGHT and w > shorter + 0.7:
-            weights[r["stem"]], toxic[r["stem"]], clean[r["stem"]] = w, r["toxic"], r["clean"]
+            kept[r["stem"]] = w, r["toxic"], r["clean"]
+    return kept
+
+
+def standing_out(stems: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """``stems`` without those that :func:`purer` leaves out, decided by the stems' first letters."""
+    def run(group: pa.Table) -> pa.Table:
+        kept = purer(group.select(["stem", "toxic", "clean"]).to_pylist(), n_toxic, n_clean)
+        return pa.table({"stem": pa.array(list(kept), pa.string()),
+                         "toxic": pa.array([k[1] for k in kept.values()], pa.int64()),
+                         "clean": pa.array([k[2] for k in kept.values()], pa.int64())})
+
+    return stems.groupBy(F.substring("stem", 1, MIN_STEM).alias("head")).applyInArrow(
+        run, "stem string, toxic long, clean long")
+
+
+def lexicon(rows: list, n_toxic: int, n_clean: int) -> ToxicityModel:
+    """A model of the stems left and the seed words."""
+    kept = purer([r.asDict() for r in rows], n_toxic, n_clean)
+    weights = {t: k[0] for t, k in kept.items()}
     for word in SEED_WORDS:
         weights[word] = max(weights.get(word, 0.0), SEED_WEIGHT)
-    return ToxicityModel(weights, toxic, clean, n_toxic, n_clean)
+    return ToxicityModel(weights, {t: k[1] for t, k in kept.items()}, {t: k[2] for t, k in kept.items()},
+                         n_toxic, n_clean)
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[float, ...]:
@@ -245,7 +326,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     """Learn lexicon, exceptions and score from the labelled rows for which ``learn`` holds.
 
     Without labelled toxic and clean texts the seed words and default coefficients remain.
-    What reaches the driver is bounded by ``MAX_TERMS``, ``MAX_TOXIC`` and ``MAX_CLEAN``.
+    What reaches the driver (terms, exception phrases, two numbers a text) comes from at most
+    ``MAX_TOXIC`` and ``MAX_CLEAN`` texts; nested stems are left out in Spark before.
     """
     train = training_ids(labels, id_col, label_col, learn)
     texts = Scratch(docs.sparkSession, "toxicity").few(
@@ -255,11 +337,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     if not n_toxic or not n_clean:
         return ToxicityModel(dict.fromkeys(SEED_WORDS, SEED_WEIGHT))
     support = max(MIN_SUPPORT, math.ceil(MIN_SUPPORT_SHARE * n_toxic))
-    gain = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
-    rows = stem_counts(texts).filter(F.col("toxic") >= support).withColumn("gain", gain) \
-        .filter(F.col("gain") >= MIN_WEIGHT) \
-        .orderBy(F.desc(F.col("gain") * F.col("toxic")), "stem").limit(MAX_TERMS).collect()
-    model = choose_terms(rows, n_toxic, n_clean)
+    rows = standing_out(stem_counts(texts).filter(F.col("toxic") >= support), n_toxic, n_clean).collect()
+    model = lexicon(rows, n_toxic, n_clean)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model)
@@ -268,7 +347,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
             for label, folded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x, y = matcher.features(folded, without_one=label == 1)
                 out.append((label, x, y, sorted({p for _, s in matcher.hits(folded)
-                                                 for p in phrases(folded, s)})))
+                                                 for p in phrases(plain(folded), s)})))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], t) for i, t in enumerate(
                     (pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.string())))],
@@ -278,7 +357,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn, id_col: str = "doc_id", text_
     points = seen.select("label", "x", "y").toPandas()
     around = seen.select("label", F.explode("phrases").alias("phrase")).groupBy("phrase").agg(
         F.sum("label").alias("toxic"), F.count("*").alias("n")) \
-        .filter("toxic = 0 and n >= 2").orderBy(F.desc("n"), "phrase").limit(MAX_TERMS).collect()
+        .filter("toxic = 0 and n >= 2").select("phrase").collect()
     model.exceptions = model.exceptions | {r["phrase"] for r in around}
     model.coefficients = fit_logistic(points[["x", "y"]].to_numpy(), points["label"].to_numpy())
     return model
@@ -289,8 +368,8 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text_col: str = "text
                     predicted: str = "predicted") -> DataFrame:
     """``docs`` plus columns ``score`` (0 to 1) and ``predicted`` (1 from ``threshold`` on).
 
-    Null and empty texts score like a text without hits. Repeated rows score alike,
-    an empty table gives an empty one, and other columns pass through untouched;
+    Null and empty texts score like a text without hits; very long ones are read whole. Repeated rows
+    score alike, an empty table gives an empty one, and other columns pass through untouched;
     columns of the two names are replaced.
     """
     docs = docs.drop(score, predicted)

@@ -75,3 +75,72 @@ def test_query_on_held_out_rows(spark):
     caught = [r.predicted for r in held if r.toxic == 1]
     clean = [r.predicted for r in held if r.toxic == 0]
     assert sum(caught) / len(caught) > 0.75 and sum(clean) / len(clean) < 0.03
+
+
+def test_signs_of_several_readings_marks_and_letters_held_apart():
+    m = T.Matcher(T.ToxicityModel(dict.fromkeys(T.SEED_WORDS, 4.0)))
+
+    def terms(text):
+        return [t for t, _ in m.hits(T.fold_marked(text))]
+
+    for text, term in [("1oser", "loser"), ("worth1ess", "worthless"), ("stu9id", "stupid"), ("ídiot", "idiot"),
+                       ("|diot", "idiot"), ("st.u.p.i.d", "stupid"), ("s-c-u-m", "scum"), ("i d i o t", "idiot"),
+                       ("1mbeci1e", "imbecile"), ("d1s9us+ing", "disgusting"), ("s.t.u.9.1.d", "stupid"),
+                       ("ídiot", "idiot"), ("|idiot|", "idiot"), ("IDIÓT!", "idiot"), ("w0r+h|e$$", "worthless")]:
+        assert terms(f"you {text} there") == [term], text
+    for text in ("u.s.a. and e.g. this", "no-go-to-it", "1.2.3.4 v1.2.3b", "a1b2c9 x+y=z |cell|row|", "2+2=4 page 16"):
+        assert terms(text) == [], text
+    assert T.fold("état à la carte") == "etat a la carte"
+
+
+def plain_scan(model, text):
+    """Hits by looking at every word and every term, without automata."""
+    marked = T.fold_marked(text)
+    folded, out = T.plain(marked), []
+    for word in T._RUN.finditer(marked):
+        disguised = any(c in T.CLASSES for c in word[0])
+        for skip in (0, 1) if word[0][0] in T.CLASSES else (0,):
+            rest = word[0][skip:]
+
+            def fits(term, rest=rest, disguised=disguised, skip=skip):
+                if not skip and T.plain(rest).startswith(term):
+                    return True
+                return disguised and len(term) <= len(rest) and all(
+                    a == b or any({a, b} <= {k, *v} for k, v in T.CLASSES.items()) for a, b in zip(term, rest))
+
+            fitting = [t for t in model.weights if fits(t)]
+            if fitting:
+                start = word.start() + skip
+                longest = max(fitting, key=lambda t: (len(t), model.weights[t], t))
+                if not any(p in model.exceptions for p in T.phrases(folded, start)):
+                    out.append((longest, start))
+                break
+    return out
+
+
+def test_hits_and_scores_against_a_scan_over_words(spark):
+    import math
+    import random
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    model = T.fit(docs, spark.read.parquet(f"{SF}/labels.parquet"), ~T.held_out())
+    assert len(model.weights) > len(T.SEED_WORDS)
+    texts = [r.text or "" for r in docs.limit(150).collect()]
+    rng, terms = random.Random(4), sorted(model.weights)
+    signs = {"i": "1!|", "l": "1|", "o": "0", "e": "3", "a": "4@", "s": "5$", "t": "7+", "g": "69", "b": "86", "p": "9"}
+    for i in range(300):
+        words = texts[i % 150].split()[:40]
+        for _ in range(3):
+            term = rng.choice(terms)
+            words.insert(rng.randrange(len(words) + 1), "".join(
+                rng.choice(signs[c]) if c in signs and rng.random() < 0.4 else c for c in term) + rng.choice(["", "s", "ing"]))
+        texts.append(" ".join(words))
+    matcher = T.Matcher(model)
+    for text in texts:
+        got = matcher.hits(T.fold_marked(text))
+        want = plain_scan(model, text)
+        weigh = [(len(t), round(model.weights[t], 9), s) for t, s in want]
+        assert sorted((len(t), round(model.weights[t], 9), s) for t, s in got) == sorted(weigh), text
+        total = sum(model.weights[t] for t, _ in want)
+        a, b, c = model.coefficients
+        z = a + b * math.log1p(total) + c * math.log1p(100 * total / max(1, len(T.fold_marked(text).split())))
+        assert abs(matcher.score(text) - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-9
