@@ -27,7 +27,7 @@ LANES = 0x1_0000_0001
 RADIUS = 3
 BLOCKS = 5
 ROWS_PER_BUCKET = 4096
-MAX_CUTS = 64
+CUTS = 64
 
 
 def terms(text: Column) -> Column:
@@ -112,33 +112,39 @@ def near_pairs(queries: DataFrame, rows: DataFrame, radius: int = RADIUS, blocks
         .select("q", "fp", F.bit_count(differing).alias("bits"))
 
 
-def in_buckets(docs: DataFrame, id_col: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def in_buckets(docs: DataFrame, id_col: str, scratch: Scratch, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """``docs`` plus ``bucket``: ranges of about ``rows_per_bucket`` rows in descending id, 0 first.
 
-    At most ``MAX_CUTS`` id quantiles make the first cut, and each of these ranges is divided
-    evenly by id into as many buckets as its rows ask for; only the cuts and the ranges'
-    ends reach the driver. Ids are numbers. Equal ids share a bucket; null ids come last.
+    Every range that is too full is cut at quantiles of its own ids, into as many ranges as its
+    rows ask for, ``CUTS`` at most, as many times over as the row count asks for; so the cuts follow
+    the rows, however the ids are spread. Only ids are read for this. The cuts of a level (a row a
+    range) are a small table, which Spark broadcasts as long as it is small. Ids are numbers. Equal
+    ids share a bucket; null ids come last.
     """
-    n = docs.count()
-    cuts = docs.agg(F.percentile_approx(id_col, [i / MAX_CUTS for i in range(1, MAX_CUTS)], 20 * MAX_CUTS)) \
-        .first()[0] if n > rows_per_bucket else []
-    cuts = sorted(set(cuts or []))
-
-    above = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    ranged = docs.withColumn("range", F.size(F.filter(above, lambda c: c >= F.col(id_col))))
-    ends = {r["range"]: r for r in ranged.filter(F.col(id_col).isNotNull()).groupBy("range").agg(
-        F.min(id_col).cast("double").alias("low"), F.max(id_col).cast("double").alias("high"),
-        F.ceil(F.count("*") / rows_per_bucket).alias("parts")).collect()}
-    low, high, parts = (F.array(*[F.lit(float(ends[r][c]) if r in ends else 1.0) for r in range(len(cuts) + 1)])
-                        for c in ("low", "high", "parts"))
-
-    def of(values: Column) -> Column:
-        return F.get(values, F.col("range"))
-
-    inside = F.floor((of(high) - F.col(id_col)) / (of(high) - of(low) + 1) * of(parts))
-    bucket = F.col("range") * F.lit(1 << 40) + inside
-    return ranged.withColumn("bucket", F.when(F.col(id_col).isNull(), F.lit(1 << 62)).otherwise(bucket)) \
-        .drop("range")
+    n = docs.filter(F.col(id_col).isNotNull()).count()
+    levels = 0
+    while rows_per_bucket * CUTS ** levels < n:
+        levels += 1
+    quantiles = [i / CUTS for i in range(1, CUTS)]
+    # of the quantiles of a range every so many-th, and of equal ones one
+    parts = F.least(F.ceil(F.col("n") / rows_per_bucket), F.lit(CUTS)).cast("int")
+    chosen = F.array_distinct(F.transform(F.sequence(F.lit(1), F.col("parts") - 1),
+                                          lambda i: F.get("q", F.floor(i * CUTS / F.col("parts")).cast("int") - 1)))
+
+    def below(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+        part = F.size(F.filter("cuts", lambda c: c >= F.col(id_col)))
+        return rows.join(cuts, "bucket", "left").withColumn(
+            "bucket", F.col("bucket") * CUTS + F.when(F.col("cuts").isNull(), 0).otherwise(part)).drop("cuts")
+
+    first = F.when(F.col(id_col).isNull(), F.lit(None)).otherwise(F.lit(0)).cast("long")
+    ids, placed = docs.select(id_col).withColumn("bucket", first), docs.withColumn("bucket", first)
+    for _ in range(levels):
+        cuts = scratch.write(
+            ids.filter(F.col(id_col).isNotNull()).groupBy("bucket")
+            .agg(F.count("*").alias("n"), F.percentile_approx(id_col, quantiles, 20 * CUTS).alias("q"))
+            .withColumn("parts", parts).filter("parts > 1").select("bucket", chosen.alias("cuts")))
+        ids, placed = below(ids, cuts), below(placed, cuts)
+    return placed.withColumn("bucket", F.coalesce("bucket", F.lit(1 << 62)))
 
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -160,7 +166,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     scratch = Scratch(docs.sparkSession, "fingerprints")
     plain = docs.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    placed = in_buckets(plain, id_col)
+    placed = in_buckets(plain, id_col, scratch)
     down = Window.partitionBy("bucket").orderBy(F.col(id_col).desc_nulls_last(), "text")
 
     # the buckets' order, as a ring: one slim row per bucket

@@ -3,8 +3,10 @@ import re
 
 import pytest
 from helpers import edge_docs, edge_rows, no_docs, prose
+from pyspark.sql import functions as F
 
 from herald.llm import fingerprints as P
+from herald.llm.common import Scratch
 
 
 def hashes(spark, terms):
@@ -53,7 +55,7 @@ def test_neighbours_across_buckets(spark, monkeypatch):
     monkeypatch.setattr(P.in_buckets, "__defaults__", (7,))
     rows = [(3 * i - 50, prose(20 + i % 30, i % 9)) for i in range(90)] + [(None, "late text here")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    assert P.in_buckets(df, "doc_id").select("bucket").distinct().count() > 8
+    assert P.in_buckets(df, "doc_id", Scratch(spark, "test")).select("bucket").distinct().count() > 8
     assert found(P.edited_fingerprints(df)) == brute(spark, rows)
 
 
@@ -83,3 +85,14 @@ def test_single_document_and_empty_table(spark):
 def test_plan_has_no_python(spark):
     plan = P.edited_fingerprints(edge_docs(spark))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_buckets_follow_the_rows_however_ids_are_spread(spark):
+    far = F.when(F.col("id") == 7, F.lit(10 ** 15)).when(F.col("id") % 3 == 0, F.col("id") * 1000).otherwise(F.col("id"))
+    df = spark.range(60000).select(far.alias("doc_id")).unionByName(spark.createDataFrame([(None,)], "doc_id long"))
+    rows = P.in_buckets(df, "doc_id", Scratch(spark, "test"), 100).groupBy("bucket").agg(
+        F.count("*").alias("n"), F.max("doc_id").alias("high"), F.min("doc_id").alias("low")).orderBy("bucket").collect()
+    assert sum(r.n for r in rows) == 60001 and max(r.n for r in rows) < 400 and len(rows) < 1500
+    assert rows[-1].high is None and all(a.low > b.high for a, b in zip(rows, rows[1:-1]))
+    ties = P.in_buckets(spark.range(500).select((F.col("id") % 2).alias("doc_id")), "doc_id", Scratch(spark, "test"), 10)
+    assert ties.groupBy("bucket").count().count() == 2
