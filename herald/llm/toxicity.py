@@ -1,10 +1,12 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
 *Folding* lower-cases, maps look-alike letters of other scripts and widths to
-Latin ones, removes accents and invisible characters, joins letters that signs or
+Latin ones, removes invisible characters, joins letters that signs or
 spaces hold apart (``s.t.u.p.i.d``) and reads digits and signs inside
 words as letters (``1d10t``, ``$tupid``). A sign of several readings (``1`` as i or l)
-is matched in all of them: such words and the terms are compared by classes of letters. *Lexicon*: word stems whose document
+is matched in all of them: such words and the terms are compared by classes of letters.
+A word without a term is matched without its accents too (terms keep theirs, as languages
+tell such words apart). *Lexicon*: word stems whose document
 frequency among toxic training texts stands out against clean ones, weighted by
 their log odds, beside a few seed words. *Exceptions*: phrases in which a hit
 does not count; given ones, and those seen around hits in clean texts only.
@@ -60,9 +62,10 @@ CLASSES = {"ı": "il", "ɢ": "gbpq"}
 
 _INVISIBLE = dict.fromkeys([0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
 _MAP = {ord(k): v for k, v in LOOKALIKES.items()} | _INVISIBLE
-#: Latin letters with marks to the letter alone; marks that follow their letter go.
+#: Latin letters with marks to the letter alone.
 _MARKS = {c: base for c in range(0xC0, 0x250) if (base := unicodedata.normalize("NFD", chr(c))[0].lower()).isascii()
-          and base.isalpha()} | dict.fromkeys(range(0x300, 0x370))
+          and base.isalpha()}
+_COMBINING = re.compile("[\u0300-\u036f]")
 _FOREIGN = re.compile("[" + "".join(LOOKALIKES) + "\\u00ad\\u200b-\\u200d\\u2060\\ufeff"
                       "\\u2100-\\u214f\\u2460-\\u24ff\\uff00-\\uffef\\U0001d400-\\U0001d7ff]")
 _SIGNS = "".join(map(re.escape, SUBSTITUTES))
@@ -95,8 +98,8 @@ def _together(found: re.Match) -> str:
 
 
 def fold_marked(text: str) -> str:
-    """Lower case, look-alikes to Latin letters, marks and invisible characters out, letters held apart
-    joined, digits in words to letters or class letters.
+    """Lower case, look-alikes to Latin letters, invisible characters out, letters held apart
+    joined, digits in words to letters or class letters; marks become part of their letters.
 
     Look-alikes are mapped only in words that become wholly Latin by it, so that text in
     another script stays as it is.
@@ -106,7 +109,8 @@ def fold_marked(text: str) -> str:
         if _FOREIGN.search(text):
             text = unicodedata.normalize("NFKC", text).lower().translate(_INVISIBLE)
             text = re.sub(r"\w+", _latin, text)
-        text = text.translate(_MARKS)
+        if _COMBINING.search(text):
+            text = unicodedata.normalize("NFC", text)
     return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), _APART.sub(_together, text))
 
 
@@ -154,7 +158,7 @@ class Matcher:
         self.automaton, self.by_class = ahocorasick.Automaton(), ahocorasick.Automaton()
         for term in sorted(model.weights, key=lambda t: (model.weights[t], t)):  # the heaviest of a class stays
             self.automaton.add_word(term, term)
-            self.by_class.add_word(term.translate(_TO_CLASS), term)
+            self.by_class.add_word(term.translate(_MARKS).translate(_TO_CLASS), term)
         self.automaton.make_automaton()
         self.by_class.make_automaton()
 
@@ -175,6 +179,14 @@ class Matcher:
             for word in _RUN.finditer(marked):
                 if _CLASS_LETTER.search(word[0]):
                     self.disguised(word, take)
+        if not folded.isascii() and (bare := folded.translate(_MARKS)) != folded:
+            without: dict[int, str] = {}
+            for end, term in self.automaton.iter(bare):
+                start = end - len(term) + 1
+                if not (start and bare[start - 1].isalpha()) and start not in best and \
+                        len(term) > len(without.get(start, "")):
+                    without[start] = term
+            best.update(without)
         if not best or not self.model.exceptions:
             return [(t, s) for s, t in best.items()]
         return [(t, s) for s, t in best.items()
@@ -183,7 +195,7 @@ class Matcher:
     def disguised(self, word: re.Match, take) -> None:
         """Terms at the start of a word with class letters, or after a first sign that is no letter of it."""
         starts: dict[int, str] = {}
-        for end, term in self.by_class.iter(word[0].translate(_TO_CLASS)):
+        for end, term in self.by_class.iter(word[0].translate(_MARKS).translate(_TO_CLASS)):
             start = end - len(term) + 1
             if start < 2 and len(term) > len(starts.get(start, "")):
                 starts[start] = term

@@ -90,7 +90,9 @@ def test_signs_of_several_readings_marks_and_letters_held_apart():
         assert terms(f"you {text} there") == [term], text
     for text in ("u.s.a. and e.g. this", "no-go-to-it", "1.2.3.4 v1.2.3b", "a1b2c9 x+y=z |cell|row|", "2+2=4 page 16"):
         assert terms(text) == [], text
-    assert T.fold("état à la carte") == "etat a la carte"
+    assert T.fold("état à la carte") == "état à la carte" == T.fold("e\u0301tat à la carte")
+    apart = T.Matcher(T.ToxicityModel({"réeux": 4.0, "grumf": 4.0}))  # what has accents is not met without them
+    assert apart.hits("reeux réeux grúmf") == [("réeux", 6), ("grumf", 12)]
 
 
 def plain_scan(model, text):
@@ -106,9 +108,12 @@ def plain_scan(model, text):
                 if not skip and T.plain(rest).startswith(term):
                     return True
                 return disguised and len(term) <= len(rest) and all(
-                    a == b or any({a, b} <= {k, *v} for k, v in T.CLASSES.items()) for a, b in zip(term, rest))
+                    a == b or any({a, b} <= {k, *v} for k, v in T.CLASSES.items())
+                    for a, b in zip(term.translate(T._MARKS), rest.translate(T._MARKS)))
 
             fitting = [t for t in model.weights if fits(t)]
+            if not fitting and not skip and not disguised:
+                fitting = [t for t in model.weights if rest.translate(T._MARKS).startswith(t)]
             if fitting:
                 start = word.start() + skip
                 longest = max(fitting, key=lambda t: (len(t), model.weights[t], t))
