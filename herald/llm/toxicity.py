@@ -79,10 +79,14 @@ _PIECE = r"(?:[^\W_]|[@$!|+]){1,2}"
 #: Three pieces or more of one or two letters with one sign between them; four single letters or more with spaces.
 _APART = re.compile(rf"(?<!\w){_PIECE}([.*~_\-])(?:{_PIECE}\1)+{_PIECE}(?!\w)"
                     r"|(?<![^\s(\"'])[^\W\d_](?: [^\W\d_]){3,}(?![^\s.,;:!?)\"'])")
+#: Quick tests: a text in which they find nothing has no match of the pattern of that name.
+_SOME_INSIDE = re.compile(rf"[{_SIGNS}](?:(?=[^\W\d_])|(?<=[^\W\d_][{_LAST}]))")
+_SOME_APART = re.compile(rf"[.*~_\-]{_PIECE}[.*~_\-]"), re.compile(r" [^\W\d_] [^\W\d_](?![^\s.,;:!?)\"'])")
 _RUN = re.compile(r"[^\W\d_]+")
 _CLASS_LETTER = re.compile("[" + "".join(CLASSES) + "]")
 _TO_LETTER = str.maketrans(SUBSTITUTES)
-_PLAIN = str.maketrans({k: v[0] for k, v in CLASSES.items()})
+_LONG_LATIN = re.compile("[\u0100-\u024f]")
+_LATIN_1 = bytes(ord(_MARKS.get(c, chr(c))) for c in range(256))
 _TO_CLASS = str.maketrans({c: k for k, v in CLASSES.items() for c in v})
 
 
@@ -111,12 +115,24 @@ def fold_marked(text: str) -> str:
             text = re.sub(r"\w+", _latin, text)
         if _COMBINING.search(text):
             text = unicodedata.normalize("NFC", text)
-    return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), _APART.sub(_together, text))
+    if any(some.search(text) for some in _SOME_APART):
+        text = _APART.sub(_together, text)
+    return _INSIDE.sub(lambda m: m[0].translate(_TO_LETTER), text) if _SOME_INSIDE.search(text) else text
 
 
 def plain(marked: str) -> str:
     """The first reading of every class letter; positions stay."""
-    return marked if marked.isascii() else marked.translate(_PLAIN)
+    if not marked.isascii():
+        for letter, readings in CLASSES.items():
+            marked = marked.replace(letter, readings[0])
+    return marked
+
+
+def bare(folded: str) -> str:
+    """Latin letters without their marks; positions stay, letters beyond Latin may become "?"."""
+    if _LONG_LATIN.search(folded):
+        return folded.translate(_MARKS)
+    return folded.encode("latin-1", "replace").translate(_LATIN_1).decode("latin-1")
 
 
 def fold(text: str) -> str:
@@ -175,15 +191,15 @@ class Matcher:
             start = end - len(term) + 1
             if not (start and folded[start - 1].isalpha()):
                 take(start, term)
-        if folded is not marked and _CLASS_LETTER.search(marked):
+        if folded != marked and _CLASS_LETTER.search(marked):
             for word in _RUN.finditer(marked):
                 if _CLASS_LETTER.search(word[0]):
                     self.disguised(word, take)
-        if not folded.isascii() and (bare := folded.translate(_MARKS)) != folded:
+        if not folded.isascii():
             without: dict[int, str] = {}
-            for end, term in self.automaton.iter(bare):
+            for end, term in self.automaton.iter(bare(folded)):
                 start = end - len(term) + 1
-                if not (start and bare[start - 1].isalpha()) and start not in best and \
+                if not (start and folded[start - 1].isalpha()) and start not in best and \
                         len(term) > len(without.get(start, "")):
                     without[start] = term
             best.update(without)

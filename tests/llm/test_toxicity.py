@@ -149,3 +149,14 @@ def test_hits_and_scores_against_a_scan_over_words(spark):
         a, b, c = model.coefficients
         z = a + b * math.log1p(total) + c * math.log1p(100 * total / max(1, len(T.fold_marked(text).split())))
         assert abs(matcher.score(text) - 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))) < 1e-9
+
+
+def test_quick_tests_change_nothing():
+    import random
+    rng = random.Random(9)
+    for i in range(30000):
+        text = "".join(rng.choice("ab é.-* 19!|+$\n") for _ in range(rng.randrange(14)))
+        full = T._INSIDE.sub(lambda m: m[0].translate(T._TO_LETTER), T._APART.sub(T._together, text))
+        assert T.fold_marked(text) == full, text
+    for text in ("déjà vu Ünïcode", "mañana őszi žena", "привет é", "漢字 é"):
+        assert len(T.bare(text)) == len(text) and T.bare(text)[-1] == text.translate(T._MARKS)[-1]
