@@ -27,7 +27,7 @@ from herald.operators import thinning as TH
 from herald.operators.centroids import centroids
 from herald.operators.density import cos_to_dist, density_clusters, eom_clusters
 from herald.operators.hierarchy import exact_clusters
-from herald.operators.near_index import measured_recall, near_pairs_by_signs
+from herald.operators.near_index import recall_by_blocks
 from herald.operators.neighbours import similar_pairs
 from herald.operators.pruned import nearest_center_pruned
 from herald.session import cut_lineage, ensure_checkpoint_dir, ship_package
@@ -401,9 +401,7 @@ def q_neighbour_pairs(spark, d):
 
 def q_neighbour_recall(spark, d):
     """J9 by random projections against the exact search: pairs found, and whether recall reaches 0.9."""
-    e = emb_vectors(spark, d)
-    found = near_pairs_by_signs(e, EMB_PAIR_MIN_COS, tile_rows=EMB_INDEX_TILE)
-    r = measured_recall(found, similar_pairs(e, EMB_PAIR_MIN_COS))
+    r = recall_by_blocks(emb_vectors(spark, d), EMB_PAIR_MIN_COS, tile_rows=EMB_INDEX_TILE)
     return r.select("originator_id", "n_exact", "n_wrong", (F.col("recall") >= 0.9).alias("recall_reached"))
 
 

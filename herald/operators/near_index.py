@@ -9,8 +9,13 @@ wished cosine is found with probability ``recall``; nearer pairs are found more
 Bits follow the sender's size, so that a bucket holds about one tile; a sender of one
 tile has no bits and is exact.
 
-Buckets above one tile are cut into tiles and all their tile pairs are made, so no
-bucket is capped and none fills a task. A pair is reported by the first table whose bucket
+Where tables are few, rows are shuffled once per table: buckets above one tile are cut into
+tiles and all their tile pairs are made, so no bucket is capped and none fills a task. At a low
+cosine tables number hundreds; then a sender's rows are dealt into blocks by id and meet by pairs of
+blocks, and a task looks up the buckets of all tables itself, so a row is copied once per block
+(:func:`_in_blocks`). Both ways report the same pairs.
+
+A pair is reported by the first table whose bucket
 both share: no pair is made twice in the output, and none has to be deduplicated. Every
 pair reported has the wished cosine; what may be missing are pairs, by ``recall``.
 """
@@ -32,6 +37,9 @@ from herald.session import cut_lineage
 RECALL = 0.95
 MAX_BITS = 48
 SEED = 11
+#: Rows of a block where rows meet by blocks, and rows or columns of a matrix worked on at once.
+BLOCK_ROWS = 8192
+CHUNK = 1024
 
 
 def tables_needed(bits: int, min_cos: float, recall: float) -> int:
@@ -54,14 +62,30 @@ def directions(dim: int, bits: int, tables: int, seed: int = SEED) -> np.ndarray
     return np.random.default_rng([seed, dim, bits]).standard_normal((tables * bits, dim)).T
 
 
-def signatures(df: DataFrame, min_cos: float, recall: float, key: str, id_col: str, vec_col: str,
-               tile_rows: int, seed: int) -> DataFrame:
-    """``key, id, vec, sig``: one bucket number per table; rows without a vector are left out."""
+def _planned(df: DataFrame, min_cos: float, recall: float, key: str, id_col: str, vec_col: str, tile_rows: int) -> DataFrame:
+    """``key, id, vec, bits, tables, blocks``; rows without a vector are left out."""
     rows = df.filter(F.col(vec_col).isNotNull()).select(
         key, F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"))
     sizes = rows.groupBy(key).agg(F.count("*").alias("n")).withColumn("plan", _plan("n", min_cos, recall, tile_rows))
-    planned = rows.join(sizes.select(key, "plan.bits", "plan.tables"), key)
+    return rows.join(sizes.select(key, "plan.bits", "plan.tables", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), key)
+
+
+def bucket_numbers(x: np.ndarray, bits: int, tables: int, seed: int = SEED, made: np.ndarray | None = None) -> np.ndarray:
+    """A row per vector, a bucket number per table."""
+    out = np.zeros((len(x), tables), dtype=np.int64)
+    if not bits:
+        return out
+    made, values = directions(x.shape[1], bits, tables, seed) if made is None else made, 1 << np.arange(bits, dtype=np.int64)
+    step = max(1, 4 * CHUNK // bits)
+    for i in range(0, len(x), CHUNK):
+        for t in range(0, tables, step):
+            sign = x[i:i + CHUNK] @ made[:, t * bits:(t + step) * bits] >= 0
+            out[i:i + CHUNK, t:t + step] = sign.reshape(len(sign), -1, bits) @ values
+    return out
 
+
+def signatures(planned: DataFrame, key: str, seed: int) -> DataFrame:
+    """``key, id, vec, sig``: one bucket number per table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = {}
         for batch in batches:
@@ -74,14 +98,13 @@ def signatures(df: DataFrame, min_cos: float, recall: float, key: str, id_col: s
                 at = np.flatnonzero((bits == b) & (tables == t))
                 if (b, t) not in made:
                     made[b, t] = directions(x.shape[1], b, t, seed)
-                sign = (x[at] @ made[b, t] >= 0).reshape(len(at), t, b)
-                for i, buckets in zip(at, sign @ (1 << np.arange(b, dtype=np.int64)), strict=True):
+                for i, buckets in zip(at, bucket_numbers(x[at], b, t, seed, made[b, t]), strict=True):
                     sig[i] = buckets
             yield pa.RecordBatch.from_arrays(
                 [batch.column(key), batch.column("id"), batch.column("vec"), pa.array(sig, pa.list_(pa.int64()))],
                 [key, "id", "vec", "sig"])
 
-    types = dict(rows.dtypes)
+    types = dict(planned.dtypes)
     return planned.mapInArrow(run, f"`{key}` {types[key]}, id {types['id']}, vec array<float>, sig array<bigint>")
 
 
@@ -89,7 +112,11 @@ def sign_tiling(df: DataFrame, min_cos: float, recall: float = RECALL, key: str
                 id_col: str = "template_hash", vec_col: str = "embedding", tile_rows: int = TILE_ROWS,
                 seed: int = SEED) -> Tiling:
     """Rows once per table, in tiles of their buckets, and the tile pairs of each bucket of two rows or more."""
-    signed = cut_lineage(signatures(df, min_cos, recall, key, id_col, vec_col, tile_rows, seed))
+    return _sign_tiling(_planned(df, min_cos, recall, key, id_col, vec_col, tile_rows), key, tile_rows, seed)
+
+
+def _sign_tiling(planned: DataFrame, key: str, tile_rows: int, seed: int) -> Tiling:
+    signed = cut_lineage(signatures(planned, key, seed))
     place = [key, "nr", "bucket"]
     buckets = cut_lineage(signed.select(key, F.posexplode("sig").alias("nr", "bucket")).groupBy(*place)
                           .agg(F.count("*").alias("n")).filter("n > 1")
@@ -108,6 +135,52 @@ def sign_tiling(df: DataFrame, min_cos: float, recall: float = RECALL, key: str
     return Tiling(rows, pairs, key)
 
 
+def _met(x: np.ndarray, y: np.ndarray, alone: bool, bits: int, tables: int, min_cos: float, seed: int):
+    """Rows ``i, j`` of two blocks that share a bucket of a table and have the wished cosine, each pair once."""
+    sx = bucket_numbers(x, bits, tables, seed)
+    sy = sx if alone else bucket_numbers(y, bits, tables, seed)
+    found = [], []
+    for t in range(tables):
+        ox, oy = np.argsort(sx[:, t], kind="stable"), np.argsort(sy[:, t], kind="stable")
+        vx, vy = sx[ox, t], sy[oy, t]
+        shared = np.intersect1d(vx, vy)
+        ends = [np.searchsorted(v, shared, side) for v in (vx, vy) for side in ("left", "right")]
+        for a, b, c, d in zip(*(e.tolist() for e in ends)):
+            right = oy[c:d]
+            for k in range(a, b, CHUNK):
+                left = ox[k:min(b, k + CHUNK)]
+                i, j = np.nonzero(x[left] @ y[right].T >= min_cos)
+                i, j = left[i], right[j]
+                if alone:
+                    i, j = i[i < j], j[i < j]
+                if t:  # an earlier table has reported the pair
+                    new = np.concatenate([~(sx[i[m:m + CHUNK], :t] == sy[j[m:m + CHUNK], :t]).any(axis=1)
+                                          for m in range(0, len(i), CHUNK)] or [np.zeros(0, dtype=bool)])
+                    i, j = i[new], j[new]
+                found[0].append(i)
+                found[1].append(j)
+    return tuple(np.concatenate(f or [np.zeros(0, dtype=int)]) for f in found)
+
+
+def _in_blocks(planned: DataFrame, key: str):
+    """Rows grouped by the pairs of blocks of their sender, sides as :meth:`Tiling.groups` has them."""
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    return planned.withColumn("own", own).withColumn("other", other).select(
+        key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "vec", "bits", "tables",
+        (F.col("own") == F.col("other")).alias("alone"), (F.col("own") > F.col("other")).cast("int").alias("side")) \
+        .groupBy(key, "i", "j")
+
+
+def _blocks_of(group: pa.Table, min_cos: float, seed: int):
+    left, right, alone = sides(group)
+    if not left.num_rows or not right.num_rows:
+        return None
+    x = unit_matrix(left["vec"])
+    y = x if alone else unit_matrix(right["vec"])
+    return left, right, alone, x, y, _met(x, y, alone, group["bits"][0].as_py(), group["tables"][0].as_py(), min_cos, seed)
+
+
 def near_pairs_by_signs(df: DataFrame, min_cos: float, recall: float = RECALL, key: str = "originator_id",
                         id_col: str = "template_hash", vec_col: str = "embedding", tile_rows: int = TILE_ROWS,
                         seed: int = SEED) -> DataFrame:
@@ -115,7 +188,30 @@ def near_pairs_by_signs(df: DataFrame, min_cos: float, recall: float = RECALL, k
 
     A pair at ``min_cos`` is found with probability ``recall``. Ids must be unique within a sender.
     """
-    tiling = sign_tiling(df, min_cos, recall, key, id_col, vec_col, tile_rows, seed)
+    planned = _planned(df, min_cos, recall, key, id_col, vec_col, tile_rows)
+    types = dict(planned.dtypes)
+    schema = f"`{key}` {types[key]}, a {types['id']}, b {types['id']}, cos double"
+
+    def block(group: pa.Table) -> pa.Table:
+        met = _blocks_of(group, min_cos, seed)
+        if met is None:
+            return pa.table({key: group[key].slice(0, 0), "a": group["id"].slice(0, 0),
+                             "b": group["id"].slice(0, 0), "cos": pa.array([], pa.float64())})
+        left, right, _, x, y, (i, j) = met
+        cos = np.concatenate([np.einsum("ij,ij->i", x[i[k:k + CHUNK]], y[j[k:k + CHUNK]])
+                              for k in range(0, len(i), CHUNK)] or [np.zeros(0)])
+        a, b = left["id"].take(pa.array(i)), right["id"].take(pa.array(j))
+        ordered = pa.compute.less(a, b)
+        return pa.table({key: left[key].take(pa.array(i)), "a": pa.compute.if_else(ordered, a, b),
+                         "b": pa.compute.if_else(ordered, b, a), "cos": cos})
+
+    many = F.col("tables") > F.col("blocks")  # fewer copies by blocks than by tables
+    return _in_blocks(planned.filter(many), key).applyInArrow(block, schema) \
+        .unionByName(_by_tables(planned.filter(~many), min_cos, key, tile_rows, seed, schema))
+
+
+def _by_tables(planned: DataFrame, min_cos: float, key: str, tile_rows: int, seed: int, schema: str) -> DataFrame:
+    tiling = _sign_tiling(planned, key, tile_rows, seed)
 
     def run(group: pa.Table) -> pa.Table:
         left, right, alone = sides(group)
@@ -135,9 +231,65 @@ def near_pairs_by_signs(df: DataFrame, min_cos: float, recall: float = RECALL, k
         return pa.table({key: left[key].take(pa.array(i)), "a": pa.compute.if_else(ordered, a, b),
                          "b": pa.compute.if_else(ordered, b, a), "cos": s[i, j]})
 
-    types = dict(tiling.rows.dtypes)
-    return tiling.groups().applyInArrow(
-        run, f"`{key}` {types[key]}, a {types['id']}, b {types['id']}, cos double")
+    return tiling.groups().applyInArrow(run, schema)
+
+
+def recall_by_blocks(df: DataFrame, min_cos: float, recall: float = RECALL, key: str = "originator_id",
+                     id_col: str = "template_hash", vec_col: str = "embedding", tile_rows: int = TILE_ROWS,
+                     seed: int = SEED) -> DataFrame:
+    """:func:`measured_recall` of the index against all products, without a row per pair.
+
+    A pair lies in one pair of blocks, whose task looks it up in the index and among all its
+    products and hands on counts alone. Where ids repeat in a sender, counts are of the join's rows.
+    """
+    planned = _planned(df, min_cos, recall, key, id_col, vec_col, tile_rows)
+
+    def run(group: pa.Table) -> pa.Table:
+        met = _blocks_of(group, min_cos, seed)
+        counts = np.zeros(3, dtype=np.int64)
+        if met is not None:
+            left, right, alone, x, y, (fi, fj) = met
+            found = np.zeros((len(x), len(y)), dtype=bool)
+            found[fi, fj] = True
+            names = [t["id"].combine_chunks().dictionary_encode() for t in (left, right)]
+            single = all(len(d.dictionary) == len(d) for d in names)
+            exact = [], []
+            for k in range(0, len(x), CHUNK):
+                s = x[k:k + CHUNK] @ y.T >= min_cos
+                if alone:
+                    s &= np.arange(len(y)) > np.arange(k, k + len(s))[:, None]
+                both = int((s & found[k:k + CHUNK]).sum())
+                counts += int(s.sum()), both, int(found[k:k + CHUNK].sum()) - both
+                if not single:
+                    i, j = np.nonzero(s)
+                    exact[0].append(i + k)
+                    exact[1].append(j)
+            if not single:
+                counts = _of_repeated(left["id"], right["id"], tuple(map(np.concatenate, exact)), (fi, fj))
+        k = group[key].slice(0, 1)
+        return pa.table({key: k, **{c: pa.array([int(v)]) for c, v in zip(("exact", "found", "wrong"), counts)}})
+
+    types = dict(planned.dtypes)
+    return _in_blocks(planned, key).applyInArrow(run, f"`{key}` {types[key]}, exact long, found long, wrong long") \
+        .groupBy(key).agg(F.sum("exact").alias("n_exact"), F.sum("found").alias("n_found"), F.sum("wrong").alias("n_wrong")) \
+        .filter("n_exact + n_wrong > 0") \
+        .withColumn("recall", F.when(F.col("n_exact") > 0, F.col("n_found") / F.col("n_exact")).otherwise(1.0))
+
+
+def _of_repeated(a, b, exact, found) -> tuple[int, int, int]:
+    """Exact, found and wrong rows of the join of pairs by their ids, some of which repeat."""
+    names = pa.chunked_array([*a.chunks, *b.chunks]).dictionary_encode().unify_dictionaries().combine_chunks()
+    code = names.indices.to_numpy().astype(np.int64)
+    ca, cb = code[:len(a)], code[len(a):]
+
+    def counted(pairs):
+        p, q = ca[pairs[0]], cb[pairs[1]]
+        at, n = np.unique(np.minimum(p, q) * len(code) + np.maximum(p, q), return_counts=True)
+        return dict(zip(at.tolist(), n.tolist()))
+
+    e, f = counted(exact), counted(found)
+    both = sum(n * f[p] for p, n in e.items() if p in f)
+    return both + sum(n for p, n in e.items() if p not in f), both, sum(n for p, n in f.items() if p not in e)
 
 
 def measured_recall(found: DataFrame, exact: DataFrame, key: str = "originator_id") -> DataFrame:

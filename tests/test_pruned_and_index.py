@@ -103,3 +103,25 @@ def test_sign_index_empty_and_table_counts(spark):
     p = 1 - np.arccos(0.8) / np.pi
     t = tables_needed(8, 0.8, 0.95)
     assert 1 - (1 - p ** 8) ** t >= 0.95 > 1 - (1 - p ** 8) ** (t - 1)
+
+
+def test_many_tables_copy_rows_by_blocks_and_count_without_pairs(spark, monkeypatch):
+    """At a low cosine the index has hundreds of tables; a row must not be shuffled once per table."""
+    from herald.operators import near_index
+    monkeypatch.setattr(near_index, "BLOCK_ROWS", 100)
+    x = grouped(np.random.default_rng(8), 40, 10, dim=16, spread=0.3)
+    df = frame(spark, x, ROWS, [f"v{i:04d}" for i in range(len(x))]).cache()
+    planned = near_index._planned(df, 0.5, 0.95, "originator_id", "template_hash", "embedding", 4)
+    tables, blocks = planned.select("tables", "blocks").first()
+    assert tables > 4 * blocks == 16
+    assert near_index._in_blocks(planned, "originator_id").count().agg(F.sum("count")).first()[0] == blocks * len(x)
+    found = near_pairs_by_signs(df, 0.5, tile_rows=4).cache()
+    by_tables = near_index._by_tables(planned, 0.5, "originator_id", 64, near_index.SEED,
+                                      "originator_id string, a string, b string, cos double")
+    assert {(p.a, p.b) for p in found.collect()} == {(p.a, p.b) for p in by_tables.collect()}
+    assert found.count() == found.distinct().count()
+    wanted = measured_recall(found, similar_pairs(df, 0.5)).collect()
+    assert near_index.recall_by_blocks(df, 0.5, tile_rows=4).collect() == wanted and wanted[0].recall >= 0.9
+    twice = df.unionByName(df.limit(30)).cache()  # repeated ids count as the join's rows
+    wanted = measured_recall(near_pairs_by_signs(twice, 0.5, tile_rows=4), similar_pairs(twice, 0.5)).collect()
+    assert near_index.recall_by_blocks(twice, 0.5, tile_rows=4).collect() == wanted
