@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from herald.operators.hierarchy import exact_clusters, spanning_tree
 from test_density import planted, three_groups
@@ -172,3 +173,25 @@ def test_spanning_tree_is_minimal(spark):
                 total, count = total + w, count + 1
         return total, count
     assert (sum(r.w for r in got), len(got)) == kruskal()
+
+
+def test_blocks_copy_a_row_a_bounded_number_of_times_and_emit_edges_between_them(spark):
+    """A row was copied once per pivot cell, and a pair of tiles emitted the edges inside both again."""
+    from herald.operators import hierarchy as H
+    x = np.random.default_rng(5).normal(size=(400, 6))
+    points = spark.createDataFrame([("s", i, [float(c) for c in v], 3, 1) for i, v in enumerate(x)],
+                                   "originator_id string, id long, vec array<float>, min_size int, min_samples int").cache()
+    tiling = H.blocks(points, "originator_id", 10)
+    n = tiling.rows.select("tile").distinct().count()
+    assert n == H.BLOCKS and tiling.groups().count().agg(F.sum("count")).first()[0] == n * len(x)
+    cores = points.select("originator_id", "id", F.lit(0.0).alias("core"))
+    tile = {r.id: r.tile for r in tiling.rows.select("id", "tile").collect()}
+    inside = [e for e in H.tile_forests(tiling, cores, 16).collect() if tile[e.a] == tile[e.b]]
+    assert len(inside) == len(x) - n
+
+    def weights(t, step):
+        e = H.tile_forests(t, cores, step).toPandas()
+        return sorted(H._lighter([tuple(e[c].to_numpy() for c in "abw")], len(x))[0][2].tolist())
+
+    small = weights(tiling, 16)
+    assert small == weights(tiling, 2048) == weights(H.blocks(points, "originator_id", 1000), 64) and len(small) == len(x) - 1
