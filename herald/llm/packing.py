@@ -32,7 +32,7 @@ from herald.llm.token_counts import tokenizer_file
 CAPACITY = 4096
 ITEM_TOKENS = 1024
 BATCH_WINDOWS = 512
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 250_000
 ENCODE_BYTES = 1 << 20
 
 PIECE_SCHEMA = "start long, length long, ids_crc32 long, doc_tokens long, salt long"
@@ -65,7 +65,9 @@ class WordEncoder:
         for tok in (self.tok, self.plain):
             tok.no_truncation()
             tok.no_padding()
+        #: The words met since the memo was last full, and those of the time before, see :meth:`remember`.
         self.memo: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -110,11 +112,22 @@ class WordEncoder:
             text = text.lower()
         return self._STOP.sub(rb" \g<0>", text).split()
 
+    def remember(self, words: set[bytes]) -> None:
+        """Bring all ``words`` into the memo.
+
+        A full memo becomes the older one, from which words that are met again come back: words of
+        few texts are forgotten, frequent ones are encoded once. Words of one document only are most of a memo.
+        """
+        if len(self.memo) > MEMO_WORDS:
+            self.memo, self.older = {}, self.memo
+        new = words.difference(self.memo)
+        again = new.intersection(self.older)
+        self.memo.update((w, self.older[w]) for w in again)
+        self.learn(new - again)
+
     def encode(self, texts: list[bytes]) -> list[bytes]:
         split = [self.words(t) for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        self.learn(set().union(*split).difference(self.memo))
+        self.remember(set().union(*split))
         get = self.memo.__getitem__
         return [b"".join(map(get, words)) for words in split]
 

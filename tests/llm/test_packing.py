@@ -6,6 +6,7 @@ from helpers import edge_docs, edge_rows, no_docs, prose
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from herald.llm import packing
 from herald.llm.packing import WordEncoder, cut, differencing, pack_batch, pack_documents
 from herald.llm.token_counts import tokenizer_file
 
@@ -27,6 +28,18 @@ def test_word_memo_equals_the_library():
         assert encoder.encode([t.encode() for t in texts]) == ids_of(texts)
 
 
+def test_memo_is_bounded_and_keeps_frequent_words(monkeypatch):
+    monkeypatch.setattr(packing, "MEMO_WORDS", 50)
+    encoder, learned = WordEncoder("word_bpe_49k.json"), []
+    learn = encoder.learn
+    monkeypatch.setattr(encoder, "learn", lambda words: (learned.extend(words), learn(words)))
+    for i in range(40):
+        texts = [f"often {' '.join(f'w{i}x{j}' for j in range(20))}"]
+        assert encoder.encode([t.encode() for t in texts]) == ids_of(texts)
+        assert len(encoder.memo) + len(encoder.older) < 250
+    assert learned.count(b"often") == 1
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aBé.,'’ \n<|>İ́̌1½s"), max_size=30))
 def test_word_memo_equals_the_library_on_random_text(text):
