@@ -217,7 +217,9 @@ def name_similarity(view: DataFrame) -> DataFrame:
 
     A word weighs ``1 + ln((1 + N) / (1 + df))`` over the distinct names of all senders, so words that every
     name shares bring names together less than words of few names do. A name without words scores 0.
+    The view's names are written once: both sides and the last join read them, not what they were made from.
     """
+    view = cut_lineage(view.select("originator_id", "discovered_names", "onboarding_names"))
     found = view.select("originator_id", F.explode(F.array_distinct("discovered_names")).alias("name"))
     told = view.select("originator_id", F.explode(F.array_distinct("onboarding_names")).alias("name"))
     terms = cut_lineage(_terms(found, "found").unionByName(_terms(told, "told")))
