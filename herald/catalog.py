@@ -746,7 +746,7 @@ def language_campaigns(spark, d):
     from herald.operators.embed import embed_templates
     from herald.operators.templates import build_templates
     tpl = build_templates(messages(spark, d))
-    vec, model = embed_templates(tpl, dim=256)
+    vec, model = embed_templates(tpl, dim=256, keep=["originator_id", "template_hash", "message_id", "count_in_window"])
     lang = docs(spark, d).select(F.col("doc_id").cast("string").alias("message_id"), "lang")
     ranked = lang.select("lang").distinct().withColumn("cluster_label", F.abs(F.hash("lang")) % 1000)
     labelled = vec.join(lang.join(ranked, "lang"), "message_id")
@@ -804,8 +804,7 @@ def q_template_vectors(spark, d):
     """V1: every template's vector."""
     from herald.operators.embed import embed_templates
     from herald.operators.templates import build_templates
-    vec, _ = embed_templates(build_templates(messages(spark, d)), dim=256)
-    return vec.select("originator_id", "template_hash", "embedding")
+    return embed_templates(build_templates(messages(spark, d)), dim=256, keep=["originator_id", "template_hash"])[0]
 
 
 # ---------------------------------------------------------------- whole pipeline (rows-only checks)

@@ -218,7 +218,8 @@ _STEPS_AFTER_URL = (
     (lambda c: c.contains(":"), mask_times),
     (lambda c: c.contains("gate"), mask_gates),
     (lambda c: c.rlike(P_ANY_DIGIT), lambda c: mask_numbers(mask_codes(c))),
-    (None, collapse_whitespace),
+    # white space was collapsed before the masks, which add plain spaces at most
+    (lambda c: c.contains("  ") | c.startswith(" ") | c.endswith(" "), collapse_whitespace),
 )
 
 

@@ -30,22 +30,25 @@ def tfidf_pipeline(text_col: str = "normalized_text", dim: int = DEFAULT_DIM) ->
 
 
 def embed_templates(templates: DataFrame, text_col: str = "normalized_text",
-                    dim: int = DEFAULT_DIM, model=None):
+                    dim: int = DEFAULT_DIM, model=None, keep=None):
     """Add ``embedding`` (unit length). Returns ``(df, fitted_model)``; pass
     ``model`` to embed a new batch in the reference's vector space.
 
     The vectors are written once to the shared checkpoint folder: they are
     the expensive, reused boundary of the pipeline, and every later stage
-    then plans over a small scan instead of the whole normaliser.
+    then plans over a small scan instead of the whole normaliser. The templates
+    are written too if a model is fitted on them, as they are then read twice.
+    ``keep`` names the columns wanted beside the vectors (all by default), so that
+    callers who need ids alone don't write every text once more.
     """
     from herald.session import cut_lineage
 
-    templates = cut_lineage(templates)
     if model is None:
+        templates = cut_lineage(templates)
         model = tfidf_pipeline(text_col, dim).fit(templates)
     out = model.transform(templates)
-    return cut_lineage(out.withColumn("embedding", vector_to_array("__vec", "float32"))
-                       .drop("__tok", "__tf", "__tfidf", "__vec")), model
+    return cut_lineage(out.select(*(templates.columns if keep is None else keep),
+                                  vector_to_array("__vec", "float32").alias("embedding"))), model
 
 
 def embed_with_model(templates: DataFrame, make_predict_fn, dim: int,

@@ -31,7 +31,7 @@ def assign_messages(messages: DataFrame, campaigns: DataFrame, model,
                     spread: int | None = None) -> DataFrame:
     """``messages`` (a batch) with their template's assignment."""
     hashed = cut_lineage(normalize_and_hash(messages, seed=seed, spread=spread))
-    vec, _ = embed_templates(dedupe_by_hash(hashed), model=model)
+    vec, _ = embed_templates(dedupe_by_hash(hashed), model=model, keep=KEYS)
     return hashed.join(assign_to_campaigns(vec, campaigns, sim_threshold).select(*KEYS, *ASSIGNED), KEYS)
 
 
@@ -73,7 +73,7 @@ def write_assignments(stream: DataFrame, campaigns: DataFrame, model, path: str,
     """
     ledger = ledger or path.rstrip("/") + "-templates"
     prepare = prepare or (lambda batch: normalize_and_hash(batch, spread=spread))
-    embed = embed or (lambda templates: embed_templates(templates, model=model)[0])
+    embed = embed or (lambda templates: embed_templates(templates, model=model, keep=KEYS)[0])
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
