@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import os
 import re
 import struct
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,90 +48,114 @@ class WordEncoder:
     first brought closer together where that can't change an id: A-Z are
     lower-cased (unless the text holds ``<|``, which may open a special token, or
     combining marks) and a full stop or comma between a letter and white space
-    is set apart. Words are then looked up in a bounded memo. Missing words made of
-    letters below U+0180 are one pre-token each and are encoded many to a call, as is
-    a tail of ASCII punctuation; anything else goes to the tokenizer by itself.
+    is set apart. The distinct words of some texts are looked up in a bounded memo, once each,
+    and their ids dealt out to all places. Missing words made of letters below U+0180 are one
+    pre-token each, as is a tail of ASCII punctuation, and go straight to the tokenizer's model;
+    anything else goes to the tokenizer by itself.
     """
 
     _STOP = re.compile(rb"[,.](?<=[A-Za-z][,.])(?=[\x20\x09-\x0D])")
-    _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ]+)"
-                         r"([!\"#$%&()*+,\-./:;=?@\[\]^_{}~]*)")
+    #: A word a line: its letters and its tail, both empty for any other word.
+    _SIMPLE = re.compile(r"^(?:([A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ]+)"
+                         r"([!\"#$%&()*+,\-./:;=?@\[\]^_{}~]*)|.*)$", re.MULTILINE)
 
     def __init__(self, tokenizer: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers
-        path = tokenizer_file(tokenizer)
-        self.tok, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        # lower-case letters below U+0180 and ASCII punctuation are normal already
-        self.plain.normalizer = normalizers.Sequence([])
-        for tok in (self.tok, self.plain):
-            tok.no_truncation()
-            tok.no_padding()
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+        self.tok = Tokenizer.from_file(tokenizer_file(tokenizer))
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self._model_tokens = self.tok.model.tokenize
+        self._packed = [struct.pack("<I", i) for i in range(max(self.tok.get_vocab().values()) + 1)]
+        # the characters that stand for the bytes of letters in a byte-level model; ASCII stands for itself
+        byte_level, letters = ByteLevel(add_prefix_space=False, use_regex=False), map(chr, range(0xC0, 0x180))
+        self._byte_chars = {b: c for x in letters
+                            for b, c in zip(x.encode(), byte_level.pre_tokenize_str(x)[0][0], strict=True)}
+        simple = self._simple_characters()
+        self._direct = self._by_model(simple) == self._encode(simple)
         #: The words met since the memo was last full, and those of the time before, see :meth:`remember`.
         self.memo: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def _simple_characters(self) -> list[str]:
+        """Every letter and mark of :attr:`_SIMPLE` by itself, and all letters and all marks as a word."""
+        chars = list(map(chr, range(0x21, 0x180)))
+        letters = [c for c in chars if (m := self._SIMPLE.fullmatch(c)) and m[1] and c == c.lower()]
+        marks = [c for c in chars if (m := self._SIMPLE.fullmatch("a" + c)) and m[2]]
+        return [*letters, *marks, "".join(letters), "".join(marks)]
+
     def _encode(self, words: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _learn_runs(self, runs: list[bytes]) -> None:
-        """Memoise runs that are one pre-token each, many runs to a call."""
-        groups = [runs[i:i + 128] for i in range(0, len(runs), 128)]
-        for group, e in zip(groups, self.plain.encode_batch([b" ".join(g).decode() for g in groups],
-                                                            add_special_tokens=False), strict=True):
-            packed, owner = np.array(e.ids, dtype="<u4").tobytes(), np.array(e.word_ids)
-            ends = ((np.flatnonzero(np.diff(owner, append=-1)) + 1) * 4).tolist()
-            if len(ends) == len(group):
-                ids = [packed[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
-            else:
-                ids = self._encode([r.decode() for r in group])
-            self.memo.update(zip(group, ids, strict=True))
-
-    def learn(self, words: set[bytes]) -> None:
-        memo, runs, made, other = self.memo, [], [], []
-        for w in words:
-            if w.isalpha() and w.islower():  # ASCII letters
-                runs.append(w)
-                continue
-            m = self._SIMPLE.fullmatch(w.decode())
-            if m is None:
+    def _by_model(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are normal already and one pre-token each."""
+        tokens, packed, chars = self._model_tokens, self._packed, self._byte_chars
+        return [b"".join([packed[t.id] for t in tokens(
+            w if w.isascii() else w.encode().decode("latin-1").translate(chars))]) for w in words]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Memoise distinct words without white space."""
+        if not words:
+            return
+        memo, runs, made, other = self.memo, {}, [], []
+        for w, (core, tail) in zip(words, self._SIMPLE.findall(b"\n".join(words).decode()), strict=True):
+            if not core:
                 other.append(w)
                 continue
-            core, tail = m[1].lower().encode(), m[2].encode()
-            if core == w:
-                runs.append(w)
+            low = core.lower()
+            if tail or low != core:
+                made.append((w, low.encode(), tail.encode()))
             else:
-                made.append((w, core, tail))
-        parts = {x for _, *pair in made for x in pair if x}.difference(memo, runs)
-        self._learn_runs(runs + list(parts))
+                runs[w] = core
+        runs |= {x: x.decode() for _, *pair in made for x in pair if x and x not in memo}
+        memo.update(zip(runs, (self._by_model if self._direct else self._encode)(list(runs.values())), strict=True))
         for w, core, tail in made:
             memo[w] = memo[core] + memo[tail] if tail else memo[core]
         memo.update(zip(other, self._encode([w.decode() for w in other]), strict=True))
 
-    def words(self, text: bytes) -> list[bytes]:
+    def spaced(self, text: bytes) -> bytes:
         if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
             text = text.lower()
-        return self._STOP.sub(rb" \g<0>", text).split()
+        return self._STOP.sub(rb" \g<0>", text)
 
-    def remember(self, words: set[bytes]) -> None:
-        """Bring all ``words`` into the memo.
+    def remember(self, words: list[bytes]) -> list[bytes]:
+        """The ids of distinct ``words``, all of which are in the memo then.
 
         A full memo becomes the older one, from which words that are met again come back: words of
         few texts are forgotten, frequent ones are encoded once. Words of one document only are most of a memo.
         """
         if len(self.memo) > MEMO_WORDS:
             self.memo, self.older = {}, self.memo
-        new = words.difference(self.memo)
-        again = new.intersection(self.older)
-        self.memo.update((w, self.older[w]) for w in again)
-        self.learn(new - again)
+        memo, older = self.memo, self.older
+        ids = list(map(memo.get, words))
+        new = [i for i, x in enumerate(ids) if x is None]
+        unknown = []
+        for i in new:
+            if (w := words[i]) in older:
+                memo[w] = older[w]
+            else:
+                unknown.append(w)
+        self.learn(unknown)
+        for i in new:
+            ids[i] = memo[words[i]]
+        return ids
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        split = [self.words(t) for t in texts]
-        self.remember(set().union(*split))
-        get = self.memo.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        split = pc.ascii_split_whitespace(pa.array(map(self.spaced, texts), pa.large_string()))
+        places = split.flatten().dictionary_encode()
+        ids = self.remember(places.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        at = places.indices.to_numpy()
+        sizes = size[at]
+        ends = np.append(0, np.cumsum(sizes))
+        # where each id lies among those of the distinct words
+        lies = np.repeat((np.cumsum(size) - size)[at] - ends[:-1], sizes)
+        lies += np.arange(len(lies))
+        packed = np.frombuffer(b"".join(ids), "<u4")[lies]
+        ends = ends[split.offsets.to_numpy()].tolist()
+        return [packed[a:b].tobytes() for a, b in itertools.pairwise(ends)]
 
 
 @functools.lru_cache(maxsize=2)

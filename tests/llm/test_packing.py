@@ -40,6 +40,45 @@ def test_memo_is_bounded_and_keeps_frequent_words(monkeypatch):
     assert learned.count(b"often") == 1
 
 
+def test_a_word_is_looked_up_once_for_all_its_places():
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counted.asked += 1
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    encoder = WordEncoder("word_bpe_49k.json")
+    encoder.memo = Counted()
+    texts = ["often met, " * 2000, "", " met often\n" * 1000]
+    assert encoder.encode([t.encode() for t in texts]) == ids_of(texts)
+    assert Counted.asked < 30
+    assert encoder.encode([b"", b" \n"]) == [b"", b""] and encoder.encode([]) == []
+
+
+def test_letters_go_to_the_model_only_if_it_gives_the_library_s_ids(tmp_path, monkeypatch):
+    from tokenizers import Tokenizer, models, normalizers, pre_tokenizers
+    texts = [*ODD, "one Word twice word, unmet ünmet"]
+    split = WordEncoder("word_bpe_49k.json")
+    encode, whole = split._encode, []
+    monkeypatch.setattr(split, "_encode", lambda words: (whole.extend(words), encode(words))[1])
+    assert split.encode([t.encode() for t in texts]) == ids_of(texts)
+    assert split._direct and "unmet" not in whole and "ünmet" not in whole
+    # characters stand for themselves here, and words are begun with a mark
+    tok = Tokenizer(models.BPE({c: i for i, c in enumerate("▁onewrdtic,umü?")}, [], unk_token="?"))
+    tok.normalizer = normalizers.Lowercase()
+    tok.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Whitespace(), pre_tokenizers.Metaspace()])
+    tok.save(str(tmp_path / "other.json"))
+    monkeypatch.setattr(packing, "tokenizer_file", lambda name: str(tmp_path / name))
+    other = WordEncoder("other.json")
+    want = [np.array(tok.encode(texts[-1]).ids, dtype="<u4").tobytes()]
+    assert not other._direct and other.encode([texts[-1].encode()]) == want
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aBé.,'’ \n<|>İ́̌1½s"), max_size=30))
 def test_word_memo_equals_the_library_on_random_text(text):
