@@ -174,3 +174,48 @@ def test_components_run_to_the_end_of_long_chains(spark):
     edges = spark.createDataFrame([("s", f"{i:04d}", f"{i + 1:04d}") for i in range(n - 1)],
                                   "originator_id string, a string, b string")
     assert {r.comp for r in connected_components(nodes, edges).collect()} == {"0000"}
+
+
+def chain_and_group(spark, seed):
+    """Per sender: one large loose group, small groups, pairs, a chain of rows and loners, shuffled over the ids."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for o, large in (("a", 150), ("b", 40), ("c", 0)):
+        v = [np.eye(12)[0] + 0.12 * rng.normal(size=12) for _ in range(large)]
+        for n in (9, 5, 5, 2, 2, 1, 1, 1, 1):
+            c = rng.normal(size=12)
+            v += [c / np.linalg.norm(c) + 0.05 * rng.normal(size=12) for _ in range(n)]
+        v += [np.cos(t) * np.eye(12)[5] + np.sin(t) * np.eye(12)[6] for t in np.arange(0, 1.6, 0.09)]
+        for i, at in enumerate(rng.permutation(len(v))):
+            rows.append((o, f"{i:04d}", [float(x) for x in v[at]]))
+    return spark.createDataFrame(rows, "originator_id string, template_hash string, embedding array<double>")
+
+
+@pytest.mark.parametrize("cos, min_size, min_samples, seed", [(0.9, 1, 1, 1), (0.6, 3, 2, 2), (0.9, 2, 4, 3), (0.99, 2, 2, 4)])
+def test_flat_labels_agree_with_a_single_task(spark, cos, min_size, min_samples, seed):
+    df = chain_and_group(spark, seed)
+    one, tiled = ({(r[0], r[1]): r.cluster_label for r in density_clusters(
+        df, cos_to_dist(cos), min_size, min_samples, tile_rows=n).collect()} for n in (4096, 12))
+    assert one == tiled and len(one) == df.count()
+
+
+def test_rows_of_the_largest_component_do_not_meet_in_all_tile_pairs(spark, monkeypatch):
+    from herald.operators import density
+    made = spark.sparkContext.accumulator(0)
+    product = density.reachability
+
+    def counted(x, y, *cores):
+        made.add(len(x) * len(y))
+        return product(x, y, *cores)
+
+    rng = np.random.default_rng(4)
+    vectors = np.eye(24)[0] + 0.17 * rng.normal(size=(1200, 24))
+    vectors[::400] = 0.86 * np.eye(24)[1:4] - 0.5 * np.eye(24)[0]
+    df = spark.createDataFrame([("s", f"{i:04d}", [float(x) for x in v]) for i, v in enumerate(vectors)],
+                               "originator_id string, template_hash string, embedding array<double>")
+    tiling = density.tile(df, cos_to_dist(0.3), tile_rows=32)
+    assert tiling.pairs.count() > 1000  # hardly a pair is ruled out by pivots
+    monkeypatch.setattr(density, "reachability", counted)
+    comps = density.flat_components(tiling, None, cos_to_dist(0.3), 32).toPandas()
+    assert sorted(comps.groupby("comp").size()) == [1, 1, 1, 1197]
+    assert 0 < made.value < 1200 * 1200 / 6
