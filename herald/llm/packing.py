@@ -155,6 +155,8 @@ class WordEncoder:
         lies += np.arange(len(lies))
         packed = np.frombuffer(b"".join(ids), "<u4")[lies]
         ends = ends[split.offsets.to_numpy()].tolist()
+        del split, places, at
+        pa.default_memory_pool().release_unused()  # a worker's memory is the memo's
         return [packed[a:b].tobytes() for a, b in itertools.pairwise(ends)]
 
 
