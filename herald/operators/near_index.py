@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from herald.operators.blocks import unit_matrix
 from herald.operators.neighbours import TILE_ROWS, Tiling, sides
-from herald.session import cut_lineage
+from herald.session import by_groups, cut_lineage
 
 RECALL = 0.95
 MAX_BITS = 48
@@ -40,6 +40,10 @@ SEED = 11
 #: Rows of a block where rows meet by blocks, and rows or columns of a matrix worked on at once.
 BLOCK_ROWS = 8192
 CHUNK = 1024
+#: Rows multiplied at once: their products stay in a core's cache.
+PRODUCT_ROWS = 128
+#: From this part of a block pair on, the pairs of a table's buckets are found by comparing all numbers.
+FULL = 16
 
 
 def tables_needed(bits: int, min_cos: float, recall: float) -> int:
@@ -66,7 +70,7 @@ def _planned(df: DataFrame, min_cos: float, recall: float, key: str, id_col: str
     """``key, id, vec, bits, tables, blocks``; rows without a vector are left out."""
     rows = df.filter(F.col(vec_col).isNotNull()).select(
         key, F.col(id_col).alias("id"), F.col(vec_col).cast("array<float>").alias("vec"))
-    sizes = rows.groupBy(key).agg(F.count("*").alias("n")).withColumn("plan", _plan("n", min_cos, recall, tile_rows))
+    sizes = cut_lineage(rows.groupBy(key).agg(F.count("*").alias("n")).withColumn("plan", _plan("n", min_cos, recall, tile_rows)))
     return rows.join(sizes.select(key, "plan.bits", "plan.tables", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")), key)
 
 
@@ -75,12 +79,13 @@ def bucket_numbers(x: np.ndarray, bits: int, tables: int, seed: int = SEED, made
     out = np.zeros((len(x), tables), dtype=np.int64)
     if not bits:
         return out
-    made, values = directions(x.shape[1], bits, tables, seed) if made is None else made, 1 << np.arange(bits, dtype=np.int64)
+    made, values = directions(x.shape[1], bits, tables, seed) if made is None else made, 2.0 ** np.arange(bits)
     step = max(1, 4 * CHUNK // bits)
     for i in range(0, len(x), CHUNK):
         for t in range(0, tables, step):
             sign = x[i:i + CHUNK] @ made[:, t * bits:(t + step) * bits] >= 0
-            out[i:i + CHUNK, t:t + step] = sign.reshape(len(sign), -1, bits) @ values
+            # doubles hold numbers of up to MAX_BITS bits exactly, and their product is much faster
+            out[i:i + CHUNK, t:t + step] = sign.reshape(len(sign), -1, bits).astype(np.float64) @ values
     return out
 
 
@@ -135,30 +140,47 @@ def _sign_tiling(planned: DataFrame, key: str, tile_rows: int, seed: int) -> Til
     return Tiling(rows, pairs, key)
 
 
+def _share(met: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Marks in ``met`` the rows and columns whose bucket numbers ``a`` and ``b`` are equal.
+
+    Work is in proportion to the pairs marked, or to the matrix where buckets are very full.
+    """
+    cols = np.argsort(b, kind="stable")
+    if a.dtype.itemsize <= 2:
+        counts = np.bincount(b, minlength=int(a.max()) + 1)
+        first, n = (np.cumsum(counts) - counts)[a], counts[a]
+    else:
+        there = b[cols]
+        first = np.searchsorted(there, a, "left")
+        n = np.searchsorted(there, a, "right") - first
+    ends = np.cumsum(n)
+    if ends[-1] > met.size // FULL:
+        for k in range(0, len(a), CHUNK):
+            met[k:k + CHUNK] |= a[k:k + CHUNK, None] == b
+        return
+    at = np.arange(ends[-1]) + np.repeat(first - (ends - n), n)
+    met.reshape(-1)[np.repeat(np.arange(len(a)) * len(b), n) + cols[at]] = True
+
+
 def _met(x: np.ndarray, y: np.ndarray, alone: bool, bits: int, tables: int, min_cos: float, seed: int):
     """Rows ``i, j`` of two blocks that share a bucket of a table and have the wished cosine, each pair once."""
-    sx = bucket_numbers(x, bits, tables, seed)
-    sy = sx if alone else bucket_numbers(y, bits, tables, seed)
+    met = np.full((len(x), len(y)), not bits)
+    if bits:
+        # a table's numbers side by side, as narrow as they can be: they are sorted once per table
+        kind = np.min_scalar_type((1 << bits) - 1)
+        sx = np.ascontiguousarray(bucket_numbers(x, bits, tables, seed).astype(kind).T)
+        sy = sx if alone else np.ascontiguousarray(bucket_numbers(y, bits, tables, seed).astype(kind).T)
+        for a, b in zip(sx, sy):
+            _share(met, a, b)
     found = [], []
-    for t in range(tables):
-        ox, oy = np.argsort(sx[:, t], kind="stable"), np.argsort(sy[:, t], kind="stable")
-        vx, vy = sx[ox, t], sy[oy, t]
-        shared = np.intersect1d(vx, vy)
-        ends = [np.searchsorted(v, shared, side) for v in (vx, vy) for side in ("left", "right")]
-        for a, b, c, d in zip(*(e.tolist() for e in ends)):
-            right = oy[c:d]
-            for k in range(a, b, CHUNK):
-                left = ox[k:min(b, k + CHUNK)]
-                i, j = np.nonzero(x[left] @ y[right].T >= min_cos)
-                i, j = left[i], right[j]
-                if alone:
-                    i, j = i[i < j], j[i < j]
-                if t:  # an earlier table has reported the pair
-                    new = np.concatenate([~(sx[i[m:m + CHUNK], :t] == sy[j[m:m + CHUNK], :t]).any(axis=1)
-                                          for m in range(0, len(i), CHUNK)] or [np.zeros(0, dtype=bool)])
-                    i, j = i[new], j[new]
-                found[0].append(i)
-                found[1].append(j)
+    for k in range(0, len(x), PRODUCT_ROWS):
+        close = met[k:k + PRODUCT_ROWS]
+        close &= x[k:k + PRODUCT_ROWS] @ y.T >= min_cos
+        if alone:
+            close &= np.arange(len(y)) > np.arange(k, k + len(close))[:, None]
+        i, j = np.nonzero(close)
+        found[0].append(i + k)
+        found[1].append(j)
     return tuple(np.concatenate(f or [np.zeros(0, dtype=int)]) for f in found)
 
 
@@ -166,10 +188,11 @@ def _in_blocks(planned: DataFrame, key: str):
     """Rows grouped by the pairs of blocks of their sender, sides as :meth:`Tiling.groups` has them."""
     own = F.pmod(F.xxhash64("id"), F.col("blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    return planned.withColumn("own", own).withColumn("other", other).select(
+    rows = planned.withColumn("own", own).withColumn("other", other).select(
         key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "vec", "bits", "tables",
-        (F.col("own") == F.col("other")).alias("alone"), (F.col("own") > F.col("other")).cast("int").alias("side")) \
-        .groupBy(key, "i", "j")
+        (F.col("own") == F.col("other")).alias("alone"), (F.col("own") > F.col("other")).cast("int").alias("side"))
+    groups = planned.select(key, "blocks").distinct().agg(F.sum(F.col("blocks") * (F.col("blocks") + 1) / 2)).first()[0]
+    return by_groups(rows, int(groups or 0), key, "i", "j")
 
 
 def _blocks_of(group: pa.Table, min_cos: float, seed: int):
@@ -254,12 +277,12 @@ def recall_by_blocks(df: DataFrame, min_cos: float, recall: float = RECALL, key:
             names = [t["id"].combine_chunks().dictionary_encode() for t in (left, right)]
             single = all(len(d.dictionary) == len(d) for d in names)
             exact = [], []
-            for k in range(0, len(x), CHUNK):
-                s = x[k:k + CHUNK] @ y.T >= min_cos
+            for k in range(0, len(x), PRODUCT_ROWS):
+                s = x[k:k + PRODUCT_ROWS] @ y.T >= min_cos
                 if alone:
                     s &= np.arange(len(y)) > np.arange(k, k + len(s))[:, None]
-                both = int((s & found[k:k + CHUNK]).sum())
-                counts += int(s.sum()), both, int(found[k:k + CHUNK].sum()) - both
+                both = np.count_nonzero(s & found[k:k + PRODUCT_ROWS])
+                counts += np.count_nonzero(s), both, np.count_nonzero(found[k:k + PRODUCT_ROWS]) - both
                 if not single:
                     i, j = np.nonzero(s)
                     exact[0].append(i + k)

@@ -96,6 +96,16 @@ def drop_cut(df: DataFrame) -> None:
     jpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jpath, True)
 
 
+#: Most tasks that groups of heavy work are dealt to.
+MAX_GROUP_TASKS = 2000
+
+
+def by_groups(rows: DataFrame, n_groups: int, *by: str):
+    """``rows.groupBy(*by)`` with about a task a group: adaptive execution joins small partitions by
+    their bytes, which leaves groups of few bytes and much work to a few tasks."""
+    return rows.repartition(max(1, min(n_groups, MAX_GROUP_TASKS)), *by).groupBy(*by)
+
+
 _SHIPPED: set = set()
 
 

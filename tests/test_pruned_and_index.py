@@ -125,3 +125,29 @@ def test_many_tables_copy_rows_by_blocks_and_count_without_pairs(spark, monkeypa
     twice = df.unionByName(df.limit(30)).cache()  # repeated ids count as the join's rows
     wanted = measured_recall(near_pairs_by_signs(twice, 0.5, tile_rows=4), similar_pairs(twice, 0.5)).collect()
     assert near_index.recall_by_blocks(twice, 0.5, tile_rows=4).collect() == wanted
+
+
+def test_a_block_pair_makes_few_products_however_many_tables(monkeypatch):
+    """A small product per table and bucket made a pair of blocks slower the larger the table was."""
+    from herald.operators import near_index
+
+    class Counted(np.ndarray):
+        made = 0
+
+        def __matmul__(self, other):
+            Counted.made += 1
+            return np.asarray(self) @ np.asarray(other)
+
+    rng = np.random.default_rng(4)
+    x, y = (unit.view(Counted) for unit in (v / np.linalg.norm(v, axis=1, keepdims=True) for v in (
+        rng.normal(size=(n, 8)) for n in (700, 500))))
+    for full in (near_index.FULL, 1 << 40):  # by the buckets, by comparing all numbers
+        monkeypatch.setattr(near_index, "FULL", full)
+        for other, alone in ((y, False), (x, True)):
+            Counted.made = 0
+            got = set(zip(*(p.tolist() for p in near_index._met(x, other, alone, 6, 12, 0.4, 3))))
+            assert Counted.made < 20
+            a, b = (near_index.bucket_numbers(np.asarray(v), 6, 12, 3) for v in (x, other))
+            close = np.asarray(x) @ np.asarray(other).T >= 0.4
+            want = {(i, j) for i, j in zip(*np.nonzero(close)) if (a[i] == b[j]).any() and (not alone or i < j)}
+            assert got == want and len(want) < close.sum()
