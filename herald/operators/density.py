@@ -13,9 +13,9 @@ Re-aimed from a single-machine hierarchical density clusterer (distances
 
 A sender that fits one tile is finished in that tile's task, labels included. A
 larger one goes through the pivot-pruned tile pairs of :mod:`neighbours`: each
-pair emits its nearest distances, then the components of its own forest at every
-level (at most one edge per row and level), and rounds of joins merge them to
-the sender's components. At one level, most tile pairs need not be made: two
+pair emits its nearest distances, then the close tile pairs of two blocks of tiles are
+made in one task, which hands on at most one edge per row, and the sender's edges
+are merged to its components. At one level, most tile pairs need not be made: two
 rows already known to be in one component learn nothing from each other, see
 :func:`flat_components`. All ways give the same labels.
 """
@@ -30,13 +30,18 @@ from pyspark.sql import functions as F
 from herald import config
 from herald.operators.blocks import unit_matrix
 from herald.operators.neighbours import TILE_ROWS, Tiling, cos_to_dist, knn_distances, sides, tile
-from herald.session import cut_lineage
+from herald.session import by_groups, cut_lineage
 
 __all__ = ["cos_to_dist", "core_distances", "connected_components", "density_clusters", "eom_clusters"]
 
 #: The level at which components that no level of the ladder merges are taken to be born: no two unit
 #: vectors are further apart.
 BIRTH = 2.0
+#: Tiles of a block: a row is copied once per block that its own meets.
+BLOCK_TILES = 8
+#: Senders of up to so many rows and edges between blocks are merged in one task.
+MERGE_ROWS = 1_000_000
+MERGE_EDGES = 4_000_000
 
 
 def core_distances(tiling: Tiling, samples: DataFrame, eps_max: float) -> DataFrame:
@@ -51,6 +56,11 @@ def core_distances(tiling: Tiling, samples: DataFrame, eps_max: float) -> DataFr
         .select(key, "id", F.when(F.col("min_samples") <= 1, 0.0).otherwise(F.col("d")).alias("core"))
 
 
+def no_cores(samples: DataFrame) -> bool:
+    """Up to two samples, a core distance is at most that to the nearest row: it never exceeds an edge's."""
+    return not samples.filter(F.col("min_samples") > 2).limit(1).count()
+
+
 def forest(w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Edges (a, b, weight) of a minimum spanning forest of a dense matrix, ascending (inf: no edge)."""
     m = len(w)
@@ -221,6 +231,145 @@ def local_components(tiling: Tiling, cores: DataFrame | None, levels: list[float
         run, f"`{key}` {types[key]}, level int, a {types['id']}, b {types['id']}")
 
 
+def join_components(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Joins the components of the nodes ``a`` and ``b``, pair by pair; ``root``: each node's smallest member."""
+    while True:
+        low, high = root[a], root[b]
+        apart = low != high
+        if not apart.any():
+            return
+        a, b, low, high = a[apart], b[apart], low[apart], high[apart]
+        root[np.maximum(low, high)] = np.minimum(low, high)  # where several meet one holds, the others are left
+        while True:
+            up = root[root]
+            if np.array_equal(up, root):
+                break
+            root[:] = up
+
+
+def meet_components(root: np.ndarray, p: np.ndarray, q: np.ndarray, close: np.ndarray) -> list[tuple]:
+    """Joins the components of the rows ``p`` and columns ``q`` of ``close``; the pairs that did it.
+
+    Every component with a close pair to another one takes part in one of them per round.
+    """
+    used = []
+    while True:
+        cp, cq = root[p], root[q]
+        most = np.bincount(np.concatenate([cp, cq])).argmax()
+        (out_p, in_p), (out_q, _) = ((np.flatnonzero(c != most), np.flatnonzero(c == most)) for c in (cp, cq))
+        a, b = [], []
+        # what is left: rows outside the largest component with all columns, and columns outside it with rows inside
+        for i, j in ((out_p, slice(None)), (in_p, out_q)):
+            part = close[i][:, j]
+            if not part.size:
+                continue
+            part = part & (cp[i][:, None] != cq[j])
+            rows, cols = np.flatnonzero(part.any(axis=1)), np.flatnonzero(part.any(axis=0))
+            a += [p[i][rows], p[i][part[:, cols].argmax(axis=0)]]
+            b += [q[j][part[rows].argmax(axis=1)], q[j][cols]]
+        a, b = (np.concatenate(x) if x else np.zeros(0, dtype=int) for x in (a, b))
+        if not len(a):
+            return used
+        join_components(root, a, b)
+        used.append((a, b))
+
+
+def block_groups(tiling: Tiling, block_rows: int):
+    """Rows grouped by pairs of blocks, with ``side`` and, on the left, the close tiles ``meets`` of the other side.
+
+    A block is a run of a sender's tiles of about ``block_rows`` rows; only blocks with close tiles meet. A block
+    that meets itself has the left side alone.
+    """
+    key, cols = tiling.key, [c for c in tiling.rows.columns if c != tiling.key]
+    sizes = tiling.rows.groupBy(key, "tile").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(key).orderBy("tile")) - F.col("n")
+    blocks = cut_lineage(sizes.select(key, "tile", F.floor(before / block_rows).alias("block")))
+    pairs = tiling.pairs
+    for c in ("a", "b"):
+        pairs = pairs.join(blocks.select(key, F.col("tile").alias(c), F.col("block").alias(f"of_{c}")), [key, c])
+    turned = F.col("of_a") > F.col("of_b")
+    pairs = cut_lineage(pairs.select(
+        key, F.least("of_a", "of_b").alias("i"), F.greatest("of_a", "of_b").alias("j"),
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("tile"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("other")))
+    left = tiling.rows.join(pairs.groupBy(key, "i", "j", "tile").agg(F.collect_list("other").alias("meets")), [key, "tile"]) \
+        .select(key, "i", "j", F.lit(0).alias("side"), "meets", *cols)
+    others = pairs.filter("i < j").select(key, "i", "j", F.col("other").alias("tile")).distinct()
+    right = tiling.rows.join(others, [key, "tile"]) \
+        .select(key, "i", "j", F.lit(1).alias("side"), F.lit(None).cast("array<string>").alias("meets"), *cols)
+    return by_groups(left.unionByName(right), pairs.select(key, "i", "j").distinct().count(), key, "i", "j")
+
+
+def block_components(tiling: Tiling, levels: list[float], block_rows: int) -> DataFrame:
+    """``key, level, a, b``: per pair of blocks, edges that join its components at ``level`` and above it, one a row at most.
+
+    The tiling's rows have a column ``core``.
+    """
+    key, types = tiling.key, dict(tiling.rows.dtypes)
+
+    def run(group: pa.Table) -> pa.Table:
+        x, core, ids = unit_matrix(group["vec"]), group["core"].fill_null(np.inf).to_numpy(), group["id"]
+        side, tiles = group["side"].to_numpy(), group["tile"].combine_chunks().dictionary_encode()
+        number = {t: i for i, t in enumerate(tiles.dictionary.to_pylist())}
+        at = tiles.indices.to_numpy()
+        right = int(side.max())
+        roots = [np.arange(len(x)) for _ in levels]
+        for t, i in number.items():
+            p = np.flatnonzero((at == i) & (side == 0))
+            for other in group["meets"][int(p[0])].as_py() if len(p) else ():
+                q = np.flatnonzero((at == number[other]) & (side == right))
+                w = reachability(x[p], x[q], core[p], core[q])
+                if not right and t == other:
+                    np.fill_diagonal(w, np.inf)
+                for li, (root, level) in enumerate(zip(roots, levels)):
+                    for a, b in meet_components(root, p, q, w <= level):
+                        for above in roots[li + 1:]:
+                            join_components(above, a, b)
+        out, below = [], np.arange(len(x))
+        for li, root in enumerate(roots):
+            i = np.flatnonzero((below == np.arange(len(x))) & (root != below))  # smallest of their component until here
+            out.append(pa.table({key: group[key].take(pa.array(i)), "level": pa.array(np.full(len(i), li, dtype=np.int32)),
+                                 "a": ids.take(pa.array(i)), "b": ids.take(pa.array(root[i]))}))
+            below = root
+        return pa.concat_tables(out)
+
+    return block_groups(tiling, block_rows).applyInArrow(
+        run, f"`{key}` {types[key]}, level int, a {types['id']}, b {types['id']}")
+
+
+def ladder_components(nodes: DataFrame, edges: DataFrame, n_levels: int, key: str, merge_rows: int = MERGE_ROWS,
+                      merge_edges: int = MERGE_EDGES) -> DataFrame:
+    """``key, level, id, comp`` at every level; ``edges`` (key, level, a, b) hold at their level and above it.
+
+    Senders whose nodes and edges fit one task are merged there, the others by rounds of joins.
+    """
+    types = dict(nodes.dtypes)
+    nodes, edges = nodes.distinct(), cut_lineage(edges)
+    few = cut_lineage(nodes.groupBy(key).agg(F.count("*").alias("n")).join(
+        edges.groupBy(key).agg(F.count("*").alias("e")), key, "left")
+        .filter((F.col("n") <= merge_rows) & (F.coalesce("e", F.lit(0)) <= merge_edges)).select(key))
+
+    def run(own: pa.Table, links: pa.Table) -> pa.Table:
+        ids = own["id"].combine_chunks().take(pa.compute.sort_indices(own["id"]))
+        a, b = (pa.compute.index_in(links[c], value_set=ids).to_numpy() for c in ("a", "b"))
+        level, root, out = links["level"].to_numpy(), np.arange(len(ids)), []
+        names = pa.chunked_array([own[key].combine_chunks().slice(0, 1).take(pa.array(np.zeros(len(ids), dtype=int)))])
+        for li in range(n_levels):
+            join_components(root, a[level == li], b[level == li])
+            out.append(pa.table({key: names, "level": pa.array(np.full(len(ids), li, dtype=np.int32)), "id": ids,
+                                 "comp": ids.take(pa.array(root))}))
+        return pa.concat_tables(out)
+
+    merged = nodes.join(few, key, "left_semi").groupBy(key).cogroup(edges.join(few, key, "left_semi").groupBy(key)) \
+        .applyInArrow(run, f"`{key}` {types[key]}, level int, id {types['id']}, comp {types['id']}")
+    nodes, edges = nodes.join(few, key, "left_anti"), edges.join(few, key, "left_anti")
+    if nodes.limit(1).count():
+        every = F.array(*[F.lit(i) for i in range(n_levels)])
+        above = edges.withColumn("level", F.explode(F.filter(every, lambda x: x >= F.col("level"))))
+        merged = merged.unionByName(connected_components(
+            nodes.withColumn("level", F.explode(every)), above, [key, "level"]).select(key, "level", "id", "comp"))
+    return cut_lineage(merged)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, key="originator_id") -> DataFrame:
     """``key..., id, comp`` = smallest id of the node's component.
 
@@ -332,15 +481,13 @@ def _distributed_labels(pts: DataFrame, levels: list[float], key: str, tile_rows
     min_size, min_samples."""
     tiling = tile(pts, levels[-1], key, "id", "vec", tile_rows)
     samples = pts.groupBy(key).agg(F.min("min_samples").alias("min_samples"))
-    # up to two samples, a core distance is at most that to the nearest row: it never exceeds an edge's
-    plain = len(levels) == 1 and not samples.filter(F.col("min_samples") > 2).limit(1).count()
-    cores = None if plain else cut_lineage(core_distances(tiling, samples, levels[-1]))
+    cores = None if no_cores(samples) else cut_lineage(core_distances(tiling, samples, levels[-1]))
     if len(levels) == 1:
         comps = flat_components(tiling, cores, levels[0], tile_rows)
     else:
-        star = local_components(tiling, cores, levels)
-        nodes = pts.select(key, "id", F.explode(F.array(*[F.lit(i) for i in range(len(levels))])).alias("level"))
-        comps = connected_components(nodes, star, [key, "level"])
+        rows = tiling.rows.withColumn("core", F.lit(0.0)) if cores is None else tiling.rows.join(cores, [key, "id"])
+        edges = block_components(Tiling(rows, tiling.pairs, key), levels, BLOCK_TILES * tile_rows)
+        comps = ladder_components(pts.select(key, "id"), edges, len(levels), key)
     minimum = pts.groupBy(key).agg(F.min("min_size").alias("min_size"), F.count("*").alias("n"))
     sizes = comps.groupBy(key, "level", "comp").agg(F.count("*").alias("size")).join(minimum, key) \
         .filter(F.col("size") >= F.col("min_size"))

@@ -219,3 +219,30 @@ def test_rows_of_the_largest_component_do_not_meet_in_all_tile_pairs(spark, monk
     comps = density.flat_components(tiling, None, cos_to_dist(0.3), 32).toPandas()
     assert sorted(comps.groupby("comp").size()) == [1, 1, 1, 1197]
     assert 0 < made.value < 1200 * 1200 / 6
+
+
+def test_ladder_of_a_large_sender_copies_rows_by_blocks_and_hands_on_an_edge_a_row(spark, monkeypatch):
+    """A row was copied once per tile that its own meets, and every tile pair handed on an edge per row and level."""
+    from herald.operators import density
+    rng = np.random.default_rng(2)
+    heads = rng.normal(size=(6, 12))
+    rows = [("s1", f"{i:04d}", [float(x) for x in heads[i % 6] + rng.normal(size=12) * (0.2 + i % 5 / 8)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "originator_id string, template_hash string, embedding array<double>").cache()
+    levels = [cos_to_dist(c) for c in (0.9, 0.75, 0.5)]
+    met = []
+    plain = density.block_groups
+    monkeypatch.setattr(density, "block_groups", lambda *a: met.append(plain(*a)) or met[-1])
+    made = []
+    merge = density.ladder_components
+    monkeypatch.setattr(density, "ladder_components", lambda *a: made.append(a) or merge(*a))
+    monkeypatch.setattr(density, "knn_distances", lambda *a, **k: pytest.fail("no core distance is needed"))
+
+    def labels(tile_rows):
+        return {r.template_hash: r.cluster_label for r in eom_clusters(df, levels, 4, 2, tile_rows=tile_rows).collect()}
+
+    assert labels(10) == labels(1000) and len(set(labels(1000).values())) > 3
+    nodes, edges, n_levels, key = made[0]
+    groups, tiles = met[0].count().count(), 400 // 10
+    assert edges.count() <= groups * 400 and met[0].count().agg(F.sum("count")).first()[0] < 400 * tiles / 3
+    by_rounds = merge(nodes, edges, n_levels, key, 0)
+    assert sorted(map(tuple, by_rounds.collect())) == sorted(map(tuple, merge(*made[0]).collect()))
