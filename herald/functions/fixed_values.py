@@ -43,9 +43,12 @@ P_GREETING = (r"(?iU)^(?!(?:" + "|".join(SIGNOFF_WORDS) + r")\b)(?!(?:" + "|".jo
               r"([A-Z][A-Za-z'\-.]{1,20}(?:\s+[A-Z][A-Za-z'\-.]{0,20}){0,2})\s*,\s+")
 P_NAME_SENT = r"(?iU)(:\s*)([A-Za-z][A-Za-z'\-]*(?:\s+[A-Za-z][A-Za-z'\-]*){0,3})(\s+sent you\b)"
 P_EMAIL = r"(?iU)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b"
-# Eight or more digits and separators with at least seven digits; the look-ahead counts them.
-P_PHONE = r"(?U)\b(?=\+?\d(?:[\-.\s()\x{A0}]*\d){6,}\b)\+?\d[\d\-.\s()\x{A0}]{6,}\d\b"
-P_URL = r"""(?iU)\b((?:https?://|www\.)[^\s<>"]+|(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?:/[^\s<>"]*)?)"""
+# Eight or more digits and separators with at least seven digits; the look-ahead counts them. The seventh or a
+# later digit ends a word: the first that no digit follows does, or none. Groups repeated without a limit
+# take a stack frame a turn in Java, so a long run of digits or of labels would end the executor; there are none.
+P_PHONE = r"(?U)\b(?=\+?\d(?:[\-.\s()\x{A0}]*+\d){6}\d*+\b)\+?\d[\d\-.\s()\x{A0}]{6,}\d\b"
+# Labels and dots: no two dots in a row, a dot at the end.
+P_URL = r"""(?iU)\b((?:https?://|www\.)[^\s<>"]+|[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}(?:/[^\s<>"]*)?)"""
 P_TIME = r"(?iU)\b(\d{1,2}):(\d{2})\s*(am|pm)\s*et\b"
 P_GATE = r"(?iU)\bgate\s*[a-zA-Z]\d{1,3}\b"
 P_OTP_CONTEXT = r"(?iU)\b(?:" + OTP_CONTEXT_WORDS + r")\b[^0-9]{0,20}\b([0-9]{4,8})\b"

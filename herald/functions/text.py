@@ -51,6 +51,12 @@ def _ranges_class(cps: list[int]) -> str:
 PY_SPACE = _python_space_class()
 # Every run of white space but a single plain space, which needs no replacing.
 P_SPACES = "(?:" + _python_space_class(without=" ") + PY_SPACE + "*| " + PY_SPACE + "+)"
+# The same for text of ASCII characters alone.
+_ASCII_SPACES = [c for c in range(0x80) if chr(c).isspace()]
+P_ASCII_SPACES = "(?:" + _ranges_class([c for c in _ASCII_SPACES if c != 0x20]) + _ranges_class(_ASCII_SPACES) + "*| " + \
+    _ranges_class(_ASCII_SPACES) + "+)"
+# Rows of 256 code points that hold a character T1 changes: quick to look for.
+P_MAY_FOLD = _ranges_class([c for page in sorted({ord(c) >> 8 for c in _FOLD_FROM}) for c in range(page << 8, (page + 1) << 8)])
 # What any URL match holds: cheap to look for, under the same flags as the pattern.
 P_URL_HINT = r"(?iU)://|www\.|[A-Za-z0-9-]\.[A-Za-z]{2}"
 P_NON_ASCII = r"[^\x00-\x7F]"
@@ -60,6 +66,11 @@ def _c(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def is_ascii(col) -> Column:
+    """As many bytes as characters: a test without a look at any character."""
+    return F.octet_length(_c(col)) == F.char_length(_c(col))
+
+
 # T1
 def fold_confusables(col) -> Column:
     """Map Cyrillic/Greek look-alikes to Latin and delete zero-width/bidi marks."""
@@ -70,7 +81,7 @@ def fold_confusables(col) -> Column:
 def unicode_nfkc(col) -> Column:
     """NFKC, computed in Python only for rows holding an NFKC-sensitive character."""
     c = _c(col)
-    return F.coalesce(nfkc(F.when(has_nfkc_sensitive(c), c)), c)
+    return F.coalesce(nfkc(F.when(~is_ascii(c) & has_nfkc_sensitive(c), c)), c)
 
 
 # T3
@@ -82,7 +93,8 @@ def collapse_repeats(col) -> Column:
 # T4
 def collapse_whitespace(col) -> Column:
     """Runs of (Unicode) whitespace become one space; trimmed."""
-    return F.trim(F.regexp_replace(_c(col), P_SPACES, " "))
+    c = _c(col)
+    return F.trim(F.when(is_ascii(c), F.regexp_replace(c, P_ASCII_SPACES, " ")).otherwise(F.regexp_replace(c, P_SPACES, " ")))
 
 
 # T5
@@ -203,7 +215,7 @@ def mask_numbers(col) -> Column:
 # read a column instead of re-evaluating the chain.
 P_ANY_DIGIT = r"\p{Nd}"
 _STEPS_BEFORE_URL = (
-    (None, fold_confusables),
+    (lambda c: ~is_ascii(c) & c.rlike(P_MAY_FOLD), fold_confusables),
     (None, unicode_nfkc),
     (None, collapse_repeats),
     (None, collapse_whitespace),

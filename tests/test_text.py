@@ -123,3 +123,22 @@ def test_label_cleanup(spark):
 def test_display_name(spark):
     df = spark.createDataFrame([("a" * 31,), ("short",)], "t string")
     assert [r.x for r in df.select(LB.display_name("t").alias("x")).collect()] == ["a" * 27 + "...", "short"]
+
+
+def test_long_runs_of_digits_and_labels_take_no_stack_frame_each(spark):
+    """A repeated group took a stack frame per digit or label, and a long run ended the executor."""
+    digits, labels = "1 " * 20_000 + "end", "a." * 1_500 + "com/x y"
+    rows = [(digits, "{phone} end"), ("x" + digits, None), (labels, "{url:a.com} y"), ("a..b.co 1", "a..{url:b.co} {NUM}")]
+    got = [r.normalized_text for r in TX.normalize_messages(spark.createDataFrame(rows, "raw_text string, want string")).collect()]
+    assert got[0] == rows[0][1] and got[2:] == [r[1] for r in rows[2:]]
+
+
+def test_guards_leave_texts_as_the_plain_steps_make_them(spark):
+    texts = ["a \t b", "café   x", "аbc", "​z", "ﬁne", "ℓ 1", "á", "\x1c\x1d", None, ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.trim(F.regexp_replace("t", TX.P_SPACES, " "))
+    assert df.filter(~plain.eqNullSafe(TX.collapse_whitespace("t"))).count() == 0
+    may = ~TX.is_ascii("t") & F.col("t").rlike(TX.P_MAY_FOLD)
+    folded = df.filter((TX.fold_confusables("t") != F.col("t")) & ~may)
+    assert folded.count() == 0 and df.filter(may).count() == 4
+    assert [r.n for r in df.select(TX.unicode_nfkc("t").alias("n")).collect()] == [t and unicodedata.normalize("NFKC", t) for t in texts]
