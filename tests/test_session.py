@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import time
 
 from paths import ROOT
 
@@ -40,3 +41,21 @@ def test_two_sessions_in_sequence():
     out = subprocess.run([sys.executable, "-c", CODE.format(root=ROOT)], capture_output=True, text=True, env=env,
                          cwd="/", timeout=200)
     assert out.returncode == 0 and "fine" in out.stdout, out.stderr[-2000:]
+
+
+def test_a_cut_leaves_no_shuffle_files(spark):
+    """Shuffle files of every cut stayed on the executors' disks until the driver collected its garbage."""
+    from herald.session import SHUFFLE_CLEANUP, cut_lineage
+
+    def files():
+        dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for _, _, names in os.walk(d) for f in names if f.startswith("shuffle_")}
+
+    before, was = files(), spark.conf.get(SHUFFLE_CLEANUP, None)
+    rows = spark.range(1000).repartition(7).groupBy("id").count()
+    cut = cut_lineage(rows)
+    until = time.time() + 10
+    while files() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not files() - before and spark.conf.get(SHUFFLE_CLEANUP, None) == was
+    assert cut.count() == rows.count() == 1000 == cut_lineage(rows).count()
