@@ -195,3 +195,23 @@ def test_blocks_copy_a_row_a_bounded_number_of_times_and_emit_edges_between_them
 
     small = weights(tiling, 16)
     assert small == weights(tiling, 2048) == weights(H.blocks(points, "originator_id", 1000), 64) and len(small) == len(x) - 1
+
+
+def test_forests_are_made_in_turns_and_merged_before_a_sender_is_finished(spark):
+    """All copies of a sender's rows were on disk at once, and all its forests' edges in one task."""
+    from herald.operators import hierarchy as H
+    x = np.random.default_rng(6).normal(size=(300, 6))
+    points = spark.createDataFrame([("s", i, [float(c) for c in v], 3, 1) for i, v in enumerate(x)],
+                                   "originator_id string, id long, vec array<float>, min_size int, min_samples int").cache()
+    tiling = H.blocks(points, "originator_id", 10)
+    all_at_once, turns = (H.tile_forests(tiling, None, 16, turn_rows=n) for n in (10 ** 6, 500))
+    assert sorted(map(tuple, all_at_once.collect())) == sorted(map(tuple, turns.collect()))
+    assert len({f.rsplit("/", 2)[1] for f in turns.inputFiles()}) >= 5 > \
+        len({f.rsplit("/", 2)[1] for f in all_at_once.inputFiles()})
+
+    def tree(edges):
+        e = edges.toPandas()
+        return sorted(H._lighter([tuple(e[c].to_numpy() for c in "abw")], len(x))[0][2].tolist())
+
+    merged = H._merged(turns, "originator_id", 1000)
+    assert merged.count() < turns.count() and tree(merged) == tree(turns) and len(tree(turns)) == len(x) - 1
